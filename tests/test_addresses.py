@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import pytest
+
+from conftest import land, plan_of
+from pyspark.sql import functions as F
+
+from tideline.functions.uri import blob_url, container_prefix, one_slash, plain_path, strip_prefix
+from tideline.schemas import LOANS
+from tideline.sources.inventory import list_files, with_properties
+
+PREFIX = container_prefix("jobs", "acct")
+
+
+def value(spark, text, rewrite):
+    return spark.createDataFrame([(text,)], "u string").select(rewrite("u")).first()[0]
+
+
+@pytest.mark.parametrize(
+    "uri, path",
+    [
+        (f"{PREFIX}in/a.csv", "in/a.csv"),
+        (f"{PREFIX}in/{PREFIX}a.csv", f"in/{PREFIX}a.csv"),
+        ("abfss://jobs@acctXdfs.core.windows.net/a.csv", "abfss://jobs@acctXdfs.core.windows.net/a.csv"),
+        ("file:/in/a.csv", "file:/in/a.csv"),
+        (PREFIX, ""),
+        (None, None),
+    ],
+)
+def test_only_the_leading_literal_prefix_is_stripped(spark, uri, path):
+    assert value(spark, uri, lambda u: strip_prefix(u, PREFIX)) == path
+
+
+@pytest.mark.parametrize(
+    "uri, url",
+    [
+        (f"{PREFIX}in/abfss/a.csv", "https://acct.blob.core.windows.net/jobs/in/abfss/a.csv"),
+        (f"{PREFIX}{PREFIX}", f"https://acct.blob.core.windows.net/jobs/{PREFIX}"),
+        ("file:/abfss/a.csv", "file:/abfss/a.csv"),
+        (None, None),
+    ],
+)
+def test_blob_url_rewrites_the_start_alone(spark, uri, url):
+    assert value(spark, uri, blob_url) == url
+
+
+@pytest.mark.parametrize("path", ["file:///a/b", "file:/a/b", "file://a/b"])
+def test_slashes_of_local_addresses(spark, path):
+    assert value(spark, path, one_slash) == "file:/a/b"
+
+
+def test_remote_authorities_keep_their_slashes(spark):
+    assert value(spark, PREFIX, one_slash) == PREFIX
+
+
+def test_encoded_names_meet_their_listing(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name in ["plain", "a b", "50%", "x+y", "ü"]:
+        land(folder / f"{name}.csv", "Ann,34", header=None)
+    read = spark.read.schema(LOANS).csv(str(folder))
+    files = read.select(F.col("_metadata.file_path").alias("source_file")).distinct()
+    raw = {row[0].rsplit("/", 1)[1] for row in files.select(plain_path("source_file")).collect()}
+    assert raw == {"plain.csv", "a b.csv", "50%.csv", "x+y.csv", "ü.csv"}
+
+    gone = spark.createDataFrame([(f"file:{folder}/gone.csv",)], "source_file string")
+    sized = with_properties(files.union(gone), list_files(spark, str(folder)))
+    sizes = {row.source_file.rsplit("/", 1)[1]: row["size"] for row in sized.collect()}
+    assert sizes.pop("gone.csv") is None
+    assert set(sizes.values()) == {len("Ann,34\n")}
+    assert sized.columns == ["source_file", "size", "modification_time"]
+
+
+def test_listing_shows_files_without_rows(spark, landing):
+    names = {row.listed_path.rsplit("/", 1)[1] for row in list_files(spark, str(landing)).collect()}
+    assert names == {"a.csv", "b.csv", "f 0.csv", "empty.csv"}
+
+
+def test_listing_reads_no_content(spark, landing):
+
+
+    assert "content:binary" not in plan_of(list_files(spark, str(landing)))

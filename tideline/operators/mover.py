@@ -36,12 +36,19 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
             tail = address.split(parts.netloc, 1)[1]
             return stores[key], stores[key, "root"] + tail
 
+        def archive_address(address):
+            """The archive folder; a plain path is meant in the file's own store."""
+            if urlsplit(archive_dir).scheme:
+                return archive_dir
+            parts = urlsplit(address)
+            return f"{parts.scheme}://{parts.netloc}{archive_dir}" if parts.netloc else archive_dir
+
         def exists(store, path):
             return store.get_file_info(path).type != fs.FileType.NotFound
 
         def move(address):
             store, source = store_for(address)
-            archive_store, archive = store_for(archive_dir)
+            archive_store, archive = store_for(archive_address(address))
             if archive_store != store:
                 raise ValueError(f"{address} is not in the store of {archive_dir}")
             target = posixpath.join(archive, source.lstrip("/"))
@@ -76,6 +83,7 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
 def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) -> DataFrame:
     """Move each source file below `archive_dir`, under its own full path, and report the outcome.
 
+    The archive is in the store the files are in; an `archive_dir` with no scheme says just that.
     Files are dealt evenly to `tasks` tasks. A move has a side effect, so the result is meant to be
     written once and read back (`run_moves`); a repeated attempt of a move that was done counts as
     success, and an archived file is never overwritten.

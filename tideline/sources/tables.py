@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -16,7 +17,7 @@ FOLDER_FORMATS = frozenset({"parquet", "orc", "json", "csv"})
 def iso_date(value: str | date) -> str:
     """`value` as `yyyy-MM-dd`; raises ValueError for anything that is not a date."""
     text = value.isoformat() if isinstance(value, date) else value
-    if len(text) != 10:
+    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text):
         raise ValueError(f"not a date of the form yyyy-MM-dd: {text!r}")
     return date.fromisoformat(text).isoformat()
 
