@@ -16,9 +16,10 @@ def sources(spark, folder):
 
 def test_files_move_and_each_has_a_status(spark, landing, tmp_path):
     gone = spark.createDataFrame([(f"file:{landing}/gone.csv",)], "source_file string")
-    listed = sources(spark, landing).union(gone).cache()
-    listed.count()
-    status = run_moves(listed, str(tmp_path / "old"), str(tmp_path / "status"), tasks=3)
+    listed = sources(spark, landing).union(gone)
+    status = run_moves(
+        listed, str(tmp_path / "old"), str(tmp_path / "list"), str(tmp_path / "status"), tasks=3
+    )
     assert status.schema == MOVE_STATUS
     rows = {row.file_path.rsplit("/", 1)[1]: row for row in status.collect()}
     assert {n for n, r in rows.items() if r.status == "success"} == {
@@ -31,7 +32,6 @@ def test_files_move_and_each_has_a_status(spark, landing, tmp_path):
     assert list(landing.glob("*.csv")) == []
     moved = tmp_path / "old" / str(landing).lstrip("/")
     assert {p.name for p in moved.glob("*.csv")} == {"a.csv", "b.csv", "f 0.csv", "empty.csv"}
-    listed.unpersist()
 
 
 def test_a_repeated_move_is_a_success_and_never_overwrites(spark, landing, tmp_path):
@@ -39,12 +39,13 @@ def test_a_repeated_move_is_a_success_and_never_overwrites(spark, landing, tmp_p
     one = spark.createDataFrame(names, "source_file string")
     archive = tmp_path / "old"
     target = Path(f"{archive}{landing}/a.csv")
-    first = run_moves(one, str(archive), str(tmp_path / "s1")).collect()
-    again = run_moves(one, str(archive), str(tmp_path / "s2")).collect()
+    files = str(tmp_path / "list")
+    first = run_moves(one, str(archive), files, str(tmp_path / "s1")).collect()
+    again = run_moves(one, str(archive), files, str(tmp_path / "s2")).collect()
     assert [r.status for r in first + again] == ["success", "success"]
     before = target.read_text()
     land(landing / "a.csv", "New,1")
-    clash = run_moves(one, f"file:{archive}", str(tmp_path / "s3")).first()
+    clash = run_moves(one, f"file:{archive}", files, str(tmp_path / "s3")).first()
     assert clash.status == "failed" and "FileExistsError" in clash.exception
     assert target.read_text() == before
     assert (landing / "a.csv").exists()

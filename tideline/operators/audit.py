@@ -103,11 +103,11 @@ def audit_rows_by_join(
     It reads `df` twice. `audit_rows` gives the same in one pass; this form remains for those who
     compare the two, and for samples of several columns.
     """
-    # With no tie-break the sample orders itself, smallest value first.
-    sampled = df.withColumn(FIRST_VALUE, F.col(first_column))
-    order = tie_break or [FIRST_VALUE]
-    if not tie_break:
-        sampled = sampled.filter(F.col(FIRST_VALUE).isNotNull())
+    # Rows alike in the tie-break are ordered by the sample itself, NULL last.
+    sampled = df.withColumn(FIRST_VALUE, F.col(first_column)).withColumn(
+        "no_value", F.col(FIRST_VALUE).isNull()
+    )
+    order = [*tie_break, "no_value", FIRST_VALUE]
     samples = latest_per_file(sampled, [SOURCE_FILE, FIRST_VALUE], order)
     counts = df.groupBy(*FILE_KEYS).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),

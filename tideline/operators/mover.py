@@ -84,9 +84,10 @@ def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) ->
     """Move each source file below `archive_dir`, under its own full path, and report the outcome.
 
     The archive is in the store the files are in; an `archive_dir` with no scheme says just that.
-    Files are dealt evenly to `tasks` tasks. A move has a side effect, so the result is meant to be
-    written once and read back (`run_moves`); a repeated attempt of a move that was done counts as
-    success, and an archived file is never overwritten.
+    Files are dealt evenly to `tasks` tasks. A move has a side effect: `files` must be stored rows, not
+    a listing of the folder being emptied that a lost task would compute anew, and the result is
+    meant to be written once. `run_moves` sees to both. A repeated attempt of a move that was done
+    counts as success, and an archived file is never overwritten.
     """
     tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
     named = files.select(F.col(SOURCE_FILE).alias(FILE_PATH), plain_path(SOURCE_FILE).alias("raw_path"))
@@ -94,8 +95,15 @@ def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) ->
 
 
 def run_moves(
-    files: DataFrame, archive_dir: str, status_path: str, tasks: int | None = None
+    files: DataFrame, archive_dir: str, list_path: str, status_path: str, tasks: int | None = None
 ) -> DataFrame:
-    """Move the files, store one status row for each under `status_path`, and return that table."""
-    move_files(files, archive_dir, tasks).write.mode("append").parquet(status_path)
-    return files.sparkSession.read.schema(MOVE_STATUS).parquet(status_path)
+    """Move the files and return the stored status table, one row for each file.
+
+    The list of files is stored under `list_path` before anything moves, so the job survives lost
+    executors and can be run again after a failure.
+    """
+    spark = files.sparkSession
+    files.select(SOURCE_FILE).write.mode("overwrite").parquet(list_path)
+    stored = spark.read.parquet(list_path)
+    move_files(stored, archive_dir, tasks).write.mode("append").parquet(status_path)
+    return spark.read.schema(MOVE_STATUS).parquet(status_path)

@@ -14,11 +14,13 @@ LISTED_PATH = "listed_path"
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file under `path`: raw path, size and modification time.
 
-    The binary-file source reads no content when the content column is not asked for.
+    The binary-file source reads no content when the content column is not asked for. A file that
+    is moved away while the listing is read is left out of it.
     """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
+        .option("ignoreMissingFiles", True)
         .load(path)
         .select(
             one_slash("path").alias(LISTED_PATH),

@@ -100,7 +100,9 @@ def archive_move_status(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_replace(SOURCE_FILE, rf"{LANDING_KEY}=\d+", f"{LANDING_KEY}=0").alias(SOURCE_FILE)
     )
     missing = missing.orderBy(SOURCE_FILE).limit(1)
-    status = run_moves(files.unionByName(missing), f"{folder}/archive", f"{folder}/status")
+    status = run_moves(
+        files.unionByName(missing), f"{folder}/archive", f"{folder}/files", f"{folder}/status"
+    )
     return status.select(
         landing_key(FILE_PATH),
         "status",
