@@ -5,9 +5,10 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from tideline.operators import archive
-from tideline.plans.jobs import archive_date
-from tideline.schemas import FILES, REPORT
-from tideline.sources.tables import iso_date, read_slice, write_slice
+from tideline.plans.jobs import archive_date, start_audit, start_load
+from tideline.schemas import FILES, LOANS, REPORT
+from tideline.sources.tables import iso_date, read_slice, read_table, write_slice
+from tideline.streaming.sinks import UNTIL_DONE
 
 DAY = "2024-01-15"
 PREFIX = "abfss://jobs@acct.dfs.core.windows.net/"
@@ -68,6 +69,28 @@ def test_a_day_with_nothing_is_empty(spark, stored):
     assert report.count() == 0 and listed(spark, stored) == []
 
 
+def test_two_separate_jobs_and_only_committed_batches_count(spark, landing, tmp_path):
+    land_options = {"trigger": UNTIL_DONE, "header": True}
+    start_load(
+        spark, str(landing), LOANS, f"{tmp_path}/data", f"{tmp_path}/ck", **land_options
+    ).awaitTermination()
+    start_audit(
+        spark, str(landing), LOANS, f"{tmp_path}/metadata", f"{tmp_path}/ck", "age", **land_options
+    ).awaitTermination()
+    data = read_table(spark, f"{tmp_path}/data", FILES)
+    (day,) = {row.processed_date for row in data.collect()}
+    # A batch that died half-way leaves rows that no commit names; the audit saw the file.
+    stray = files(spark, ["stray"], day)
+    stray.drop("processed_date").write.mode("append").parquet(f"{tmp_path}/data/processed_date={day}")
+    write_slice(stray, f"{tmp_path}/metadata", processed_date=day, stream_id="x", batch_id=0)
+    report = archive_date(
+        spark, f"{tmp_path}/data", f"{tmp_path}/metadata", f"{tmp_path}/report",
+        f"{tmp_path}/list", day, f"file:{landing}/",
+    )
+    assert report.count() == 3
+    assert listed(spark, tmp_path) == ["a.csv", "b.csv", "f%200.csv"]
+
+
 @pytest.mark.parametrize("date", ["2024-1-15", "15.01.2024", "2024-02-30", "", "2024-W03-1"])
 def test_a_malformed_date_is_refused(spark, stored, date):
     with pytest.raises(ValueError):

@@ -83,6 +83,22 @@ def test_a_stamp_column_can_be_the_sample(spark, landing, tmp_path, column):
     assert len(rows) == 3 and all(row.first_value == row[column] for row in rows)
 
 
+@pytest.mark.parametrize("by_join", [False, True])
+def test_the_sample_can_keep_its_own_name(spark, landing, tmp_path, by_join):
+    query = start_audit(
+        spark, str(landing), LOANS, f"{tmp_path}/m", f"{tmp_path}/checkpoint", "age", ["loan_id"],
+        trigger=UNTIL_DONE, header=True, first_name="age", by_join=by_join,
+    )
+    query.awaitTermination()
+    rows = read_table(spark, f"{tmp_path}/m", metadata_schema(T.IntegerType(), "age"))
+    assert sorted(row.age for row in rows.collect()) == [29, 34, 51]
+
+
+def test_a_small_batch_is_audited_into_one_file(spark, landing, tmp_path):
+    load_and_audit(spark, landing, tmp_path)
+    assert len(list((tmp_path / "metadata").rglob("*.parquet"))) == 1
+
+
 def test_failed_batch_is_replayed_without_doubling(spark, landing, tmp_path):
     write = load_and_audit_writer(
         LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]

@@ -98,7 +98,12 @@ def test_transform_hook_replaces_the_derived_columns(spark, landing, tmp_path):
 
 def test_finished_files_are_archived_one_batch_late(spark, landing, tmp_path):
     with source_cleaner(spark, cleanup_delay="60s", threads=0):
-        load(spark, landing, tmp_path, max_files_per_trigger=1, archive_dir=str(tmp_path / "old"))
+        query = start_load(
+            spark, str(landing), LOANS, f"{tmp_path}/data", f"{tmp_path}/checkpoint",
+            trigger=UNTIL_DONE, header=True, max_files_per_trigger=1,
+            archive_dir=str(tmp_path / "old"),
+        )
+    query.awaitTermination()
     assert spark.conf.get(CLEANER_THREADS) == "1"
     assert len(list(landing.glob("*.csv"))) == 1
     assert len(list((tmp_path / "old").rglob("*.csv"))) == 3

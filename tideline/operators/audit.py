@@ -25,7 +25,6 @@ AUDIT_COLUMNS = (
     MODIFICATION_TIME,
     PROCESSING_TIME,
     PROCESSED_DATE,
-    FIRST_VALUE,
 )
 
 
@@ -77,7 +76,12 @@ def first_value(column: str, tie_break: Sequence[str] = ()) -> Column:
     return F.when(F.count(key) < F.count(F.lit(1)), without_key).otherwise(F.min_by(column, key))
 
 
-def audit_rows(df: DataFrame, first_column: str, tie_break: Sequence[str] = ()) -> DataFrame:
+def audit_rows(
+    df: DataFrame,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    first_name: str = FIRST_VALUE,
+) -> DataFrame:
     """One audit row per file from stamped rows that carry their file properties.
 
     A single aggregation: one shuffle of one partial row per file and task, with no window, no join
@@ -89,14 +93,17 @@ def audit_rows(df: DataFrame, first_column: str, tie_break: Sequence[str] = ())
             F.count(F.lit(1)).alias(RECORD_COUNT),
             F.max(SIZE).alias(SIZE),
             F.max(MODIFICATION_TIME).alias(MODIFICATION_TIME),
-            first_value(first_column, tie_break).alias(FIRST_VALUE),
+            first_value(first_column, tie_break).alias(first_name),
         )
-        .select(*AUDIT_COLUMNS)
+        .select(*AUDIT_COLUMNS, first_name)
     )
 
 
 def audit_rows_by_join(
-    df: DataFrame, first_column: str, tie_break: Sequence[str] = ()
+    df: DataFrame,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    first_name: str = FIRST_VALUE,
 ) -> DataFrame:
     """The same audit rows as counts joined with a window sample.
 
@@ -114,4 +121,6 @@ def audit_rows_by_join(
         F.max(SIZE).alias(SIZE),
         F.max(MODIFICATION_TIME).alias(MODIFICATION_TIME),
     )
-    return counts.join(samples, SOURCE_FILE, "inner").select(*AUDIT_COLUMNS)
+    return counts.join(samples, SOURCE_FILE, "inner").select(
+        *AUDIT_COLUMNS, F.col(FIRST_VALUE).alias(first_name)
+    )

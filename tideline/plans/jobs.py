@@ -10,9 +10,9 @@ from pyspark.sql.types import StructType
 
 from tideline.functions.stamps import stamp, with_processed_date
 from tideline.operators import archive
-from tideline.schemas import FILES, PROCESSED_DATE, REPORT
+from tideline.schemas import FILES, FIRST_VALUE, PROCESSED_DATE, REPORT
 from tideline.sources.landing import read_landing
-from tideline.sources.tables import iso_date, read_slice, write_slice
+from tideline.sources.tables import iso_date, read_date, read_slice, write_slice
 from tideline.streaming.sinks import (
     EVERY_TEN_SECONDS,
     checkpoint_for,
@@ -64,14 +64,15 @@ def start_audit(
     fmt: str = "parquet",
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
     by_join: bool = False,
+    first_name: str = FIRST_VALUE,
     name: str = "audit",
     **landing_options: object,
 ) -> StreamingQuery:
-    """Stream landed files into METADATA alone."""
+    """Stream landed files into METADATA alone; the sample goes to the column `first_name`."""
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         auditable(landing, first_column, tie_break),
-        audit_writer(metadata_path, first_column, tie_break, fmt, by_join),
+        audit_writer(metadata_path, first_column, tie_break, fmt, by_join, first_name),
         checkpoint_for(checkpoint_root, name, landing_path),
         name,
         trigger,
@@ -89,6 +90,7 @@ def start_load_and_audit(
     tie_break: Sequence[str] = (),
     fmt: str = "parquet",
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
+    first_name: str = FIRST_VALUE,
     name: str = "load_and_audit",
     **landing_options: object,
 ) -> StreamingQuery:
@@ -96,7 +98,9 @@ def start_load_and_audit(
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         loadable(landing),
-        load_and_audit_writer(schema, data_path, metadata_path, first_column, tie_break, fmt),
+        load_and_audit_writer(
+            schema, data_path, metadata_path, first_column, tie_break, fmt, first_name
+        ),
         checkpoint_for(checkpoint_root, name, landing_path),
         name,
         trigger,
@@ -121,8 +125,8 @@ def archive_date(
     even while the tables grow. Running a date again replaces its report and the list.
     """
     date = iso_date(date)
-    data = read_slice(spark, data_path, FILES, fmt, processed_date=date)
-    metadata = read_slice(spark, metadata_path, FILES, fmt, processed_date=date)
+    data = read_date(spark, data_path, FILES, date, fmt)
+    metadata = read_date(spark, metadata_path, FILES, date, fmt)
     files = archive.first_files(archive.candidates(data, metadata, date), limit, staging)
     write_slice(archive.report_rows(files, date), report_path, fmt, processed_date=date)
     report = read_slice(spark, report_path, REPORT, fmt, processed_date=date)

@@ -92,8 +92,8 @@ def loaded_schema(landing: T.StructType) -> T.StructType:
     )
 
 
-def metadata_schema(first_value: T.DataType) -> T.StructType:
-    """METADATA: one audit row per file and batch; `first_value` has the sampled column's type."""
+def metadata_schema(first_value: T.DataType, first_name: str = FIRST_VALUE) -> T.StructType:
+    """METADATA: one audit row per file and batch; the sample has the sampled column's type."""
     return T.StructType(
         [
             T.StructField(SOURCE_FILE, T.StringType()),
@@ -102,7 +102,7 @@ def metadata_schema(first_value: T.DataType) -> T.StructType:
             T.StructField(MODIFICATION_TIME, T.TimestampType()),
             T.StructField(PROCESSING_TIME, T.TimestampType()),
             T.StructField(PROCESSED_DATE, T.StringType()),
-            T.StructField(FIRST_VALUE, first_value),
+            T.StructField(first_name, first_value),
             T.StructField(STREAM_ID, T.StringType()),
             T.StructField(BATCH_ID, T.LongType()),
         ]

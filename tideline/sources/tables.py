@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tideline.schemas import PROCESSED_DATE
+
 # Formats whose table is a plain tree of partition folders.
 FOLDER_FORMATS = frozenset({"parquet", "orc", "json", "csv"})
 
@@ -47,8 +49,7 @@ def read_slice(
 
     Only that partition's folder is listed, so the cost does not grow with the age of the table as
     it would when the whole tree is listed and pruned afterwards. A partition that was never
-    written is empty. For tables written by `write_slice`; a table kept by a streaming file sink
-    has a commit log at its root and is read with `read_table` and a filter.
+    written is empty. For tables written by `write_slice`; `read_date` reads either kind of table.
     """
     if fmt not in FOLDER_FORMATS:
         table = read_table(spark, path, schema, fmt)
@@ -64,6 +65,30 @@ def read_slice(
         return spark.createDataFrame([], schema)
 
 
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink keeps the table, and with it a log of what is committed."""
+    try:
+        spark.read.format("binaryFile").load(f"{path}/_spark_metadata")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
+def read_date(
+    spark: SparkSession, path: str, schema: StructType, day: str, fmt: str = "parquet"
+) -> DataFrame:
+    """The rows a table read on one date, whichever way the table is written.
+
+    Where a streaming sink keeps a log, the whole table is named so that Spark goes by the log and
+    leaves out files of batches that never finished; the date then prunes the log's entries.
+    """
+    if fmt in FOLDER_FORMATS and not has_sink_log(spark, path):
+        return read_slice(spark, path, schema, fmt, **{PROCESSED_DATE: day})
+    return read_table(spark, path, schema, fmt).filter(F.col(PROCESSED_DATE) == day)
+
+
 def write_slice(df: DataFrame, path: str, fmt: str = "parquet", **keys: object) -> None:
     """Write `df` as the whole content of one partition, replacing what a former attempt left.
 

@@ -17,6 +17,7 @@ from tideline.functions.stamps import stamp, with_processed_date
 from tideline.operators.audit import audit_rows, audit_rows_by_join
 from tideline.schemas import (
     BATCH_ID,
+    FIRST_VALUE,
     MODIFICATION_TIME,
     PROCESSED_DATE,
     PROCESSING_TIME,
@@ -66,6 +67,7 @@ def audit_writer(
     tie_break: Sequence[str] = (),
     fmt: str = "parquet",
     by_join: bool = False,
+    first_name: str = FIRST_VALUE,
 ) -> BatchWriter:
     """Write one METADATA row per file of the batch.
 
@@ -78,11 +80,12 @@ def audit_writer(
         if own is None:
             return
         if not by_join:
-            write_slice(audit_rows(batch, first_column, tie_break), metadata_path, fmt, **own)
+            rows = audit_rows(batch, first_column, tie_break, first_name)
+            write_slice(rows, metadata_path, fmt, **own)
             return
         batch.persist()
         try:
-            rows = audit_rows_by_join(batch, first_column, tie_break)
+            rows = audit_rows_by_join(batch, first_column, tie_break, first_name)
             write_slice(rows, metadata_path, fmt, **own)
         finally:
             batch.unpersist()
@@ -97,6 +100,7 @@ def load_and_audit_writer(
     first_column: str,
     tie_break: Sequence[str] = (),
     fmt: str = "parquet",
+    first_name: str = FIRST_VALUE,
 ) -> BatchWriter:
     """Write the batch to DATA, then its audit rows to METADATA.
 
@@ -111,6 +115,7 @@ def load_and_audit_writer(
             return
         write_slice(batch, data_path, fmt, **own)
         loaded = read_slice(batch.sparkSession, data_path, schema, fmt, **own)
-        write_slice(audit_rows(loaded, first_column, tie_break), metadata_path, fmt, **own)
+        rows = audit_rows(loaded, first_column, tie_break, first_name)
+        write_slice(rows, metadata_path, fmt, **own)
 
     return write
