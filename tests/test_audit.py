@@ -6,7 +6,12 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.operators.audit import audit_rows, audit_rows_by_join, latest_per_file
+from tideline.operators.audit import (
+    audit_rows,
+    audit_rows_by_join,
+    latest_per_file,
+    latest_per_file_by_window,
+)
 from tideline.plans.jobs import start_audit, start_load_and_audit
 from tideline.schemas import LOANS, data_schema, metadata_schema
 from tideline.sources.landing import read_landing
@@ -171,6 +176,41 @@ def test_sizes_above_two_gigabytes_stay_whole(spark):
     assert row["size"] == 3_000_000_000
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz", "date", "int", "double"])
+def test_latest_row_equals_its_window_form(spark, kind):
+    """Random rows; a third of them share one file. Clock changes of the zone must not matter."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # Hours around both clock changes of 2024, and some rows with no time.
+        hours = "pmod(xxhash64(id, 1), 9)"
+        start = f"if(id % 2 = 0, {kind_of('2024-03-09 22:00:00', kind)}, {kind_of('2024-11-02 22:00:00', kind)})"
+        step = {
+            "timestamp": f"{start} + make_dt_interval(0, {hours}, id % 7 * 10)",
+            "timestamp_ntz": f"{start} + make_dt_interval(0, {hours}, id % 7 * 10)",
+            "date": f"date_add({start}, cast({hours} AS int))",
+            "int": f"cast({hours} AS int)",
+            "double": f"cast({hours} AS double)",
+        }[kind]
+        df = spark.range(4000).selectExpr(
+            "if(id % 3 = 0, 'hot', concat('f', id % 50)) AS source_file",
+            f"if(id % 11 = 0, NULL, {step}) AS t",
+            "if(id % 13 = 0, NULL, cast(pmod(xxhash64(id, 2), 5) AS int)) AS k",
+            "id",
+        )
+        args = (["source_file", "id", "t"], ["k", "id"])
+        ours = latest_per_file(df, *args, time="t")
+        window = latest_per_file_by_window(df, *args, time="t")
+        assert ours.count() == 51
+        assert ours.exceptAll(window).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def kind_of(text, kind):
+    return f"cast('{text}' AS {kind})" if kind not in ("int", "double") else "0"
+
+
 def test_latest_row_breaks_ties_by_the_given_columns(spark):
     df = spark.createDataFrame(
         [("a", 1, 5), ("a", 2, 9), ("a", 2, 3), ("b", 1, 1)], "source_file string, t int, id int"

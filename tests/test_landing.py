@@ -80,7 +80,11 @@ def test_restart_reads_only_what_landed_since(spark, landing, tmp_path):
 
 def test_each_job_and_folder_has_its_own_checkpoint():
     assert checkpoint_for("/ck/", "load", "file:/land/in0/") == "/ck/load/land/in0"
-    assert checkpoint_for("/ck", "audit", "abfss://c@a.dfs.core.windows.net/in0") == "/ck/audit/in0"
+    here, there = (
+        checkpoint_for("hdfs://n:8020/ck", "audit", f"abfss://{c}@a.dfs.core.windows.net/in0")
+        for c in ("here", "there")
+    )
+    assert here == "hdfs://n:8020/ck/audit/here@a.dfs.core.windows.net/in0" != there
 
 
 def test_transform_hook_replaces_the_derived_columns(spark, landing, tmp_path):

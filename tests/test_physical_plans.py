@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.operators.archive import candidates
-from tideline.operators.audit import audit_rows, latest_per_file, record_counts
+from tideline.operators.audit import (
+    audit_rows,
+    latest_per_file,
+    latest_per_file_by_window,
+    record_counts,
+)
 from tideline.schemas import LOANS, loaded_schema
 from tideline.sources.tables import read_slice, read_table, write_slice
 
@@ -61,10 +66,12 @@ def test_counts_are_partial_ahead_of_the_shuffle(spark, data):
     assert read_schemas(plan) == ["source_file:string,processing_time:timestamp"]
 
 
-def test_latest_row_is_limited_ahead_of_the_shuffle(spark, data):
-    tree = plan_of(
-        latest_per_file(read_table(spark, data, SCHEMA), ["source_file", "age"], ["loan_id"])
-    ).split("\n\n")[0]
+def test_latest_row_is_reduced_ahead_of_its_one_shuffle(spark, data):
+    args = (read_table(spark, data, SCHEMA), ["source_file", "age"], ["loan_id"])
+    tree = plan_of(latest_per_file(*args)).split("\n\n")[0]
+    steps = re.findall(r"SortAggregate|Exchange|Window", tree)
+    assert steps == ["SortAggregate", "Exchange", "SortAggregate"]
+    tree = plan_of(latest_per_file_by_window(*args)).split("\n\n")[0]
     steps = re.findall(r"WindowGroupLimit|Exchange", tree)
     assert steps == ["WindowGroupLimit", "Exchange", "WindowGroupLimit"]
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.schemas import (
     FIRST_VALUE,
@@ -36,6 +37,24 @@ def record_counts(df: DataFrame, keys: Sequence[str] = FILE_KEYS) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(RECORD_COUNT))
 
 
+def _newest_first(df: DataFrame, time: str) -> list[Column]:
+    """Keys that sort the newest time first when they ascend, NULL last.
+
+    Instants are taken as microseconds and local times as an interval, so that no clock change of
+    the session's zone can reorder them.
+    """
+    kind, column = df.schema[time].dataType, F.col(time)
+    if isinstance(kind, T.TimestampType):
+        key = -F.unix_micros(column)
+    elif isinstance(kind, T.TimestampNTZType):
+        key = F.lit("1970-01-01").cast(kind) - column
+    elif isinstance(kind, T.DateType):
+        key = -F.unix_date(column)
+    else:
+        key = -column
+    return [column.isNull().alias("no_time"), key.alias("age")]
+
+
 def latest_per_file(
     df: DataFrame,
     columns: Sequence[str],
@@ -46,8 +65,26 @@ def latest_per_file(
     """The newest row of every file, cut to `columns`.
 
     All rows of a micro-batch carry the same time, so `tie_break` columns decide among them, lowest
-    first. Spark keeps one row per file and task ahead of the shuffle (window group limit), so a
-    file with most of the rows does not pile up in one task.
+    first. As an aggregate it keeps one row per file and task ahead of the shuffle, so a file with
+    most of the rows does not pile up in one task, and a task sorts by file alone, which is quick
+    where rows of a file lie together.
+    """
+    order = F.struct(*_newest_first(df, time), *tie_break)
+    newest = df.groupBy(file).agg(F.min_by(F.struct(*columns), order).alias("row"))
+    return newest.select("row.*")
+
+
+def latest_per_file_by_window(
+    df: DataFrame,
+    columns: Sequence[str],
+    tie_break: Sequence[str] = (),
+    file: str = SOURCE_FILE,
+    time: str = PROCESSING_TIME,
+) -> DataFrame:
+    """The same rows by rank, for times of any type that sorts.
+
+    Spark limits the window to one row per file and task ahead of the shuffle, but each task first
+    sorts all its rows by file, time and tie-break.
     """
     newest = Window.partitionBy(file).orderBy(F.desc(time), *(F.asc(c) for c in tie_break))
     needed = dict.fromkeys([file, time, *tie_break, *columns])
@@ -115,7 +152,7 @@ def audit_rows_by_join(
         "no_value", F.col(FIRST_VALUE).isNull()
     )
     order = [*tie_break, "no_value", FIRST_VALUE]
-    samples = latest_per_file(sampled, [SOURCE_FILE, FIRST_VALUE], order)
+    samples = latest_per_file_by_window(sampled, [SOURCE_FILE, FIRST_VALUE], order)
     counts = df.groupBy(*FILE_KEYS).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),
         F.max(SIZE).alias(SIZE),

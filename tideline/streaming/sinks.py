@@ -15,8 +15,13 @@ UNTIL_DONE = {"availableNow": True}
 
 
 def checkpoint_for(root: str, job: str, input_path: str) -> str:
-    """A checkpoint folder of its own for each job and landing folder: `{root}/{job}/{input}`."""
-    return "/".join([root.rstrip("/"), job, urlsplit(input_path).path.strip("/")])
+    """A checkpoint folder of its own for each job and landing folder: `{root}/{job}/{input}`.
+
+    The container and account of the input are part of it, as two may hold folders of one name.
+    """
+    parts = urlsplit(input_path)
+    names = [root.rstrip("/"), job, parts.netloc.replace(":", "_"), parts.path.strip("/")]
+    return "/".join(name for name in names if name)
 
 
 def start_table(
