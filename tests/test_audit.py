@@ -16,6 +16,7 @@ from tideline.plans.jobs import start_audit, start_load_and_audit
 from tideline.schemas import LOANS, data_schema, metadata_schema
 from tideline.sources.landing import read_landing
 from tideline.sources.tables import read_slice, read_table
+from tideline.streaming import writers
 from tideline.streaming.sinks import UNTIL_DONE, start_batches
 from tideline.streaming.writers import load_and_audit_writer, loadable
 
@@ -131,6 +132,51 @@ def test_failed_batch_is_replayed_without_doubling(spark, landing, tmp_path):
     assert metadata.count() == 3
 
 
+def test_a_batch_written_whole_outlives_the_archive_of_its_files(spark, landing, tmp_path):
+    """The stream stops before a commit, its files are moved away, and it starts again."""
+
+    def run(fail):
+        # A new writer, as after a restart of the program.
+        write = load_and_audit_writer(
+            LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]
+        )
+
+        def on_batch(batch, batch_id):
+            write(batch, batch_id)
+            if fail:
+                raise RuntimeError("lost before the commit")
+
+        stream = read_landing(spark, str(landing), LOANS, header=True)
+        start_batches(
+            loadable(stream), on_batch, f"{tmp_path}/checkpoint", "outlive", UNTIL_DONE
+        ).awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        run(fail=True)
+    (landing / "f 0.csv").rename(tmp_path / "archived.csv")
+    land(landing / "later.csv", ANN)
+    run(fail=False)
+    data, metadata = tables(spark, tmp_path)
+    assert (data.count(), metadata.count()) == (7, 4)
+
+
+def test_a_batch_without_its_audit_is_written_again(spark, landing, tmp_path, monkeypatch):
+    whole, calls = writers.audit_rows, []
+
+    def fails_once(*args):
+        calls.append(args)
+        if len(calls) == 1:
+            raise RuntimeError("lost between the two tables")
+        return whole(*args)
+
+    monkeypatch.setattr(writers, "audit_rows", fails_once)
+    with pytest.raises(StreamingQueryException):
+        load_and_audit(spark, landing, tmp_path)
+    data, metadata = load_and_audit(spark, landing, tmp_path)
+    assert len(calls) == 2
+    assert (data.count(), metadata.count()) == (6, 3)
+
+
 def test_streams_share_tables_without_taking_each_others_batches(spark, landing, tmp_path):
     other = tmp_path / "other"
     other.mkdir()

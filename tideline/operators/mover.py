@@ -41,7 +41,9 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
             if urlsplit(archive_dir).scheme:
                 return archive_dir
             parts = urlsplit(address)
-            return f"{parts.scheme}://{parts.netloc}{archive_dir}" if parts.netloc else archive_dir
+            if not parts.netloc:
+                return archive_dir
+            return f"{parts.scheme}://{parts.netloc}/{archive_dir.lstrip('/')}"
 
         def exists(store, path):
             return store.get_file_info(path).type != fs.FileType.NotFound

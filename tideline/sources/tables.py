@@ -65,10 +65,10 @@ def read_slice(
         return spark.createDataFrame([], schema)
 
 
-def has_sink_log(spark: SparkSession, path: str) -> bool:
-    """Whether a streaming file sink keeps the table, and with it a log of what is committed."""
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder matches `path`, which may be a pattern."""
     try:
-        spark.read.format("binaryFile").load(f"{path}/_spark_metadata")
+        spark.read.format("binaryFile").load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -76,6 +76,21 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def has_sink_log(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink keeps the table, and with it a log of what is committed."""
+    return path_exists(spark, f"{path}/_spark_metadata")
+
+
+def slice_is_whole(
+    spark: SparkSession, path: str, fmt: str = "parquet", **keys: object
+) -> bool:
+    """Whether `write_slice` finished a partition; a key may be `*`.
+
+    Output committers leave a success marker unless told not to. Without one the answer is no.
+    """
+    return fmt in FOLDER_FORMATS and path_exists(spark, f"{_folder(path, keys)}/_SUCCESS")
+
+
 def read_date(
     spark: SparkSession, path: str, schema: StructType, day: str, fmt: str = "parquet"
 ) -> DataFrame:

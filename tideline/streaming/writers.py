@@ -2,7 +2,8 @@
 
 Every batch owns the partition `processed_date=…/stream_id=…/batch_id=…` of each table it writes. A
 replay has the same date and ids and overwrites that partition, so rows are neither lost nor
-doubled. The stream's id lives in its checkpoint: streams of several landing folders, or one begun
+doubled. A batch that was written whole and lost only its commit is left as it is, because its source
+files may have been archived since. The stream's id lives in its checkpoint: streams of several landing folders, or one begun
 anew with a fresh checkpoint, add to the same tables without touching each other's batches.
 """
 
@@ -26,7 +27,7 @@ from tideline.schemas import (
     STREAM_ID,
     loaded_schema,
 )
-from tideline.sources.tables import read_slice, write_slice
+from tideline.sources.tables import read_slice, slice_is_whole, write_slice
 
 # Fixed value: the local property under which Spark names the running streaming query.
 QUERY_ID = "sql.streaming.queryId"
@@ -49,6 +50,10 @@ def auditable(landing: DataFrame, first_column: str, tie_break: Sequence[str] =
     return loadable(landing).select(*dict.fromkeys([*stamps, first_column, *tie_break]))
 
 
+def _stream_id(batch: DataFrame) -> str:
+    return batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
+
+
 def _own_partition(batch: DataFrame, batch_id: int) -> dict[str, object] | None:
     """The partition this micro-batch owns; None if it has no rows.
 
@@ -57,8 +62,27 @@ def _own_partition(batch: DataFrame, batch_id: int) -> dict[str, object] | None:
     row = batch.select(PROCESSED_DATE).first()
     if row is None:
         return None
-    stream_id = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID)
-    return {PROCESSED_DATE: row[0], STREAM_ID: stream_id, BATCH_ID: batch_id}
+    return {PROCESSED_DATE: row[0], STREAM_ID: _stream_id(batch), BATCH_ID: batch_id}
+
+
+def _unless_whole(write: BatchWriter, metadata_path: str, fmt: str) -> BatchWriter:
+    """`write`, but not for a replayed batch whose METADATA, written last, is already whole.
+
+    Only the first batch after a restart, or one out of turn, can be a replay and is looked up. It
+    must not be read again: once in METADATA its files may be archived, and Spark would pass over
+    missing files and hand over a smaller batch.
+    """
+    next_id: dict[str, int] = {}
+
+    def write_unless_whole(batch: DataFrame, batch_id: int) -> None:
+        stream_id = _stream_id(batch)
+        own = {PROCESSED_DATE: "*", STREAM_ID: stream_id, BATCH_ID: batch_id}
+        in_turn = next_id.get(stream_id) == batch_id
+        if in_turn or not slice_is_whole(batch.sparkSession, metadata_path, fmt, **own):
+            write(batch, batch_id)
+        next_id[stream_id] = batch_id + 1
+
+    return write_unless_whole
 
 
 def audit_writer(
@@ -90,7 +114,7 @@ def audit_writer(
         finally:
             batch.unpersist()
 
-    return write
+    return _unless_whole(write, metadata_path, fmt)
 
 
 def load_and_audit_writer(
@@ -118,4 +142,4 @@ def load_and_audit_writer(
         rows = audit_rows(loaded, first_column, tie_break, first_name)
         write_slice(rows, metadata_path, fmt, **own)
 
-    return write
+    return _unless_whole(write, metadata_path, fmt)

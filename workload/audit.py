@@ -12,7 +12,6 @@ from tideline.plans.jobs import start_audit, start_load_and_audit
 from tideline.schemas import (
     BATCH_ID,
     FIRST_VALUE,
-    PROCESSED_DATE,
     PROCESSING_TIME,
     RECORD_COUNT,
     SIZE,

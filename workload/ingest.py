@@ -23,7 +23,6 @@ from tideline.sources.landing import source_cleaner
 from tideline.sources.tables import read_table
 from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for, start_table
 from workload.landing import (
-    LANDING_KEY,
     landed_customers,
     landed_orders,
     landing_key,
