@@ -5,7 +5,7 @@ import pytest
 from conftest import land, plan_of
 from pyspark.sql import functions as F
 
-from tideline.functions.uri import blob_url, container_prefix, one_slash, plain_path, strip_prefix
+from tideline.functions.uri import blob_url, container_prefix, plain_path, strip_prefix
 from tideline.schemas import LOANS
 from tideline.sources.inventory import list_files, with_properties
 
@@ -44,13 +44,12 @@ def test_blob_url_rewrites_the_start_alone(spark, uri, url):
     assert value(spark, uri, blob_url) == url
 
 
-@pytest.mark.parametrize("path", ["file:///a/b", "file:/a/b", "file://a/b"])
-def test_slashes_of_local_addresses(spark, path):
-    assert value(spark, path, one_slash) == "file:/a/b"
-
-
-def test_remote_authorities_keep_their_slashes(spark):
-    assert value(spark, PREFIX, one_slash) == PREFIX
+@pytest.mark.parametrize(
+    "address, path",
+    [("file:///a/b%20c", "file:/a/b c"), ("file:/a+b%25", "file:/a+b%"), (PREFIX, PREFIX)],
+)
+def test_plain_path_of_an_address(spark, address, path):
+    assert value(spark, address, plain_path) == path
 
 
 def test_encoded_names_meet_their_listing(spark, tmp_path):
@@ -72,8 +71,8 @@ def test_encoded_names_meet_their_listing(spark, tmp_path):
 
 
 def test_listing_shows_files_without_rows(spark, landing):
-    names = {row.listed_path.rsplit("/", 1)[1] for row in list_files(spark, str(landing)).collect()}
-    assert names == {"a.csv", "b.csv", "f 0.csv", "empty.csv"}
+    names = {row.source_file.rsplit("/", 1)[1] for row in list_files(spark, str(landing)).collect()}
+    assert names == {"a.csv", "b.csv", "f%200.csv", "empty.csv"}
 
 
 def test_listing_reads_no_content(spark, landing):

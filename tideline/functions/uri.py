@@ -34,14 +34,11 @@ def blob_url(uri: Column | str) -> Column:
     return F.regexp_replace(uri, LAKE_PATTERN, BLOB_ADDRESS)
 
 
-def one_slash(path: Column | str) -> Column:
-    """Write `file:///a` and `file:/a` alike; addresses with an authority are not touched."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
-
-
 def plain_path(source_file: Column | str) -> Column:
-    """The raw path behind a percent-encoded source file, to meet a directory listing's paths.
+    """The raw path behind a percent-encoded source file, as a file system wants it.
 
-    A plus sign is itself in a path, but `url_decode` reads it as a space, so it is protected.
+    Local addresses come out with one slash, however they were written. A plus sign is itself in a
+    path, but `url_decode` reads it as a space, so it is protected.
     """
-    return one_slash(F.url_decode(F.replace(_column(source_file), F.lit("+"), F.lit("%2B"))))
+    encoded = F.replace(_column(source_file), F.lit("+"), F.lit("%2B"))
+    return F.regexp_replace(F.url_decode(encoded), "^file:/+", "file:/")

@@ -5,17 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.functions.uri import one_slash, plain_path
+from tideline.functions.stamps import source_file
 from tideline.schemas import MODIFICATION_TIME, SIZE, SOURCE_FILE
 
-LISTED_PATH = "listed_path"
-
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file under `path`: raw path, size and modification time.
+    """One row per file under `path`: source file, size and modification time.
 
-    The binary-file source reads no content when the content column is not asked for. A file that
-    is moved away while the listing is read is left out of it.
+    The source file has the form it has in the stored tables. The binary-file source reads no
+    content when the content column is not asked for. A file that is moved away while the listing
+    is read is left out of it.
     """
     return (
         spark.read.format("binaryFile")
@@ -23,7 +22,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreMissingFiles", True)
         .load(path)
         .select(
-            one_slash("path").alias(LISTED_PATH),
+            source_file(),
             F.col("length").alias(SIZE),
             F.col("modificationTime").alias(MODIFICATION_TIME),
         )
@@ -31,10 +30,5 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_properties(files: DataFrame, listing: DataFrame) -> DataFrame:
-    """Add size and modification time to a table of source files; a file that is gone gets NULL.
-
-    Source files are percent-encoded and listed paths are raw, so they meet in the raw form.
-    """
-    return files.join(
-        listing, plain_path(files[SOURCE_FILE]) == listing[LISTED_PATH], "left"
-    ).drop(LISTED_PATH)
+    """Add size and modification time to a table of source files; a file that is gone gets NULL."""
+    return files.join(listing, SOURCE_FILE, "left")

@@ -94,7 +94,7 @@ def archive_move_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Move every landed file and one that is not there."""
     landing = own_landed_orders(spark, sf_dir)
     folder = new_folder(spark, "moves")
-    listed = list_files(spark, landing).select(F.col("listed_path").alias(SOURCE_FILE))
+    listed = list_files(spark, landing).select(SOURCE_FILE)
     files = listed.filter(F.col(SOURCE_FILE).endswith(".csv"))
     missing = files.select(
         F.regexp_replace(SOURCE_FILE, rf"{LANDING_KEY}=\d+", f"{LANDING_KEY}=0").alias(SOURCE_FILE)

@@ -144,7 +144,7 @@ def clean_source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             max_files_per_trigger=quarter_of(order_files(spark, sf_dir)),
             archive_dir=archive,
         )
-    csv = F.col("listed_path").endswith(".csv")
+    csv = F.col(SOURCE_FILE).endswith(".csv")
     per_file = data.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n"))
     read = per_file.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))
     left = list_files(spark, landing).agg(F.count_if(csv).alias("n_left"))
