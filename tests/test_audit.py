@@ -189,6 +189,19 @@ def test_streams_share_tables_without_taking_each_others_batches(spark, landing,
     assert (data.count(), metadata.count()) == (8, 5)
 
 
+def test_landed_columns_may_be_named_like_file_properties(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("7,2020-01-01 00:00:00\n8,2020-01-02 00:00:00\n")
+    schema = T.StructType.fromDDL("size int, modification_time timestamp")
+    start_load_and_audit(
+        spark, str(folder), schema, f"{tmp_path}/data", f"{tmp_path}/metadata", f"{tmp_path}/ck",
+        "size", ["modification_time"], trigger=UNTIL_DONE,
+    ).awaitTermination()
+    row = read_table(spark, f"{tmp_path}/metadata", METADATA).first()
+    assert (row["size"], row.first_value) == (44, 7)
+
+
 def test_header_only_files_leave_no_trace(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
@@ -198,10 +211,10 @@ def test_header_only_files_leave_no_trace(spark, tmp_path):
 
 
 def stamped(spark, rows):
-    schema = "source_file string, k int, v int, size long"
+    schema = "source_file string, k int, v int, source_file_size long"
     return spark.createDataFrame(rows, schema).selectExpr(
         "*", "timestamp'2024-01-15 10:00:00' AS processing_time",
-        "timestamp'2024-01-14 10:00:00' AS modification_time", "'2024-01-15' AS processed_date",
+        "timestamp'2024-01-14 10:00:00' AS source_file_modification_time", "'2024-01-15' AS processed_date",
     )
 
 

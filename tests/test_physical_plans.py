@@ -31,8 +31,8 @@ def data(spark, tmp_path_factory):
             *(F.lit(None).cast(f.dataType).alias(f.name) for f in LOANS.fields[:-1]),
             F.col("id").cast("int").alias("loan_id"),
             F.concat(F.lit("file:/in/"), F.col("id") % 3).alias("source_file"),
-            F.lit(1).cast("long").alias("size"),
-            F.current_timestamp().alias("modification_time"),
+            F.lit(1).cast("long").alias("source_file_size"),
+            F.current_timestamp().alias("source_file_modification_time"),
             F.current_timestamp().alias("processing_time"),
         )
         write_slice(rows, path, processed_date=day, stream_id="s", batch_id=0)
@@ -55,8 +55,8 @@ def test_audit_is_one_hash_aggregation(spark, data):
     assert tree.count("HashAggregate") == 2 and tree.count("Exchange") == 1
     assert "Sort" not in tree and "Join" not in tree and "Window" not in tree
     assert read_schemas(plan) == [
-        "age:int,loan_id:int,source_file:string,size:bigint,modification_time:timestamp,"
-        "processing_time:timestamp"
+        "age:int,loan_id:int,source_file:string,source_file_size:bigint,"
+        "source_file_modification_time:timestamp,processing_time:timestamp"
     ]
 
 

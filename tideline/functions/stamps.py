@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.schemas import (
-    MODIFICATION_TIME,
     PROCESSED_DATE,
     PROCESSING_TIME,
-    SIZE,
     SOURCE_FILE,
+    SOURCE_SIZE,
+    SOURCE_TIME,
 )
 
 
@@ -31,8 +31,8 @@ def stamp(df: DataFrame, file_properties: bool = False) -> DataFrame:
     lookup, because the scan already knows them.
     """
     properties = [
-        F.col("_metadata.file_size").alias(SIZE),
-        F.col("_metadata.file_modification_time").alias(MODIFICATION_TIME),
+        F.col("_metadata.file_size").alias(SOURCE_SIZE),
+        F.col("_metadata.file_modification_time").alias(SOURCE_TIME),
     ]
     return df.select(
         "*",

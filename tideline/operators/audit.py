@@ -16,6 +16,8 @@ from tideline.schemas import (
     RECORD_COUNT,
     SIZE,
     SOURCE_FILE,
+    SOURCE_SIZE,
+    SOURCE_TIME,
 )
 
 FILE_KEYS = (SOURCE_FILE, PROCESSING_TIME, PROCESSED_DATE)
@@ -50,6 +52,8 @@ def _newest_first(df: DataFrame, time: str) -> list[Column]:
         key = F.lit("1970-01-01").cast(kind) - column
     elif isinstance(kind, T.DateType):
         key = -F.unix_date(column)
+    elif isinstance(kind, T.IntegralType):
+        key = F.bitwise_not(column)
     else:
         key = -column
     return [column.isNull().alias("no_time"), key.alias("age")]
@@ -128,8 +132,8 @@ def audit_rows(
         df.groupBy(*FILE_KEYS)
         .agg(
             F.count(F.lit(1)).alias(RECORD_COUNT),
-            F.max(SIZE).alias(SIZE),
-            F.max(MODIFICATION_TIME).alias(MODIFICATION_TIME),
+            F.max(SOURCE_SIZE).alias(SIZE),
+            F.max(SOURCE_TIME).alias(MODIFICATION_TIME),
             first_value(first_column, tie_break).alias(first_name),
         )
         .select(*AUDIT_COLUMNS, first_name)
@@ -155,8 +159,8 @@ def audit_rows_by_join(
     samples = latest_per_file_by_window(sampled, [SOURCE_FILE, FIRST_VALUE], order)
     counts = df.groupBy(*FILE_KEYS).agg(
         F.count(F.lit(1)).alias(RECORD_COUNT),
-        F.max(SIZE).alias(SIZE),
-        F.max(MODIFICATION_TIME).alias(MODIFICATION_TIME),
+        F.max(SOURCE_SIZE).alias(SIZE),
+        F.max(SOURCE_TIME).alias(MODIFICATION_TIME),
     )
     return counts.join(samples, SOURCE_FILE, "inner").select(
         *AUDIT_COLUMNS, F.col(FIRST_VALUE).alias(first_name)

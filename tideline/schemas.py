@@ -13,6 +13,9 @@ FILE_PATH = "file_path"
 SIZE = "size"
 MODIFICATION_TIME = "modification_time"
 FIRST_VALUE = "first_value"
+# File properties on each row, named so as not to meet a landed column.
+SOURCE_SIZE = "source_file_size"
+SOURCE_TIME = "source_file_modification_time"
 STREAM_ID = "stream_id"
 BATCH_ID = "batch_id"
 
@@ -82,8 +85,8 @@ def loaded_schema(landing: T.StructType) -> T.StructType:
         [
             *landing.fields,
             T.StructField(SOURCE_FILE, T.StringType()),
-            T.StructField(SIZE, T.LongType()),
-            T.StructField(MODIFICATION_TIME, T.TimestampType()),
+            T.StructField(SOURCE_SIZE, T.LongType()),
+            T.StructField(SOURCE_TIME, T.TimestampType()),
             T.StructField(PROCESSING_TIME, T.TimestampType()),
             T.StructField(PROCESSED_DATE, T.StringType()),
             T.StructField(STREAM_ID, T.StringType()),

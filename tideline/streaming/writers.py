@@ -19,11 +19,11 @@ from tideline.operators.audit import audit_rows, audit_rows_by_join
 from tideline.schemas import (
     BATCH_ID,
     FIRST_VALUE,
-    MODIFICATION_TIME,
     PROCESSED_DATE,
     PROCESSING_TIME,
-    SIZE,
     SOURCE_FILE,
+    SOURCE_SIZE,
+    SOURCE_TIME,
     STREAM_ID,
     loaded_schema,
 )
@@ -46,7 +46,7 @@ def auditable(landing: DataFrame, first_column: str, tie_break: Sequence[str] =
     Spark plans a micro-batch before it hands it over, so columns must be left out here: inside the
     batch function it is too late to spare the CSV parser the others.
     """
-    stamps = [SOURCE_FILE, SIZE, MODIFICATION_TIME, PROCESSING_TIME, PROCESSED_DATE]
+    stamps = [SOURCE_FILE, SOURCE_SIZE, SOURCE_TIME, PROCESSING_TIME, PROCESSED_DATE]
     return loadable(landing).select(*dict.fromkeys([*stamps, first_column, *tie_break]))
 
 
