@@ -1,4 +1,4 @@
-"""Compare every registered query with its oracle SQL: `python tests/check_queries.py [sf] [name…]`."""
+"""Compare registered queries with their SQL: `python tests/check_queries.py [sf] [name…]`."""
 
 from __future__ import annotations
 

@@ -21,7 +21,10 @@ def value(spark, text, rewrite):
     [
         (f"{PREFIX}in/a.csv", "in/a.csv"),
         (f"{PREFIX}in/{PREFIX}a.csv", f"in/{PREFIX}a.csv"),
-        ("abfss://jobs@acctXdfs.core.windows.net/a.csv", "abfss://jobs@acctXdfs.core.windows.net/a.csv"),
+        (
+            "abfss://jobs@acctXdfs.core.windows.net/a.csv",
+            "abfss://jobs@acctXdfs.core.windows.net/a.csv",
+        ),
         ("file:/in/a.csv", "file:/in/a.csv"),
         (PREFIX, ""),
         (None, None),

@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows_of
-from pyspark.sql import functions as F
 
 from tideline.operators import archive
 from tideline.plans.jobs import archive_date, start_audit, start_load
@@ -81,7 +80,9 @@ def test_two_separate_jobs_and_only_committed_batches_count(spark, landing, tmp_
     (day,) = {row.processed_date for row in data.collect()}
     # A batch that died half-way leaves rows that no commit names; the audit saw the file.
     stray = files(spark, ["stray"], day)
-    stray.drop("processed_date").write.mode("append").parquet(f"{tmp_path}/data/processed_date={day}")
+    stray.drop("processed_date").write.mode("append").parquet(
+        f"{tmp_path}/data/processed_date={day}"
+    )
     write_slice(stray, f"{tmp_path}/metadata", processed_date=day, stream_id="x", batch_id=0)
     report = archive_date(
         spark, f"{tmp_path}/data", f"{tmp_path}/metadata", f"{tmp_path}/report",
@@ -117,11 +118,8 @@ def test_limit_on_files(spark, stored, limit, expected):
 def test_large_limits_are_cut_by_range_and_stay_exact(spark, tmp_path, monkeypatch, limit):
     monkeypatch.setattr(archive, "TOP_K_IN_ONE_TASK", 0)
     # A third of the files share one folder, so the ranges are uneven.
-    names = spark.range(1000).select(
-        F.concat(
-            F.when(F.col("id") % 3 == 0, "hot/").otherwise(F.concat(F.md5(F.col("id").cast("string")), F.lit("/"))),
-            F.col("id").cast("string"),
-        ).alias("source_file")
+    names = spark.range(1000).selectExpr(
+        "concat(if(id % 3 = 0, 'hot', md5(string(id))), '/', id) AS source_file"
     )
     got = rows_of(archive.first_files(names, limit, f"{tmp_path}/staging"))
     assert got == sorted(rows_of(names), key=lambda r: r[0])[:limit]

@@ -100,6 +100,19 @@ def test_the_sample_can_keep_its_own_name(spark, landing, tmp_path, by_join):
     assert sorted(row.age for row in rows.collect()) == [29, 34, 51]
 
 
+@pytest.mark.parametrize("job", [start_audit, start_load_and_audit])
+def test_the_sample_can_be_a_derived_column(spark, landing, tmp_path, job):
+    paths = [f"{tmp_path}/data"] if job is start_load_and_audit else []
+    query = job(
+        spark, str(landing), LOANS, *paths, f"{tmp_path}/m", f"{tmp_path}/checkpoint", "years",
+        ["loan_id"], trigger=UNTIL_DONE, header=True,
+        transform=lambda df: df.withColumn("years", F.col("age") * 2),
+    )
+    query.awaitTermination()
+    rows = read_table(spark, f"{tmp_path}/m", METADATA).collect()
+    assert sorted(row.first_value for row in rows) == [58, 68, 102]
+
+
 def test_a_small_batch_is_audited_into_one_file(spark, landing, tmp_path):
     load_and_audit(spark, landing, tmp_path)
     assert len(list((tmp_path / "metadata").rglob("*.parquet"))) == 1
@@ -107,7 +120,7 @@ def test_a_small_batch_is_audited_into_one_file(spark, landing, tmp_path):
 
 def test_failed_batch_is_replayed_without_doubling(spark, landing, tmp_path):
     write = load_and_audit_writer(
-        LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]
+        f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]
     )
     called = []
 
@@ -138,7 +151,7 @@ def test_a_batch_written_whole_outlives_the_archive_of_its_files(spark, landing,
     def run(fail):
         # A new writer, as after a restart of the program.
         write = load_and_audit_writer(
-            LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]
+            f"{tmp_path}/data", f"{tmp_path}/metadata", "age", ["loan_id"]
         )
 
         def on_batch(batch, batch_id):
@@ -214,7 +227,8 @@ def stamped(spark, rows):
     schema = "source_file string, k int, v int, source_file_size long"
     return spark.createDataFrame(rows, schema).selectExpr(
         "*", "timestamp'2024-01-15 10:00:00' AS processing_time",
-        "timestamp'2024-01-14 10:00:00' AS source_file_modification_time", "'2024-01-15' AS processed_date",
+        "timestamp'2024-01-14 10:00:00' AS source_file_modification_time",
+        "'2024-01-15' AS processed_date",
     )
 
 
@@ -227,7 +241,8 @@ MIXED = [
 @pytest.mark.parametrize("tie_break", [(), ("k",), ("k", "v")])
 def test_aggregate_form_equals_join_form(spark, tie_break):
     df = stamped(spark, MIXED)
-    assert rows_of(audit_rows(df, "v", tie_break)) == rows_of(audit_rows_by_join(df, "v", tie_break))
+    aggregated, joined = (form(df, "v", tie_break) for form in (audit_rows, audit_rows_by_join))
+    assert rows_of(aggregated) == rows_of(joined)
 
 
 def test_sizes_above_two_gigabytes_stay_whole(spark):
@@ -243,7 +258,10 @@ def test_latest_row_equals_its_window_form(spark, kind):
     try:
         # Hours around both clock changes of 2024, and some rows with no time.
         hours = "pmod(xxhash64(id, 1), 9)"
-        start = f"if(id % 2 = 0, {kind_of('2024-03-09 22:00:00', kind)}, {kind_of('2024-11-02 22:00:00', kind)})"
+        spring, autumn = (
+            kind_of(f"2024-{day} 22:00:00", kind) for day in ("03-09", "11-02")
+        )
+        start = f"if(id % 2 = 0, {spring}, {autumn})"
         step = {
             "timestamp": f"{start} + make_dt_interval(0, {hours}, id % 7 * 10)",
             "timestamp_ntz": f"{start} + make_dt_interval(0, {hours}, id % 7 * 10)",

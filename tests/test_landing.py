@@ -26,7 +26,8 @@ def names_and_ids(data):
 def test_rows_are_stamped_with_file_time_and_date(spark, landing, tmp_path):
     data = load(spark, landing, tmp_path)
     assert data.schema == data_schema(LOANS)
-    files = {row.source_file.rsplit("/", 1)[1]: row["count"] for row in data.groupBy("source_file").count().collect()}
+    counts = data.groupBy("source_file").count().collect()
+    files = {row.source_file.rsplit("/", 1)[1]: row["count"] for row in counts}
     assert files == {"a.csv": 2, "b.csv": 1, "f%200.csv": 3}
     dates = data.selectExpr("processed_date = date_format(processing_time, 'yyyy-MM-dd') AS same")
     assert {row.same for row in dates.collect()} == {True}

@@ -30,9 +30,8 @@ def candidates(data: DataFrame, metadata: DataFrame, date: str) -> DataFrame:
 
 def report_rows(files: DataFrame, date: str) -> DataFrame:
     """REPORT rows: the files and the date, as a date, on which they were read."""
-    return files.select(
-        SOURCE_FILE, F.lit(iso_date(date)).cast(REPORT[PROCESSED_DATE].dataType).alias(PROCESSED_DATE)
-    )
+    day = F.lit(iso_date(date)).cast(REPORT[PROCESSED_DATE].dataType)
+    return files.select(SOURCE_FILE, day.alias(PROCESSED_DATE))
 
 
 def move_list(files: DataFrame, prefix: str) -> DataFrame:

@@ -27,7 +27,8 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
             """The store of an address and the path in it."""
             parts = urlsplit(address)
             if parts.scheme in ("", "file"):
-                return stores.setdefault("file", fs.LocalFileSystem()), address.removeprefix("file:")
+                local = stores.setdefault("file", fs.LocalFileSystem())
+                return local, address.removeprefix("file:")
             key = (parts.scheme, parts.netloc)
             if key not in stores:
                 scheme = "s3" if parts.scheme in ("s3a", "s3n") else parts.scheme
@@ -86,14 +87,16 @@ def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) ->
     """Move each source file below `archive_dir`, under its own full path, and report the outcome.
 
     The archive is in the store the files are in; an `archive_dir` with no scheme says just that.
-    Files are dealt evenly to `tasks` tasks. A move has a side effect: `files` must be stored rows, not
-    a listing of the folder being emptied that a lost task would compute anew, and the result is
-    meant to be written once. `run_moves` sees to both. A repeated attempt of a move that was done
-    counts as success, and an archived file is never overwritten.
+    Files are dealt evenly to `tasks` tasks. A move has a side effect: `files` must be stored rows,
+    not a listing of the folder being emptied that a lost task would compute anew, and the result
+    is meant to be written once. `run_moves` sees to both. A repeated attempt of a move that was
+    done counts as success, and an archived file is never overwritten.
     """
     tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
-    named = files.select(F.col(SOURCE_FILE).alias(FILE_PATH), plain_path(SOURCE_FILE).alias("raw_path"))
-    return named.repartition(tasks).mapInPandas(_mover(archive_dir, MOVED, NOT_MOVED), MOVE_STATUS)
+    paths = files.select(
+        F.col(SOURCE_FILE).alias(FILE_PATH), plain_path(SOURCE_FILE).alias("raw_path")
+    )
+    return paths.repartition(tasks).mapInPandas(_mover(archive_dir, MOVED, NOT_MOVED), MOVE_STATUS)
 
 
 def run_moves(

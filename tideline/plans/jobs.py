@@ -1,8 +1,12 @@
-"""The jobs a user runs: load, audit, both at once, and archive."""
+"""The jobs a user runs: load, audit, both at once, and archive.
+
+A stream's progress is kept below `checkpoint_root` under its job and landing folder. `name` only
+names the running query; streams that run side by side in one session need different ones.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +24,7 @@ from tideline.streaming.sinks import (
     start_table,
 )
 from tideline.streaming.writers import (
+    Transform,
     audit_writer,
     auditable,
     load_and_audit_writer,
@@ -36,7 +41,7 @@ def start_load(
     partition_by: str = PROCESSED_DATE,
     fmt: str = "parquet",
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
-    transform: Callable[[DataFrame], DataFrame] = with_processed_date,
+    transform: Transform = with_processed_date,
     name: str = "load",
     **landing_options: object,
 ) -> StreamingQuery:
@@ -45,7 +50,7 @@ def start_load(
     return start_table(
         stamp(landing).transform(transform),
         data_path,
-        checkpoint_for(checkpoint_root, name, landing_path),
+        checkpoint_for(checkpoint_root, "load", landing_path),
         name,
         partition_by,
         fmt,
@@ -65,15 +70,16 @@ def start_audit(
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
     by_join: bool = False,
     first_name: str = FIRST_VALUE,
+    transform: Transform | None = None,
     name: str = "audit",
     **landing_options: object,
 ) -> StreamingQuery:
     """Stream landed files into METADATA alone; the sample goes to the column `first_name`."""
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
-        auditable(landing, first_column, tie_break),
+        auditable(landing, first_column, tie_break, transform),
         audit_writer(metadata_path, first_column, tie_break, fmt, by_join, first_name),
-        checkpoint_for(checkpoint_root, name, landing_path),
+        checkpoint_for(checkpoint_root, "audit", landing_path),
         name,
         trigger,
     )
@@ -91,17 +97,16 @@ def start_load_and_audit(
     fmt: str = "parquet",
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
     first_name: str = FIRST_VALUE,
+    transform: Transform | None = None,
     name: str = "load_and_audit",
     **landing_options: object,
 ) -> StreamingQuery:
     """Stream landed files into DATA and METADATA from the same micro-batches."""
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
-        loadable(landing),
-        load_and_audit_writer(
-            schema, data_path, metadata_path, first_column, tie_break, fmt, first_name
-        ),
-        checkpoint_for(checkpoint_root, name, landing_path),
+        loadable(landing, transform),
+        load_and_audit_writer(data_path, metadata_path, first_column, tie_break, fmt, first_name),
+        checkpoint_for(checkpoint_root, "load_and_audit", landing_path),
         name,
         trigger,
     )

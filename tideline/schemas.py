@@ -19,6 +19,14 @@ SOURCE_TIME = "source_file_modification_time"
 STREAM_ID = "stream_id"
 BATCH_ID = "batch_id"
 
+# The partition columns that name the micro-batch which wrote a row.
+OWNER = T.StructType(
+    [
+        T.StructField(STREAM_ID, T.StringType()),
+        T.StructField(BATCH_ID, T.LongType()),
+    ]
+)
+
 # The loan records of the default landing folder, in file order.
 LOANS = T.StructType(
     [
@@ -89,8 +97,7 @@ def loaded_schema(landing: T.StructType) -> T.StructType:
             T.StructField(SOURCE_TIME, T.TimestampType()),
             T.StructField(PROCESSING_TIME, T.TimestampType()),
             T.StructField(PROCESSED_DATE, T.StringType()),
-            T.StructField(STREAM_ID, T.StringType()),
-            T.StructField(BATCH_ID, T.LongType()),
+            *OWNER.fields,
         ]
     )
 
@@ -106,7 +113,6 @@ def metadata_schema(first_value: T.DataType, first_name: str = FIRST_VALUE) -> T
             T.StructField(PROCESSING_TIME, T.TimestampType()),
             T.StructField(PROCESSED_DATE, T.StringType()),
             T.StructField(first_name, first_value),
-            T.StructField(STREAM_ID, T.StringType()),
-            T.StructField(BATCH_ID, T.LongType()),
+            *OWNER.fields,
         ]
     )

@@ -2,9 +2,10 @@
 
 Every batch owns the partition `processed_date=…/stream_id=…/batch_id=…` of each table it writes. A
 replay has the same date and ids and overwrites that partition, so rows are neither lost nor
-doubled. A batch that was written whole and lost only its commit is left as it is, because its source
-files may have been archived since. The stream's id lives in its checkpoint: streams of several landing folders, or one begun
-anew with a fresh checkpoint, add to the same tables without touching each other's batches.
+doubled. A batch that was written whole and lost only its commit is left as it is, because its
+source files may have been archived since. The stream's id lives in its checkpoint: streams of
+several landing folders, or one begun anew with a fresh checkpoint, add to the same tables without
+touching each other's batches.
 """
 
 from __future__ import annotations
@@ -12,20 +13,20 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from tideline.functions.stamps import stamp, with_processed_date
 from tideline.operators.audit import audit_rows, audit_rows_by_join
 from tideline.schemas import (
     BATCH_ID,
     FIRST_VALUE,
+    OWNER,
     PROCESSED_DATE,
     PROCESSING_TIME,
     SOURCE_FILE,
     SOURCE_SIZE,
     SOURCE_TIME,
     STREAM_ID,
-    loaded_schema,
 )
 from tideline.sources.tables import read_slice, slice_is_whole, write_slice
 
@@ -33,21 +34,32 @@ from tideline.sources.tables import read_slice, slice_is_whole, write_slice
 QUERY_ID = "sql.streaming.queryId"
 
 BatchWriter = Callable[[DataFrame, int], None]
+Transform = Callable[[DataFrame], DataFrame]
 
 
-def loadable(landing: DataFrame) -> DataFrame:
-    """Landed rows with the stamps and file properties that the writers below expect."""
-    return with_processed_date(stamp(landing, file_properties=True))
+def loadable(landing: DataFrame, transform: Transform | None = None) -> DataFrame:
+    """Landed rows with the stamps and file properties that the writers below expect.
+
+    `transform` may derive further columns from the stamped rows. The date is put on last, always
+    that of the processing time, because a micro-batch is stored under one date.
+    """
+    stamped = stamp(landing, file_properties=True)
+    return with_processed_date(stamped if transform is None else stamped.transform(transform))
 
 
-def auditable(landing: DataFrame, first_column: str, tie_break: Sequence[str] = ()) -> DataFrame:
+def auditable(
+    landing: DataFrame,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    transform: Transform | None = None,
+) -> DataFrame:
     """Only what an audit needs of the landed rows.
 
     Spark plans a micro-batch before it hands it over, so columns must be left out here: inside the
     batch function it is too late to spare the CSV parser the others.
     """
     stamps = [SOURCE_FILE, SOURCE_SIZE, SOURCE_TIME, PROCESSING_TIME, PROCESSED_DATE]
-    return loadable(landing).select(*dict.fromkeys([*stamps, first_column, *tie_break]))
+    return loadable(landing, transform).select(*dict.fromkeys([*stamps, first_column, *tie_break]))
 
 
 def _stream_id(batch: DataFrame) -> str:
@@ -65,6 +77,13 @@ def _own_partition(batch: DataFrame, batch_id: int) -> dict[str, object] | None:
     return {PROCESSED_DATE: row[0], STREAM_ID: _stream_id(batch), BATCH_ID: batch_id}
 
 
+def _stored_schema(batch: DataFrame) -> T.StructType:
+    """The batch's columns as read back from its partition."""
+    columns = batch.drop(PROCESSED_DATE).schema.fields
+    date = T.StructField(PROCESSED_DATE, T.StringType())
+    return T.StructType([*columns, date, *OWNER.fields])
+
+
 def _unless_whole(write: BatchWriter, metadata_path: str, fmt: str) -> BatchWriter:
     """`write`, but not for a replayed batch whose METADATA, written last, is already whole.
 
@@ -118,7 +137,6 @@ def audit_writer(
 
 
 def load_and_audit_writer(
-    landing_schema: StructType,
     data_path: str,
     metadata_path: str,
     first_column: str,
@@ -131,14 +149,13 @@ def load_and_audit_writer(
     The CSV text is parsed once: the audit reads the columns it needs back from the partition just
     written. Both tables get one date for a file, and a file in METADATA is whole in DATA.
     """
-    schema = loaded_schema(landing_schema)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own = _own_partition(batch, batch_id)
         if own is None:
             return
         write_slice(batch, data_path, fmt, **own)
-        loaded = read_slice(batch.sparkSession, data_path, schema, fmt, **own)
+        loaded = read_slice(batch.sparkSession, data_path, _stored_schema(batch), fmt, **own)
         rows = audit_rows(loaded, first_column, tie_break, first_name)
         write_slice(rows, metadata_path, fmt, **own)
 

@@ -89,7 +89,7 @@ def replay_idempotent_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "orders").schema
     folder = new_folder(spark, "replay")
     data_path, metadata_path = f"{folder}/data", f"{folder}/metadata"
-    write = load_and_audit_writer(schema, data_path, metadata_path, SAMPLE, TIE_BREAK)
+    write = load_and_audit_writer(data_path, metadata_path, SAMPLE, TIE_BREAK)
     per_trigger = quarter_of(order_files(spark, sf_dir))
     failed: list[int] = []
 
