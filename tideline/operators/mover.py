@@ -22,6 +22,7 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
         from pyarrow import fs
 
         stores = {}
+        made = set()
 
         def store_for(address):
             """The store of an address and the path in it."""
@@ -62,7 +63,10 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
                 raise FileNotFoundError(source)
             if exists(store, target):
                 raise FileExistsError(target)
-            store.create_dir(posixpath.dirname(target), recursive=True)
+            folder = posixpath.dirname(target)
+            if folder not in made:
+                store.create_dir(folder, recursive=True)
+                made.add(folder)
             try:
                 store.move(source, target)
             except OSError:
