@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if root is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tideline-")
     return f"{root.rstrip('/')}/tideline/{purpose}-{uuid.uuid4().hex}"
