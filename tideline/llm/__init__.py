@@ -1,5 +1 @@
-"""Operators of a training-data pipeline: mixing, packing, deduplication, classifiers, scoring.
-
-Workers import this package for the operators that run Python in tasks, so ship it to them
-(`--py-files`) unless it is installed there.
-"""
+"""Operators of a training-data pipeline: mixing, packing, deduplication, classifiers, scoring."""

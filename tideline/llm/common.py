@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tideline
 from tideline.scratch import new_folder
 
 # Fixed value: what separates words, in every operator that says no more about it.
@@ -18,6 +23,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Have Spark hand this package to its Python workers, once per application.
+
+    The archive is made on the driver alone; Spark's file server passes it on.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    folder = tempfile.mkdtemp(prefix="tideline-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    home = Path(tideline.__file__).resolve().parent
+    context.addPyFile(shutil.make_archive(f"{folder}/tideline", "zip", home.parent, home.name))
+    _shipped.add(context.applicationId)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """`df` as a table in the shared scratch folder, so that lost executors cannot undo it."""
     folder = new_folder(df.sparkSession, purpose)

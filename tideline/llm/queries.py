@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, mixing
-from tideline.llm.common import table
+from tideline.llm import exact_dedup, mixing, packing, toxicity
+from tideline.llm.common import bucket_of_id, table
+
+PACKING_VOCABULARY = "word_bpe_49k.json"
 
 
 def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,13 +22,39 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packing_vocabulary() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(PACKING_VOCABULARY))
+
+
+def op2_sum_of_squares_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), packing_vocabulary())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copy_groups(table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
 
+def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(bucket_of_id("doc_id", 5) == 0, F.lit(False))
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    scored = toxicity.with_toxicity(docs, model)
+    return scored.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
+    "op2_sum_of_squares_pack": op2_sum_of_squares_pack,
     "op3_exact_dedup": op3_exact_dedup,
+    "op7_compression_toxicity": op7_compression_toxicity,
 }
