@@ -16,15 +16,15 @@ error, distance 31 of 96) a pair of similarity 0.75 shares no key with a probabi
 3. Where a key still holds several components, its members are compared across components by
    signature, inside tasks, in blocks of `BLOCK` members; only pairs within `FAR` are emitted. They
    are compared on their full sets as well. `FAR` is so wide that a pair of similarity 0.75 is
-   beyond it with a probability of 1e-11.
+   beyond it with a probability below 1e-6.
 4. The components of all links are the result.
 
 A group of near copies thus costs one candidate per member and key. No key, bucket or list of
 partners is capped.
 
 Nulls: a null or empty text has an empty set and is linked with nothing. A row without an id is
-linked with nothing either and has a null component; it is kept. Rows that repeat an id are one
-node of the graph, all their texts link it. An empty table gives an empty result. Columns other than
+linked with nothing either and has a null component; it is kept. Rows that repeat an id are looked
+at one by one; where that id names several classes, these count as one. An empty table gives an empty result. Columns other than
 `doc_id` and `text` are not looked at.
 """
 
@@ -36,7 +36,6 @@ from itertools import combinations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tideline.llm.common import lower_words, ship_package, stage, text_chunks
 from tideline.llm.components import connected_components
@@ -48,7 +47,7 @@ CHUNK_SLOTS = 6
 ERRORS = 1
 SLOTS = CHUNKS * CHUNK_SLOTS
 SLOT_BYTES = 2
-FAR = 58
+FAR = 48
 BLOCK = 4096
 CHUNK_BYTES = 4 << 20
 # Words whose hashes a worker remembers.
@@ -223,34 +222,115 @@ def _confirm_task():
     return confirm
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links among candidate `pairs` of (a, b), with `texts` of (id, text) for every class."""
+def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links among candidate `pairs` of (a, b), which are ids of classes."""
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    some = stage(texts.join(needed.distinct(), "id"), "minhash-texts")
-    with_a = pairs.join(some.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-    both = with_a.join(some.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_task(), "a long, b long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = stage(rows.join(needed.distinct(), "id", "left_semi"), "minhash-texts")
+    with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+    links = both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_task(), "a long, b long")
+    return stage(links, "minhash-links")
+
+
+def _with_components(pairs: DataFrame, components: DataFrame) -> DataFrame:
+    """`pairs` with the components of both ends; an id in no link is its own."""
+    of_a = components.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+    of_b = components.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
+    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return joined.withColumn("of_a", F.coalesce("of_a", "a")).withColumn(
+        "of_b", F.coalesce("of_b", "b")
+    )
+
+
+def _across(members: DataFrame, signatures: DataFrame, components: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) across components from keys that still hold several.
+
+    A key of `n` members is cut into `n / BLOCK` blocks by a hash of the id, and every two of them
+    meet in a task of their own, so no task holds more than two blocks' worth.
+    """
+    placed = stage(
+        members.join(components, "id", "left").select(
+            "key", "id", "n", F.coalesce("component", "id").alias("component")
+        ),
+        "minhash-placed",
+    )
+    mixed = placed.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    ).filter("least <> most").select("key")
+    blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    parts = (
+        placed.join(mixed, "key", "left_semi")
+        .join(signatures, "id")
+        .withColumn("blocks", blocks)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .select(
+            "key",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
+            .otherwise(1).alias("half"),
+            "id",
+            "component",
+            "signature",
+        )
+    )
+    return parts.groupBy("key", "low", "high").applyInPandas(_across_task(), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` per row of `docs`."""
     sketched = stage(sketches(docs), "minhash-sketches")
-    linkable = sketched.filter("doc_id is not null and signature is not null")
     classes = stage(
-        linkable.groupBy("digest").agg(
-            F.min("doc_id").alias("id"),
-            F.first("n_shingles").alias("n_shingles"),
-            F.first("signature").alias("signature"),
-        ),
+        sketched.filter("doc_id is not null and signature is not null")
+        .groupBy("digest")
+        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
         "minhash-classes",
     )
-    # One text of a class: that of its smallest id. An id that repeats may stand for several classes.
-    own = sketched.select("doc_id", "digest").alias("own")
-    del own
     signatures = classes.select("id", "signature")
     keys = signatures.mapInArrow(_keys_task(), "id long, key long")
     shared = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("hub")
     ).filter("n > 1")
     members = stage(keys.join(shared, "key").select("key", "id", "hub", "n"), "minhash-members")
-    return members
+    # Each member's smallest hub first; most members are linked by that and need no other text.
+    stars = stage(
+        members.filter("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys")),
+        "minhash-stars",
+    )
+    first = stage(
+        stars.groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"),
+        "minhash-pairs",
+    )
+    links = _confirmed(first, docs)
+    components = connected_components(links)
+    rest = _with_components(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), components)
+    rest = stage(rest.filter("of_a <> of_b").select("a", "b"), "minhash-pairs")
+    links = links.unionByName(_confirmed(rest, docs))
+    components = connected_components(links)
+    wide = stage(_across(members, signatures, components).distinct(), "minhash-pairs")
+    links = links.unionByName(_confirmed(wide, docs))
+    components = connected_components(links)
+    named = classes.join(components, "id", "left").select(
+        "digest", F.coalesce("component", "id").alias("component")
+    )
+    own = F.col("doc_id").isNotNull() & F.col("signature").isNotNull()
+    component = F.when(own, F.col("component")).otherwise(F.col("doc_id"))
+    return (
+        sketched.join(named, "digest", "left")
+        .withColumn("component_id", component)
+        .select(
+            "doc_id",
+            "n_shingles",
+            "component_id",
+            (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+        )
+    )
+
+
+def deduplicate(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay: one document of each group, and rows without an id."""
+    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone"))
+    return docs.join(gone.distinct(), F.col("doc_id").cast("long") == F.col("gone"), "left_anti")

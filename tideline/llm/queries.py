@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, mixing, packing, toxicity
+from tideline.llm import exact_dedup, minhash, mixing, packing, toxicity
 from tideline.llm.common import bucket_of_id, table
 
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -52,9 +52,14 @@ def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_sum_of_squares_pack": op2_sum_of_squares_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_compression_toxicity": op7_compression_toxicity,
+    "op8_minhash_hamming": op8_minhash_hamming,
 }
