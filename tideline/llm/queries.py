@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, minhash, mixing, packing, toxicity
+from tideline.llm import exact_dedup, language, minhash, mixing, packing, pii, toxicity
 from tideline.llm.common import bucket_of_id, table
 
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -56,10 +56,30 @@ def op8_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(bucket_of_id("doc_id", 3) == 1, F.lit(False))
+    found = language.with_language(docs.drop("lang"), language.train(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op9_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = ("n_email", "n_ip", "n_card", "n_phone")
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(pii.joined("base"), 256).alias("base_sha256"),
+        pii.joined("spans").alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_sum_of_squares_pack": op2_sum_of_squares_pack,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_compression_language": op4_compression_language,
     "op7_compression_toxicity": op7_compression_toxicity,
     "op8_minhash_hamming": op8_minhash_hamming,
+    "op9_disclosure_pii": op9_disclosure_pii,
 }
