@@ -26,8 +26,8 @@ def content(words: Iterable[str], size: int) -> bytes:
     return f" {' '.join(words)} ".encode("utf-8", "surrogatepass")[-size:]
 
 
-def compressor(dictionary: bytes):
-    """A compressor that knows `dictionary`; matches of five bytes, greedy, no frame extras."""
+def compressor(dictionary: bytes, min_match: int = 5):
+    """A compressor that knows `dictionary`; greedy, no frame extras."""
     import zstandard
 
     parameters = zstandard.ZstdCompressionParameters(
@@ -35,7 +35,7 @@ def compressor(dictionary: bytes):
         chain_log=15,
         hash_log=16,
         search_log=4,
-        min_match=5,
+        min_match=min_match,
         strategy=zstandard.STRATEGY_GREEDY,
         write_content_size=False,
         write_dict_id=False,

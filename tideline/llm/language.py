@@ -33,6 +33,8 @@ SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 WINDOW = 64
 DICTIONARY_BYTES = 16_384
+# Matches this short let syllables tell languages apart where words are new.
+MIN_MATCH = 4
 MARGIN = 0.02
 # How fast the score nears 1 with the margin.
 STEEPNESS = 20.0
@@ -90,7 +92,7 @@ def with_language(docs: DataFrame, dictionaries: Mapping[str, bytes]) -> DataFra
 
     @F.pandas_udf("lang_pred string, score double, accepted boolean")
     def classify(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        tools = {lang: compressor(data) for lang, data in known.items()}
+        tools = {lang: compressor(data, MIN_MATCH) for lang, data in known.items()}
         for batch in batches:
             yield pd.DataFrame(
                 [predict(text, tools) for text in batch], columns=["lang_pred", "score", "accepted"]

@@ -5,7 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import exact_dedup, language, minhash, mixing, packing, pii, toxicity
+from tideline.llm import (
+    cross_entropy,
+    exact_dedup,
+    imatch,
+    language,
+    minhash,
+    mixing,
+    packing,
+    pii,
+    toxicity,
+)
 from tideline.llm.common import bucket_of_id, table
 
 PACKING_VOCABULARY = "word_bpe_49k.json"
@@ -74,12 +84,26 @@ def op9_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.next_document_likeness(table(spark, sf_dir, "documents"))
+
+
+def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target is what `labels.quality` calls good, the background all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    scored = cross_entropy.score(docs, docs.join(good, "doc_id", "left_semi"), docs)
+    return scored.select("doc_id", "n_tokens", "target_loss", "background_loss", "score")
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_sum_of_squares_pack": op2_sum_of_squares_pack,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_compression_language": op4_compression_language,
+    "op5_imatch": op5_imatch,
     "op7_compression_toxicity": op7_compression_toxicity,
     "op8_minhash_hamming": op8_minhash_hamming,
     "op9_disclosure_pii": op9_disclosure_pii,
+    "op10_cross_entropy": op10_cross_entropy,
 }
