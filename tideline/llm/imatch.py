@@ -20,6 +20,8 @@ result. Columns other than `doc_id` and `text` are not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,6 +71,14 @@ def lexicon(docs: DataFrame) -> list[int]:
     return words
 
 
+def _seeded(seed: int) -> Callable[[Column], Column]:
+    return lambda h: F.xxhash64(h, F.lit(seed))
+
+
+def _without(bits: int) -> Callable[[Column], Column]:
+    return lambda h: h.bitwiseAND(F.lit(bits)) == 0
+
+
 def with_fingerprint(docs: DataFrame, words: list[int], text: str, name: str) -> DataFrame:
     """`docs` with the fingerprint of the column `text`, an array of strings, as `name`."""
     bits = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
@@ -84,13 +94,13 @@ def with_fingerprint(docs: DataFrame, words: list[int], text: str, name: str) ->
     for seed in range(SEEDS):
         # The hash of a term under a seed; the terms' order stays that of their names.
         out = out.withColumn(
-            f"im_{seed}_0", F.transform("im_terms", lambda h, s=seed: F.xxhash64(h, F.lit(s)))
+            f"im_{seed}_0", F.transform("im_terms", _seeded(seed))
         )
         for rate in range(1, RATES + 1):
             kept = 4**rate - 1
             out = out.withColumn(
                 f"im_{seed}_{rate}",
-                F.filter(f"im_{seed}_{rate - 1}", lambda h, k=kept: h.bitwiseAND(F.lit(k)) == 0),
+                F.filter(f"im_{seed}_{rate - 1}", _without(kept)),
             )
             column = F.col(f"im_{seed}_{rate}")
             digest = F.substring(F.lpad(F.hex(F.xxhash64(column)), 16, "0"), 1, HASH_DIGITS)
