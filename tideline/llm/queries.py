@@ -14,6 +14,7 @@ from tideline.llm import (
     mixing,
     packing,
     pii,
+    superkmers,
     toxicity,
 )
 from tideline.llm.common import bucket_of_id, table
@@ -49,6 +50,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmers.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(bucket_of_id("doc_id", 5) == 0, F.lit(False))
@@ -102,6 +107,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_compression_language": op4_compression_language,
     "op5_imatch": op5_imatch,
+    "op6_super_kmers": op6_super_kmers,
     "op7_compression_toxicity": op7_compression_toxicity,
     "op8_minhash_hamming": op8_minhash_hamming,
     "op9_disclosure_pii": op9_disclosure_pii,
