@@ -182,14 +182,20 @@ def _terms_of(docs: DataFrame) -> DataFrame:
     return words.filter(F.length("term") >= TERM_CHARS)
 
 
-def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
+def disclosing_terms(
+    docs: DataFrame,
+    found: DataFrame,
+    least_share: float = SHARE,
+    least_bits: float = BITS,
+    support: int = SUPPORT,
+) -> DataFrame:
     """`term` for each term that gives an entity away."""
     near = found.select(F.explode("near").alias("p")).select("p.*")
     by_context = near.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
     pairs = by_context.groupBy("entity", "term").agg(
         F.sum("n").alias("together"), F.count(F.lit(1)).alias("contexts")
     )
-    pairs = stage(pairs.filter(F.col("contexts") >= SUPPORT), "pii-pairs")
+    pairs = stage(pairs.filter(F.col("contexts") >= support), "pii-pairs")
     counted = (
         _terms_of(docs)
         .join(pairs.select("term").distinct(), "term", "left_semi")
@@ -203,7 +209,7 @@ def disclosing_terms(docs: DataFrame, found: DataFrame) -> DataFrame:
     return (
         pairs.join(counted, "term")
         .join(of_entity, "entity")
-        .filter((share >= SHARE) & (bits >= BITS))
+        .filter((share >= least_share) & (bits >= least_bits))
         .select("term")
         .distinct()
     )
@@ -233,16 +239,16 @@ def _places_task():
     return places
 
 
-def personal_data(docs: DataFrame) -> DataFrame:
+def personal_data(docs: DataFrame, **thresholds: float) -> DataFrame:
     """`doc_id, row_key, n_email, n_ip, n_card, n_phone, base, spans` for each row of `docs`.
 
     `base` has the patterns' spans and `spans` all of them, as (start, kind, end) in order; `kind`
-    is a place in `KINDS`.
+    is a place in `KINDS`. `thresholds` are those of `disclosing_terms`.
     """
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stage(rows.mapInArrow(_find_task(), FOUND), "pii-found")
-    terms = stage(disclosing_terms(rows, found), "pii-terms")
+    terms = stage(disclosing_terms(rows, found, **thresholds), "pii-terms")
     narrow = found.drop("near").withColumnRenamed("spans", "base")
     if terms.isEmpty():
         return narrow.withColumn("spans", F.col("base"))
@@ -274,13 +280,13 @@ def joined(spans: str) -> Column:
     )
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
+def sanitise(docs: DataFrame, **thresholds: float) -> DataFrame:
     """`docs` with every span of `text` replaced by the name of its kind in brackets.
 
     Of spans that overlap the first, then longest, is replaced. A null text stays null.
     """
     ship_package(docs.sparkSession)
-    spans = personal_data(docs).filter(F.size("spans") > 0).select("row_key", "spans").distinct()
+    spans = personal_data(docs, **thresholds).filter(F.size("spans") > 0).select("row_key", "spans").distinct()
 
     @F.pandas_udf("string")
     def replaced(texts, all_spans):
