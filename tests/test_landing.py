@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
 from conftest import ANN, BO, land, rows_of
 
@@ -116,3 +119,16 @@ def test_finished_files_are_archived_one_batch_late(spark, landing, tmp_path):
 
 def test_no_archive_without_a_folder(spark, landing):
     assert read_landing(spark, str(landing), LOANS).columns == LOANS.names
+
+
+def test_a_file_with_an_old_time_is_read(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    row = "{},30,true,0.5,1000,12,2.0,car,fixed,{}"
+    now = time.time()
+    for number, age_days in enumerate((0, 0, 30)):
+        file = folder / f"{number}.csv"
+        land(file, row.format(f"n{number}", number))
+        os.utime(file, (now - age_days * 86_400,) * 2)
+        data = load(spark, folder, tmp_path)
+    assert rows_of(data.select("name")) == [("n0",), ("n1",), ("n2",)]

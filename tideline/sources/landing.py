@@ -12,6 +12,9 @@ from pyspark.sql.types import StructType
 CLEANUP_DELAY = "spark.sql.streaming.fileSource.log.cleanupDelay"
 CLEANER_THREADS = "spark.sql.streaming.fileSource.cleaner.numThreads"
 
+# A hundred years.
+NEVER_TOO_OLD = "36500d"
+
 
 def read_landing(
     spark: SparkSession,
@@ -20,6 +23,7 @@ def read_landing(
     header: bool = False,
     max_files_per_trigger: int = -1,
     archive_dir: str | None = None,
+    max_file_age: str = NEVER_TOO_OLD,
 ) -> DataFrame:
     """Stream every CSV file that lands under `path`, with a declared schema.
 
@@ -28,8 +32,13 @@ def read_landing(
     many tasks. `max_files_per_trigger` limits a micro-batch when it is above zero. `archive_dir`
     has Spark move the files of each finished micro-batch there once the next one commits; give it
     to one stream per landing folder only, or the streams take each other's files.
+
+    A file modified longer than `max_file_age` before the newest one seen is skipped for ever; the
+    default skips none, so back-fills and copies that keep their times are read. Spark's driver
+    remembers the names of files seen within that age, which with the default are all of them.
     """
     reader = spark.readStream.schema(schema).option("header", header)
+    reader = reader.option("maxFileAge", max_file_age)
     if max_files_per_trigger > 0:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if archive_dir is not None:
