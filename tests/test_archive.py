@@ -2,11 +2,19 @@ from __future__ import annotations
 
 import pytest
 from conftest import rows_of
+from pyspark.errors import AnalysisException
 
 from tideline.operators import archive
 from tideline.plans.jobs import archive_date, start_audit, start_load
 from tideline.schemas import FILES, LOANS, REPORT
-from tideline.sources.tables import iso_date, read_slice, read_table, write_slice
+from tideline.sources.tables import (
+    iso_date,
+    read_slice,
+    read_table,
+    replace_predicate,
+    with_keys,
+    write_slice,
+)
 from tideline.streaming.sinks import UNTIL_DONE
 
 DAY = "2024-01-15"
@@ -55,7 +63,7 @@ def test_running_a_day_again_replaces_its_report_and_list(spark, stored):
 
 def test_other_days_stay_in_the_report(spark, stored):
     earlier = files(spark, "z").select("source_file")
-    write_slice(earlier, f"{stored}/report", processed_date="2024-01-14")
+    write_slice(earlier, f"{stored}/report", processed_date="2024-01-14", run=0)
     run(spark, stored)
     assert spark.read.schema(REPORT).parquet(f"{stored}/report").count() == 3
 
@@ -78,10 +86,10 @@ def test_two_separate_jobs_and_only_committed_batches_count(spark, landing, tmp_
     ).awaitTermination()
     data = read_table(spark, f"{tmp_path}/data", FILES)
     (day,) = {row.processed_date for row in data.collect()}
-    # A batch that died half-way leaves rows that no commit names; the audit saw the file.
+    # A batch that died half-way leaves rows that are not committed; the audit saw the file.
     stray = files(spark, ["stray"], day)
-    stray.drop("processed_date").write.mode("append").parquet(
-        f"{tmp_path}/data/processed_date={day}"
+    stray.drop("processed_date").write.parquet(
+        f"{tmp_path}/data/processed_date={day}/stream_id=x/batch_id=0/_temporary/0/task"
     )
     write_slice(stray, f"{tmp_path}/metadata", processed_date=day, stream_id="x", batch_id=0)
     report = archive_date(
@@ -115,8 +123,7 @@ def test_limit_on_files(spark, stored, limit, expected):
 
 
 @pytest.mark.parametrize("limit", [1, 10, 499, 500, 777, 1000, 2000])
-def test_large_limits_are_cut_by_range_and_stay_exact(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(archive, "TOP_K_IN_ONE_TASK", 0)
+def test_limits_are_cut_by_range_and_stay_exact(spark, tmp_path, limit):
     # A third of the files share one folder, so the ranges are uneven.
     names = spark.range(1000).selectExpr(
         "concat(if(id % 3 = 0, 'hot', md5(string(id))), '/', id) AS source_file"
@@ -125,9 +132,51 @@ def test_large_limits_are_cut_by_range_and_stay_exact(spark, tmp_path, monkeypat
     assert got == sorted(rows_of(names), key=lambda r: r[0])[:limit]
 
 
-def test_large_limit_needs_a_staging_folder(spark):
-    with pytest.raises(ValueError):
-        archive.first_files(files(spark, "a"), archive.TOP_K_IN_ONE_TASK + 1)
+def test_a_large_limit_needs_nothing_else(spark, stored):
+    assert run(spark, stored, limit=200_000).count() == 2
+
+
+def test_capped_runs_work_a_date_off_and_can_be_repeated(spark, tmp_path):
+    for table in ("data", "metadata"):
+        write_slice(files(spark, "abcdef"), f"{tmp_path}/{table}", processed_date=DAY)
+    lists = []
+    for number in range(4):
+        run(spark, tmp_path, limit=2, run=number)
+        lists.append(listed(spark, tmp_path))
+    assert lists == [[f"in/{n}.csv" for n in pair] for pair in ("ab", "cd", "ef", "")]
+    for number in (0, 2, 1):
+        run(spark, tmp_path, limit=2, run=number)
+        assert listed(spark, tmp_path) == lists[number]
+    assert spark.read.schema(REPORT).parquet(f"{tmp_path}/report").count() == 6
+
+
+@pytest.mark.parametrize("wrong", ["data_path", "metadata_path"])
+def test_a_table_that_is_not_there_is_an_error_and_replaces_nothing(spark, stored, wrong):
+    run(spark, stored)
+    paths = {"data_path": f"{stored}/data", "metadata_path": f"{stored}/metadata"}
+    paths[wrong] = f"{stored}/mistyped"
+    with pytest.raises(AnalysisException):
+        archive_date(
+            spark, **paths, report_path=f"{stored}/report", move_list_path=f"{stored}/list",
+            date=DAY, prefix=PREFIX,
+        )
+    assert spark.read.schema(REPORT).parquet(f"{stored}/report").count() == 2
+    assert len(listed(spark, stored)) == 2
+
+
+def test_keys_of_table_formats_have_the_stored_types(spark):
+    report = archive.report_rows(files(spark, "a"), DAY)
+    keys = {"processed_date": DAY, "run": 3}
+    kept = with_keys(report, keys)
+    assert kept.schema["processed_date"].dataType == REPORT["processed_date"].dataType
+    assert dict(kept.dtypes)["run"] == "bigint"
+    predicate = replace_predicate(report.schema, keys)
+    assert predicate == f"processed_date = DATE '{DAY}' AND run = 3"
+    assert kept.filter(predicate).count() == 1
+    own = {"processed_date": DAY, "stream_id": "o'k", "batch_id": 7}
+    owned = with_keys(files(spark, "a"), own)
+    assert [dict(owned.dtypes)[name] for name in own] == ["string", "string", "bigint"]
+    assert owned.filter(replace_predicate(files(spark, "a").schema, own)).count() == 1
 
 
 def test_a_slice_is_replaced_whole_and_leaves_others(spark, tmp_path):

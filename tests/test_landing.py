@@ -5,14 +5,18 @@ import time
 
 import pytest
 from conftest import ANN, BO, land, rows_of
+from pyspark.sql import types as T
 
-from tideline.plans.jobs import start_load
-from tideline.schemas import LOANS, data_schema
+from tideline.plans.jobs import start_audit, start_load, start_load_and_audit
+from tideline.schemas import FILES, LOANS, data_schema, metadata_schema
 from tideline.sources.landing import CLEANER_THREADS, read_landing, source_cleaner
 from tideline.sources.tables import read_table
 from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for
 
 
+METADATA = metadata_schema(T.IntegerType())
+
+
 def load(spark, landing, out, header=True, **options):
     query = start_load(
         spark, str(landing), LOANS, f"{out}/data", f"{out}/checkpoint",
@@ -100,8 +104,38 @@ def test_transform_hook_replaces_the_derived_columns(spark, landing, tmp_path):
         partition_by="kind", trigger=UNTIL_DONE, transform=by_type, header=True,
     )
     query.awaitTermination()
-    folders = {p.name for p in (tmp_path / "data").iterdir() if p.name.startswith("kind=")}
-    assert folders == {"kind=fixed", "kind=variable", "kind=none"}
+    folders = [p for p in (tmp_path / "data").rglob("kind=*")]
+    assert sorted(p.name for p in folders) == ["kind=fixed", "kind=none", "kind=variable"]
+    assert all(len(list(p.glob("*.parquet"))) == 1 for p in folders)
+
+
+def test_the_joint_job_goes_on_with_a_loaded_table(spark, landing, tmp_path):
+    load(spark, landing, tmp_path, partition_by="loan_type")
+    land(landing / "later.csv", ANN)
+    start_load_and_audit(
+        spark, str(landing), LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata",
+        f"{tmp_path}/checkpoint", "age", trigger=UNTIL_DONE, header=True, partition_by="loan_type",
+        metadata_partition_by="record_count",
+    ).awaitTermination()
+    assert read_table(spark, f"{tmp_path}/data", FILES).count() == 6 + 7
+    audited = read_table(spark, f"{tmp_path}/metadata", METADATA)
+    assert sorted(row.record_count for row in audited.collect()) == [1, 1, 2, 3]
+
+
+def test_a_table_with_a_foreign_log_is_refused(spark, landing, tmp_path):
+    (tmp_path / "data" / "_spark_metadata").mkdir(parents=True)
+    with pytest.raises(ValueError, match="log of a streaming sink"):
+        load(spark, landing, tmp_path)
+
+
+def test_source_archiving_beside_another_reader_is_refused(spark, landing, tmp_path):
+    with pytest.raises(ValueError, match="sole_reader"):
+        load(spark, landing, tmp_path, archive_dir=f"{tmp_path}/old")
+    with pytest.raises(ValueError, match="joint job"):
+        start_audit(
+            spark, str(landing), LOANS, f"{tmp_path}/metadata", f"{tmp_path}/checkpoint", "age",
+            archive_dir=f"{tmp_path}/old",
+        )
 
 
 def test_finished_files_are_archived_one_batch_late(spark, landing, tmp_path):
@@ -109,7 +143,7 @@ def test_finished_files_are_archived_one_batch_late(spark, landing, tmp_path):
         query = start_load(
             spark, str(landing), LOANS, f"{tmp_path}/data", f"{tmp_path}/checkpoint",
             trigger=UNTIL_DONE, header=True, max_files_per_trigger=1,
-            archive_dir=str(tmp_path / "old"),
+            archive_dir=str(tmp_path / "old"), sole_reader=True,
         )
     query.awaitTermination()
     assert spark.conf.get(CLEANER_THREADS) == "1"

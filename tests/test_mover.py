@@ -49,3 +49,18 @@ def test_a_repeated_move_is_a_success_and_never_overwrites(spark, landing, tmp_p
     assert clash.status == "failed" and "FileExistsError" in clash.exception
     assert target.read_text() == before
     assert (landing / "a.csv").exists()
+
+
+def test_a_run_repeated_goes_by_its_list_and_has_one_row_per_file(spark, landing, tmp_path):
+    args = str(tmp_path / "old"), str(tmp_path / "list"), str(tmp_path / "status")
+    listed = sources(spark, landing)
+    first = run_moves(listed, *args)
+    assert first.count() == 4
+    # The listing is empty by now; half of the first run's outcome is undone.
+    moved = tmp_path / "old" / str(landing).lstrip("/")
+    (moved / "a.csv").rename(landing / "a.csv")
+    again = run_moves(sources(spark, landing), *args)
+    assert again.count() == 4 and {row.status for row in again.collect()} == {"success"}
+    assert list(landing.glob("*.csv")) == []
+    land(landing / "g.csv", "New,1")
+    assert run_moves(sources(spark, landing), *args, run=1).count() == 1

@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from tideline.functions.uri import strip_prefix
 from tideline.schemas import FILE_PATH, PROCESSED_DATE, REPORT, SOURCE_FILE
+from tideline.scratch import new_folder
 from tideline.sources.tables import iso_date
 
-# Up to this many rows a top-k is merged in one task (some tens of MB of addresses).
-TOP_K_IN_ONE_TASK = 100_000
 POSITIONS = (1 << 33) - 1  # Spark puts the row's position in the low 33 bits of its id
 
 
@@ -39,19 +38,22 @@ def move_list(files: DataFrame, prefix: str) -> DataFrame:
     return files.select(strip_prefix(SOURCE_FILE, prefix).alias(FILE_PATH))
 
 
+def not_in(files: DataFrame, others: DataFrame) -> DataFrame:
+    """The files that are not among `others`."""
+    return files.join(others.select(SOURCE_FILE), SOURCE_FILE, "left_anti")
+
+
 def first_files(files: DataFrame, limit: int, staging: str | None = None) -> DataFrame:
     """The `limit` files that come first by address; a negative limit keeps them all.
 
-    A small limit is a top-k. A larger one would pass all its rows through one task, so the files
-    are range-partitioned by address and stored under `staging` with their position; the count
-    of each range then tells which ranges, and how much of one of them, the limit covers.
+    The files are range-partitioned by address and stored under `staging`, a fresh scratch folder
+    unless given, with their position; the count of each range then tells which ranges, and how
+    much of one of them, the limit covers. No task holds more than its range, whatever the limit.
     """
     if limit < 0:
         return files
-    if limit <= TOP_K_IN_ONE_TASK:
-        return files.orderBy(SOURCE_FILE).limit(limit)
-    if staging is None:
-        raise ValueError(f"a limit above {TOP_K_IN_ONE_TASK} needs a staging folder")
+    spark = files.sparkSession
+    staging = staging or new_folder(spark, "first-files")
     (
         files.repartitionByRange(SOURCE_FILE)
         .sortWithinPartitions(SOURCE_FILE)
@@ -60,8 +62,8 @@ def first_files(files: DataFrame, limit: int, staging: str | None = None) -> Dat
         .write.mode("overwrite")
         .parquet(staging)
     )
-    ranked = files.sparkSession.read.parquet(staging)
-    # One row per shuffle partition, so this window and the broadcast of it stay small.
+    ranked = spark.read.parquet(staging)
+    # One row per shuffle partition, so this window stays small.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = (
         ranked.groupBy("range")
@@ -69,7 +71,7 @@ def first_files(files: DataFrame, limit: int, staging: str | None = None) -> Dat
         .select("range", F.coalesce(F.sum("files").over(before), F.lit(0)).alias("skipped"))
     )
     return (
-        ranked.join(F.broadcast(ranges), "range")
+        ranked.join(ranges, "range")
         .filter(F.col("skipped") + F.col("position") < limit)
         .select(*files.columns)
     )

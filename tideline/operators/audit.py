@@ -148,8 +148,10 @@ def audit_rows_by_join(
 ) -> DataFrame:
     """The same audit rows as counts joined with a window sample.
 
-    It reads `df` twice. `audit_rows` gives the same in one pass; this form remains for those who
-    compare the two, and for samples of several columns.
+    It reads `df` twice. `audit_rows` gives the same in one pass where the tie-break names one row
+    of a file; among rows that share the lowest tie-break this form takes the smallest sample and
+    that one any of theirs. It remains for those who compare the two, and for samples of several
+    columns.
     """
     # Rows alike in the tie-break are ordered by the sample itself, NULL last.
     sampled = df.withColumn(FIRST_VALUE, F.col(first_column)).withColumn(

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tideline.functions.uri import plain_path
 from tideline.schemas import FILE_PATH, MOVE_STATUS, MOVED, NOT_MOVED, SOURCE_FILE
+from tideline.sources.tables import read_slice, slice_is_whole, write_slice
+
+LISTED = T.StructType([T.StructField(SOURCE_FILE, T.StringType())])
 
 
 def _mover(archive_dir: str, moved: str, not_moved: str):
@@ -104,15 +108,22 @@ def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) ->
 
 
 def run_moves(
-    files: DataFrame, archive_dir: str, list_path: str, status_path: str, tasks: int | None = None
+    files: DataFrame,
+    archive_dir: str,
+    list_path: str,
+    status_path: str,
+    tasks: int | None = None,
+    run: int = 0,
 ) -> DataFrame:
-    """Move the files and return the stored status table, one row for each file.
+    """Move the files and return the stored status of this run, one row for each file.
 
-    The list of files is stored under `list_path` before anything moves, so the job survives lost
-    executors and can be run again after a failure.
+    The distinct files are stored as the list of the run before anything moves. Running it again,
+    after a failure or for no reason, goes by that list, even if `files` was a listing of a folder
+    that has emptied since, and replaces the run's status. Other files need another `run`.
     """
     spark = files.sparkSession
-    files.select(SOURCE_FILE).write.mode("overwrite").parquet(list_path)
-    stored = spark.read.parquet(list_path)
-    move_files(stored, archive_dir, tasks).write.mode("append").parquet(status_path)
-    return spark.read.schema(MOVE_STATUS).parquet(status_path)
+    if not slice_is_whole(spark, list_path, run=run):
+        write_slice(files.select(SOURCE_FILE).distinct(), list_path, run=run)
+    stored = read_slice(spark, list_path, LISTED, run=run)
+    write_slice(move_files(stored, archive_dir, tasks), status_path, run=run)
+    return read_slice(spark, status_path, MOVE_STATUS, run=run)

@@ -9,14 +9,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tideline.functions.stamps import stamp, with_processed_date
 from tideline.operators import archive
-from tideline.schemas import FILES, FIRST_VALUE, PROCESSED_DATE, REPORT
+from tideline.schemas import FILES, FIRST_VALUE, PROCESSED_DATE, REPORT, RUN, STORED_REPORT
 from tideline.sources.landing import read_landing
-from tideline.sources.tables import iso_date, read_date, read_slice, write_slice
+from tideline.sources.tables import (
+    FOLDER_FORMATS,
+    iso_date,
+    read_date,
+    read_slice,
+    refuse_sink_log,
+    table_exists,
+    write_slice,
+)
 from tideline.streaming.sinks import (
     EVERY_TEN_SECONDS,
     checkpoint_for,
@@ -28,6 +37,7 @@ from tideline.streaming.writers import (
     audit_writer,
     auditable,
     load_and_audit_writer,
+    load_writer,
     loadable,
 )
 
@@ -38,23 +48,35 @@ def start_load(
     schema: StructType,
     data_path: str,
     checkpoint_root: str,
-    partition_by: str = PROCESSED_DATE,
+    partition_by: str | None = None,
     fmt: str = "parquet",
     trigger: dict[str, object] = EVERY_TEN_SECONDS,
-    transform: Transform = with_processed_date,
+    transform: Transform | None = None,
     name: str = "load",
+    sole_reader: bool = False,
     **landing_options: object,
 ) -> StreamingQuery:
-    """Stream landed files into DATA. `transform` may replace how stamped rows are derived."""
+    """Stream landed files into DATA. `transform` may derive further columns of the stamped rows.
+
+    Folder formats are written batch by batch as the joint job writes them, so either job may go on
+    with the other's table. `partition_by` parts the rows of a batch further, by one of their
+    columns; all jobs on a table must name the same. Formats that keep a log of their own are written by Spark's sink for them.
+
+    `archive_dir` takes files away from every other stream that reads the folder, such as an audit
+    in a job of its own; it needs `sole_reader=True`, which says that there is none.
+    """
+    if landing_options.get("archive_dir") is not None and not sole_reader:
+        raise ValueError("archive_dir takes files from other streams; say sole_reader=True")
     landing = read_landing(spark, landing_path, schema, **landing_options)
+    rows = stamp(landing)
+    rows = with_processed_date(rows if transform is None else rows.transform(transform))
+    checkpoint = checkpoint_for(checkpoint_root, "load", landing_path)
+    if fmt in FOLDER_FORMATS:
+        refuse_sink_log(spark, data_path, fmt)
+        writer = load_writer(data_path, fmt, partition_by)
+        return start_batches(rows, writer, checkpoint, name, trigger)
     return start_table(
-        stamp(landing).transform(transform),
-        data_path,
-        checkpoint_for(checkpoint_root, "load", landing_path),
-        name,
-        partition_by,
-        fmt,
-        trigger,
+        rows, data_path, checkpoint, name, partition_by or PROCESSED_DATE, fmt, trigger
     )
 
 
@@ -72,13 +94,23 @@ def start_audit(
     first_name: str = FIRST_VALUE,
     transform: Transform | None = None,
     name: str = "audit",
+    partition_by: str | None = None,
     **landing_options: object,
 ) -> StreamingQuery:
-    """Stream landed files into METADATA alone; the sample goes to the column `first_name`."""
+    """Stream landed files into METADATA alone; the sample goes to the column `first_name`.
+
+    `partition_by` parts METADATA further by one of its columns. There is no `archive_dir` here:
+    an audit job has a load job beside it, which would miss the files taken away.
+    """
+    if landing_options.get("archive_dir") is not None:
+        raise ValueError("archive_dir would take files from the load; use the joint job")
+    refuse_sink_log(spark, metadata_path, fmt)
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         auditable(landing, first_column, tie_break, transform),
-        audit_writer(metadata_path, first_column, tie_break, fmt, by_join, first_name),
+        audit_writer(
+            metadata_path, first_column, tie_break, fmt, by_join, first_name, partition_by
+        ),
         checkpoint_for(checkpoint_root, "audit", landing_path),
         name,
         trigger,
@@ -99,13 +131,24 @@ def start_load_and_audit(
     first_name: str = FIRST_VALUE,
     transform: Transform | None = None,
     name: str = "load_and_audit",
+    partition_by: str | None = None,
+    metadata_partition_by: str | None = None,
     **landing_options: object,
 ) -> StreamingQuery:
-    """Stream landed files into DATA and METADATA from the same micro-batches."""
+    """Stream landed files into DATA and METADATA from the same micro-batches.
+
+    The two `partition_by` part either table further, by one of its columns. Files may be archived
+    at the source here (`archive_dir`), if no other stream reads the folder.
+    """
+    refuse_sink_log(spark, data_path, fmt)
+    refuse_sink_log(spark, metadata_path, fmt)
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         loadable(landing, transform),
-        load_and_audit_writer(data_path, metadata_path, first_column, tie_break, fmt, first_name),
+        load_and_audit_writer(
+            data_path, metadata_path, first_column, tie_break, fmt, first_name, partition_by,
+            metadata_partition_by,
+        ),
         checkpoint_for(checkpoint_root, "load_and_audit", landing_path),
         name,
         trigger,
@@ -123,17 +166,26 @@ def archive_date(
     limit: int = -1,
     staging: str | None = None,
     fmt: str = "parquet",
+    run: int = 0,
 ) -> DataFrame:
     """Report the files of `date` that are done, list them for the mover, and return the report.
 
-    The report is stored first and the move list is made from what was stored, so the two agree
-    even while the tables grow. Running a date again replaces its report and the list.
+    With a `limit`, the runs 0, 1, 2, ... of a date work its files off: each leaves out what the
+    other runs have reported and keeps its own part of the report. Running one again replaces its
+    part and the list. The report is stored first and the move list is made from what was stored,
+    so the two agree even while the tables grow. A date never written is empty; a table that is
+    not there is an error, raised before anything is replaced.
     """
     date = iso_date(date)
     data = read_date(spark, data_path, FILES, date, fmt)
     metadata = read_date(spark, metadata_path, FILES, date, fmt)
-    files = archive.first_files(archive.candidates(data, metadata, date), limit, staging)
-    write_slice(archive.report_rows(files, date), report_path, fmt, processed_date=date)
-    report = read_slice(spark, report_path, REPORT, fmt, processed_date=date)
+    files = archive.candidates(data, metadata, date)
+    if table_exists(spark, report_path):
+        stored = read_slice(spark, report_path, STORED_REPORT, fmt, processed_date=date)
+        files = archive.not_in(files, stored.filter(F.col(RUN) != run))
+    files = archive.first_files(files, limit, staging)
+    own = {PROCESSED_DATE: date, RUN: run}
+    write_slice(archive.report_rows(files, date), report_path, fmt, **own)
+    report = read_slice(spark, report_path, REPORT, fmt, **own)
     archive.write_move_list(archive.move_list(report, prefix), move_list_path)
     return report

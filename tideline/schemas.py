@@ -18,6 +18,7 @@ SOURCE_SIZE = "source_file_size"
 SOURCE_TIME = "source_file_modification_time"
 STREAM_ID = "stream_id"
 BATCH_ID = "batch_id"
+RUN = "run"
 
 # The partition columns that name the micro-batch which wrote a row.
 OWNER = T.StructType(
@@ -58,6 +59,9 @@ REPORT = T.StructType(
     ]
 )
 
+# The report as stored: every run of the archive job on a date keeps its own files.
+STORED_REPORT = T.StructType([*REPORT.fields, T.StructField(RUN, T.LongType())])
+
 # Field names and the two outcomes of a move.
 MOVE_STATUS = T.StructType(
     [

@@ -30,8 +30,8 @@ def read_landing(
     Parsing is Spark's default: columns are positional, a bad cell or a missing trailing column is
     NULL, the row stays. Files are read without `multiLine`, so one huge file is still split over
     many tasks. `max_files_per_trigger` limits a micro-batch when it is above zero. `archive_dir`
-    has Spark move the files of each finished micro-batch there once the next one commits; give it
-    to one stream per landing folder only, or the streams take each other's files.
+    has Spark move the files of each finished micro-batch there once the next one commits; it is safe
+    only where no other stream reads the folder, cleaning or not, as that one would miss them.
 
     A file modified longer than `max_file_age` before the newest one seen is skipped for ever; the
     default skips none, so back-fills and copies that keep their times are read. Spark's driver

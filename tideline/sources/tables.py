@@ -8,12 +8,15 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
-from tideline.schemas import PROCESSED_DATE
+from tideline.schemas import BATCH_ID, PROCESSED_DATE, RUN
 
 # Formats whose table is a plain tree of partition folders.
 FOLDER_FORMATS = frozenset({"parquet", "orc", "json", "csv"})
+# Partition keys that are numbers; others are text unless the written rows have the column.
+LONG_KEYS = frozenset({BATCH_ID, RUN})
 
 
 def iso_date(value: str | date) -> str:
@@ -49,7 +52,8 @@ def read_slice(
 
     Only that partition's folder is listed, so the cost does not grow with the age of the table as
     it would when the whole tree is listed and pruned afterwards. A partition that was never
-    written is empty. For tables written by `write_slice`; `read_date` reads either kind of table.
+    written is empty; a table that is not there is an error. For tables written by `write_slice`;
+    `read_date` reads either kind of table.
     """
     if fmt not in FOLDER_FORMATS:
         table = read_table(spark, path, schema, fmt)
@@ -60,11 +64,17 @@ def read_slice(
     try:
         return reader.load(_folder(path, keys)).select(*schema.names)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() != "PATH_NOT_FOUND" or not table_exists(spark, path):
             raise
         return spark.createDataFrame([], schema)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the root of a table is there. Nothing below it is listed."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder matches `path`, which may be a pattern."""
     try:
@@ -81,6 +91,12 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
+def refuse_sink_log(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
+    """Raise if a table is kept by a streaming sink: Spark would not see what is added beside its log."""
+    if fmt in FOLDER_FORMATS and has_sink_log(spark, path):
+        raise ValueError(f"{path} is kept by the log of a streaming sink; write to another folder")
+
+
 def slice_is_whole(
     spark: SparkSession, path: str, fmt: str = "parquet", **keys: object
 ) -> bool:
@@ -104,22 +120,60 @@ def read_date(
     return read_table(spark, path, schema, fmt).filter(F.col(PROCESSED_DATE) == day)
 
 
-def write_slice(df: DataFrame, path: str, fmt: str = "parquet", **keys: object) -> None:
+def _key_types(schema: StructType, keys: dict[str, object]) -> dict[str, T.DataType]:
+    """The type each key is stored with: that of the written column, else the declared one."""
+    own = {field.name: field.dataType for field in schema.fields}
+    return {
+        name: own.get(name, T.LongType() if name in LONG_KEYS else T.StringType()) for name in keys
+    }
+
+
+def replace_predicate(schema: StructType, keys: dict[str, object]) -> str:
+    """The condition that names one partition, with literals of the stored types."""
+
+    def literal(value: object, kind: T.DataType) -> str:
+        if isinstance(kind, T.IntegralType):
+            return str(value)
+        quoted = "'" + str(value).replace("'", "''") + "'"
+        return f"DATE {quoted}" if isinstance(kind, T.DateType) else quoted
+
+    types = _key_types(schema, keys)
+    return " AND ".join(f"{name} = {literal(value, types[name])}" for name, value in keys.items())
+
+
+def with_keys(df: DataFrame, keys: dict[str, object]) -> DataFrame:
+    """`df` with the keys as columns, in the types they are stored with."""
+    types = _key_types(df.schema, keys)
+    return df.withColumns({name: F.lit(value).cast(types[name]) for name, value in keys.items()})
+
+
+def write_slice(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: str | None = None,
+    **keys: object,
+) -> None:
     """Write `df` as the whole content of one partition, replacing what a former attempt left.
 
     For folder formats the partition's own folder is overwritten in place, which any output
     committer supports and which moves no file twice; other formats replace by predicate.
+    `partition_by` parts the rows further, below that folder. They are brought together by its
+    values first, so the number of files follows the values and not tasks times values, and a
+    value with many rows is split.
     """
+    inner = [] if partition_by is None or partition_by in keys else [partition_by]
+    if inner:
+        df = df.hint("rebalance", *inner)
     if fmt in FOLDER_FORMATS:
-        df.drop(*keys).write.format(fmt).mode("overwrite").save(_folder(path, keys))
+        rows = df.drop(*keys).write.format(fmt).mode("overwrite")
+        (rows.partitionBy(*inner) if inner else rows).save(_folder(path, keys))
         return
-    predicate = " AND ".join(f"{name} = '{value}'" for name, value in keys.items())
-    values = {name: F.lit(value) for name, value in keys.items()}
     (
-        df.withColumns(values)
+        with_keys(df, keys)
         .write.format(fmt)
         .mode("overwrite")
-        .option("replaceWhere", predicate)
-        .partitionBy(*keys)
+        .option("replaceWhere", replace_predicate(df.schema, keys))
+        .partitionBy(*keys, *inner)
         .save(path)
     )

@@ -84,11 +84,11 @@ def _stored_schema(batch: DataFrame) -> T.StructType:
     return T.StructType([*columns, date, *OWNER.fields])
 
 
-def _unless_whole(write: BatchWriter, metadata_path: str, fmt: str) -> BatchWriter:
-    """`write`, but not for a replayed batch whose METADATA, written last, is already whole.
+def _unless_whole(write: BatchWriter, last_path: str, fmt: str) -> BatchWriter:
+    """`write`, but not for a replayed batch whose part of the table written last is already whole.
 
     Only the first batch after a restart, or one out of turn, can be a replay and is looked up. It
-    must not be read again: once in METADATA its files may be archived, and Spark would pass over
+    must not be read again: once it is whole its files may be archived, and Spark would pass over
     missing files and hand over a smaller batch.
     """
     next_id: dict[str, int] = {}
@@ -97,7 +97,7 @@ def _unless_whole(write: BatchWriter, metadata_path: str, fmt: str) -> BatchWrit
         stream_id = _stream_id(batch)
         own = {PROCESSED_DATE: "*", STREAM_ID: stream_id, BATCH_ID: batch_id}
         in_turn = next_id.get(stream_id) == batch_id
-        if in_turn or not slice_is_whole(batch.sparkSession, metadata_path, fmt, **own):
+        if in_turn or not slice_is_whole(batch.sparkSession, last_path, fmt, **own):
             write(batch, batch_id)
         next_id[stream_id] = batch_id + 1
 
@@ -111,6 +111,7 @@ def audit_writer(
     fmt: str = "parquet",
     by_join: bool = False,
     first_name: str = FIRST_VALUE,
+    partition_by: str | None = None,
 ) -> BatchWriter:
     """Write one METADATA row per file of the batch.
 
@@ -124,18 +125,31 @@ def audit_writer(
             return
         if not by_join:
             rows = audit_rows(batch, first_column, tie_break, first_name)
-            write_slice(rows, metadata_path, fmt, **own)
+            write_slice(rows, metadata_path, fmt, partition_by, **own)
             return
         batch.persist()
         try:
             rows = audit_rows_by_join(batch, first_column, tie_break, first_name)
-            write_slice(rows, metadata_path, fmt, **own)
+            write_slice(rows, metadata_path, fmt, partition_by, **own)
         finally:
             batch.unpersist()
 
     return _unless_whole(write, metadata_path, fmt)
 
 
+def load_writer(
+    data_path: str, fmt: str = "parquet", partition_by: str | None = None
+) -> BatchWriter:
+    """Write the batch to DATA."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        own = _own_partition(batch, batch_id)
+        if own is not None:
+            write_slice(batch, data_path, fmt, partition_by, **own)
+
+    return _unless_whole(write, data_path, fmt)
+
+
 def load_and_audit_writer(
     data_path: str,
     metadata_path: str,
@@ -143,6 +157,8 @@ def load_and_audit_writer(
     tie_break: Sequence[str] = (),
     fmt: str = "parquet",
     first_name: str = FIRST_VALUE,
+    partition_by: str | None = None,
+    metadata_partition_by: str | None = None,
 ) -> BatchWriter:
     """Write the batch to DATA, then its audit rows to METADATA.
 
@@ -154,9 +170,9 @@ def load_and_audit_writer(
         own = _own_partition(batch, batch_id)
         if own is None:
             return
-        write_slice(batch, data_path, fmt, **own)
+        write_slice(batch, data_path, fmt, partition_by, **own)
         loaded = read_slice(batch.sparkSession, data_path, _stored_schema(batch), fmt, **own)
         rows = audit_rows(loaded, first_column, tie_break, first_name)
-        write_slice(rows, metadata_path, fmt, **own)
+        write_slice(rows, metadata_path, fmt, metadata_partition_by, **own)
 
     return _unless_whole(write, metadata_path, fmt)

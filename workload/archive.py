@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,32 +65,45 @@ def archive_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return candidates(data, metadata, ONE_DATE)
 
 
-def archive(spark: SparkSession, sf_dir: str, limit: int = -1) -> tuple[DataFrame, DataFrame]:
-    """The report and the move list of one date, as stored."""
-    folder = new_folder(spark, "archive")
+def archive(
+    spark: SparkSession, sf_dir: str, folder: str, limit: int = -1, run: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """The report and the move list of one run on one date, as stored below `folder`."""
+    moves = f"{folder}/move-list-{run}"
     report = archive_date(
         spark,
         data_path(spark, sf_dir),
         metadata_path(spark, sf_dir),
         f"{folder}/report",
-        f"{folder}/move-list",
+        moves,
         ONE_DATE,
         PREFIX,
         limit,
+        run=run,
     )
-    return report, spark.read.text(f"{folder}/move-list").withColumnRenamed("value", FILE_PATH)
+    return report, spark.read.text(moves).withColumnRenamed("value", FILE_PATH)
 
 
 def archive_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive(spark, sf_dir)[0]
+    return archive(spark, sf_dir, new_folder(spark, "archive"))[0]
 
 
 def archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive(spark, sf_dir)[1]
+    return archive(spark, sf_dir, new_folder(spark, "archive"))[1]
 
 
 def archive_manifest_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return archive(spark, sf_dir, limit=3)[1]
+    """Capped runs until nothing is left: the run that lists each file."""
+    folder = new_folder(spark, "archive")
+    # A cap of a third, rounded up: three runs with files and one that finds none, at any size.
+    cap = math.ceil(archive_candidates(spark, sf_dir).count() / 3)
+    runs = []
+    while True:
+        listed = archive(spark, sf_dir, folder, max(1, cap), len(runs))[1]
+        if listed.isEmpty():
+            break
+        runs.append(listed.withColumn("run", F.lit(len(runs))))
+    return reduce(DataFrame.unionByName, runs, listed.withColumn("run", F.lit(-1)))
 
 
 def archive_move_status(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,11 +119,29 @@ def archive_move_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = run_moves(
         files.unionByName(missing), f"{folder}/archive", f"{folder}/files", f"{folder}/status"
     )
-    return status.select(
-        landing_key(FILE_PATH),
+    # Where each file lies afterwards, by listings of both folders.
+    places = [
+        list_files(spark, place).filter(F.col(SOURCE_FILE).endswith(".csv")).select(
+            landing_key(SOURCE_FILE).alias("key"), F.lit(archived).alias("archived")
+        )
+        for place, archived in ((landing, 0), (f"{folder}/archive", 1))
+    ]
+    found = places[0].unionByName(places[1]).groupBy("key").agg(
+        F.sum("archived").alias("n_archived"),
+        F.sum(1 - F.col("archived")).alias("n_landed"),
+    )
+    moved = status.select(
+        landing_key(FILE_PATH).alias("key"),
         "status",
         F.col("exception").isNotNull().alias("has_exception"),
     )
+    return moved.join(found, "key", "left").select(
+        F.col("key").alias(LANDING_KEY),
+        "status",
+        "has_exception",
+        F.coalesce("n_archived", F.lit(0)).alias("n_archived"),
+        F.coalesce("n_landed", F.lit(0)).alias("n_landed"),
+    )
 
 
 QUERIES = {

@@ -3,25 +3,29 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tideline.functions.stamps import with_processed_date
+from tideline.functions.stamps import stamp, with_processed_date
 from tideline.functions.uri import blob_url, container_prefix, strip_prefix
-from tideline.plans.jobs import start_load
+from tideline.plans.jobs import start_load, start_load_and_audit
 from tideline.schemas import (
     PROCESSED_DATE,
     PROCESSING_TIME,
+    RECORD_COUNT,
     SOURCE_FILE,
     data_schema,
+    metadata_schema,
 )
 from tideline.scratch import new_folder
 from tideline.sources.inventory import list_files
 from tideline.sources.landing import source_cleaner
 from tideline.sources.tables import read_table
-from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for, start_table
+from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for, start_batches
+from tideline.streaming.writers import load_writer
 from workload.landing import (
     landed_customers,
     landed_orders,
@@ -118,43 +122,57 @@ def partitioned_sink_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = (
         spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
-    query = start_table(
-        with_processed_date(stream, "ts"),
-        f"{folder}/data",
+    event_date = F.date_format("ts", "yyyy-MM-dd").alias("event_date")
+    query = start_batches(
+        with_processed_date(stamp(stream).select("*", event_date)),
+        load_writer(f"{folder}/data", partition_by="event_date"),
         checkpoint_for(f"{folder}/checkpoint", "events", sf_dir),
         f"events-{folder[-8:]}",
         trigger=UNTIL_DONE,
     )
     query.awaitTermination()
-    stored = T.StructType([*schema.fields, T.StructField(PROCESSED_DATE, T.StringType())])
+    stored = T.StructType([*schema.fields, T.StructField("event_date", T.StringType())])
     data = read_table(spark, f"{folder}/data", stored)
-    return data.filter(F.col(PROCESSED_DATE) == ONE_DATE).select(
-        "event_id", "user_id", "event_type", PROCESSED_DATE
+    return data.filter(F.col("event_date") == ONE_DATE).select(
+        "event_id", "user_id", "event_type", F.col("event_date").alias(PROCESSED_DATE)
     )
 
 
 def clean_source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load and audit in one job that archives at the source; what was read and what lies where."""
     landing = own_landed_orders(spark, sf_dir)
-    archive = new_folder(spark, "archived")
+    folder = new_folder(spark, "archived")
+    orders = table(spark, sf_dir, "orders").schema
     with source_cleaner(spark, cleanup_delay="3600s", threads=0):
-        data = load(
+        start_load_and_audit(
             spark,
             landing,
-            table(spark, sf_dir, "orders").schema,
+            orders,
+            f"{folder}/data",
+            f"{folder}/metadata",
+            f"{folder}/checkpoint",
+            "o_orderkey",
+            trigger=UNTIL_DONE,
+            name=f"clean-{folder[-8:]}",
+            header=True,
             max_files_per_trigger=quarter_of(order_files(spark, sf_dir)),
-            archive_dir=archive,
-        )
+            archive_dir=f"{folder}/old",
+        ).awaitTermination()
+    data = read_table(spark, f"{folder}/data", data_schema(orders))
+    audited = read_table(spark, f"{folder}/metadata", metadata_schema(T.LongType()))
     csv = F.col(SOURCE_FILE).endswith(".csv")
     per_file = data.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n"))
-    read = per_file.agg(F.count(F.lit(1)).alias("n_files"), F.sum("n").alias("n_rows"))
-    left = list_files(spark, landing).agg(F.count_if(csv).alias("n_left"))
-    archived = list_files(spark, archive).agg(F.count_if(csv).alias("n_archived"))
-    # Three one-row summaries side by side.
-    return (
-        read.withColumn("one", F.lit(1))
-        .join(left.withColumn("one", F.lit(1)), "one")
-        .join(archived.withColumn("one", F.lit(1)), "one")
-        .select("n_files", "n_left", "n_archived", "n_rows")
+    counts = {
+        "n_files": per_file.select(F.lit(1).alias("n")),
+        "n_rows": per_file.select("n"),
+        "n_audited": audited.select(F.lit(1).alias("n")),
+        "n_audited_rows": audited.select(F.col(RECORD_COUNT).alias("n")),
+        "n_left": list_files(spark, landing).filter(csv).select(F.lit(1).alias("n")),
+        "n_archived": list_files(spark, f"{folder}/old").filter(csv).select(F.lit(1).alias("n")),
+    }
+    labelled = [rows.select(F.lit(name).alias("of"), "n") for name, rows in counts.items()]
+    return reduce(DataFrame.unionByName, labelled).agg(
+        *(F.sum(F.when(F.col("of") == name, F.col("n")).otherwise(0)).alias(name) for name in counts)
     )
 
 

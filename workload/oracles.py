@@ -56,7 +56,7 @@ ORACLE_SQL = {
         SELECT n AS n_files,
                (n - per_batch * (ceil(n / per_batch::DOUBLE) - 1))::BIGINT AS n_left,
                (per_batch * (ceil(n / per_batch::DOUBLE) - 1))::BIGINT AS n_archived,
-               n_rows
+               n_rows, n AS n_audited, n_rows AS n_audited_rows
         FROM ({FILE_COUNT})
     """,
     "storage_uri_to_blob_url": f"""
@@ -90,12 +90,15 @@ ORACLE_SQL = {
         SELECT replace(source_file, '{PREFIX}', '') AS file_path FROM ({DAY_FILES})
     """,
     "archive_manifest_capped": f"""
-        SELECT replace(source_file, '{PREFIX}', '') AS file_path
-        FROM (SELECT * FROM ({DAY_FILES}) ORDER BY source_file LIMIT 3)
+        SELECT replace(source_file, '{PREFIX}', '') AS file_path,
+               CAST((row_number() OVER (ORDER BY source_file) - 1)
+                    // ((count(*) OVER () + 2) // 3) AS INTEGER) AS run
+        FROM ({DAY_FILES})
     """,
     "archive_move_status": f"""
-        SELECT DISTINCT {KEY} AS landing_key, 'success' AS status, false AS has_exception
+        SELECT DISTINCT {KEY} AS landing_key, 'success' AS status, false AS has_exception,
+               1::BIGINT AS n_archived, 0::BIGINT AS n_landed
         FROM orders
-        UNION ALL SELECT 0, 'failed', true
+        UNION ALL SELECT 0, 'failed', true, 0, 0
     """,
 }
