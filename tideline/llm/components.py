@@ -64,3 +64,35 @@ def connected_components(edges: DataFrame) -> DataFrame:
         )
         edges = stage(contracted, "components-edges")
     return found
+
+
+def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
+    """`components` after further `links` (a, b), whose ends may be new.
+
+    The links are contracted to the components they join, which is a far smaller graph than that
+    of all links. Without links between two of them the components stay as they are.
+    """
+    of_a = components.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
+    of_b = components.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
+    between = stage(
+        links.select("a", "b")
+        .join(of_a, "a", "left")
+        .join(of_b, "b", "left")
+        .select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+        .filter("a <> b")
+        .distinct(),
+        "components-between",
+    )
+    if between.isEmpty():
+        return components
+    upper = connected_components(between)
+    # An end without a component so far is its own, and is there under its own name.
+    new = upper.select("id").join(components, "id", "left_anti")
+    every = components.unionByName(new.withColumn("component", F.col("id")))
+    roots = upper.select(F.col("id").alias("component"), F.col("component").alias("root"))
+    return stage(
+        every.join(roots, "component", "left").select(
+            "id", F.coalesce("root", "component").alias("component")
+        ),
+        "components-found",
+    )

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.common import lower_words, ship_package, stage, text_chunks
-from tideline.llm.components import connected_components
+from tideline.llm.components import connected_components, joined_components
 
 SHINGLE = 5
 PERCENT = 75
@@ -304,15 +304,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         stars.groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"),
         "minhash-pairs",
     )
-    links = _confirmed(first, docs)
-    components = connected_components(links)
+    components = connected_components(_confirmed(first, docs))
     rest = _with_components(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), components)
     rest = stage(rest.filter("of_a <> of_b").select("a", "b"), "minhash-pairs")
-    links = links.unionByName(_confirmed(rest, docs))
-    components = connected_components(links)
+    components = joined_components(components, _confirmed(rest, docs))
     wide = stage(_across(members, signatures, components).distinct(), "minhash-pairs")
-    links = links.unionByName(_confirmed(wide, docs))
-    components = connected_components(links)
+    components = joined_components(components, _confirmed(wide, docs))
     named = classes.join(components, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
