@@ -21,8 +21,8 @@ from tideline.sources.tables import (
     FOLDER_FORMATS,
     iso_date,
     read_date,
+    prepare_table,
     read_slice,
-    refuse_sink_log,
     table_exists,
     write_slice,
 )
@@ -72,7 +72,7 @@ def start_load(
     rows = with_processed_date(rows if transform is None else rows.transform(transform))
     checkpoint = checkpoint_for(checkpoint_root, "load", landing_path)
     if fmt in FOLDER_FORMATS:
-        refuse_sink_log(spark, data_path, fmt)
+        prepare_table(spark, data_path, fmt)
         writer = load_writer(data_path, fmt, partition_by)
         return start_batches(rows, writer, checkpoint, name, trigger)
     return start_table(
@@ -104,7 +104,7 @@ def start_audit(
     """
     if landing_options.get("archive_dir") is not None:
         raise ValueError("archive_dir would take files from the load; use the joint job")
-    refuse_sink_log(spark, metadata_path, fmt)
+    prepare_table(spark, metadata_path, fmt)
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         auditable(landing, first_column, tie_break, transform),
@@ -140,8 +140,8 @@ def start_load_and_audit(
     The two `partition_by` part either table further, by one of its columns. Files may be archived
     at the source here (`archive_dir`), if no other stream reads the folder.
     """
-    refuse_sink_log(spark, data_path, fmt)
-    refuse_sink_log(spark, metadata_path, fmt)
+    prepare_table(spark, data_path, fmt)
+    prepare_table(spark, metadata_path, fmt)
     landing = read_landing(spark, landing_path, schema, **landing_options)
     return start_batches(
         loadable(landing, transform),

@@ -69,10 +69,15 @@ def read_slice(
         return spark.createDataFrame([], schema)
 
 
+def _store_of(spark: SparkSession, path: str):
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), root
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether the root of a table is there. Nothing below it is listed."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+    store, root = _store_of(spark, path)
+    return store.exists(root)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -91,10 +96,17 @@ def has_sink_log(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_spark_metadata")
 
 
-def refuse_sink_log(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
-    """Raise if a table is kept by a streaming sink: Spark would not see what is added beside its log."""
-    if fmt in FOLDER_FORMATS and has_sink_log(spark, path):
+def prepare_table(spark: SparkSession, path: str, fmt: str = "parquet") -> None:
+    """Make the root of a table that a job will write, so that it is there and empty from the start.
+
+    A table kept by a streaming sink is refused: Spark would not see what is added beside its log.
+    """
+    if fmt not in FOLDER_FORMATS:
+        return
+    if has_sink_log(spark, path):
         raise ValueError(f"{path} is kept by the log of a streaming sink; write to another folder")
+    store, root = _store_of(spark, path)
+    store.mkdirs(root)
 
 
 def slice_is_whole(
