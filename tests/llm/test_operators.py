@@ -98,6 +98,24 @@ def test_near_duplicates_equal_brute_force(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+@pytest.mark.parametrize("block", [2, 3, 100])
+def test_every_pair_across_components_is_compared(spark, block):
+    n = 14
+    rows = [(k, bytes(2 * minhash.SLOTS)) for k in range(n)] + [(n, bytes([1]) * (2 * minhash.SLOTS))]
+    signatures = spark.createDataFrame(rows, "id long, signature binary")
+    members = signatures.select(F.lit(7).cast("long").alias("key"), "id", F.lit(n + 1).cast("long").alias("n"))
+    components = spark.createDataFrame([(4, 1), (1, 1), (9, 1)], "id long, component long")
+    found = minhash._across(members, signatures, components, block).collect()
+    expected = [(i, j) for i in range(n) for j in range(i + 1, n) if not {i, j} <= {1, 4, 9}]
+    assert sorted(map(tuple, found)) == expected
+
+
+def test_near_duplicates_do_not_depend_on_the_block(docs):
+    assert sorted(map(repr, minhash.near_duplicates(docs, block=2).collect())) == sorted(
+        map(repr, minhash.near_duplicates(docs).collect())
+    )
+
+
 def test_repeated_windows_equal_brute_force(docs, nothing):
     seen: set[tuple[str, ...]] = set()
     expected: list[tuple] = []

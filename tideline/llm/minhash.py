@@ -187,13 +187,18 @@ def _across_task():
         ids_a, ids_b = low["id"].to_numpy(), high["id"].to_numpy()
         of_a, of_b = low["component"].to_numpy(), high["component"].to_numpy()
         found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        # Inside a block each pair is there both ways; two blocks meet once, in any order of ids.
+        same_block = key[1] == key[2]
         for row in range(len(a)):
-            other = np.flatnonzero((ids_b > ids_a[row]) & (of_b != of_a[row]))
+            wanted = of_b != of_a[row]
+            if same_block:
+                wanted &= ids_b > ids_a[row]
+            other = np.flatnonzero(wanted)
             for first in range(0, len(other), COMPARED_AT_ONCE):
                 some = other[first : first + COMPARED_AT_ONCE]
                 near = some[np.count_nonzero(b[some] != a[row], axis=1) <= FAR]
-                found_a.append(np.full(len(near), ids_a[row], np.int64))
-                found_b.append(ids_b[near])
+                found_a.append(np.minimum(ids_a[row], ids_b[near]))
+                found_b.append(np.maximum(ids_a[row], ids_b[near]))
         return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
 
     return across
@@ -243,10 +248,12 @@ def _with_components(pairs: DataFrame, components: DataFrame) -> DataFrame:
     )
 
 
-def _across(members: DataFrame, signatures: DataFrame, components: DataFrame) -> DataFrame:
+def _across(
+    members: DataFrame, signatures: DataFrame, components: DataFrame, block: int = BLOCK
+) -> DataFrame:
     """Candidate pairs (a, b) across components from keys that still hold several.
 
-    A key of `n` members is cut into `n / BLOCK` blocks by a hash of the id, and every two of them
+    A key of `n` members is cut into `n / block` blocks by a hash of the id, and every two of them
     meet in a task of their own, so no task holds more than two blocks' worth.
     """
     placed = stage(
@@ -258,7 +265,7 @@ def _across(members: DataFrame, signatures: DataFrame, components: DataFrame) ->
     mixed = placed.groupBy("key").agg(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).filter("least <> most").select("key")
-    blocks = F.ceil(F.col("n") / BLOCK)
+    blocks = F.ceil(F.col("n") / block)
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     parts = (
         placed.join(mixed, "key", "left_semi")
@@ -280,7 +287,7 @@ def _across(members: DataFrame, signatures: DataFrame, components: DataFrame) ->
     return parts.groupBy("key", "low", "high").applyInPandas(_across_task(), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` per row of `docs`."""
     sketched = stage(sketches(docs), "minhash-sketches")
     classes = stage(
@@ -308,7 +315,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = _with_components(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), components)
     rest = stage(rest.filter("of_a <> of_b").select("a", "b"), "minhash-pairs")
     components = joined_components(components, _confirmed(rest, docs))
-    wide = stage(_across(members, signatures, components).distinct(), "minhash-pairs")
+    wide = stage(_across(members, signatures, components, block).distinct(), "minhash-pairs")
     components = joined_components(components, _confirmed(wide, docs))
     named = classes.join(components, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
