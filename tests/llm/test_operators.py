@@ -224,6 +224,46 @@ def test_cross_entropy_tells_target_from_background(docs, nothing):
     assert cross_entropy.score(nothing, nothing, nothing).count() == 0
 
 
+def test_cross_entropy_equals_bigrams_of_real_words(spark):
+    import math
+    from collections import Counter
+
+    rng = random.Random(3)
+    names = [f"word{k}" for k in range(3000)]
+    background = [" ".join(rng.choices(names, k=40)) for _ in range(150)]
+    target = background[:40] + ["new in target"]
+    scored = [*background[::30], background[0].upper(), "never seen word1 word2", "new word1", "", None]
+
+    def counts(some):
+        words = [["", *WORDS.findall((t or "").lower()), ""] for t in some]
+        pairs = Counter((a, b) for own in words for a, b in zip(own, own[1:]))
+        singles = Counter(b for own in words for b in own[1:])
+        return pairs, singles, sum(singles.values())
+
+    models = [counts(target), counts(background)]
+    size = len({w for m in models for w in m[1] if w}) + 2
+
+    def mean_loss(text, model):
+        pairs, singles, total = model
+        own = ["", *WORDS.findall((text or "").lower()), ""]
+        each = [
+            -math.log((pairs[a, b] + 20 * (singles[b] + 1) / (total + size)) / (singles[a] + 20))
+            for a, b in zip(own, own[1:])
+        ]
+        return sum(each) / len(each)
+
+    def table(some):
+        return spark.createDataFrame([(k, t) for k, t in enumerate(some)], "doc_id long, text string")
+
+    found = cross_entropy.score(table(scored), table(target), table(background)).collect()
+    assert len(found) == len(scored)
+    for r in found:
+        assert r.n_tokens == len((r.text or "").split()) + 1
+        for value, model in ((r.target_loss, models[0]), (r.background_loss, models[1])):
+            assert abs(value - mean_loss(r.text, model)) < 1e-6
+        assert abs(r.score - (r.target_loss - r.background_loss)) < 1e-9
+
+
 def test_patterns():
     text = "a.b@c.de x@y 1.2.3.4 300.1.1.1 4111 1111 1111 1111 +49 (30) 1234567 @q@r.s"
     kinds = [(pii.KINDS[k], text[a:b]) for a, k, b in pii.pattern_spans(text)]

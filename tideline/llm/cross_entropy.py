@@ -1,15 +1,16 @@
 """Cross-entropy difference of two n-gram models with one vocabulary.
 
-The vocabulary is made of all background text: the `WORDS` most frequent lower-cased words have an
-id each, all others share `HASHED` ids by their hash, and one id stands for the borders of a text.
-Two matched bigram models, of the target and of the background, count bigrams of these ids over
+The vocabulary is every lower-cased word of the target or the background, the border of a text and
+one word for all that are in neither. Two matched bigram models count bigrams of these words over
 whole texts; both are interpolated with their unigrams by the same `WEIGHT`, and these with the
 uniform distribution. A document's score is its mean loss per token under the target model less
-that under the background model, in nats: the lower, the more it is like the target.
+that under the background model, in nats: the lower, the more it is like the target. Target
+documents are scored by a model that has seen them.
 
-Counts cover all rows. Each task adds its bigrams up in an array of the vocabulary's size squared
-and sends what is not zero; the summed counts, at most `SIZE * SIZE` rows whatever the input, make
-two tables of 4 MB that are broadcast: a fixed bound.
+All counts are tables that grow with the input: bigrams added up per chunk of text and then by
+Spark, and the words' counts from them. Each text's distinct bigrams are joined with the bigrams'
+losses and summed per text; bigrams in neither model get their losses from the words' counts.
+Nothing but three totals comes to the driver. Words and texts are told apart by 64-bit hashes.
 
 Nulls: a null or empty text is the border after the border, one token. Rows are scored one by one,
 repeated ones alike; ids may be null. An empty target or background leaves a uniform model; an empty table
@@ -21,117 +22,132 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import SPACES, lower_words, ship_package, stage, text_chunks, whole_text
+from tideline.llm.common import lower_words, ship_package, stage, text_chunks, whole_text, words_of
 
-WORDS = 767
-HASHED = 256
-SIZE = 1 + WORDS + HASHED
 BORDER = 0
 WEIGHT = 20.0
 CHUNK_BYTES = 4 << 20
 REMEMBERED = 500_000
-# A to Z and what they become; other letters are left as they are.
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
+KEY = "lm text key"
 
 
-class Vocabulary(dict):
-    """Ids of words; a word that is not known is hashed and remembered."""
-
-    def __init__(self, words: list[bytes]):
-        self._own = {word: k + 1 for k, word in enumerate(words)}
-        super().__init__(self._own)
+class _Words(dict):
+    """64-bit numbers of words, remembered."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
         if len(self) > REMEMBERED:
             self.clear()
-            self.update(self._own)
-        value = self[word] = self._own.get(word) or 1 + WORDS + xxhash.xxh3_64_intdigest(word) % HASHED
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
-    def bigrams(self, text: str | None) -> np.ndarray:
-        """`first * SIZE + second` for each token and the closing border."""
-        words = lower_words(text or "")
-        ids = np.fromiter((self[w] for w in words), dtype=np.int64, count=len(words))
-        return np.r_[BORDER, ids] * SIZE + np.r_[ids, BORDER]
 
+def _bigrams(texts: list[str | None], known: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct bigrams (u, w) of some texts, each with its borders, and how often they occur."""
+    from tideline.llm.minhash import _mixed
+
+    numbers = [BORDER]
+    for text in texts:
+        numbers += [known[word] for word in lower_words(text or "")]
+        numbers.append(BORDER)
+    ids = np.array(numbers, dtype=np.uint64)
+    _, at, n = np.unique(_mixed(ids[:-1] + np.uint64(1)) + ids[1:], return_index=True, return_counts=True)
+    return ids[at].view(np.int64), ids[at + 1].view(np.int64), n
 
-def frequent_words(docs: DataFrame, n: int = WORDS) -> list[bytes]:
-    lowered = F.translate(whole_text(), UPPER, UPPER.lower())
-    counts = (
-        docs.select(F.explode(F.split(lowered, SPACES)).alias("word"))
-        .filter("word <> ''")
-        .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    rows = counts.orderBy(F.desc("n"), "word").limit(n).collect()
-    return [row[0].encode("utf-8", "surrogatepass") for row in rows]
 
+def _bigrams_task(per_text: bool):
+    """`u, w, n` of each chunk of text, or `key, u, w, n` of each text."""
 
-def _count_task(words: list[bytes]):
-    def count(batches: Iterator) -> Iterator:
+    def bigrams(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        vocabulary, total = Vocabulary(words), np.zeros(SIZE * SIZE, dtype=np.int64)
+        known = _Words()
         for chunk in text_chunks(batches, CHUNK_BYTES):
             texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
-            codes, n = np.unique(
-                np.concatenate([vocabulary.bigrams(t) for t in texts]), return_counts=True
-            )
-            total[codes] += n
-        codes = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(codes, pa.int64()), pa.array(total[codes], pa.int64())], names=["code", "n"]
-        )
+            if not per_text:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _bigrams(texts, known)], names=["u", "w", "n"])
+                continue
+            parts = [_bigrams([text], known) for text in texts]
+            keys = chunk.column(chunk.schema.get_field_index("key")).to_numpy(zero_copy_only=False)
+            columns = [np.repeat(keys, [len(p[2]) for p in parts]), *(np.concatenate(x) for x in zip(*parts, strict=True))]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "u", "w", "n"])
+
+    return bigrams
+
+
+def bigram_counts(target: DataFrame, background: DataFrame) -> DataFrame:
+    """`u, w, t, b`: how often each bigram occurs in the target and in the background."""
+    ship_package(target.sparkSession)
+    of_target, of_background = (
+        some.select("text").mapInArrow(_bigrams_task(False), "u long, w long, n long")
+        for some in (target, background)
+    )
+    none = F.lit(0).cast("long")
+    parts = of_target.select("u", "w", F.col("n").alias("t"), none.alias("b")).unionByName(
+        of_background.select("u", "w", none.alias("t"), F.col("n").alias("b"))
+    )
+    return stage(parts.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "lm-bigrams")
 
-    return count
 
+def word_counts(bigrams: DataFrame) -> DataFrame:
+    """`w, t, b`. Texts begin and end with the border, so words are first as often as second."""
+    return stage(bigrams.groupBy("w").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "lm-words")
 
-def bigram_counts(docs: DataFrame, words: list[bytes]) -> np.ndarray:
-    """Counts of all bigrams of ids, as an array of `SIZE` by `SIZE`."""
-    ship_package(docs.sparkSession)
-    parts = docs.select("text").mapInArrow(_count_task(words), "code long, n long")
-    summed = stage(parts.groupBy("code").agg(F.sum("n").alias("n")), "lm-counts").toArrow()
-    counts = np.zeros(SIZE * SIZE, dtype=np.float64)
-    counts[summed.column("code").to_numpy()] = summed.column("n").to_numpy()
-    return counts.reshape(SIZE, SIZE)
 
+def _with_losses(bigrams: DataFrame, words: DataFrame) -> DataFrame:
+    """`bigrams` (u, w, t, b and others) with `target_loss, background_loss` of `w` after `u`."""
+    size, *totals = words.agg(
+        F.count_if(F.col("w") != BORDER) + 2, F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))
+    ).first()
+    first = words.select(F.col("w").alias("u"), F.col("t").alias("u_t"), F.col("b").alias("u_b"))
+    second = words.select("w", F.col("t").alias("w_t"), F.col("b").alias("w_b"))
 
-def losses(counts: np.ndarray) -> np.ndarray:
-    """Negative log probability of the second id after the first."""
-    single = (counts.sum(axis=0) + 1) / (counts.sum() + SIZE)
-    after = (counts + WEIGHT * single) / (counts.sum(axis=1, keepdims=True) + WEIGHT)
-    return -np.log(after).astype(np.float32)
+    def loss(model: str, total: int) -> Column:
+        count_u, count_w = (F.coalesce(F.col(f"{x}_{model}"), F.lit(0)) for x in ("u", "w"))
+        single = (count_w + 1) / F.lit(float(total + size))
+        return -F.log((F.col(model) + WEIGHT * single) / (count_u + WEIGHT))
+
+    return bigrams.join(first, "u", "left").join(second, "w", "left").select(
+        *bigrams.columns, loss("t", totals[0]).alias("target_loss"), loss("b", totals[1]).alias("background_loss")
+    )
 
 
 def score(docs: DataFrame, target: DataFrame, background: DataFrame) -> DataFrame:
     """`docs` with `n_tokens, target_loss, background_loss, score`."""
-    spark = docs.sparkSession
-    words = frequent_words(background)
-    tables = spark.sparkContext.broadcast(
-        [losses(bigram_counts(some, words)).ravel() for some in (target, background)]
+    ship_package(docs.sparkSession)
+    bigrams = bigram_counts(target, background)
+    words = word_counts(bigrams)
+    model = stage(_with_losses(bigrams, words).drop("t", "b"), "lm-losses")
+    text_key = F.xxhash64(whole_text())
+    pairs = docs.select(text_key.alias("key"), "text").mapInArrow(
+        _bigrams_task(True), "key long, u long, w long, n long"
     )
-
-    @F.pandas_udf("n_tokens long, target_loss double, background_loss double")
-    def mean_losses(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocabulary = Vocabulary(words)
-        of_target, of_background = tables.value
-        for batch in batches:
-            rows = []
-            for text in batch:
-                codes = vocabulary.bigrams(text)
-                sums = (float(t[codes].mean(dtype=np.float64)) for t in (of_target, of_background))
-                rows.append((len(codes), *sums))
-            yield pd.DataFrame(rows, columns=list(RESULTS[:3]))
-
+    losses = ("target_loss", "background_loss")
+    # Equal texts add up under one key; their mean is the same.
+    weighted = [F.sum(F.col("n") * F.col(c)).alias(c) for c in losses]
+    sums = stage(
+        pairs.join(model, ["u", "w"], "left").groupBy("key").agg(
+            F.sum("n").alias("n"),
+            *weighted,
+            F.collect_list(F.when(F.col("target_loss").isNull(), F.struct("u", "w", "n"))).alias("missed"),
+        ),
+        "lm-sums",
+    )
+    known = sums.select("key", "n", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in losses))
+    missed = sums.select("key", F.explode("missed").alias("m")).select("key", "m.*")
+    if not missed.isEmpty():
+        none = F.lit(0).cast("long")
+        unseen = _with_losses(missed.withColumns({"t": none, "b": none}), words)
+        added = unseen.groupBy("key").agg(none.alias("n"), *weighted)
+        known = known.unionByName(added).groupBy("key").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in losses))
+    means = known.select(F.col("key").alias(KEY), *((F.col(c) / F.col("n")).alias(c) for c in losses))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in RESULTS]
-    scored = docs.withColumn("losses of text", mean_losses(F.col("text")))
-    return scored.select(*others, F.col("`losses of text`.*")).withColumn(
-        "score", F.col("target_loss") - F.col("background_loss")
+    rows = docs.select(
+        *others, text_key.alias(KEY), (F.size(words_of(whole_text())) + 1).cast("long").alias("n_tokens")
     )
+    return rows.join(means, KEY).drop(KEY).withColumn("score", F.col("target_loss") - F.col("background_loss"))
