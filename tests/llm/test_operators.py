@@ -208,6 +208,29 @@ def test_fingerprints(docs, nothing):
     assert imatch.next_document_likeness(nothing).count() == 0
 
 
+def test_lexicon_is_the_band_of_exact_document_frequencies(spark):
+    """More terms than a table of 2^18 buckets could tell apart; none of one document is let in."""
+    rows = spark.range(400).select(
+        "id",
+        F.concat_ws(
+            " ", F.lit("common"), F.concat(F.lit("pair"), (F.col("id") / 2).cast("long")),
+            F.transform(F.sequence(F.lit(0), F.lit(999)), lambda k: F.concat(F.lit("own"), F.col("id"), F.lit("x"), k)),
+        ).alias("text"),
+    )
+    expected = {r[0] for r in spark.range(200).select(F.xxhash64(F.concat(F.lit("pair"), F.col("id")))).collect()}
+    assert {r.term for r in imatch.lexicon(rows).collect()} == expected
+
+
+def test_fingerprints_stand_on_lexicon_terms_alone(spark):
+    shared = " ".join(f"term{k}" for k in range(60))
+    rows = [(k, f"{shared} single{k}") for k in range(2)]
+    rows += [(10 + k, f"other{k} text{k}") for k in range(20)] + [(50, f"{shared} single50")]
+    found = imatch.next_document_likeness(spark.createDataFrame(rows, "doc_id long, text string"))
+    prints = {r.doc_id: r.fingerprint for r in found.collect()}
+    assert len(prints) == len(rows) and prints[0] == prints[1] == prints[50]
+    assert len({prints[10 + k] for k in range(20)}) == 20 and " " not in prints[10]
+
+
 def test_cross_entropy_tells_target_from_background(docs, nothing):
     target = docs.filter("doc_id < 5")
     scored = cross_entropy.score(docs, target, docs)

@@ -2,14 +2,14 @@
 
 The lexicon is the terms (lower-cased words) whose inverse document frequency lies in a band: in
 `MIN_DOCUMENTS` documents at least and in a share `MAX_SHARE` of them at most. A document's distinct
-terms of the lexicon are sorted; each of `SEEDS * RATES` random subsets of the lexicon keeps a
+terms of the lexicon are sorted by hash; each of `SEEDS * RATES` random subsets of the lexicon keeps a
 quarter, a sixteenth, ... of its terms, and the terms kept of a document are hashed in their order. Subsets
 that differ in rate fit short and long documents. The fingerprint is the list of these hashes, "-"
 where a subset keeps nothing; a text without terms of the lexicon has its own digest instead.
 
-Document frequencies are counted per hash bucket of terms, `BUCKETS` of them for any input, so the
-lexicon is a bit for each bucket, 32 KB, that travels inside the plan; terms of one bucket share
-their frequency. Nothing is joined term by term, and a text is never shuffled for its fingerprint.
+Document frequencies are counted for every term, told apart by its 64-bit hash. The lexicon is a
+table that grows with the input; (document, term) rows are joined with it and what is left is
+gathered per document. No text is shuffled for its fingerprint.
 
 The likeness of two fingerprints is the share of equal hashes among subsets not empty in both.
 
@@ -29,8 +29,6 @@ from tideline.llm.common import SPACES, stage, whole_text
 
 MIN_DOCUMENTS = 2
 MAX_SHARE = 0.2
-BUCKETS = 1 << 18
-WORD_BITS = 64
 SEEDS = 8
 RATES = 5
 HASH_DIGITS = 8
@@ -43,32 +41,51 @@ def _terms(text: Column) -> Column:
     )
 
 
-def _bucket(term_hash: Column) -> Column:
-    return term_hash.bitwiseAND(F.lit(BUCKETS - 1))
+def _hashes(text: str) -> Column:
+    """Hashes of the distinct terms of a column of texts."""
+    return F.transform(_terms(F.col(text)), lambda t: F.xxhash64(t))
 
 
-def lexicon(docs: DataFrame) -> list[int]:
-    """The bits of the buckets inside the band, 64 in a number."""
+def lexicon(docs: DataFrame) -> DataFrame:
+    """`term` for the hash of each term inside the band."""
     total = docs.count()
     frequency = (
         docs.select(F.explode(_terms(whole_text())).alias("term"))
-        .select(_bucket(F.xxhash64("term")).alias("bucket"))
-        .groupBy("bucket")
+        .groupBy(F.xxhash64("term").alias("term"))
         .agg(F.count(F.lit(1)).alias("documents"))
     )
     inside = frequency.filter(
         (F.col("documents") >= MIN_DOCUMENTS)
         & (F.col("documents") <= F.greatest(F.lit(MIN_DOCUMENTS), F.lit(MAX_SHARE * total)))
     )
-    bits = (
-        inside.groupBy(F.floor(F.col("bucket") / WORD_BITS).alias("at"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, int(bucket % {WORD_BITS}))")).alias("bits"))
-        .collect()
+    return stage(inside.select("term"), "imatch-lexicon")
+
+
+def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """`place, own_known, edited_known`: the terms of the lexicon per row of (place, own, edited).
+
+    A term of both texts is one row of the join.
+    """
+
+    def flagged(hashes: Column, of: int) -> Column:
+        return F.transform(hashes, lambda h: F.struct(h.alias("term"), F.lit(of).alias("of")))
+
+    both = F.concat(
+        flagged(F.array_intersect("own", "edited"), 3),
+        flagged(F.array_except("own", "edited"), 1),
+        flagged(F.array_except("edited", "own"), 2),
+    )
+
+    def gathered(bit: int) -> Column:
+        return F.sort_array(F.collect_set(F.when(F.col("of").bitwiseAND(F.lit(bit)) != 0, F.col("term"))))
+
+    return (
+        rows.select("place", F.explode(both).alias("t"))
+        .select("place", "t.term", "t.of")
+        .join(terms, "term")
+        .groupBy("place")
+        .agg(gathered(1).alias("own_known"), gathered(2).alias("edited_known"))
     )
-    words = [0] * (BUCKETS // WORD_BITS)
-    for row in bits:
-        words[row["at"]] = row["bits"]
-    return words
 
 
 def _seeded(seed: int) -> Callable[[Column], Column]:
@@ -79,20 +96,15 @@ def _without(bits: int) -> Callable[[Column], Column]:
     return lambda h: h.bitwiseAND(F.lit(bits)) == 0
 
 
-def with_fingerprint(docs: DataFrame, words: list[int], text: str, name: str) -> DataFrame:
-    """`docs` with the fingerprint of the column `text`, an array of strings, as `name`."""
-    bits = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
-
-    def known(h: Column) -> Column:
-        bucket = _bucket(h)
-        word = F.get(bits, F.shiftright(bucket, 6).cast("int"))
-        return F.getbit(word, bucket.bitwiseAND(F.lit(WORD_BITS - 1)).cast("int")) == 1
+def with_fingerprint(docs: DataFrame, known: str, alone: str, name: str) -> DataFrame:
+    """`docs` with the fingerprint, an array of strings, as `name`.
 
-    hashed = F.transform(_terms(F.col(text)), lambda t: F.xxhash64(t))
-    out = docs.withColumn("im_terms", F.filter(hashed, known))
+    `known` has a text's terms of the lexicon, null for none, and `alone` what stands for it then.
+    """
+    out = docs.withColumn("im_terms", F.coalesce(known, F.array().cast("array<bigint>")))
     parts = []
     for seed in range(SEEDS):
-        # The hash of a term under a seed; the terms' order stays that of their names.
+        # The hash of a term under a seed; the terms' order stays that of their own hashes.
         out = out.withColumn(
             f"im_{seed}_0", F.transform("im_terms", _seeded(seed))
         )
@@ -107,8 +119,7 @@ def with_fingerprint(docs: DataFrame, words: list[int], text: str, name: str) ->
             parts.append(F.when(F.size(column) > 0, digest).otherwise("-"))
     none = F.size("im_terms") == 0
     whole = F.substring(F.hex(F.xxhash64(F.col("im_terms"))), 1, HASH_DIGITS)
-    alone = F.array(F.substring(F.sha2(F.col(text), 256), 1, 2 * HASH_DIGITS))
-    out = out.withColumn(name, F.when(none, alone).otherwise(F.array(whole, *parts)))
+    out = out.withColumn(name, F.when(none, F.array(alone)).otherwise(F.array(whole, *parts)))
     return out.select(*docs.columns, name)
 
 
@@ -120,14 +131,15 @@ def likeness(a: str, b: str) -> Column:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """`key, n_chars, next_key, prev_key, prev_n` for distinct (key, doc_id, n_chars).
+    """`place, key, n_chars, next_key, prev_key, prev_n` for distinct (key, doc_id, n_chars).
 
     Rows are range partitioned by descending id; windows run inside the partitions, and the borders
     of the partitions, two rows each, are put together.
     """
     by_id = [F.col("doc_id").desc_nulls_last(), F.col("key").desc()]
     ranged = stage(
-        rows.distinct().repartitionByRange(*by_id).withColumn("part", F.spark_partition_id()),
+        rows.distinct().repartitionByRange(*by_id).withColumn("part", F.spark_partition_id())
+        .withColumn("place", F.monotonically_increasing_id()),
         "imatch-order",
     )
     inside = Window.partitionBy("part").orderBy(*by_id)
@@ -154,6 +166,7 @@ def neighbours(rows: DataFrame) -> DataFrame:
         ).alias("before"),
     )
     return near.join(ends, "part").select(
+        "place",
         "key",
         "n_chars",
         F.coalesce("lead_key", "after").alias("next_key"),
@@ -169,7 +182,7 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     Columns: `doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`.
     """
     base = docs.select("doc_id", whole_text().alias("text"))
-    words = lexicon(base)
+    terms = lexicon(base)
     named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))
     keyed = base.withColumn("key", F.unhex(F.sha2(named, 256)))
     order = stage(
@@ -185,12 +198,22 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     edited = placed.join(lent, "key").withColumn(
         "edited", F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "start")
     )
-    edited = with_fingerprint(edited, words, "text", "own_prints")
-    edited = with_fingerprint(edited, words, "edited", "edited_prints")
-    found = stage(
+    digest = {c: F.substring(F.sha2(c, 256), 1, 2 * HASH_DIGITS) for c in ("text", "edited")}
+    hashed = stage(
         edited.select(
-            "key", "next_key", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-            "own_prints", "edited_prints",
+            "place", "key", "next_key", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+            digest["text"].alias("own_alone"), digest["edited"].alias("edited_alone"),
+            _hashes("text").alias("own"), _hashes("edited").alias("edited"),
+        ),
+        "imatch-terms",
+    )
+    known = known_terms(hashed, terms)
+    printed = hashed.drop("own", "edited").join(known, "place", "left")
+    printed = with_fingerprint(printed, "own_known", "own_alone", "own_prints")
+    printed = with_fingerprint(printed, "edited_known", "edited_alone", "edited_prints")
+    found = stage(
+        printed.select(
+            "key", "next_key", "doc_id", "n_chars", "edited_sha256", "own_prints", "edited_prints"
         ),
         "imatch-prints",
     )
