@@ -309,3 +309,24 @@ def test_disclosing_terms_and_sanitised_texts(spark, docs, nothing):
     assert clean[90] == "again [term] spoke" and clean[91] is None and clean[None] == "mail [email]"
     assert pii.personal_data(docs).count() == pii.sanitise(docs).count() == docs.count()
     assert pii.personal_data(nothing).count() == pii.sanitise(nothing).count() == 0
+
+
+def test_terms_of_rare_entities_at_production_thresholds(spark):
+    filler = [" ".join(f"w{(k * 7 + j * 3) % 90}abc" for j in range(40)) for k in range(600)]
+    rows = [(k, t) for k, t in enumerate(filler)]
+    # An address seen twice, with a short name; a name beside mailboxes of one domain, each seen once.
+    rows += [(1000 + k, f"{filler[k]} Li {'so' * (k + 1)} li@one.org {filler[k + 9]}") for k in range(2)]
+    rows += [(1100 + k, f"{filler[k]} Okoro box{k}@two.net {filler[k + 20]}") for k in range(3)]
+    rows += [(1200, "then Okoro left"), (1300, f"{filler[5]} seldom 1.2.3.4 {filler[6]}")]
+    rows += [(1400, f"{filler[9]} twin 5.6.7.8 {filler[8]}"), (1401, f"{filler[9]} twin 5.6.7.8 {filler[8]}")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    text = dict(rows)
+    found = {
+        r.doc_id: {text[r.doc_id][s.start : s.end] for s in r.spans if s.kind == 4}
+        for r in pii.personal_data(table).collect()
+    }
+    assert len(found) == len(rows)
+    assert found[1000] == found[1001] == {"Li"}
+    assert [found[k] for k in (1100, 1101, 1102, 1200)] == [{"Okoro"}] * 4
+    # One context, or copies of one, is no evidence.
+    assert not any(found[k] for k in [*range(600), 1300, 1400, 1401])

@@ -1,17 +1,18 @@
 """Personal data by patterns and by information-theoretic sanitisation.
 
 The patterns find protected entities: addresses of mail and hosts, card and phone numbers. Then the
-corpus tells which other terms give an entity away. A term is a word of `TERM_CHARS` code points or
-more that touches no pattern's span. `P(entity | term)` is the share of the term's occurrences in
+corpus tells which other terms give an entity away. A term is a word with a letter or digit, however
+short, that touches no pattern's span. Addresses of one mail domain are also taken together, as an entity of
+their own, so that those seen once have evidence. `P(entity | term)` is the share of the term's occurrences in
 the corpus that lie within `REACH` words of that entity; its pointwise information about the entity
 is `log2(P(entity | term) / P(entity))`. A term discloses if for some entity the share is at least
-`SHARE`, the information is at least `BITS`, and it was seen in `SUPPORT` different contexts, so copies of one
-passage prove nothing. Disclosing terms are spans of kind `term` wherever they occur, and `sanitise`
+`SHARE`, the information is at least `BITS`, and it was seen in `SUPPORT` different contexts, or in
+`LONE_SUPPORT` if it occurs nowhere else, so copies of one passage prove nothing. One context alone is
+no evidence: any word that is seen once would disclose what it stands beside. Disclosing terms are spans of kind `term` wherever they occur, and `sanitise`
 replaces every span by the name of its kind.
 
 Pairs of entity and term are counted within `REACH` words, so a text gives pairs in proportion to
-its length. All counts are aggregations that combine within tasks. Only words that are candidates
-are counted, through a semi-join that Spark broadcasts where it has measured its size.
+its length. All counts are aggregations that combine within tasks.
 
 Nulls: a null text is empty and has no spans. Rows with equal id and text get equal results, each
 one row; a null id stays null. An empty table gives an empty result. Columns other than `doc_id` and
@@ -39,10 +40,10 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORDS = re.compile(WORD)
 
 REACH = 8
-TERM_CHARS = 4
 SHARE = 0.5
 BITS = 8.0
 SUPPORT = 3
+LONE_SUPPORT = 2
 CHUNK_BYTES = 4 << 20
 
 Span = tuple[int, int, int]  # start, number of the kind, end
@@ -97,7 +98,7 @@ def pattern_spans(text: str) -> list[Span]:
 
 
 def _is_term(word: str) -> bool:
-    return len(word) >= TERM_CHARS
+    return any(c.isalnum() for c in word)
 
 
 def _near(text: str, spans: list[Span]) -> list[tuple[str, str, int, int]]:
@@ -115,8 +116,12 @@ def _near(text: str, spans: list[Span]) -> list[tuple[str, str, int, int]]:
     for start, kind, end in spans:
         low, high = bisect.bisect_right(ends, start), bisect.bisect_left(starts, end)
         taken.update(range(low, high))
-        entity = f"{KINDS[kind]}:{text[start:end]}"
-        places.setdefault(entity, []).append((max(0, low - REACH), min(len(words), high + REACH)))
+        span = text[start:end]
+        pools = [f"{KINDS[kind]}:{span}"]
+        if kind == KINDS.index("email"):
+            pools.append(f"domain:{span.rpartition('@')[2].lower()}")
+        for entity in pools:
+            places.setdefault(entity, []).append((max(0, low - REACH), min(len(words), high + REACH)))
     out: list[tuple[str, str, int, int]] = []
     for entity, ranges in places.items():
         counted: dict[tuple[str, int], int] = {}
@@ -179,7 +184,7 @@ def _row_key() -> Column:
 def _terms_of(docs: DataFrame) -> DataFrame:
     """`term` for each word of each text that can be one."""
     words = docs.select(F.explode(F.split(whole_text(), SPACES)).alias("term"))
-    return words.filter(F.length("term") >= TERM_CHARS)
+    return words.filter("term <> ''")
 
 
 def disclosing_terms(
@@ -189,13 +194,17 @@ def disclosing_terms(
     least_bits: float = BITS,
     support: int = SUPPORT,
 ) -> DataFrame:
-    """`term` for each term that gives an entity away."""
+    """`term, lone` for each term that gives an entity away.
+
+    All occurrences of a `lone` term are beside one entity.
+    """
     near = found.select(F.explode("near").alias("p")).select("p.*")
     by_context = near.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
     pairs = by_context.groupBy("entity", "term").agg(
         F.sum("n").alias("together"), F.count(F.lit(1)).alias("contexts")
     )
-    pairs = stage(pairs.filter(F.col("contexts") >= support), "pii-pairs")
+    lone_support = min(LONE_SUPPORT, support)
+    pairs = stage(pairs.filter(F.col("contexts") >= lone_support), "pii-pairs")
     counted = (
         _terms_of(docs)
         .join(pairs.select("term").distinct(), "term", "left_semi")
@@ -210,8 +219,10 @@ def disclosing_terms(
         pairs.join(counted, "term")
         .join(of_entity, "entity")
         .filter((share >= least_share) & (bits >= least_bits))
-        .select("term")
-        .distinct()
+        .withColumn("lone", F.col("together") == F.col("occurs"))
+        .filter(F.col("lone") | (F.col("contexts") >= support))
+        .groupBy("term")
+        .agg(F.max("lone").alias("lone"))
     )
 
 
@@ -252,9 +263,13 @@ def personal_data(docs: DataFrame, **thresholds: float) -> DataFrame:
     narrow = found.drop("near").withColumnRenamed("spans", "base")
     if terms.isEmpty():
         return narrow.withColumn("spans", F.col("base"))
+    # Lone terms are nowhere but beside entities, so only the others are looked for in all texts.
+    beside = found.select("row_key", F.explode("near.term").alias("term")).join(terms.filter("lone"), "term")
+    anywhere = rows.select(
+        _row_key().alias("row_key"), F.explode(F.array_distinct(F.split(whole_text(), SPACES))).alias("term")
+    ).join(terms.filter("not lone"), "term")
     hit = (
-        rows.select(_row_key().alias("row_key"), F.explode(F.array_distinct(F.split(whole_text(), SPACES))).alias("term"))
-        .join(terms, "term")
+        beside.unionByName(anywhere)
         .groupBy("row_key")
         .agg(F.collect_set("term").alias("terms"))
     )
