@@ -187,6 +187,15 @@ def test_language_of_small_tables(spark, docs, nothing):
     assert language.with_language(nothing, {}).count() == 0
 
 
+def test_language_of_long_documents_alone_is_learned(spark):
+    long = "x1 " * 9000 + "der hund und die katze mit dem " * 700 + "spaet"
+    rows = [(k, "the cat and the dog with that", "en") for k in range(5)] + [(9, long, "de"), (10, None, "fr")]
+    known = language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert sorted(known) == ["de", "en"] and b"katze" in known["de"] and b"spaet" in known["de"]
+    test = spark.createDataFrame([(1, "die katze und der hund mit dem " * 4)], "doc_id long, text string")
+    assert language.with_language(test, known).first().lang_pred == "de"
+
+
 def test_toxicity_of_odd_rows(spark, docs, nothing):
     labels = spark.createDataFrame([(k, k % 2) for k in range(24)] + [(None, 1), (3, None)], "doc_id long, toxic int")
     scored = toxicity.with_toxicity(docs, toxicity.train(docs, labels), "t").select("t").collect()

@@ -6,9 +6,10 @@ each window is compressed with every dictionary; the language with the fewest by
 The margin is how much more the runner-up needs, as a share of the winner's bytes; below `MARGIN`
 the decision is rejected (`accepted` false, `lang_pred` still the nearest language).
 
-Training reads at most `SAMPLE` documents of each language, those with the smallest hashes of their
-ids, and none longer than `SAMPLE_CHARS`; that is the only place where text is left out. A word
-counts once per document.
+Training reads at most `SAMPLE` documents of each language: those of at most `SAMPLE_CHARS`
+characters first, by the hashes of their ids, then longer ones, of which it reads `PIECES` pieces
+spread from start to end, `SAMPLE_CHARS` in all. That is the only place where text is left out. A
+word counts once per document.
 
 Nulls: a text that is null or has no letters is `und` with score 0. Rows without a language or an
 id are not learned from; without any language everything is `und`. Ties go to the first language by
@@ -31,6 +32,7 @@ from tideline.llm.compression import compressor, content, windows, words_in
 
 SAMPLE = 1500
 SAMPLE_CHARS = 20_000
+PIECES = 10
 WINDOW = 64
 DICTIONARY_BYTES = 16_384
 # Matches this short let syllables tell languages apart where words are new.
@@ -70,18 +72,28 @@ def train(docs: DataFrame, learn: Column, sample: int = SAMPLE) -> dict[str, byt
 
     Languages are told apart by name; their number is that of the distinct names.
     """
-    usable = docs.filter(learn & F.col("doc_id").isNotNull() & F.col("lang").isNotNull()).filter(
-        F.length("text") <= SAMPLE_CHARS
-    )
-    ids = usable.select("doc_id", "lang")
+    usable = docs.filter(learn & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+    usable = usable.filter(F.col("text").isNotNull())
+    length = F.length("text")
+    long = length > SAMPLE_CHARS
+    ids = usable.select("doc_id", "lang", long.alias("long"))
     langs = [row[0] for row in ids.select("lang").distinct().collect()]
     drawn = None
     for lang in langs:
-        some = ids.filter(F.col("lang") == lang).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        some = ids.filter(F.col("lang") == lang).orderBy("long", F.xxhash64("doc_id"), "doc_id").limit(sample)
         drawn = some if drawn is None else drawn.unionByName(some)
     if drawn is None:
         return {}
-    rows = usable.join(drawn.distinct(), ["doc_id", "lang"]).select("text", "lang").collect()
+    piece = SAMPLE_CHARS // PIECES
+    starts = (F.lit(1) + F.floor((length - piece) * k / (PIECES - 1)).cast("int") for k in range(PIECES))
+    pieces = F.concat_ws(" ", *(F.substr("text", start, F.lit(piece)) for start in starts))
+    read = F.when(long, pieces).otherwise(F.col("text")).alias("text")
+    rows = (
+        usable.withColumn("long", long)
+        .join(drawn.distinct(), ["doc_id", "lang", "long"])
+        .select(read, "lang")
+        .collect()
+    )
     return fit([row[0] for row in rows], [row[1] for row in rows])
 
 
