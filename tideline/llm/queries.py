@@ -14,6 +14,9 @@ from tideline.llm import (
     mixing,
     packing,
     pii,
+    repair,
+    sharding,
+    spelling,
     superkmers,
     toxicity,
 )
@@ -101,6 +104,29 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "n_tokens", "target_loss", "background_loss", "score")
 
 
+def op11_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards(table(spark, sf_dir, "documents"))
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    rows = repair.damaged(conversations)
+    return repair.with_digests(rows, repair.audits(rows, conversations))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(spelling.count_words(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_pareto_mix": op1_pareto_mix,
     "op2_sum_of_squares_pack": op2_sum_of_squares_pack,
@@ -112,4 +138,7 @@ QUERIES = {
     "op8_minhash_hamming": op8_minhash_hamming,
     "op9_disclosure_pii": op9_disclosure_pii,
     "op10_cross_entropy": op10_cross_entropy,
+    "op11_feistel_shards": op11_feistel_shards,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_spelling_variants": op13_spelling_variants,
 }
