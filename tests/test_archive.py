@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows_of
+from conftest import plan_of, rows_of
 from pyspark.errors import AnalysisException
 
-from tideline.operators import archive
-from tideline.plans.jobs import archive_date, start_audit, start_load
+from tideline.operators import archive, order
+from tideline.plans.jobs import archive_date, start_audit, start_load, start_load_and_audit
 from tideline.schemas import FILES, LOANS, REPORT
+from tideline.sources.manifest import adopt_date, files_read_on, read_manifest
 from tideline.sources.tables import (
     iso_date,
     read_slice,
@@ -150,6 +151,106 @@ def test_capped_runs_work_a_date_off_and_can_be_repeated(spark, tmp_path):
     assert spark.read.schema(REPORT).parquet(f"{tmp_path}/report").count() == 6
 
 
+def done(spark, out, names):
+    for table in ("data", "metadata"):
+        write_slice(files(spark, names), f"{out}/{table}", processed_date=DAY)
+
+
+def test_files_that_are_done_later_come_after_the_end(spark, tmp_path):
+    done(spark, tmp_path, "bdfh")
+    lists = []
+    for number, names in enumerate(("bdfh", "abcdefh", "abcdefh", "abcdefgh")):
+        done(spark, tmp_path, names)
+        run(spark, tmp_path, limit=3, run=number)
+        lists.append(listed(spark, tmp_path))
+    # b d f, then h and the later a c, then e; g came last.
+    expected = ["bdf", "ach", "e", "g"]
+    assert lists == [[f"in/{n}.csv" for n in names] for names in expected]
+    assert spark.read.schema(REPORT).parquet(f"{tmp_path}/report").count() == 8
+
+
+def test_runs_with_and_without_a_cap_take_each_file_once(spark, tmp_path):
+    done(spark, tmp_path, "abcdef")
+    taken = []
+    for number, limit in enumerate((2, -1, 4, -1)):
+        if number == 2:
+            done(spark, tmp_path, "abcdefgh")
+        run(spark, tmp_path, limit=limit, run=number)
+        taken.append("".join(p[3] for p in listed(spark, tmp_path)))
+    assert taken == ["ab", "cdef", "gh", ""]
+
+
+def test_a_cap_after_a_run_without_one(spark, tmp_path):
+    done(spark, tmp_path, "abc")
+    run(spark, tmp_path)
+    done(spark, tmp_path, "abcdefg")
+    run(spark, tmp_path, limit=3, run=1)
+    assert listed(spark, tmp_path) == ["in/d.csv", "in/e.csv", "in/f.csv"]
+
+
+def test_the_order_is_sorted_once_and_cut_at_any_position(spark, tmp_path, monkeypatch):
+    names = spark.range(900).selectExpr(
+        "concat(if(id % 3 = 0, 'hot', md5(string(id))), '/', id) AS source_file"
+    )
+    expected = sorted(row[0] for row in names.collect())
+    path = f"{tmp_path}/order"
+    order.extend_order(names, path, DAY)
+    monkeypatch.setattr(type(names), "repartitionByRange", None)
+    first = 0
+    for number, limit in enumerate((0, 1, 299, 300, 250, 1000)):
+        got = order.slice_of_run(spark, path, DAY, number, limit)
+        assert sorted(row[0] for row in got.collect()) == expected[first : first + limit]
+        plan = plan_of(got)
+        assert "Sort" not in plan and "rangepartitioning" not in plan
+        first += limit
+
+
+def test_an_extension_that_broke_off_is_made_again(spark, tmp_path, monkeypatch):
+    path, whole = f"{tmp_path}/order", order.write_slice
+    order.extend_order(files(spark, "ab"), path, DAY)
+
+    def fails(rows, folder, *args, **keys):
+        if folder.endswith("ranges"):
+            raise RuntimeError("lost between rows and ranges")
+        whole(rows, folder, *args, **keys)
+
+    monkeypatch.setattr(order, "write_slice", fails)
+    with pytest.raises(RuntimeError):
+        order.extend_order(files(spark, "cdx"), path, DAY)
+    monkeypatch.setattr(order, "write_slice", whole)
+    order.extend_order(files(spark, "cd"), path, DAY)
+    got = order.slice_of_run(spark, path, DAY, 0, -1).collect()
+    assert sorted(row[0][-5] for row in got) == ["a", "b", "c", "d"]
+
+
+def test_candidates_are_worked_out_from_files_and_not_from_rows(spark, landing, tmp_path):
+    options = {"trigger": UNTIL_DONE, "header": True}
+    start_load_and_audit(
+        spark, str(landing), LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata", f"{tmp_path}/ck",
+        "age", **options,
+    ).awaitTermination()
+    (day,) = {row.processed_date for row in read_manifest(spark, f"{tmp_path}/data").collect()}
+    data = files_read_on(spark, f"{tmp_path}/data", day)
+    metadata = read_slice(spark, f"{tmp_path}/metadata", FILES, processed_date=day)
+    found = archive.candidates(data, metadata, day)
+    assert found.count() == 4
+    places = {name.split("/processed_date=")[0] for name in found.inputFiles()}
+    assert places == {f"file://{tmp_path}/data-files", f"file://{tmp_path}/metadata"}
+
+
+def test_rows_written_without_a_manifest_are_adopted(spark, stored):
+    data = f"{stored}/data"
+    assert f"{data}/" in files_read_on(spark, data, DAY).inputFiles()[0]
+    adopt_date(spark, data, DAY)
+    adopt_date(spark, data, DAY)
+    adopted = files_read_on(spark, data, DAY)
+    assert rows_of(adopted) == [(f"{PREFIX}in/{n}.csv", DAY) for n in "abc"]
+    assert "data-files" in adopted.inputFiles()[0]
+    assert run(spark, stored).count() == 2
+    # Dates without a manifest are read by their rows.
+    assert files_read_on(spark, data, "2024-01-16").count() == 1
+
+
 @pytest.mark.parametrize("wrong", ["data_path", "metadata_path"])
 def test_a_table_that_is_not_there_is_an_error_and_replaces_nothing(spark, stored, wrong):
     run(spark, stored)

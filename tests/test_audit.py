@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
-from conftest import ANN, land, rows_of
+from conftest import ANN, BO, land, rows_of
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,9 +15,10 @@ from tideline.operators.audit import (
     latest_per_file,
     latest_per_file_by_window,
 )
-from tideline.plans.jobs import start_audit, start_load_and_audit
+from tideline.plans.jobs import archive_date, load_late_files, start_audit, start_load_and_audit
 from tideline.schemas import LOANS, data_schema, metadata_schema
 from tideline.sources.landing import read_landing
+from tideline.sources.manifest import read_manifest
 from tideline.sources.tables import read_slice, read_table
 from tideline.streaming import writers
 from tideline.streaming.sinks import UNTIL_DONE, start_batches
@@ -45,7 +49,7 @@ def test_one_row_per_file_with_its_properties(spark, landing, tmp_path):
     data, metadata = load_and_audit(spark, landing, tmp_path)
     rows = by_name(metadata)
     assert {name: (r.record_count, r.first_value) for name, r in rows.items()} == {
-        "a.csv": (2, 34), "b.csv": (1, 29), "f%200.csv": (3, 51),
+        "a.csv": (2, 34), "b.csv": (1, 29), "f%200.csv": (3, 51), "empty.csv": (0, None),
     }
     for name, row in rows.items():
         path = landing / name.replace("%20", " ")
@@ -60,13 +64,15 @@ def test_counts_add_up_to_the_loaded_rows(spark, landing, tmp_path, limit):
     data, metadata = load_and_audit(spark, landing, tmp_path, max_files_per_trigger=limit)
     loaded = data.groupBy("source_file", "processed_date").count()
     audited = metadata.select("source_file", "processed_date", "record_count")
+    assert audited.count() == 4
+    audited = audited.filter("record_count > 0")
     assert rows_of(loaded) == rows_of(audited)
     assert audited.agg(F.sum("record_count")).first()[0] == 6
 
 
 @pytest.mark.parametrize("by_join", [False, True])
 def test_audit_alone_gives_the_same_rows(spark, landing, tmp_path, by_join):
-    _, both = load_and_audit(spark, landing, tmp_path)
+    _, both = load_and_audit(spark, landing, tmp_path, empty_files=False)
     query = start_audit(
         spark, str(landing), LOANS, f"{tmp_path}/alone", f"{tmp_path}/checkpoint",
         "age", ["loan_id"], trigger=UNTIL_DONE, by_join=by_join, header=True,
@@ -110,7 +116,7 @@ def test_the_sample_can_be_a_derived_column(spark, landing, tmp_path, job):
     )
     query.awaitTermination()
     rows = read_table(spark, f"{tmp_path}/m", METADATA).collect()
-    assert sorted(row.first_value for row in rows) == [58, 68, 102]
+    assert sorted(row.first_value for row in rows if row.record_count) == [58, 68, 102]
 
 
 def test_a_small_batch_is_audited_into_one_file(spark, landing, tmp_path):
@@ -187,7 +193,7 @@ def test_a_batch_without_its_audit_is_written_again(spark, landing, tmp_path, mo
         load_and_audit(spark, landing, tmp_path)
     data, metadata = load_and_audit(spark, landing, tmp_path)
     assert len(calls) == 2
-    assert (data.count(), metadata.count()) == (6, 3)
+    assert (data.count(), metadata.count()) == (6, 4)
 
 
 def test_streams_share_tables_without_taking_each_others_batches(spark, landing, tmp_path):
@@ -196,10 +202,10 @@ def test_streams_share_tables_without_taking_each_others_batches(spark, landing,
     land(other / "z.csv", ANN)
     load_and_audit(spark, landing, tmp_path)
     data, metadata = load_and_audit(spark, other, tmp_path)
-    assert (data.count(), metadata.count()) == (7, 4)
+    assert (data.count(), metadata.count()) == (7, 5)
     # A stream begun anew reads its folder again and adds to what is there.
     data, metadata = load_and_audit(spark, other, tmp_path, checkpoint="fresh")
-    assert (data.count(), metadata.count()) == (8, 5)
+    assert (data.count(), metadata.count()) == (8, 6)
 
 
 def test_landed_columns_may_be_named_like_file_properties(spark, tmp_path):
@@ -215,12 +221,116 @@ def test_landed_columns_may_be_named_like_file_properties(spark, tmp_path):
     assert (row["size"], row.first_value) == (44, 7)
 
 
-def test_header_only_files_leave_no_trace(spark, tmp_path):
+def test_files_without_rows_are_audited_and_archived(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    land(folder / "header.csv")
+    (folder / "line.csv").write_text("\n")
+    data, metadata = load_and_audit(spark, folder, tmp_path)
+    land(folder / "a.csv", ANN)
+    data, metadata = load_and_audit(spark, folder, tmp_path)
+    rows = by_name(metadata)
+    assert {name: (r.record_count, r.first_value) for name, r in rows.items()} == {
+        "header.csv": (0, None), "line.csv": (0, None), "a.csv": (1, 34)
+    }
+    assert rows["header.csv"]["size"] == (folder / "header.csv").stat().st_size
+    assert data.count() == 1
+    (day,) = {r.processed_date for r in rows.values()}
+    report = archive_date(
+        spark, f"{tmp_path}/data", f"{tmp_path}/metadata", f"{tmp_path}/report",
+        f"{tmp_path}/list", day, f"file:{folder}/",
+    )
+    assert {r.source_file.rsplit("/", 1)[1] for r in report.collect()} == set(rows)
+
+
+def test_files_without_rows_can_be_left_out(spark, landing, tmp_path):
+    _, metadata = load_and_audit(spark, landing, tmp_path, empty_files=False)
+    assert sorted(by_name(metadata)) == ["a.csv", "b.csv", "f%200.csv"]
+
+
+def test_rows_of_a_batch_are_read_once(spark, landing, tmp_path):
+    """A transform that drops nearly all rows must not be run over any of them twice."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(age):
+        seen.add(1)
+        return age == 40
+
+    data, metadata = load_and_audit(
+        spark, landing, tmp_path, max_files_per_trigger=2,
+        transform=lambda df: df.filter(F.udf(look, "boolean")("age")),
+    )
+    assert (data.count(), seen.value) == (1, 6)
+    assert sorted(r.record_count for r in metadata.collect()) == [0, 0, 0, 1]
+
+
+def test_names_with_pattern_signs_are_taken_as_they_stand(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
-    land(folder / "empty.csv")
+    names = ["a[1].csv", "b{x,y}.csv", "c*?.csv", "d 50%+1.csv", "e#f.csv"]
+    for name in names:
+        land(folder / name, ANN)
+    land(folder / "a1.csv", ANN, ANN)
+    data, metadata = load_and_audit(spark, folder, tmp_path)
+    assert (data.count(), metadata.count()) == (7, 6)
+    assert sorted(r.record_count for r in metadata.collect()) == [1] * 5 + [2]
+
+
+def aged(path, days):
+    then = time.time() - days * 86_400
+    os.utime(path, (then, then))
+
+
+def test_late_files_are_loaded_and_audited_once(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    land(folder / "new.csv", ANN)
+    load_and_audit(spark, folder, tmp_path)
+    for name, days in (("old.csv", 30), ("older.csv", 40), ("empty.csv", 50), ("recent.csv", 1)):
+        land(folder / name, *([BO] if "old" in name else [ANN] if name == "recent.csv" else []))
+        aged(folder / name, days)
+
+    def late(**options):
+        return load_late_files(
+            spark, str(folder), LOANS, f"{tmp_path}/data", f"{tmp_path}/metadata",
+            f"{tmp_path}/checkpoint", "age", ["loan_id"], header=True, files_per_batch=2, **options
+        )
+
+    # What the stream has not come to yet is none of the late files' business.
+    assert late(max_file_age="45d") == 1
+    _, metadata = tables(spark, tmp_path)
+    assert sorted(by_name(metadata)) == ["empty.csv", "new.csv"]
+    data, metadata = load_and_audit(spark, folder, tmp_path)
+    assert sorted(by_name(metadata)) == ["empty.csv", "new.csv", "recent.csv"]
+
+    whole = writers.audit_rows
+
+    def fails(*args):
+        raise RuntimeError("lost between the two tables")
+
+    monkeypatch.setattr(writers, "audit_rows", fails)
+    with pytest.raises(RuntimeError):
+        late()
+    monkeypatch.setattr(writers, "audit_rows", whole)
+    land(folder / "oldest.csv", BO)
+    aged(folder / "oldest.csv", 60)
+    assert late() == 3
+    assert late() == 0
     data, metadata = load_and_audit(spark, folder, tmp_path)
-    assert data.count() == metadata.count() == 0
+    rows = by_name(metadata)
+    assert {name: r.record_count for name, r in rows.items()} == {
+        "new.csv": 1, "recent.csv": 1, "old.csv": 1, "older.csv": 1, "oldest.csv": 1, "empty.csv": 0
+    }
+    assert metadata.count() == 6 and data.count() == 5
+
+
+def test_the_manifest_has_one_row_per_file_and_batch(spark, landing, tmp_path):
+    data, metadata = load_and_audit(spark, landing, tmp_path, max_files_per_trigger=3)
+    listed = read_manifest(spark, f"{tmp_path}/data")
+    columns = ["source_file", "size", "modification_time", "processed_date", "stream_id", "batch_id"]
+    assert listed.columns == columns
+    audited = read_slice(spark, f"{tmp_path}/metadata", METADATA)
+    assert rows_of(listed.select(columns)) == rows_of(audited.select(columns))
 
 
 def stamped(spark, rows):

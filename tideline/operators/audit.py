@@ -140,6 +140,22 @@ def audit_rows(
     )
 
 
+def with_files_without_rows(audited: DataFrame, files: DataFrame) -> DataFrame:
+    """Audit rows of all `files` of a batch: those without rows count 0 and have no sample.
+
+    `files` has a row for each file with its properties, processing time and date. Both sides have
+    one row per file.
+    """
+    (first_name,) = [name for name in audited.columns if name not in AUDIT_COLUMNS]
+    found = audited.select(SOURCE_FILE, RECORD_COUNT, first_name)
+    return (
+        files.select(SOURCE_FILE, SIZE, MODIFICATION_TIME, PROCESSING_TIME, PROCESSED_DATE)
+        .join(found, SOURCE_FILE, "left")
+        .withColumn(RECORD_COUNT, F.coalesce(RECORD_COUNT, F.lit(0).cast("long")))
+        .select(*AUDIT_COLUMNS, first_name)
+    )
+
+
 def audit_rows_by_join(
     df: DataFrame,
     first_column: str,

@@ -52,6 +52,17 @@ FILES = T.StructType(
     ]
 )
 
+# The files a batch has read, one row each, beside DATA.
+MANIFEST = T.StructType(
+    [
+        T.StructField(SOURCE_FILE, T.StringType()),
+        T.StructField(SIZE, T.LongType()),
+        T.StructField(MODIFICATION_TIME, T.TimestampType()),
+        T.StructField(PROCESSED_DATE, T.StringType()),
+        *OWNER.fields,
+    ]
+)
+
 REPORT = T.StructType(
     [
         T.StructField(SOURCE_FILE, T.StringType()),
@@ -59,6 +70,16 @@ REPORT = T.StructType(
     ]
 )
 
+# The columns of a binary-file scan.
+BINARY_FILE = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 # The report as stored: every run of the archive job on a date keeps its own files.
 STORED_REPORT = T.StructType([*REPORT.fields, T.StructField(RUN, T.LongType())])
 

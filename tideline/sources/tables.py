@@ -16,7 +16,7 @@ from tideline.schemas import BATCH_ID, PROCESSED_DATE, RUN
 # Formats whose table is a plain tree of partition folders.
 FOLDER_FORMATS = frozenset({"parquet", "orc", "json", "csv"})
 # Partition keys that are numbers; others are text unless the written rows have the column.
-LONG_KEYS = frozenset({BATCH_ID, RUN})
+LONG_KEYS = frozenset({BATCH_ID, RUN, "part"})
 
 
 def iso_date(value: str | date) -> str:

@@ -1,5 +1,8 @@
 """Functions for `start_batches` that write a micro-batch exactly once.
 
+A batch holds the rows of landed files, or just the files: then their rows are scanned once, while
+they are written, and the batch's date comes from the few file rows.
+
 Every batch owns the partition `processed_date=…/stream_id=…/batch_id=…` of each table it writes. A
 replay has the same date and ids and overwrites that partition, so rows are neither lost nor
 doubled. A batch that was written whole and lost only its commit is left as it is, because its
@@ -12,14 +15,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.functions.stamps import stamp, with_processed_date
-from tideline.operators.audit import audit_rows, audit_rows_by_join
+from tideline.functions.uri import plain_path
+from tideline.operators.audit import audit_rows, audit_rows_by_join, with_files_without_rows
 from tideline.schemas import (
     BATCH_ID,
     FIRST_VALUE,
+    MANIFEST,
     OWNER,
     PROCESSED_DATE,
     PROCESSING_TIME,
@@ -27,7 +33,10 @@ from tideline.schemas import (
     SOURCE_SIZE,
     SOURCE_TIME,
     STREAM_ID,
+    loaded_schema,
 )
+from tideline.sources.landing import read_files
+from tideline.sources.manifest import manifest_path, manifest_rows
 from tideline.sources.tables import read_slice, slice_is_whole, write_slice
 
 # Fixed value: the local property under which Spark names the running streaming query.
@@ -150,6 +159,148 @@ def load_writer(
     return _unless_whole(write, data_path, fmt)
 
 
+def load_files(
+    files: DataFrame,
+    own: dict[str, object],
+    processing_time: int,
+    schema: T.StructType,
+    data_path: str,
+    fmt: str = "parquet",
+    partition_by: str | None = None,
+    transform: Transform | None = None,
+    header: bool = False,
+) -> DataFrame:
+    """Write files to the manifest and their rows to DATA, as one batch; return the manifest rows.
+
+    `files` has stamped file rows, `processing_time` microseconds since 1970. The names of the
+    batch's files pass through the driver, as they do inside any file scan; limit the files of a
+    batch where that matters. The manifest is written first and DATA after it, so what is in a
+    table that is written after both is whole in DATA.
+    """
+    spark = files.sparkSession
+    path = manifest_path(data_path)
+    write_slice(manifest_rows(files), path, fmt, **own)
+    listed = read_slice(spark, path, MANIFEST, fmt, **own)
+    paths = [row[0] for row in listed.select(plain_path(SOURCE_FILE)).toLocalIterator()]
+    rows = stamp(read_files(spark, paths, schema, header), file_properties=True)
+    rows = rows.withColumn(PROCESSING_TIME, F.timestamp_micros(F.lit(processing_time)))
+    rows = with_processed_date(rows if transform is None else rows.transform(transform))
+    write_slice(rows, data_path, fmt, partition_by, **own)
+    return listed
+
+
+def audit_files(
+    listed: DataFrame,
+    own: dict[str, object],
+    loaded: DataFrame,
+    processing_time: int,
+    metadata_path: str,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    fmt: str = "parquet",
+    first_name: str = FIRST_VALUE,
+    partition_by: str | None = None,
+    empty_files: bool = True,
+) -> None:
+    """Write the METADATA rows of a batch of loaded files; a file without rows counts 0."""
+    rows = audit_rows(loaded, first_column, tie_break, first_name)
+    if empty_files:
+        time = F.timestamp_micros(F.lit(processing_time))
+        rows = with_files_without_rows(rows, listed.withColumn(PROCESSING_TIME, time))
+    write_slice(rows, metadata_path, fmt, partition_by, **own)
+
+
+def _batch_of_files(batch: DataFrame, batch_id: int) -> tuple[dict[str, object], int] | None:
+    """The partition and the processing time of a batch of files; None if there are none."""
+    row = batch.select(PROCESSED_DATE, F.unix_micros(PROCESSING_TIME)).first()
+    if row is None:
+        return None
+    own = {PROCESSED_DATE: row[0], STREAM_ID: _stream_id(batch), BATCH_ID: batch_id}
+    return own, row[1]
+
+
+def load_files_writer(
+    schema: T.StructType, data_path: str, fmt: str = "parquet", **loading: object
+) -> BatchWriter:
+    """Load the files of the batch into DATA and its manifest; options as for `load_files`."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = _batch_of_files(batch, batch_id)
+        if found is not None:
+            load_files(batch, *found, schema, data_path, fmt, **loading)
+
+    return _unless_whole(write, data_path, fmt)
+
+
+def load_and_audit_files(
+    files: DataFrame,
+    own: dict[str, object],
+    processing_time: int,
+    schema: T.StructType,
+    data_path: str,
+    metadata_path: str,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    fmt: str = "parquet",
+    first_name: str = FIRST_VALUE,
+    partition_by: str | None = None,
+    metadata_partition_by: str | None = None,
+    transform: Transform | None = None,
+    header: bool = False,
+    empty_files: bool = True,
+) -> None:
+    """Load files as one batch, then write their audit rows from the columns needed of DATA."""
+    spark = files.sparkSession
+    listed = load_files(
+        files, own, processing_time, schema, data_path, fmt, partition_by, transform, header
+    )
+    stored = _loaded_columns(spark, schema, transform, first_column, tie_break)
+    loaded = read_slice(spark, data_path, stored, fmt, **own)
+    audit_files(
+        listed, own, loaded, processing_time, metadata_path, first_column, tie_break, fmt,
+        first_name, metadata_partition_by, empty_files,
+    )
+
+
+def _loaded_columns(
+    spark: SparkSession,
+    schema: T.StructType,
+    transform: Transform | None,
+    first_column: str,
+    tie_break: Sequence[str],
+) -> T.StructType:
+    """What the audit reads back of DATA, in the types the transform gave it."""
+    rows = spark.createDataFrame([], loaded_schema(schema)).drop(*OWNER.names)
+    if transform is not None:
+        rows = rows.transform(transform)
+    wanted = dict.fromkeys(
+        [SOURCE_FILE, SOURCE_SIZE, SOURCE_TIME, PROCESSING_TIME, PROCESSED_DATE, first_column, *tie_break]
+    )
+    return T.StructType([rows.schema[name] for name in wanted])
+
+
+def load_and_audit_files_writer(
+    schema: T.StructType,
+    data_path: str,
+    metadata_path: str,
+    first_column: str,
+    tie_break: Sequence[str] = (),
+    fmt: str = "parquet",
+    **options: object,
+) -> BatchWriter:
+    """Load the files of the batch, then audit them; options as for `load_and_audit_files`."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        found = _batch_of_files(batch, batch_id)
+        if found is not None:
+            load_and_audit_files(
+                batch, *found, schema, data_path, metadata_path, first_column, tie_break, fmt,
+                **options,
+            )
+
+    return _unless_whole(write, metadata_path, fmt)
+
+
 def load_and_audit_writer(
     data_path: str,
     metadata_path: str,

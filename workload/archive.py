@@ -22,6 +22,7 @@ from tideline.schemas import (
 )
 from tideline.scratch import new_folder
 from tideline.sources.inventory import list_files
+from tideline.sources.manifest import adopt_date, files_read_on
 from tideline.sources.tables import read_slice
 from workload.ingest import ACCOUNT, CONTAINER, ONE_DATE
 from workload.landing import LANDING_KEY, landing_key, once, own_landed_orders, table
@@ -51,7 +52,14 @@ def _files_read(spark: SparkSession, sf_dir: str, name: str, viewed: bool) -> st
 
 
 def data_path(spark: SparkSession, sf_dir: str) -> str:
-    return _files_read(spark, sf_dir, "files-loaded", viewed=True)
+    """DATA of files read, rows written by other means, with the manifest it was given since."""
+
+    def adopt(folder: str) -> None:
+        adopt_date(spark, path, ONE_DATE)
+
+    path = _files_read(spark, sf_dir, "files-loaded", viewed=True)
+    once(spark, sf_dir, "files-loaded-manifest", adopt)
+    return path
 
 
 def metadata_path(spark: SparkSession, sf_dir: str) -> str:
@@ -60,7 +68,7 @@ def metadata_path(spark: SparkSession, sf_dir: str) -> str:
 
 def archive_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = {PROCESSED_DATE: ONE_DATE}
-    data = read_slice(spark, data_path(spark, sf_dir), FILES, **day)
+    data = files_read_on(spark, data_path(spark, sf_dir), ONE_DATE)
     metadata = read_slice(spark, metadata_path(spark, sf_dir), FILES, **day)
     return candidates(data, metadata, ONE_DATE)
 

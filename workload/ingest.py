@@ -22,9 +22,9 @@ from tideline.schemas import (
 )
 from tideline.scratch import new_folder
 from tideline.sources.inventory import list_files
-from tideline.sources.landing import source_cleaner
+from tideline.sources.landing import read_landing, source_cleaner
 from tideline.sources.tables import read_table
-from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for, start_batches
+from tideline.streaming.sinks import UNTIL_DONE, checkpoint_for, start_batches, start_table
 from tideline.streaming.writers import load_writer
 from workload.landing import (
     landed_customers,
@@ -72,8 +72,19 @@ def quarter_of(files: int) -> int:
 
 
 def csv_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stream of rows into Spark's own partitioned sink, read back by its log."""
     orders = table(spark, sf_dir, "orders")
-    data = load(spark, landed_orders(spark, sf_dir), orders.schema)
+    folder = new_folder(spark, "ingest")
+    landing = landed_orders(spark, sf_dir)
+    query = start_table(
+        with_processed_date(stamp(read_landing(spark, landing, orders.schema, header=True))),
+        f"{folder}/data",
+        checkpoint_for(f"{folder}/checkpoint", "ingest", landing),
+        f"ingest-{folder[-8:]}",
+        trigger=UNTIL_DONE,
+    )
+    query.awaitTermination()
+    data = read_table(spark, f"{folder}/data", data_schema(orders.schema))
     return data.select(*orders.columns, landing_key())
 
 
