@@ -2,11 +2,12 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import land, plan_of
+from conftest import land, plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tideline.functions.uri import blob_url, container_prefix, plain_path, strip_prefix
 from tideline.schemas import LOANS
+from tideline.sources import inventory
 from tideline.sources.inventory import list_files, with_properties
 
 PREFIX = container_prefix("jobs", "acct")
@@ -79,6 +80,28 @@ def test_listing_shows_files_without_rows(spark, landing):
 
 
 def test_listing_reads_no_content(spark, landing):
-
-
-    assert "content:binary" not in plan_of(list_files(spark, str(landing)))
+    assert "content:binary" not in plan_of(list_files(spark, str(landing), in_tasks=False))
+
+
+def test_listing_in_tasks_equals_the_scan(spark, tmp_path):
+    root = tmp_path / "in put"
+    names = [
+        "plain", "a b", "50%", "x+y", "ü", "a[1]", "{b,c}", "q?*", "h#i", "e=f", "t~!@$&'(),;:-_.z",
+        "j^k`l|m<n>\"o",
+    ]
+    for folder in ("", "key=1", "key=2/deep er/ö", "_hidden", ".dot", "_k=3"):
+        (root / folder).mkdir(parents=True, exist_ok=True)
+        for name in names if folder != "_k=3" else names[:2]:
+            land(root / folder / f"{name}.csv", f"{folder},{name}", header=None)
+    for name in ("_SUCCESS", ".x.csv", "_metadata", "y.csv._COPYING_"):
+        (root / name).write_text("x")
+    (root / "nothing.csv").write_text("")
+    listed = list_files(spark, str(root))
+    scanned = list_files(spark, str(root), in_tasks=False)
+    assert listed.dtypes == scanned.dtypes
+    assert rows_of(listed) == rows_of(scanned)
+    assert listed.count() == 3 * len(names) + 2
+    for per_task in (1, 2):
+        assert rows_of(inventory._listed_in_tasks(spark, str(root), per_task)) == rows_of(scanned)
+    assert all("listing-" in name for name in listed.inputFiles())
+    assert list_files(spark, f"file:{root}/key=1/").count() == len(names)

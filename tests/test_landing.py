@@ -7,7 +7,12 @@ import pytest
 from conftest import ANN, BO, land, rows_of
 from pyspark.sql import types as T
 
-from tideline.plans.jobs import start_audit, start_load, start_load_and_audit
+from tideline.plans.jobs import (
+    archive_committed,
+    start_audit,
+    start_load,
+    start_load_and_audit,
+)
 from tideline.schemas import FILES, LOANS, data_schema, metadata_schema
 from tideline.sources.landing import CLEANER_THREADS, read_landing, source_cleaner
 from tideline.sources.tables import read_table
@@ -151,6 +156,23 @@ def test_finished_files_are_archived_one_batch_late(spark, landing, tmp_path):
     assert len(list((tmp_path / "old").rglob("*.csv"))) == 3
 
 
+def test_committed_files_are_swept_to_where_cleaning_puts_them(spark, landing, tmp_path):
+    paths = f"{tmp_path}/data", f"{tmp_path}/metadata"
+    with source_cleaner(spark, cleanup_delay="60s", threads=0):
+        start_load_and_audit(
+            spark, str(landing), LOANS, *paths, f"{tmp_path}/checkpoint", "age",
+            trigger=UNTIL_DONE, header=True, max_files_per_trigger=2, archive_dir=f"{tmp_path}/old",
+        ).awaitTermination()
+    assert len(list(landing.glob("*.csv"))) == 2
+    land(landing / "later.csv", ANN)
+    sweep = f"{tmp_path}/old", f"{tmp_path}/list", f"{tmp_path}/status"
+    status = archive_committed(spark, str(landing), paths[1], *sweep)
+    assert [row.status for row in status.collect()] == ["success"] * 2
+    assert [p.name for p in landing.glob("*.csv")] == ["later.csv"]
+    kept = tmp_path / "old" / str(landing).lstrip("/")
+    assert len(list((tmp_path / "old").rglob("*.csv"))) == len(list(kept.glob("*.csv"))) == 4
+
+
 def test_no_archive_without_a_folder(spark, landing):
     assert read_landing(spark, str(landing), LOANS).columns == LOANS.names
 

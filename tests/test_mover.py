@@ -64,3 +64,41 @@ def test_a_run_repeated_goes_by_its_list_and_has_one_row_per_file(spark, landing
     assert list(landing.glob("*.csv")) == []
     land(landing / "g.csv", "New,1")
     assert run_moves(sources(spark, landing), *args, run=1).count() == 1
+
+
+def test_moves_by_copy_are_taken_up_wherever_they_stopped(spark, tmp_path):
+    """Four files, each left as an attempt that stopped at another step leaves it."""
+    folder, archive = tmp_path / "in", tmp_path / "old"
+    folder.mkdir()
+    target = Path(f"{archive}{folder}")
+    target.mkdir(parents=True)
+    names = ["fresh", "half", "published", "deleted", "untouched", "other"]
+    for name in names:
+        land(folder / f"{name}.csv", f"{name},1")
+    text = {name: (folder / f"{name}.csv").read_text() for name in names}
+    (target / ".half.csv.moving").write_text(text["half"][:3])
+    (target / "published.csv").write_text(text["published"])
+    (target / ".published.csv.moving").write_text(text["published"])
+    (folder / "deleted.csv").rename(target / "deleted.csv")
+    # As long as the source, but not the same.
+    (target / "other.csv").write_text(text["other"].replace("1", "2"))
+    listed = spark.createDataFrame([(f"file:{folder}/{n}.csv",) for n in names], "source_file string")
+    status = run_moves(
+        listed, str(archive), str(tmp_path / "list"), str(tmp_path / "status"), in_one_step=False
+    )
+    rows = {row.file_path.rsplit("/", 1)[1]: row for row in status.collect()}
+    assert {name for name, row in rows.items() if row.status == "failed"} == {"other.csv"}
+    assert "FileExistsError" in rows["other.csv"].exception
+    assert [p.name for p in folder.iterdir()] == ["other.csv"]
+    assert sorted(p.name for p in target.iterdir()) == sorted(f"{name}.csv" for name in names)
+    assert all((target / f"{n}.csv").read_text() == text[n] for n in names if n != "other")
+
+
+def test_an_equal_target_finishes_a_move_by_rename_too(spark, landing, tmp_path):
+    archive = tmp_path / "old"
+    target = Path(f"{archive}{landing}")
+    target.mkdir(parents=True)
+    (target / "a.csv").write_text((landing / "a.csv").read_text())
+    one = spark.createDataFrame([(f"file:{landing}/a.csv",)], "source_file string")
+    row = run_moves(one, str(archive), str(tmp_path / "list"), str(tmp_path / "status")).first()
+    assert row.status == "success" and not (landing / "a.csv").exists()

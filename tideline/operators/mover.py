@@ -8,13 +8,20 @@ from pyspark.sql import types as T
 
 from tideline.functions.uri import plain_path
 from tideline.schemas import FILE_PATH, MOVE_STATUS, MOVED, NOT_MOVED, SOURCE_FILE
+from tideline.sources.stores import store_finder
 from tideline.sources.tables import read_slice, slice_is_whole, write_slice
 
 LISTED = T.StructType([T.StructField(SOURCE_FILE, T.StringType())])
 
 
-def _mover(archive_dir: str, moved: str, not_moved: str):
+# The stores in which a rename is one step.
+RENAMING = ("local", "hdfs")
+
+
+def _mover(archive_dir: str, moved: str, not_moved: str, in_one_step: bool | None):
     """The function run in the tasks; self-contained, so workers need no copy of this package."""
+    renaming = RENAMING
+    store_for = store_finder()
 
     def move_files_of(batches):
         import posixpath
@@ -25,23 +32,8 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
         import pandas as pd
         from pyarrow import fs
 
-        stores = {}
         made = set()
 
-        def store_for(address):
-            """The store of an address and the path in it."""
-            parts = urlsplit(address)
-            if parts.scheme in ("", "file"):
-                local = stores.setdefault("file", fs.LocalFileSystem())
-                return local, address.removeprefix("file:")
-            key = (parts.scheme, parts.netloc)
-            if key not in stores:
-                scheme = "s3" if parts.scheme in ("s3a", "s3n") else parts.scheme
-                stores[key], root = fs.FileSystem.from_uri(f"{scheme}://{parts.netloc}/")
-                stores[key, "root"] = root.rstrip("/")
-            tail = address.split(parts.netloc, 1)[1]
-            return stores[key], stores[key, "root"] + tail
-
         def archive_address(address):
             """The archive folder; a plain path is meant in the file's own store."""
             if urlsplit(archive_dir).scheme:
@@ -51,8 +43,35 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
                 return archive_dir
             return f"{parts.scheme}://{parts.netloc}/{archive_dir.lstrip('/')}"
 
-        def exists(store, path):
-            return store.get_file_info(path).type != fs.FileType.NotFound
+        def size_of(store, path):
+            """The length of a file, None if there is none."""
+            found = store.get_file_info(path)
+            return None if found.type == fs.FileType.NotFound else found.size
+
+        def alike(store, one, other):
+            if size_of(store, one) != size_of(store, other):
+                return False
+            with store.open_input_stream(one) as a, store.open_input_stream(other) as b:
+                while chunk := a.read(1 << 20):
+                    if b.read(len(chunk)) != chunk:
+                        return False
+            return True
+
+        def publish_copy(store, source, target, hidden):
+            """The target is there whole or not at all, whatever step is the last one done."""
+            store.copy_file(source, hidden)
+            if size_of(store, hidden) != size_of(store, source):
+                raise OSError(f"the copy of {source} is not whole")
+            store.move(hidden, target)
+            store.delete_file(source)
+
+        def rename(store, source, target):
+            try:
+                store.move(source, target)
+            except OSError:
+                # Another attempt of the task was quicker.
+                if size_of(store, source) is not None or size_of(store, target) is None:
+                    raise
 
         def move(address):
             store, source = store_for(address)
@@ -60,22 +79,29 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
             if archive_store != store:
                 raise ValueError(f"{address} is not in the store of {archive_dir}")
             target = posixpath.join(archive, source.lstrip("/"))
-            if not exists(store, source):
+            folder, name = posixpath.split(target)
+            hidden = posixpath.join(folder, f".{name}.moving")
+            if size_of(store, source) is None:
                 # A retried or speculative task finds its move done.
-                if exists(store, target):
+                if size_of(store, target) is not None:
                     return
                 raise FileNotFoundError(source)
-            if exists(store, target):
-                raise FileExistsError(target)
-            folder = posixpath.dirname(target)
+            if size_of(store, target) is not None:
+                # An attempt that published its copy and went no further is finished.
+                if not alike(store, source, target):
+                    raise FileExistsError(target)
+                store.delete_file(source)
+                if size_of(store, hidden) is not None:
+                    store.delete_file(hidden)
+                return
             if folder not in made:
                 store.create_dir(folder, recursive=True)
                 made.add(folder)
-            try:
-                store.move(source, target)
-            except OSError:
-                if exists(store, source) or not exists(store, target):
-                    raise
+            one_step = store.type_name in renaming if in_one_step is None else in_one_step
+            if one_step:
+                rename(store, source, target)
+            else:
+                publish_copy(store, source, target, hidden)
 
         for batch in batches:
             rows = []
@@ -91,7 +117,9 @@ def _mover(archive_dir: str, moved: str, not_moved: str):
     return move_files_of
 
 
-def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) -> DataFrame:
+def move_files(
+    files: DataFrame, archive_dir: str, tasks: int | None = None, in_one_step: bool | None = None
+) -> DataFrame:
     """Move each source file below `archive_dir`, under its own full path, and report the outcome.
 
     The archive is in the store the files are in; an `archive_dir` with no scheme says just that.
@@ -99,12 +127,19 @@ def move_files(files: DataFrame, archive_dir: str, tasks: int | None = None) ->
     not a listing of the folder being emptied that a lost task would compute anew, and the result
     is meant to be written once. `run_moves` sees to both. A repeated attempt of a move that was
     done counts as success, and an archived file is never overwritten.
+
+    In a store that renames in one step a move is a rename. In others, such as object stores, the
+    file is copied under a hidden name, its length checked, the copy published and then the source
+    deleted; an attempt that stopped anywhere in between is taken up by the next, which finds
+    either no target or one equal to the source. `in_one_step` overrules what the store's type says.
     """
     tasks = tasks or files.sparkSession.sparkContext.defaultParallelism
     paths = files.select(
         F.col(SOURCE_FILE).alias(FILE_PATH), plain_path(SOURCE_FILE).alias("raw_path")
     )
-    return paths.repartition(tasks).mapInPandas(_mover(archive_dir, MOVED, NOT_MOVED), MOVE_STATUS)
+    return paths.repartition(tasks).mapInPandas(
+        _mover(archive_dir, MOVED, NOT_MOVED, in_one_step), MOVE_STATUS
+    )
 
 
 def run_moves(
@@ -114,6 +149,7 @@ def run_moves(
     status_path: str,
     tasks: int | None = None,
     run: int = 0,
+    in_one_step: bool | None = None,
 ) -> DataFrame:
     """Move the files and return the stored status of this run, one row for each file.
 
@@ -125,5 +161,5 @@ def run_moves(
     if not slice_is_whole(spark, list_path, run=run):
         write_slice(files.select(SOURCE_FILE).distinct(), list_path, run=run)
     stored = read_slice(spark, list_path, LISTED, run=run)
-    write_slice(move_files(stored, archive_dir, tasks), status_path, run=run)
+    write_slice(move_files(stored, archive_dir, tasks, in_one_step), status_path, run=run)
     return read_slice(spark, status_path, MOVE_STATUS, run=run)

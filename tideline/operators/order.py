@@ -9,7 +9,7 @@ the end. No task holds more than a range, and the driver sees one row per range.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,17 +123,28 @@ def slice_of_run(
     taken = (row["first"] for row in others if row["first"] >= first and row["end"] > row["first"])
     end = min([total, *taken, *([first + limit] if limit >= 0 else [])])
     end = max(first, end)
-    interval = spark.createDataFrame([(first, end)], "first long, end long")
+    interval = spark.range(1).select(
+        F.lit(first).cast("long").alias("first"), F.lit(end).cast("long").alias("end")
+    )
     write_slice(interval, f"{path}/runs", fmt, **{PROCESSED_DATE: date, RUN: run})
     met = [row for row in ranges if row["start"] < end and row["start"] + row["files"] > first]
     files = spark.createDataFrame([], FILES).select(SOURCE_FILE)
     for part in sorted({row[PART] for row in met}):
         own = [row for row in met if row[PART] == part]
-        # Ranges lie in files of their own, whose statistics let a scan pass over the others.
-        starts = spark.createDataFrame([(r["range"], r["start"]) for r in own], "range int, start long")
         rows = read_slice(spark, f"{path}/rows", ROWS, fmt, **{PROCESSED_DATE: date, PART: part})
-        rows = rows.filter(F.col("range").between(own[0]["range"], own[-1]["range"]))
-        position = F.col("start") + F.col("place")
-        found = rows.join(F.broadcast(starts), "range").filter((position >= first) & (position < end))
-        files = files.unionByName(found.select(SOURCE_FILE))
+        inside = _between(own[0], first - own[0]["start"], own[-1], end - own[-1]["start"])
+        files = files.unionByName(rows.filter(inside).select(SOURCE_FILE))
     return files
+
+
+def _between(first: Row, place: int, last: Row, end: int) -> Column:
+    """Rows from a place of one range up to, but without, a place of another.
+
+    Ranges lie in files of their own, whose statistics let a scan pass over the others.
+    """
+    number = F.col("range")
+    return (
+        number.between(first["range"], last["range"])
+        & ((number > first["range"]) | (F.col("place") >= place))
+        & ((number < last["range"]) | (F.col("place") < end))
+    )

@@ -16,6 +16,7 @@ from pyspark.sql.types import StructType
 
 from tideline.functions.stamps import stamp, with_processed_date
 from tideline.operators import archive, order
+from tideline.operators.mover import run_moves
 from tideline.schemas import (
     BATCH_ID,
     FILES,
@@ -42,6 +43,7 @@ from tideline.sources.tables import (
     read_date,
     prepare_table,
     read_slice,
+    read_table,
     slice_is_whole,
     table_exists,
     write_slice,
@@ -185,6 +187,28 @@ def start_load_and_audit(
     )
 
 
+def archive_committed(
+    spark: SparkSession,
+    landing_path: str,
+    metadata_path: str,
+    archive_dir: str,
+    lists_path: str,
+    status_path: str,
+    fmt: str = "parquet",
+    run: int = 0,
+    tasks: int | None = None,
+) -> DataFrame:
+    """Move every landed file that METADATA says is committed to `archive_dir`; the moves' status.
+
+    Cleaning at the source lags a batch, so the files of a stream's last batch stay; this takes them
+    after the stream has ended, or beside it: a file in METADATA is not read again. The files go
+    where cleaning at the source puts them. Each sweep of a landing folder is a `run` of its own.
+    """
+    committed = read_table(spark, metadata_path, FILES, fmt).select(SOURCE_FILE)
+    done = list_files(spark, landing_path).join(committed, SOURCE_FILE, "left_semi")
+    return run_moves(done, archive_dir, lists_path, status_path, tasks, run)
+
+
 def _stream_of_checkpoint(spark: SparkSession, checkpoint: str) -> str:
     """The id that a stream keeps in its checkpoint for life."""
     return spark.read.json(f"{checkpoint}/metadata").first()["id"]

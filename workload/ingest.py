@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 
 from tideline.functions.stamps import stamp, with_processed_date
 from tideline.functions.uri import blob_url, container_prefix, strip_prefix
-from tideline.plans.jobs import start_load, start_load_and_audit
+from tideline.plans.jobs import archive_committed, start_load, start_load_and_audit
 from tideline.schemas import (
+    MOVED,
     PROCESSED_DATE,
     PROCESSING_TIME,
     RECORD_COUNT,
@@ -150,7 +151,10 @@ def partitioned_sink_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Load and audit in one job that archives at the source; what was read and what lies where."""
+    """Load and audit in one job that archives at the source, then sweep up its last batch's files.
+
+    The result tells what was read and what lies where.
+    """
     landing = own_landed_orders(spark, sf_dir)
     folder = new_folder(spark, "archived")
     orders = table(spark, sf_dir, "orders").schema
@@ -169,6 +173,9 @@ def clean_source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
             max_files_per_trigger=quarter_of(order_files(spark, sf_dir)),
             archive_dir=f"{folder}/old",
         ).awaitTermination()
+    swept = archive_committed(
+        spark, landing, f"{folder}/metadata", f"{folder}/old", f"{folder}/list", f"{folder}/status"
+    )
     data = read_table(spark, f"{folder}/data", data_schema(orders))
     audited = read_table(spark, f"{folder}/metadata", metadata_schema(T.LongType()))
     csv = F.col(SOURCE_FILE).endswith(".csv")
@@ -178,6 +185,7 @@ def clean_source_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_rows": per_file.select("n"),
         "n_audited": audited.select(F.lit(1).alias("n")),
         "n_audited_rows": audited.select(F.col(RECORD_COUNT).alias("n")),
+        "n_swept": swept.filter(F.col("status") == MOVED).select(F.lit(1).alias("n")),
         "n_left": list_files(spark, landing).filter(csv).select(F.lit(1).alias("n")),
         "n_archived": list_files(spark, f"{folder}/old").filter(csv).select(F.lit(1).alias("n")),
     }
@@ -191,11 +199,26 @@ CONTAINER, ACCOUNT = "jobs", "acct"
 
 
 def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Data-lake addresses whose path holds the scheme name and the container prefix once more."""
+    """Addresses around the URL of each page, in the eight forms that rows of real logs mix.
+
+    Our container; the same holding its own prefix and the scheme further on; other containers,
+    accounts and schemes; near misses with a letter for a dot, an account that only begins like
+    ours and another case; and the URL itself.
+    """
     prefix = container_prefix(CONTAINER, ACCOUNT)
-    address = F.concat(
-        F.lit(f"{prefix}abfss/"), F.col("page_id"), F.lit(f"/{prefix}"), F.lit("in.csv")
-    )
+    url = F.col("url")
+    forms = [
+        F.concat(F.lit(prefix), url),
+        F.concat(F.lit(f"{prefix}abfss/"), url, F.lit(f"/{prefix}in.csv")),
+        F.concat(F.lit(container_prefix("other", ACCOUNT)), url),
+        F.concat(F.lit(container_prefix(CONTAINER, "acct2")), url),
+        F.concat(F.lit(f"abfs://{CONTAINER}@{ACCOUNT}.dfs.core.windows.net/"), url),
+        F.concat(F.lit(f"abfss://{CONTAINER}@{ACCOUNT}Xdfs.core.windows.net/"), url),
+        F.concat(F.lit(f"ABFSS://{CONTAINER}@{ACCOUNT}.dfs.core.windows.net/"), url),
+        url,
+    ]
+    form = F.pmod("page_id", F.lit(len(forms)))
+    address = F.element_at(F.array(*forms), (form + 1).cast("int"))
     return table(spark, sf_dir, "pages").select("page_id", address.alias("uri"))
 
 

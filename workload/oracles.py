@@ -7,6 +7,20 @@ from workload.landing import ORDERS_PER_FILE, YEAR_STEP
 
 KEY = f"(year(o_orderdate) * {YEAR_STEP} + o_orderkey // {ORDERS_PER_FILE})::BIGINT"
 PREFIX = f"abfss://{CONTAINER}@{ACCOUNT}.dfs.core.windows.net/"
+BLOB = f"https://{ACCOUNT}.blob.core.windows.net/"
+TAIL = ".dfs.core.windows.net/"
+ADDRESSES = f"""
+    SELECT page_id, url, CASE page_id % 8
+        WHEN 0 THEN '{PREFIX}' || url
+        WHEN 1 THEN '{PREFIX}abfss/' || url || '/{PREFIX}in.csv'
+        WHEN 2 THEN 'abfss://other@{ACCOUNT}{TAIL}' || url
+        WHEN 3 THEN 'abfss://{CONTAINER}@acct2{TAIL}' || url
+        WHEN 4 THEN 'abfs://{CONTAINER}@{ACCOUNT}{TAIL}' || url
+        WHEN 5 THEN 'abfss://{CONTAINER}@{ACCOUNT}Xdfs.core.windows.net/' || url
+        WHEN 6 THEN 'ABFSS://{CONTAINER}@{ACCOUNT}{TAIL}' || url
+        ELSE url END AS uri
+    FROM pages
+"""
 DAY_FILES = f"""
     SELECT '{PREFIX}landing/' || user_id || '.csv' AS source_file
     FROM events WHERE event_type = 'view' AND strftime(ts, '%Y-%m-%d') = '{ONE_DATE}'
@@ -54,19 +68,25 @@ ORACLE_SQL = {
     """,
     "clean_source_archive": f"""
         SELECT n AS n_files,
-               (n - per_batch * (ceil(n / per_batch::DOUBLE) - 1))::BIGINT AS n_left,
-               (per_batch * (ceil(n / per_batch::DOUBLE) - 1))::BIGINT AS n_archived,
+               (n - per_batch * (ceil(n / per_batch::DOUBLE) - 1))::BIGINT AS n_swept,
+               0::BIGINT AS n_left, n AS n_archived,
                n_rows, n AS n_audited, n_rows AS n_audited_rows
         FROM ({FILE_COUNT})
     """,
     "storage_uri_to_blob_url": f"""
-        SELECT page_id,
-               'https://{ACCOUNT}.blob.core.windows.net/{CONTAINER}/abfss/' || page_id
-                   || '/{PREFIX}in.csv' AS url
-        FROM pages
+        SELECT page_id, CASE page_id % 8
+            WHEN 0 THEN '{BLOB}{CONTAINER}/' || url
+            WHEN 1 THEN '{BLOB}{CONTAINER}/abfss/' || url || '/{PREFIX}in.csv'
+            WHEN 2 THEN '{BLOB}other/' || url
+            WHEN 3 THEN 'https://acct2.blob.core.windows.net/{CONTAINER}/' || url
+            ELSE uri END AS url
+        FROM ({ADDRESSES})
     """,
     "strip_container_prefix": f"""
-        SELECT page_id, 'abfss/' || page_id || '/{PREFIX}in.csv' AS file_path FROM pages
+        SELECT page_id, CASE page_id % 8
+            WHEN 0 THEN url WHEN 1 THEN 'abfss/' || url || '/{PREFIX}in.csv'
+            ELSE uri END AS file_path
+        FROM ({ADDRESSES})
     """,
     "file_metadata_audit": AUDIT,
     "audit_join_form": AUDIT,
