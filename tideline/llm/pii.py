@@ -2,8 +2,9 @@
 
 The patterns find protected entities: addresses of mail and hosts, card and phone numbers. Then the
 corpus tells which other terms give an entity away. A term is a word with a letter or digit, however
-short, that touches no pattern's span. Addresses of one mail domain are also taken together, as an entity of
-their own, so that those seen once have evidence. `P(entity | term)` is the share of the term's occurrences in
+short, that touches no pattern's span. Addresses of one mail domain, and those that share a part of
+the mailbox name, are also taken together, as an entity of their own, so that those seen once have
+evidence. `P(entity | term)` is the share of the term's occurrences in
 the corpus that lie within `REACH` words of that entity; its pointwise information about the entity
 is `log2(P(entity | term) / P(entity))`. A term discloses if for some entity the share is at least
 `SHARE`, the information is at least `BITS`, and it was seen in `SUPPORT` different contexts, or in
@@ -38,6 +39,8 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORDS = re.compile(WORD)
+# Parts of a mailbox name that may name its owner.
+NAMES = re.compile("[a-z]{3,}")
 
 REACH = 8
 SHARE = 0.5
@@ -45,11 +48,15 @@ BITS = 8.0
 SUPPORT = 3
 LONE_SUPPORT = 2
 CHUNK_BYTES = 4 << 20
+# Terms are sent to all tasks up to this many, and this many bytes of them.
+SENT_TERMS = 200_000
+SENT_BYTES = 8 << 20
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
 FOUND = (
-    "doc_id long, row_key binary, n_email long, n_ip long, n_card long, n_phone long,"
+    "doc_id long, row_key binary, n_words long,"
+    " n_email long, n_ip long, n_card long, n_phone long,"
     " spans array<struct<start:int,kind:int,end:int>>,"
     " near array<struct<entity:string,term:string,context:long,n:int>>"
 )
@@ -85,7 +92,8 @@ def pattern_spans(text: str) -> list[Span]:
     """The spans of the four patterns, by start and kind."""
     spans = [(a, 0, b) for a, b in _emails(text)]
     for m in IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
+        parts = [part.lstrip("0") for part in m.group().split(".")]
+        if all(len(part) <= 3 and int(part or "0") <= 255 for part in parts):
             spans.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = _digits(m.group())
@@ -119,7 +127,9 @@ def _near(text: str, spans: list[Span]) -> list[tuple[str, str, int, int]]:
         span = text[start:end]
         pools = [f"{KINDS[kind]}:{span}"]
         if kind == KINDS.index("email"):
-            pools.append(f"domain:{span.rpartition('@')[2].lower()}")
+            mailbox, _, domain = span.lower().rpartition("@")
+            pools.append(f"domain:{domain}")
+            pools += [f"name:{part}" for part in set(NAMES.findall(mailbox))]
         for entity in pools:
             places.setdefault(entity, []).append((max(0, low - REACH), min(len(words), high + REACH)))
     out: list[tuple[str, str, int, int]] = []
@@ -151,10 +161,12 @@ def _find_task():
         for chunk in text_chunks(batches, CHUNK_BYTES):
             ids = chunk.column(chunk.schema.get_field_index("doc_id"))
             texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
-            keys, counts, spans, nears = [], [[], [], [], []], [], []
+            keys, sizes, counts, spans, nears = [], [], [[], [], [], []], [], []
             for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
                 text = text or ""
                 own = pattern_spans(text)
+                # `bytes.split` parts at the same six characters as words do.
+                sizes.append(len(text.encode("utf-8", "surrogatepass").split()))
                 keys.append(hashlib.sha256(f"{doc_id}:{text}".encode("utf-8", "surrogatepass")).digest())
                 for kind in range(4):
                     counts[kind].append(sum(1 for s in own if s[1] == kind))
@@ -166,11 +178,12 @@ def _find_task():
                 [
                     ids,
                     pa.array(keys, pa.binary()),
+                    pa.array(sizes, pa.int64()),
                     *(pa.array(c, pa.int64()) for c in counts),
                     pa.array(spans, pa.list_(span)),
                     pa.array(nears, pa.list_(near)),
                 ],
-                names=["doc_id", "row_key", "n_email", "n_ip", "n_card", "n_phone", "spans", "near"],
+                names=["doc_id", "row_key", "n_words", "n_email", "n_ip", "n_card", "n_phone", "spans", "near"],
             )
 
     return find
@@ -181,10 +194,25 @@ def _row_key() -> Column:
     return F.unhex(F.sha2(named, 256))
 
 
-def _terms_of(docs: DataFrame) -> DataFrame:
-    """`term` for each word of each text that can be one."""
-    words = docs.select(F.explode(F.split(whole_text(), SPACES)).alias("term"))
-    return words.filter("term <> ''")
+def _few(terms: DataFrame) -> bool:
+    """Whether stored `terms` are few and short enough to be sent to every task."""
+    n, size = terms.agg(F.count(F.lit(1)), F.sum(F.octet_length("term"))).first()
+    return n <= SENT_TERMS and (size or 0) <= SENT_BYTES
+
+
+def _occurrences(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """`term, occurs`: how often each of the stored, distinct `terms` is a word of the texts.
+
+    Few terms are sent to the tasks, so of all words only these are left to count. Many are met by
+    the counts of all words, which tasks add up before anything is shuffled.
+    """
+    words = docs.select(F.explode(F.split(whole_text(), SPACES)).alias("term")).filter("term <> ''")
+    if _few(terms):
+        return words.join(F.broadcast(terms), "term", "left_semi").groupBy("term").agg(
+            F.count(F.lit(1)).alias("occurs")
+        )
+    counted = words.groupBy("term").agg(F.count(F.lit(1)).alias("occurs"))
+    return counted.join(terms, "term", "left_semi")
 
 
 def disclosing_terms(
@@ -205,14 +233,9 @@ def disclosing_terms(
     )
     lone_support = min(LONE_SUPPORT, support)
     pairs = stage(pairs.filter(F.col("contexts") >= lone_support), "pii-pairs")
-    counted = (
-        _terms_of(docs)
-        .join(pairs.select("term").distinct(), "term", "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("occurs"))
-    )
+    counted = _occurrences(docs, stage(pairs.select("term").distinct(), "pii-candidates"))
     of_entity = near.groupBy("entity").agg(F.sum("n").alias("beside"))
-    total = docs.select(F.sum(F.size(F.split(whole_text(), SPACES))).alias("n")).scalar()
+    total = found.agg(F.sum("n_words")).first()[0] or 0
     share = F.col("together") / F.col("occurs")
     bits = F.log2(share / (F.col("beside") / total))
     return (
@@ -260,16 +283,20 @@ def personal_data(docs: DataFrame, **thresholds: float) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = stage(rows.mapInArrow(_find_task(), FOUND), "pii-found")
     terms = stage(disclosing_terms(rows, found, **thresholds), "pii-terms")
-    narrow = found.drop("near").withColumnRenamed("spans", "base")
+    narrow = found.drop("near", "n_words").withColumnRenamed("spans", "base")
     if terms.isEmpty():
         return narrow.withColumn("spans", F.col("base"))
     # Lone terms are nowhere but beside entities, so only the others are looked for in all texts.
-    beside = found.select("row_key", F.explode("near.term").alias("term")).join(terms.filter("lone"), "term")
-    anywhere = rows.select(
-        _row_key().alias("row_key"), F.explode(F.array_distinct(F.split(whole_text(), SPACES))).alias("term")
-    ).join(terms.filter("not lone"), "term")
+    hit = found.select("row_key", F.explode("near.term").alias("term")).join(terms.filter("lone"), "term")
+    others = terms.filter("not lone")
+    if not others.isEmpty():
+        anywhere = rows.select(
+            _row_key().alias("row_key"), F.explode(F.array_distinct(F.split(whole_text(), SPACES))).alias("term")
+        )
+        few = _few(others)
+        hit = hit.unionByName(anywhere.join(F.broadcast(others) if few else others, "term"))
     hit = (
-        beside.unionByName(anywhere)
+        hit
         .groupBy("row_key")
         .agg(F.collect_set("term").alias("terms"))
     )
