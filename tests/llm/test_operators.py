@@ -116,7 +116,10 @@ def test_near_duplicates_do_not_depend_on_the_block(docs):
     )
 
 
-def test_repeated_windows_equal_brute_force(docs, nothing):
+@pytest.mark.parametrize("sent, held, bucket", [(10**6, 10**8, 10**4), (0, 500, 3), (10**6, 2000, 1)])
+def test_repeated_windows_equal_brute_force(docs, nothing, monkeypatch, sent, held, bucket):
+    for name, value in (("SENT", sent), ("HELD", held), ("BUCKET", bucket)):
+        monkeypatch.setattr(superkmers, name, value)
     seen: set[tuple[str, ...]] = set()
     expected: list[tuple] = []
     own = {}
@@ -304,6 +307,55 @@ def test_patterns():
     ]
 
 
+def test_patterns_of_very_long_runs_of_digits():
+    zeros = "0" * 6000
+    text = f"{zeros}.1.1.1 {zeros}.{zeros}.{zeros}.{zeros} 1.1.1.{'9' * 6000} {'4' * 9000} +{'1' * 9000}"
+    found = [(pii.KINDS[k], a, b) for a, k, b in pii.pattern_spans(text)]
+    assert found == [("ip", 0, 6006), ("ip", 6007, 6007 + 24003)]
+
+
+def contract_spans(text):
+    """The contract's patterns as they are written, checked match by match."""
+
+    def luhn(digits):
+        doubled = [int(d) * (1 + k % 2) for k, d in enumerate(reversed(digits))]
+        return sum(v - 9 if v > 9 else v for v in doubled) % 10 == 0
+
+    def digits(m):
+        return re.sub("[^0-9]", "", m)
+
+    kinds = [
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda m: 14 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 10 <= len(digits(m)) <= 15),
+    ]
+    return sorted(
+        (m.start(), k, m.end())
+        for k, (pattern, holds) in enumerate(kinds)
+        for m in re.finditer(pattern, text)
+        if holds(m.group())
+    )
+
+
+def test_base_spans_equal_the_contract_on_all_given_texts(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    found = 0
+    for _, text in rows:
+        spans = pii.pattern_spans(text or "")
+        assert spans == contract_spans(text or "")
+        found += len(spans)
+    assert found > 50
+
+
+@pytest.mark.parametrize("sent", [0, 200_000])
+def test_terms_are_counted_alike_however_many_there_are(spark, monkeypatch, sent):
+    monkeypatch.setattr(pii, "SENT_TERMS", sent)
+    rows = spark.createDataFrame([(1, "a b  a\tc"), (2, None), (3, " b\n")], "doc_id long, text string")
+    terms = spark.createDataFrame([("a",), ("b",), ("x",)], "term string")
+    assert sorted(map(tuple, pii._occurrences(rows, terms).collect())) == [("a", 2), ("b", 2)]
+
+
 def test_disclosing_terms_and_sanitised_texts(spark, docs, nothing):
     filler = [" ".join(f"w{(k * 7 + j) % 90}abc" for j in range(40)) for k in range(30)]
     rows = [(k, t) for k, t in enumerate(filler)]
