@@ -243,62 +243,96 @@ def test_fingerprints_stand_on_lexicon_terms_alone(spark):
     assert len({prints[10 + k] for k in range(20)}) == 20 and " " not in prints[10]
 
 
-def test_cross_entropy_tells_target_from_background(docs, nothing):
-    target = docs.filter("doc_id < 5")
-    scored = cross_entropy.score(docs, target, docs)
+def test_cross_entropy_of_odd_rows(docs, nothing):
+    in_target = F.col("doc_id") < 5
+    scored = cross_entropy.score(docs, in_target, documents=1)
     assert scored.columns.count("score") == 1
     rows = scored.collect()
     assert len(rows) == docs.count()
-    inside = [r.score for r in rows if r.doc_id is not None and r.doc_id < 5]
-    outside = [r.score for r in rows if r.doc_id is not None and 5 <= r.doc_id < 24]
-    assert max(inside) < min(outside)
-    again = cross_entropy.score(docs.repartition(5), target, docs).collect()
+    again = cross_entropy.score(docs.repartition(5), in_target, documents=1).collect()
     assert sorted(repr((r.doc_id, round(r.score, 6))) for r in again) == sorted(
         repr((r.doc_id, round(r.score, 6))) for r in rows
     )
-    assert cross_entropy.score(nothing, nothing, nothing).count() == 0
+    unmarked = cross_entropy.score(docs, F.lit(None).cast("boolean")).collect()
+    assert len(unmarked) == docs.count() and {r.score for r in unmarked} == {0.0}
+    assert cross_entropy.score(nothing, in_target).count() == 0
 
 
-def test_cross_entropy_equals_bigrams_of_real_words(spark):
+@pytest.mark.parametrize("sent_words, buckets, documents", [(10**6, 16, 2), (0, 3, 2), (10**6, 16, 1)])
+def test_cross_entropy_equals_models_without_the_text(spark, monkeypatch, sent_words, buckets, documents):
     import math
     from collections import Counter
 
+    monkeypatch.setattr(cross_entropy, "LEAST_BUCKETS", buckets)
+    monkeypatch.setattr(cross_entropy, "MOST", 3)
     rng = random.Random(3)
-    names = [f"word{k}" for k in range(3000)]
-    background = [" ".join(rng.choices(names, k=40)) for _ in range(150)]
-    target = background[:40] + ["new in target"]
-    scored = [*background[::30], background[0].upper(), "never seen word1 word2", "new word1", "", None]
+    names = [f"word{k}" for k in range(400)]
+    texts = [" ".join(rng.choices(names, k=rng.randint(1, 60))) for _ in range(150)]
+    texts += [texts[0].upper(), "never seen word1 word2", "a a a a a a a a a", "", None, texts[7]]
+    rows = list(enumerate(texts)) + [(7, texts[7]), (None, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    in_target = (F.col("doc_id") < 60) | (F.col("doc_id") == 152)
+    marks = {(r.key, r.text): r.marks for r in cross_entropy.marked(docs, in_target).collect()}
+    keyed = docs.select("doc_id", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))).alias("key"))
+    own_marks = {(r.doc_id, r.text): marks[r.key, r.text or ""] for r in keyed.collect()}
+    assert 20 < sum(m & 2 > 0 for m in own_marks.values()) < 120
+
+    def words_of(text):
+        return ["", *WORDS.findall((text or "").lower()), ""]
+
+    seen = Counter(w for i, t in rows if own_marks[i, t] & 1 for w in set(words_of(t)))
+    vocabulary = {w for w in seen if w == "" or seen[w] >= documents}
+    size = len(vocabulary) + 1
 
     def counts(some):
-        words = [["", *WORDS.findall((t or "").lower()), ""] for t in some]
-        pairs = Counter((a, b) for own in words for a, b in zip(own, own[1:]))
-        singles = Counter(b for own in words for b in own[1:])
-        return pairs, singles, sum(singles.values())
-
-    models = [counts(target), counts(background)]
-    size = len({w for m in models for w in m[1] if w}) + 2
-
-    def mean_loss(text, model):
-        pairs, singles, total = model
-        own = ["", *WORDS.findall((text or "").lower()), ""]
+        pairs, singles = Counter(), Counter()
+        for text in some:
+            own = words_of(text)
+            pairs.update((a, b) for a, b in zip(own, own[1:]) if a in vocabulary and b in vocabulary)
+            singles.update(w if w in vocabulary else None for w in own[1:])
+        return pairs, singles
+
+    models = [counts([t for i, t in rows if own_marks[i, t] & mark]) for mark in (1, 2)]
+
+    def mean_loss(text, model, mine):
+        pairs, singles = (Counter(c) for c in model)
+        if mine:
+            for all_counts, own_counts in zip((pairs, singles), counts([text])):
+                all_counts.subtract(own_counts)
+        total = sum(singles.values())
+        own = [w if w in vocabulary else None for w in words_of(text)]
         each = [
             -math.log((pairs[a, b] + 20 * (singles[b] + 1) / (total + size)) / (singles[a] + 20))
             for a, b in zip(own, own[1:])
         ]
         return sum(each) / len(each)
 
-    def table(some):
-        return spark.createDataFrame([(k, t) for k, t in enumerate(some)], "doc_id long, text string")
-
-    found = cross_entropy.score(table(scored), table(target), table(background)).collect()
-    assert len(found) == len(scored)
+    found = cross_entropy.score(docs, in_target, documents, sent_words).collect()
+    assert len(found) == len(rows)
     for r in found:
         assert r.n_tokens == len((r.text or "").split()) + 1
-        for value, model in ((r.target_loss, models[0]), (r.background_loss, models[1])):
-            assert abs(value - mean_loss(r.text, model)) < 1e-6
+        for value, model, mark in ((r.target_loss, models[0], 1), (r.background_loss, models[1], 2)):
+            assert abs(value - mean_loss(r.text, model, own_marks[r.doc_id, r.text] & mark)) < 1e-6
         assert abs(r.score - (r.target_loss - r.background_loss)) < 1e-9
 
 
+def test_learnt_texts_score_like_others_of_their_kind(spark):
+    rng = random.Random(8)
+    kinds = [[f"good{k}" for k in range(60)], [f"poor{k}" for k in range(60)]]
+    rows = [(k, " ".join(rng.choices(kinds[k % 2], k=80))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scored = cross_entropy.score(docs, (F.col("doc_id") % 2 == 0) & (F.col("doc_id") < 200)).collect()
+    means = {
+        name: sum(own) / len(own)
+        for name, own in (
+            ("learnt", [r.score for r in scored if r.doc_id % 2 == 0 and r.doc_id < 200]),
+            ("unseen", [r.score for r in scored if r.doc_id % 2 == 0 and r.doc_id >= 200]),
+            ("poor", [r.score for r in scored if r.doc_id % 2]),
+        )
+    }
+    assert abs(means["learnt"] - means["unseen"]) < 0.1 < 1 < means["poor"] - means["unseen"]
+
+
 def test_patterns():
     text = "a.b@c.de x@y 1.2.3.4 300.1.1.1 4111 1111 1111 1111 +49 (30) 1234567 @q@r.s"
     kinds = [(pii.KINDS[k], text[a:b]) for a, k, b in pii.pattern_spans(text)]

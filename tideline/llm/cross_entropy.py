@@ -1,20 +1,31 @@
 """Cross-entropy difference of two n-gram models with one vocabulary.
 
-The vocabulary is every lower-cased word of the target or the background, the border of a text and
-one word for all that are in neither. Two matched bigram models count bigrams of these words over
-whole texts; both are interpolated with their unigrams by the same `WEIGHT`, and these with the
-uniform distribution. A document's score is its mean loss per token under the target model less
-that under the background model, in nats: the lower, the more it is like the target. Target
-documents are scored by a model that has seen them.
-
-All counts are tables that grow with the input: bigrams added up per chunk of text and then by
-Spark, and the words' counts from them. Each text's distinct bigrams are joined with the bigrams'
-losses and summed per text; bigrams in neither model get their losses from the words' counts.
-Nothing but three totals comes to the driver. Words and texts are told apart by 64-bit hashes.
-
-Nulls: a null or empty text is the border after the border, one token. Rows are scored one by one,
-repeated ones alike; ids may be null. An empty target or background leaves a uniform model; an empty table
-gives an empty result. Other columns of the input are kept; those named like a result are replaced.
+The target is the documents marked as such; the background is a sample of all documents as large as
+the target, drawn by a hash of id and text. The shared vocabulary is the words of at least
+`DOCUMENTS` target documents, the border of a text and one unknown word for all others. Two matched
+bigram models are interpolated with their unigrams by the same `WEIGHT`, and these with the uniform
+distribution:
+
+    p(w) = (c(w) + 1) / (tokens + words)    p(w | u) = (c(u, w) + WEIGHT * p(w)) / (c(u) + WEIGHT)
+
+Bigrams with an unknown word are not counted; p(w | u) then follows from the words alone. A text is
+scored by what the models know *without it*: where it belongs to the target or the background, its
+own counts are taken out first, so texts that were learnt score like others. The score is the mean
+loss per token under the target model less that under the background model, in nats: the lower, the
+more a text is like the target.
+
+A text's loss is a sum over its distinct words, with a correction for each distinct bigram that a
+model has. Words and bigrams are entries of one table that grows with the input, dealt to buckets by
+a hash. For each bucket a text sends its entries as one packed row; there the bucket's part of the
+table, sorted, is searched for them, and the sums go back to the text. If the vocabulary has at most
+`SENT` words it is sent to all tasks, which drop what is unknown before anything is shuffled; if
+not, more is shuffled, with the same result. Words are told apart by 64-bit hashes, entries by a
+bucket and 48 bits more.
+
+Nulls: a null or empty text is the border after the border, one token. Rows that repeat an id and a
+text are scored alike; ids may be null, a null mark is no mark. Without a target all words are
+unknown. An empty table gives an empty result. Other columns of the input are kept; those named like
+a result are replaced.
 """
 
 from __future__ import annotations
@@ -25,129 +36,379 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import lower_words, ship_package, stage, text_chunks, whole_text, words_of
+from tideline.llm.common import lower_words, ship_package, stage, text_chunks, whole_text
 
 BORDER = 0
 WEIGHT = 20.0
+DOCUMENTS = 3
+SENT = 2_000_000
+ENTRIES_PER_BUCKET = 4_000_000
+LEAST_BUCKETS = 16
 CHUNK_BYTES = 4 << 20
-REMEMBERED = 500_000
+REMEMBERED = 300_000
+DRAWS = 1 << 30
 RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
 KEY = "lm text key"
+MOST = 255  # an entry of a packed row holds a count of so many
+KEY_BYTES = 6
+# Marks of a text that belongs to the target, or to the background.
+IN_TARGET, IN_BACKGROUND = 1, 2
+
+ENTRIES = "bucket int, part int, k long, a long, b long, c long, d long"
+PACKED = "bucket int, part int, k long, a long, b long, c long, d long, keys binary, n binary, own binary"
 
 
 class _Words(dict):
-    """64-bit numbers of words, remembered."""
+    """64-bit numbers of words, remembered; never that of the border."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = self[word] = xxhash.xxh3_64_intdigest(word) or 1
         return value
 
 
-def _bigrams(texts: list[str | None], known: _Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct bigrams (u, w) of some texts, each with its borders, and how often they occur."""
-    from tideline.llm.minhash import _mixed
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit numbers."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _numbers(text: str | None, known: _Words) -> np.ndarray:
+    """The words of a text between borders."""
+    if len(known) > REMEMBERED:
+        known.clear()
+    words = lower_words(text or "")
+    ids = np.zeros(len(words) + 2, dtype=np.uint64)
+    ids[1:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    return ids
+
+
+def bigram_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return _mixed(_mixed(u + np.uint64(1)) + w)
+
+
+def word_keys(w: np.ndarray) -> np.ndarray:
+    return _mixed(w ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def _among(ids: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
+    """Which ids are in the sorted vocabulary."""
+    at = np.minimum(np.searchsorted(vocabulary, ids), len(vocabulary) - 1)
+    return vocabulary[at] == ids if len(vocabulary) else np.zeros(len(ids), dtype=bool)
+
 
-    numbers = [BORDER]
-    for text in texts:
-        numbers += [known[word] for word in lower_words(text or "")]
-        numbers.append(BORDER)
-    ids = np.array(numbers, dtype=np.uint64)
-    _, at, n = np.unique(_mixed(ids[:-1] + np.uint64(1)) + ids[1:], return_index=True, return_counts=True)
-    return ids[at].view(np.int64), ids[at + 1].view(np.int64), n
+def _marks_of(chunk) -> tuple[list, list[int]]:
+    texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
+    return texts, chunk.column(chunk.schema.get_field_index("marks")).to_pylist()
 
 
-def _bigrams_task(per_text: bool):
-    """`u, w, n` of each chunk of text, or `key, u, w, n` of each text."""
+def _word_counts_task():
+    """`w, t, b, d` of each chunk: counts in target and background, and target documents."""
 
-    def bigrams(batches: Iterator) -> Iterator:
+    def counts(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         known = _Words()
         for chunk in text_chunks(batches, CHUNK_BYTES):
-            texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
-            if not per_text:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in _bigrams(texts, known)], names=["u", "w", "n"])
-                continue
-            parts = [_bigrams([text], known) for text in texts]
-            keys = chunk.column(chunk.schema.get_field_index("key")).to_numpy(zero_copy_only=False)
-            columns = [np.repeat(keys, [len(p[2]) for p in parts]), *(np.concatenate(x) for x in zip(*parts, strict=True))]
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["key", "u", "w", "n"])
-
-    return bigrams
-
-
-def bigram_counts(target: DataFrame, background: DataFrame) -> DataFrame:
-    """`u, w, t, b`: how often each bigram occurs in the target and in the background."""
-    ship_package(target.sparkSession)
-    of_target, of_background = (
-        some.select("text").mapInArrow(_bigrams_task(False), "u long, w long, n long")
-        for some in (target, background)
-    )
-    none = F.lit(0).cast("long")
-    parts = of_target.select("u", "w", F.col("n").alias("t"), none.alias("b")).unionByName(
-        of_background.select("u", "w", none.alias("t"), F.col("n").alias("b"))
-    )
-    return stage(parts.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "lm-bigrams")
+            found, columns = [], [[], [], []]
+            for text, marks in zip(*_marks_of(chunk), strict=True):
+                # The border counts once: as the word after the last one, and as that before the first.
+                words, n = np.unique(_numbers(text, known)[1:], return_counts=True)
+                found.append(words)
+                in_target, in_background = int(marks & IN_TARGET > 0), int(marks & IN_BACKGROUND > 0)
+                for column, values in zip(columns, (n * in_target, n * in_background, (n > 0) * in_target)):
+                    column.append(values)
+            words, at = np.unique(np.concatenate(found), return_inverse=True)
+            sums = [
+                np.bincount(at, np.concatenate(c), len(words)).astype(np.int64) for c in columns
+            ]
+            arrays = [pa.array(words.view(np.int64)), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["w", "t", "b", "d"])
+
+    return counts
+
+
+def _bigram_counts_task(sent):
+    """`u, w, t, b` of each chunk, of words in the vocabulary where it is sent."""
+
+    def counts(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        known = _Words()
+        for chunk in text_chunks(batches, CHUNK_BYTES):
+            first, second, weights = [], [], [[], []]
+            for text, marks in zip(*_marks_of(chunk), strict=True):
+                ids = _numbers(text, known)
+                u, w = ids[:-1], ids[1:]
+                if sent is not None:
+                    inside = _among(ids, sent.value)
+                    both = inside[:-1] & inside[1:]
+                    u, w = u[both], w[both]
+                first.append(u)
+                second.append(w)
+                for column, mark in zip(weights, (IN_TARGET, IN_BACKGROUND)):
+                    column.append(np.full(len(u), int(marks & mark > 0), np.int64))
+            u, w = np.concatenate(first), np.concatenate(second)
+            keys, at, back = np.unique(bigram_keys(u, w), return_index=True, return_inverse=True)
+            sums = [np.bincount(back, np.concatenate(c), len(keys)).astype(np.int64) for c in weights]
+            arrays = [pa.array(u[at].view(np.int64)), pa.array(w[at].view(np.int64)), *map(pa.array, sums)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["u", "w", "t", "b"])
+
+    return counts
 
 
-def word_counts(bigrams: DataFrame) -> DataFrame:
-    """`w, t, b`. Texts begin and end with the border, so words are first as often as second."""
-    return stage(bigrams.groupBy("w").agg(F.sum("t").alias("t"), F.sum("b").alias("b")), "lm-words")
+def _place(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of each key, and what tells it apart inside."""
+    n = np.uint64(buckets)
+    return (keys % n).astype(np.int32), (keys // n) & np.uint64((1 << 8 * KEY_BYTES) - 1)
 
 
-def _with_losses(bigrams: DataFrame, words: DataFrame) -> DataFrame:
-    """`bigrams` (u, w, t, b and others) with `target_loss, background_loss` of `w` after `u`."""
-    size, *totals = words.agg(
-        F.count_if(F.col("w") != BORDER) + 2, F.coalesce(F.sum("t"), F.lit(0)), F.coalesce(F.sum("b"), F.lit(0))
-    ).first()
-    first = words.select(F.col("w").alias("u"), F.col("t").alias("u_t"), F.col("b").alias("u_b"))
-    second = words.select("w", F.col("t").alias("w_t"), F.col("b").alias("w_b"))
+def _entries_task(buckets: int):
+    """Rows of (u, w, t, b, w_t, w_b) as entries; a null `u` stands for the word alone."""
+
+    def entries(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            u, w, t, b, w_t, w_b = (batch.column(k) for k in range(6))
+            alone = u.is_null().to_numpy(zero_copy_only=False)
+            first = u.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            second = w.to_numpy(zero_copy_only=False).view(np.uint64)
+            keys = np.where(alone, word_keys(second), bigram_keys(first, second))
+            bucket, inside = _place(keys, buckets)
+            zero = pa.array(np.zeros(len(keys), np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket), zero, pa.array(inside.view(np.int64)), t, b, w_t, w_b],
+                names=["bucket", "part", "k", "a", "b", "c", "d"],
+            )
 
-    def loss(model: str, total: int) -> Column:
-        count_u, count_w = (F.coalesce(F.col(f"{x}_{model}"), F.lit(0)) for x in ("u", "w"))
-        single = (count_w + 1) / F.lit(float(total + size))
-        return -F.log((F.col(model) + WEIGHT * single) / (count_u + WEIGHT))
+    return entries
 
-    return bigrams.join(first, "u", "left").join(second, "w", "left").select(
-        *bigrams.columns, loss("t", totals[0]).alias("target_loss"), loss("b", totals[1]).alias("background_loss")
+
+def _split_counts(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> tuple:
+    """Entries with counts above `MOST` are there more than once."""
+    if len(n) and n.max() > MOST:
+        times = -(-n // MOST)
+        at = np.repeat(np.arange(len(n)), times)
+        rest = n - (times - 1) * MOST
+        last = np.r_[at[1:] != at[:-1], True]
+        return keys[at], np.where(last, rest[at], MOST), own[at]
+    return keys, n, own
+
+
+def _pieces_task(buckets: int, sent):
+    """For each text and bucket the entries of the text, packed."""
+
+    def entries_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Keys, counts in the text, and the text's own counts of (entry, its last word)."""
+        words, back, n = np.unique(ids[1:], return_inverse=True, return_counts=True)
+        keep = slice(None) if sent is None else _among(words, sent.value)
+        u, w, of_w = ids[:-1], ids[1:], n[back]
+        if sent is not None:
+            # The border is in every vocabulary and before the first word.
+            inside = keep[back]
+            both = inside & np.r_[True, inside[:-1]]
+            u, w, of_w = u[both], w[both], of_w[both]
+        pairs, at, n_pairs = np.unique(bigram_keys(u, w), return_index=True, return_counts=True)
+        keys = np.concatenate([word_keys(words[keep]), pairs])
+        counts = np.concatenate([n[keep], n_pairs])
+        own = np.stack([counts, np.concatenate([n[keep], of_w[at]])], axis=1).astype("<u4")
+        return _split_counts(keys, counts, own)
+
+    def pieces(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        known = _Words()
+        for chunk in text_chunks(batches, CHUNK_BYTES):
+            text_keys = chunk.column(chunk.schema.get_field_index("key")).to_pylist()
+            out: list[list] = [[] for _ in range(7)]
+            for key, text, marks in zip(text_keys, *_marks_of(chunk), strict=True):
+                ids = _numbers(text, known)
+                keys, n, own = entries_of(ids)
+                bucket, inside = _place(keys, buckets)
+                order = np.argsort(bucket, kind="stable")
+                bucket, inside, n, own = bucket[order], inside[order], n[order], own[order]
+                packed = inside.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
+                counts = n.astype(np.uint8).tobytes()
+                cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
+                mine = own.tobytes() if marks else b""
+                for k in range(buckets):
+                    low, high = cuts[k], cuts[k + 1]
+                    if low == high:
+                        continue
+                    row = (
+                        k, key, len(ids) - 1, marks, packed[low * KEY_BYTES : high * KEY_BYTES],
+                        counts[low:high], mine[low * 8 : high * 8],
+                    )
+                    for column, value in zip(out, row, strict=True):
+                        column.append(value)
+            size = len(out[0])
+            zero = pa.array(np.zeros(size, np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(out[0], pa.int32()), pa.array(np.ones(size, np.int32)), zero,
+                    *(pa.array(c, pa.int64()) for c in out[1:4]), zero,
+                    *(pa.array(c, pa.binary()) for c in out[4:]),
+                ],
+                names=["bucket", "part", "k", "a", "b", "c", "d", "keys", "n", "own"],
+            )
+
+    return pieces
+
+
+def _search_task(totals: tuple[int, int], size: int):
+    """Buckets as a stream, the table's entries before the texts': sums for each text."""
+
+    def sums_of(table: list[np.ndarray], rows) -> tuple:
+        keys_of, n_of, own_of = (rows.column(k).to_pylist() for k in (7, 8, 9))
+        lengths = np.array([len(x) for x in n_of])
+        raw = np.frombuffer(b"".join(keys_of), np.uint8).reshape(-1, KEY_BYTES)
+        keys = np.zeros((len(raw), 8), np.uint8)
+        keys[:, :KEY_BYTES] = raw
+        keys = keys.reshape(-1).view("<u8").astype(np.int64)
+        n = np.frombuffer(b"".join(n_of), np.uint8).astype(np.float64)
+        text = np.repeat(np.arange(len(lengths)), lengths)
+        tokens = rows.column(4).to_numpy(zero_copy_only=False)
+        marks = rows.column(5).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(table[0], keys), max(len(table[0]) - 1, 0))
+        found = np.flatnonzero(table[0][at] == keys) if len(table[0]) else np.empty(0, np.int64)
+        at, n, text = at[found], n[found], text[found]
+        own = np.zeros((len(keys), 2))
+        marked = np.repeat(marks > 0, lengths)
+        own[marked] = np.frombuffer(b"".join(own_of), "<u4").reshape(-1, 2)
+        own = own[found]
+        alone = table[3][at] < 0
+        known = np.bincount(text, n * alone, len(lengths))
+        sums = []
+        for mark, entry, last, total in ((IN_TARGET, 1, 3, totals[0]), (IN_BACKGROUND, 2, 4, totals[1])):
+            mine = (marks[text] & mark) > 0
+            of_entry = table[entry][at] - own[:, 0] * mine
+            of_word = np.where(alone, of_entry, table[last][at] - own[:, 1] * mine)
+            smooth = WEIGHT * (of_word + 1) / (total - tokens[text] * mine + size)
+            value = np.where(
+                alone,
+                np.log(of_entry + WEIGHT) - np.log(smooth),
+                np.log(smooth) - np.log(of_entry + smooth),
+            )
+            sums.append(np.bincount(text, n * value, len(lengths)).astype(np.float64))
+        return rows.column(3), known.astype(np.int64), *sums
+
+    def search(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        bucket, parts, table = None, [], None
+        for batch in batches:
+            number = batch.column(0).to_numpy(zero_copy_only=False)
+            part = batch.column(1).to_numpy(zero_copy_only=False)
+            change = np.flatnonzero((np.diff(number) != 0) | (np.diff(part) != 0)) + 1
+            cuts = [0, *change.tolist(), len(number)]
+            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+                if low == high:
+                    continue
+                rows = batch.slice(low, high - low)
+                if number[low] != bucket:
+                    bucket, parts, table = number[low], [], None
+                if part[low] == 0:
+                    parts.append([rows.column(k).to_numpy(zero_copy_only=False) for k in range(2, 7)])
+                    continue
+                if table is None:
+                    none = [np.empty(0, np.int64)] * 5
+                    table = [np.concatenate(c) for c in zip(*parts, strict=True)] if parts else none
+                    parts = []
+                yield pa.RecordBatch.from_arrays(
+                    [x if isinstance(x, pa.Array) else pa.array(x) for x in sums_of(table, rows)],
+                    names=["key", "known", "target", "background"],
+                )
+
+    return search
+
+
+def marked(docs: DataFrame, in_target: Column) -> DataFrame:
+    """`key, text, marks` per row of `docs`: the target, and a background of the same size."""
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), whole_text())
+    rows = docs.select(
+        key.alias("key"), whole_text().alias("text"), F.coalesce(in_target, F.lit(False)).alias("target")
     )
+    size = F.octet_length("text") + 1
+    target, whole = rows.agg(F.sum(F.when(F.col("target"), size)), F.sum(size)).first()
+    share = (target or 0) / whole if whole else 0.0
+    drawn = F.pmod(F.xxhash64("key"), F.lit(DRAWS)) < int(share * DRAWS)
+    marks = F.when(F.col("target"), IN_TARGET).otherwise(0) + F.when(drawn, IN_BACKGROUND).otherwise(0)
+    return rows.select("key", "text", marks.alias("marks"))
+
 
+def score(
+    docs: DataFrame, in_target: Column, documents: int = DOCUMENTS, sent_words: int = SENT
+) -> DataFrame:
+    """`docs` with `n_tokens, target_loss, background_loss, score`.
 
-def score(docs: DataFrame, target: DataFrame, background: DataFrame) -> DataFrame:
-    """`docs` with `n_tokens, target_loss, background_loss, score`."""
-    ship_package(docs.sparkSession)
-    bigrams = bigram_counts(target, background)
-    words = word_counts(bigrams)
-    model = stage(_with_losses(bigrams, words).drop("t", "b"), "lm-losses")
-    text_key = F.xxhash64(whole_text())
-    pairs = docs.select(text_key.alias("key"), "text").mapInArrow(
-        _bigrams_task(True), "key long, u long, w long, n long"
+    `in_target` tells the documents that the target model learns from.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = marked(docs, in_target)
+    learnt = rows.filter("marks > 0")
+    words = learnt.mapInArrow(_word_counts_task(), "w long, t long, b long, d long")
+    words = stage(
+        words.groupBy("w").agg(*(F.sum(c).alias(c) for c in "tbd")), "lm-words"
     )
-    losses = ("target_loss", "background_loss")
-    # Equal texts add up under one key; their mean is the same.
-    weighted = [F.sum(F.col("n") * F.col(c)).alias(c) for c in losses]
-    sums = stage(
-        pairs.join(model, ["u", "w"], "left").groupBy("key").agg(
-            F.sum("n").alias("n"),
-            *weighted,
-            F.collect_list(F.when(F.col("target_loss").isNull(), F.struct("u", "w", "n"))).alias("missed"),
-        ),
-        "lm-sums",
+    known = F.col("w") == BORDER
+    vocabulary = stage(
+        words.filter(known | (F.col("d") >= documents)).select("w", "t", "b"), "lm-vocabulary"
     )
-    known = sums.select("key", "n", *(F.coalesce(c, F.lit(0.0)).alias(c) for c in losses))
-    missed = sums.select("key", F.explode("missed").alias("m")).select("key", "m.*")
-    if not missed.isEmpty():
-        none = F.lit(0).cast("long")
-        unseen = _with_losses(missed.withColumns({"t": none, "b": none}), words)
-        added = unseen.groupBy("key").agg(none.alias("n"), *weighted)
-        known = known.unionByName(added).groupBy("key").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in losses))
-    means = known.select(F.col("key").alias(KEY), *((F.col(c) / F.col("n")).alias(c) for c in losses))
+    totals = [n or 0 for n in words.agg(F.sum("t"), F.sum("b")).first()]
+    n_words, *inside = vocabulary.agg(F.count(F.lit(1)), F.sum("t"), F.sum("b")).first()
+    # Of all words and the unknown one; the unknown has what the others leave.
+    size, unknown = n_words + 1, [t - (i or 0) for t, i in zip(totals, inside, strict=True)]
+    sent = None
+    if n_words <= sent_words:
+        ids = [row[0] for row in vocabulary.select("w").collect()]
+        # The border comes without any text that was learnt as well.
+        ids = np.unique(np.array([BORDER, *ids], np.int64).view(np.uint64))
+        sent = spark.sparkContext.broadcast(ids)
+    bigrams = learnt.mapInArrow(_bigram_counts_task(sent), "u long, w long, t long, b long")
+    bigrams = bigrams.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    of_word = vocabulary.select("w", F.col("t").alias("w_t"), F.col("b").alias("w_b"))
+    pairs = bigrams.join(of_word, "w")
+    if sent is None:
+        pairs = pairs.join(vocabulary.select(F.col("w").alias("u")), "u", "left_semi")
+    alone = vocabulary.select(
+        F.lit(None).cast("long").alias("u"), "w", "t", "b",
+        F.lit(-1).cast("long").alias("w_t"), F.lit(-1).cast("long").alias("w_b"),
+    )
+    model = stage(pairs.select("u", "w", "t", "b", "w_t", "w_b").unionByName(alone), "lm-entries")
+    buckets = max(LEAST_BUCKETS, -(-model.count() // ENTRIES_PER_BUCKET))
+    entries = model.mapInArrow(_entries_task(buckets), ENTRIES).select(
+        "*", *(F.lit(None).cast("binary").alias(c) for c in ("keys", "n", "own"))
+    )
+    pieces = rows.mapInArrow(_pieces_task(buckets, sent), PACKED)
+    dealt = entries.unionByName(pieces).repartitionById(buckets, F.col("bucket"))
+    found = dealt.sortWithinPartitions("bucket", "part", "k").mapInArrow(
+        _search_task(tuple(totals), size), "key long, known long, target double, background double"
+    )
+    # Rows that repeat an id and a text add up under one key, and are taken apart by their number.
+    sums = found.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("known", "target", "background")))
     others = [F.col(f"`{c}`") for c in docs.columns if c not in RESULTS]
-    rows = docs.select(
-        *others, text_key.alias(KEY), (F.size(words_of(whole_text())) + 1).cast("long").alias("n_tokens")
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), whole_text())
+    tokens = F.regexp_count(whole_text(), F.lit(r"[^\x20\x09-\x0D]+")).cast("long") + 1
+    scored = docs.select(*others, key.alias(KEY), tokens.alias("n_tokens"))
+    copies = rows.groupBy("key").agg(F.count(F.lit(1)).alias("copies"), F.first("marks").alias("marks"))
+    sums = copies.join(sums, "key").select(F.col("key").alias(KEY), "copies", "marks", "known", "target", "background")
+
+    def loss(model: str, mark: int, total: int, of_unknown: int) -> Column:
+        n = F.col("n_tokens") - F.col("known") / F.col("copies")
+        mine = F.when(F.col("marks").bitwiseAND(F.lit(mark)) > 0, 1).otherwise(0)
+        count = F.lit(of_unknown) - n * mine
+        smooth = WEIGHT * (count + 1) / (F.lit(total) - F.col("n_tokens") * mine + size)
+        unknown_loss = F.when(n > 0, n * (F.log(count + WEIGHT) - F.log(smooth))).otherwise(0.0)
+        return (F.col(model) / F.col("copies") + unknown_loss) / F.col("n_tokens")
+
+    return (
+        scored.join(sums, KEY)
+        .withColumn("target_loss", loss("target", IN_TARGET, totals[0], unknown[0]))
+        .withColumn("background_loss", loss("background", IN_BACKGROUND, totals[1], unknown[1]))
+        .drop(KEY, "copies", "marks", "known", "target", "background")
+        .withColumn("score", F.col("target_loss") - F.col("background_loss"))
     )
-    return rows.join(means, KEY).drop(KEY).withColumn("score", F.col("target_loss") - F.col("background_loss"))

@@ -20,7 +20,7 @@ from tideline.llm import (
     superkmers,
     toxicity,
 )
-from tideline.llm.common import bucket_of_id, table
+from tideline.llm.common import bucket_of_id, stage, table
 
 PACKING_VOCABULARY = "word_bpe_49k.json"
 
@@ -96,11 +96,17 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.next_document_likeness(table(spark, sf_dir, "documents"))
 
 
+# Ids of labelled documents are sent to all tasks up to so many: 16 MB.
+SENT_IDS = 2_000_000
+
+
 def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target is what `labels.quality` calls good, the background all documents."""
+    """The target is what `labels.quality` calls good."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    scored = cross_entropy.score(docs, docs.join(good, "doc_id", "left_semi"), docs)
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id").distinct()
+    good = stage(good.withColumn("is_good", F.lit(True)), "lm-good")
+    labelled = docs.join(F.broadcast(good) if good.count() <= SENT_IDS else good, "doc_id", "left")
+    scored = cross_entropy.score(labelled, F.col("is_good"))
     return scored.select("doc_id", "n_tokens", "target_loss", "background_loss", "score")
 
 
