@@ -208,6 +208,33 @@ def test_toxicity_of_odd_rows(spark, docs, nothing):
     assert toxicity.with_toxicity(nothing, unlabelled, "t").count() == 0
 
 
+def test_numbers_that_are_no_letters_have_no_language(spark):
+    known = {"en": b" the cat and the dog ", "de": b" der hund und die katze "}
+    test = spark.createDataFrame(
+        [(1, "\u00bd \u00b2 \u2167 \u2460"), (2, "x\u00b2"), (3, "\u4e00")], "doc_id long, text string"
+    )
+    found = {r.doc_id: r for r in language.with_language(test, known).collect()}
+    assert (found[1].lang_pred, found[1].score) == ("und", 0.0)
+    assert {found[2].lang_pred, found[3].lang_pred} <= {"en", "de"}
+
+
+def test_a_class_of_long_texts_alone_is_learnt(spark):
+    rng = random.Random(6)
+    mild = [f"mild{k}" for k in range(80)]
+    foul = [f"foul{k}" for k in range(12)]
+    rows = [(k, " ".join(rng.choices(mild, k=60))) for k in range(80)]
+    rows += [(100 + k, " ".join(rng.choices([*mild, *foul], k=5000))) for k in range(30)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i >= 100)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.train(table, labels)
+    test = spark.createDataFrame(
+        [(1, " ".join(rng.choices([*mild, *foul], k=4000))), (2, " ".join(rng.choices(mild, k=60)))],
+        "doc_id long, text string",
+    )
+    found = dict(toxicity.with_toxicity(test, model, "t").select("doc_id", "t").collect())
+    assert found[1] > 0.5 > found[2]
+
+
 def test_fingerprints(docs, nothing):
     rows = imatch.next_document_likeness(docs).collect()
     assert len(rows) == docs.count()

@@ -5,8 +5,12 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Sequence
 
-# Letters of any script, in runs: what the classifiers see of a text.
-LETTERS = re.compile(r"[^\W\d_]+")
+# Letters of any script, in runs: what the classifiers see of a text. Python counts fractions, raised
+# digits and Roman numerals as signs of words too, but they are no letters.
+NUMBERS = "".join(
+    c for c in map(chr, range(0x110000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha()
+)
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 
 
 def words_in(text: str | None) -> list[str]:

@@ -13,7 +13,8 @@ number of windows at `NOTABLE` or above, number of windows) a logistic fit on th
 documents gives a score in [0, 1]; 0.5 is the calibrated threshold.
 
 Training reads at most `SAMPLE` labelled documents of each class, those with the smallest hashes of
-their ids, and none longer than `SAMPLE_CHARS`; that is the only place where text is left out.
+their ids. Those longer than `SAMPLE_CHARS` are learnt from only where a class has no others, by
+pieces spread over them; that is the only place where text is left out.
 Nulls: a null or empty text, and one without letters, is one empty window. Labels that are null, or
 whose id is null, are not learned from; with one class alone nothing can be learned and every score
 is that class (0 without labels). Repeated rows are scored one by one; an empty table gives an
@@ -37,6 +38,7 @@ from tideline.llm.compression import compressor, content, windows, words_in
 
 SAMPLE = 3000
 SAMPLE_CHARS = 20_000
+PIECES = 10
 WINDOW = 16
 NOTABLE = 3
 SIGNIFICANCE = 6.0
@@ -152,8 +154,9 @@ def fit(texts: Sequence[str | None], labels: Sequence[int]) -> ToxicityModel:
 def training_sample(
     docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample: int = SAMPLE
 ) -> DataFrame:
-    """`text, toxic` of at most `sample` labelled documents of each class.
+    """`text, toxic, long` of at most `sample` labelled documents of each class.
 
+    Of a text longer than `SAMPLE_CHARS` as many characters are read, in pieces spread over it.
     `learn` is a condition on `doc_id`. The ids are drawn from the labels, by hash, so what is
     sorted and joined is narrow, and the few ids drawn are small enough for any join.
     """
@@ -163,16 +166,24 @@ def training_sample(
     usable = usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
     order = F.xxhash64("doc_id"), F.col("doc_id")
     drawn = [usable.filter(F.col("toxic") == k).orderBy(*order).limit(sample) for k in (0, 1)]
-    fitting = docs.select("doc_id", "text").filter(
-        F.length(F.coalesce("text", F.lit(""))) <= SAMPLE_CHARS
+    length = F.length("text")
+    piece = SAMPLE_CHARS // PIECES
+    starts = (F.lit(1) + F.floor((length - piece) * k / (PIECES - 1)).cast("int") for k in range(PIECES))
+    pieces = F.concat_ws(" ", *(F.substr("text", start, F.lit(piece)) for start in starts))
+    long = F.coalesce(length > SAMPLE_CHARS, F.lit(False))
+    read = docs.select(
+        "doc_id", F.when(long, pieces).otherwise(F.col("text")).alias("text"), long.alias("long")
     )
-    return fitting.join(drawn[0].unionByName(drawn[1]), "doc_id").select("text", "toxic")
+    return read.join(drawn[0].unionByName(drawn[1]), "doc_id").select("text", "toxic", "long")
 
 
 def train(
     docs: DataFrame, labels: DataFrame, learn: Column | None = None, sample: int = SAMPLE
 ) -> ToxicityModel:
     rows = training_sample(docs, labels, learn, sample).collect()
+    # Long texts stand in only for a class that has no others.
+    short = {row[1] for row in rows if not row[2]}
+    rows = [row for row in rows if not row[2] or row[1] not in short]
     return fit([row[0] for row in rows], [row[1] for row in rows])
 
 
