@@ -247,6 +247,58 @@ def test_fingerprints(docs, nothing):
     assert imatch.next_document_likeness(nothing).count() == 0
 
 
+def by_hand_edited(rows):
+    """Edited text of each distinct (id, text), by descending id, null last."""
+    distinct = sorted(
+        {(i, t or "") for i, t in rows},
+        key=lambda r: (
+            r[0] is None, -(r[0] or 0),
+            [-b for b in hashlib.sha256(f"{'' if r[0] is None else r[0]}:{r[1]}".encode()).digest()],
+        ),
+    )
+    edited = {}
+    for k, (i, text) in enumerate(distinct):
+        following = distinct[(k + 1) % len(distinct)][1]
+        third = len(text) // 3
+        edited[i, text] = text[: len(text) - third] + following[:third]
+    return distinct, edited
+
+
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_edited_texts_and_likeness_equal_brute_force(docs, monkeypatch, sent):
+    monkeypatch.setattr(imatch, "SENT", sent)
+    rows = [(i, t or "") for i, t in texts()]
+    distinct, edited = by_hand_edited(rows)
+    found = imatch.next_document_likeness(docs).collect()
+    assert len(found) == len(rows)
+    expected = sorted(
+        repr((i, len(t), hashlib.sha256(edited[i, t].encode()).hexdigest())) for i, t in rows
+    )
+    assert sorted(repr((r.doc_id, r.n_chars, r.edited_sha256)) for r in found) == expected
+
+    def likeness(a, b):
+        a, b = a.split(" "), b.split(" ")
+        if len(a) != len(b):
+            return 0.0
+        used = [(x, y) for x, y in zip(a, b) if x != "-" or y != "-"]
+        return sum(x == y for x, y in used) / len(used)
+
+    prints = {(r.doc_id, r.n_chars, r.edited_sha256): r.fingerprint for r in found}
+    keys = {(i, t): (i, len(t), hashlib.sha256(edited[i, t].encode()).hexdigest()) for i, t in rows}
+    by_key = {k: r for r in found for k in [(r.doc_id, r.n_chars, r.edited_sha256)]}
+    for k, one in enumerate(distinct):
+        r = by_key[keys[one]]
+        following = distinct[(k + 1) % len(distinct)]
+        assert abs(r.near_edited - likeness(r.fingerprint, r.edited_fingerprint)) < 1e-9
+        assert abs(r.near_next - likeness(r.fingerprint, prints[keys[following]])) < 1e-9
+
+
+def test_fingerprint_of_a_text_does_not_depend_on_the_way_of_the_join(docs, monkeypatch):
+    one = sorted(map(repr, imatch.next_document_likeness(docs).collect()))
+    monkeypatch.setattr(imatch, "SENT", 0)
+    assert sorted(map(repr, imatch.next_document_likeness(docs).collect())) == one
+
+
 def test_lexicon_is_the_band_of_exact_document_frequencies(spark):
     """More terms than a table of 2^18 buckets could tell apart; none of one document is let in."""
     rows = spark.range(400).select(

@@ -7,9 +7,11 @@ quarter, a sixteenth, ... of its terms, and the terms kept of a document are has
 that differ in rate fit short and long documents. The fingerprint is the list of these hashes, "-"
 where a subset keeps nothing; a text without terms of the lexicon has its own digest instead.
 
-Document frequencies are counted for every term, told apart by its 64-bit hash. The lexicon is a
-table that grows with the input; (document, term) rows are joined with it and what is left is
-gathered per document. No text is shuffled for its fingerprint.
+Document frequencies are counted for every term, told apart by its 64-bit hash, and tasks add them up
+before anything is shuffled. The lexicon is a table that grows with the input. Texts are shuffled
+once, to meet the text that theirs is edited with; the terms of both are looked up right there, in a
+lexicon sent to the tasks if it has at most `SENT` terms. A larger one is joined by term and what is
+left is gathered per document, with the same result.
 
 The likeness of two fingerprints is the share of equal hashes among subsets not empty in both.
 
@@ -32,6 +34,9 @@ MAX_SHARE = 0.2
 SEEDS = 8
 RATES = 5
 HASH_DIGITS = 8
+SENT = 4_000_000
+# Stands for no term and is in every lexicon, so that a text without terms keeps a row.
+NO_TERM = 0
 
 
 def _terms(text: Column) -> Column:
@@ -58,33 +63,45 @@ def lexicon(docs: DataFrame) -> DataFrame:
         (F.col("documents") >= MIN_DOCUMENTS)
         & (F.col("documents") <= F.greatest(F.lit(MIN_DOCUMENTS), F.lit(MAX_SHARE * total)))
     )
-    return stage(inside.select("term"), "imatch-lexicon")
+    return stage(inside.select("term").filter(F.col("term") != NO_TERM), "imatch-lexicon")
 
 
 def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """`place, own_known, edited_known`: the terms of the lexicon per row of (place, own, edited).
+    """`rows` with `own_known, edited_known`, the terms of the lexicon, for `own, edited`.
 
-    A term of both texts is one row of the join.
+    `own` and `edited` are the distinct hashes of two texts, and `key` is the row's own. A term of
+    both is looked up once. Rows that lie by `key` are gathered where they are.
     """
 
     def flagged(hashes: Column, of: int) -> Column:
         return F.transform(hashes, lambda h: F.struct(h.alias("term"), F.lit(of).alias("of")))
 
-    both = F.concat(
+    every = F.concat(
         flagged(F.array_intersect("own", "edited"), 3),
         flagged(F.array_except("own", "edited"), 1),
         flagged(F.array_except("edited", "own"), 2),
+        flagged(F.array(F.lit(NO_TERM).cast("long")), 0),
     )
 
     def gathered(bit: int) -> Column:
-        return F.sort_array(F.collect_set(F.when(F.col("of").bitwiseAND(F.lit(bit)) != 0, F.col("term"))))
-
+        return F.sort_array(F.collect_list(F.when(F.col("of").bitwiseAND(F.lit(bit)) != 0, F.col("term"))))
+
+    others = [c for c in rows.columns if c not in ("key", "own", "edited")]
+    lexicon_terms = terms.unionByName(
+        terms.sparkSession.range(1).select(F.lit(NO_TERM).cast("long").alias("term"))
+    ).distinct()
+    if terms.count() <= SENT:
+        lexicon_terms = F.broadcast(lexicon_terms)
     return (
-        rows.select("place", F.explode(both).alias("t"))
-        .select("place", "t.term", "t.of")
-        .join(terms, "term")
-        .groupBy("place")
-        .agg(gathered(1).alias("own_known"), gathered(2).alias("edited_known"))
+        rows.select("key", *others, F.explode(every).alias("t"))
+        .select("key", *others, "t.term", "t.of")
+        .join(lexicon_terms, "term", "left_semi")
+        .groupBy("key")
+        .agg(
+            *(F.first(c).alias(c) for c in others),
+            gathered(1).alias("own_known"),
+            gathered(2).alias("edited_known"),
+        )
     )
 
 
@@ -189,36 +206,33 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
         neighbours(keyed.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))),
         "imatch-neighbours",
     )
-    # The texts are shuffled once; what a document lends to the one before it is a third of that one.
-    placed = keyed.join(order, "key")
+    # Rows that repeat an id and a text are one here, combined before they are shuffled. What a
+    # document lends to the one before it is a third of that one.
+    texts = keyed.groupBy("key").agg(F.first("text").alias("text"))
+    placed = texts.join(order, "key")
     lent = placed.select(
         F.col("prev_key").alias("key"),
         F.expr("substring(text, 1, int(prev_n div 3))").alias("start"),
-    ).dropDuplicates(["key"])
+    )
     edited = placed.join(lent, "key").withColumn(
         "edited", F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "start")
     )
     digest = {c: F.substring(F.sha2(c, 256), 1, 2 * HASH_DIGITS) for c in ("text", "edited")}
-    hashed = stage(
-        edited.select(
-            "place", "key", "next_key", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-            digest["text"].alias("own_alone"), digest["edited"].alias("edited_alone"),
-            _hashes("text").alias("own"), _hashes("edited").alias("edited"),
-        ),
-        "imatch-terms",
-    )
-    known = known_terms(hashed, terms)
-    printed = hashed.drop("own", "edited").join(known, "place", "left")
+    hashed = edited.select(
+        "key", "next_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        digest["text"].alias("own_alone"), digest["edited"].alias("edited_alone"),
+        _hashes("text").alias("own"), _hashes("edited").alias("edited"),
+    )
+    printed = known_terms(hashed, terms)
     printed = with_fingerprint(printed, "own_known", "own_alone", "own_prints")
     printed = with_fingerprint(printed, "edited_known", "edited_alone", "edited_prints")
     found = stage(
-        printed.select(
-            "key", "next_key", "doc_id", "n_chars", "edited_sha256", "own_prints", "edited_prints"
-        ),
+        printed.select("key", "next_key", "n_chars", "edited_sha256", "own_prints", "edited_prints"),
         "imatch-prints",
     )
     following = found.select(F.col("key").alias("next_key"), F.col("own_prints").alias("next_prints"))
-    return found.join(following.dropDuplicates(["next_key"]), "next_key").select(
+    both = found.join(following, "next_key")
+    return keyed.select("key", "doc_id").join(both, "key").select(
         "doc_id",
         "n_chars",
         "edited_sha256",
