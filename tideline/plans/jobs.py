@@ -248,8 +248,10 @@ def load_late_files(
         batch = _begun_late_batch(manifest, own_stream, metadata_path, fmt)
         if batch is None:
             last = manifest.filter(F.col(STREAM_ID) == own_stream).agg(F.max(BATCH_ID)).first()[0]
+            # METADATA is written last, so the batches that tell how far the stream is are whole.
+            committed = read_table(spark, metadata_path, MANIFEST, fmt)
             newest = F.max(F.when(F.col(STREAM_ID) == stream, F.col(MODIFICATION_TIME)))
-            reach = manifest.agg((newest - _interval(max_file_age)).alias("reach"))
+            reach = committed.agg((newest - _interval(max_file_age)).alias("reach"))
             late = (
                 list_files(spark, landing_path)
                 .join(reach, F.col(MODIFICATION_TIME) < F.col("reach"))
