@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 pytest.importorskip("tideline.llm")
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import cross_entropy, exact_dedup, imatch, language, minhash, mixing, packing, pii
 from tideline.llm import superkmers, toxicity
-from tideline.llm.components import connected_components
+from tideline.llm.components import connected_components, joined_components
 from tideline.llm.queries import packing_vocabulary
 
 SCHEMA = (
@@ -98,18 +99,71 @@ def test_near_duplicates_equal_brute_force(docs, nothing):
     assert minhash.near_duplicates(nothing).count() == 0
 
 
+def members_of_one_key(spark, wides, sizes=None):
+    """Members of one key, and their signatures."""
+    rows = [(k, wide, sizes[k] if sizes else 100) for k, wide in enumerate(wides)]
+    signatures = spark.createDataFrame(rows, "id long, wide binary, n_shingles long")
+    n = F.lit(len(rows)).cast("long").alias("n")
+    return signatures.select(F.lit(7).cast("long").alias("key"), "id", n), signatures
+
+
 @pytest.mark.parametrize("block", [2, 3, 100])
 def test_every_pair_across_components_is_compared(spark, block):
     n = 14
-    rows = [(k, bytes(2 * minhash.SLOTS)) for k in range(n)] + [(n, bytes([1]) * (2 * minhash.SLOTS))]
-    signatures = spark.createDataFrame(rows, "id long, signature binary")
-    members = signatures.select(F.lit(7).cast("long").alias("key"), "id", F.lit(n + 1).cast("long").alias("n"))
+    wides = [bytes(minhash.WIDE)] * n + [bytes([1]) * minhash.WIDE]
+    members, signatures = members_of_one_key(spark, wides, [100] * (n - 1) + [74, 100])
     components = spark.createDataFrame([(4, 1), (1, 1), (9, 1)], "id long, component long")
     found = minhash._across(members, signatures, components, block).collect()
-    expected = [(i, j) for i in range(n) for j in range(i + 1, n) if not {i, j} <= {1, 4, 9}]
+    # The last one is far from all, the one before it too small for any.
+    expected = [(i, j) for i in range(n - 1) for j in range(i + 1, n - 1) if not {i, j} <= {1, 4, 9}]
     assert sorted(map(tuple, found)) == expected
 
 
+@pytest.mark.parametrize("block, held", [(1000, 1 << 20), (1000, 50), (40, 1 << 20)])
+def test_a_forest_joins_what_is_near_by_few_pairs(spark, monkeypatch, block, held):
+    monkeypatch.setattr(minhash, "HELD", held)
+    rng = random.Random(4)
+    kinds = [bytes(rng.choices(range(256), k=minhash.WIDE)) for _ in range(5)]
+    wides = [bytes([rng.randrange(256)] * 20) + kinds[k % 5][20:] for k in range(200)]
+    members, signatures = members_of_one_key(spark, wides)
+    none = spark.createDataFrame([], "id long, component long")
+    forest = minhash._across(members, signatures, none, block, 0).collect()
+    assert len(forest) <= 195 and all((a - b) % 5 == 0 for a, b in forest)
+    if block > 200:
+        found = connected_components(spark.createDataFrame(forest, "a long, b long"))
+        assert {(r.id, r.component) for r in found.collect()} == {(k, k % 5) for k in range(200)}
+
+
+def test_a_hot_key_of_similar_texts_emits_less_than_its_members(spark):
+    """20,000 members of one key, near each other in groups: a third of them in one."""
+    rng = np.random.default_rng(1)
+    kinds = rng.integers(0, 256, (400, minhash.WIDE), dtype=np.uint8)
+    of = np.where(np.arange(20_000) % 3 == 0, 0, np.arange(20_000) % 400)
+    components = spark.createDataFrame(
+        [(k, int(of[k])) for k in range(20_000) if of[k] == 0 and k], "id long, component long"
+    )
+    members, signatures = members_of_one_key(spark, [kinds[k].tobytes() for k in of])
+    found = minhash._across(members, signatures, components, 4096, 0).distinct()
+    assert 0 < found.count() < 20_000
+    components = joined_components(components, found)
+    again = minhash._across(members, signatures, components, 4096, 1).distinct()
+    assert again.count() < 8000
+    components = joined_components(components, again)
+    # What is left apart after two ways to cut the key is little.
+    assert minhash._across(members, signatures, components, 4096).count() < 2000
+
+
+def test_rows_of_one_id_and_different_texts(spark):
+    """Id 5 names a near copy of 3 and a text of its own; only the copy goes."""
+    rng = random.Random(12)
+    names = [f"n{k}" for k in range(500)]
+    one, other = (" ".join(rng.choices(names, k=60)) for _ in range(2))
+    rows = [(3, one), (5, one + " tail"), (5, other), (6, None), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = minhash.deduplicate(docs).collect()
+    assert sorted(map(repr, map(tuple, kept))) == sorted(map(repr, [rows[0], *rows[2:]]))
+
+
 def test_near_duplicates_do_not_depend_on_the_block(docs):
     assert sorted(map(repr, minhash.near_duplicates(docs, block=2).collect())) == sorted(
         map(repr, minhash.near_duplicates(docs).collect())

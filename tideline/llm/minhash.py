@@ -12,20 +12,27 @@ error, distance 31 of 96) a pair of similarity 0.75 shares no key with a probabi
 
 1. Documents of equal word sequences are one class, named by its smallest id.
 2. Classes that share a key are linked to the smallest class of that key as candidates, a star and
-   not all pairs. Candidates are compared on their full sets and linked components are found.
-3. Where a key still holds several components, its members are compared across components by
-   signature, inside tasks, in blocks of `BLOCK` members; only pairs within `FAR` are emitted. They
-   are compared on their full sets as well. `FAR` is so wide that a pair of similarity 0.75 is
-   beyond it with a probability below 1e-6.
-4. The components of all links are the result.
-
-A group of near copies thus costs one candidate per member and key. No key, bucket or list of
-partners is capped.
+   not all pairs; of its stars a class tries the one with the smallest centre. Candidates are
+   compared on their full sets and linked components are found.
+3. Where a key still holds several components, its members are compared across components inside
+   tasks, in blocks of `BLOCK` members, by a wide signature of `WIDE` slots of 8 bits and by the
+   sizes of their sets. First each block by itself emits a spanning forest of the near ones, the
+   nearest first: fewer pairs than it has members. These are compared on their full sets, and once
+   more with other blocks.
+4. What then still is near across components, in any two blocks of a key, is emitted whole and
+   compared. In practice these are the few pairs a little below the similarity.
+5. The components of all links are the result.
+
+Near is a wide distance of at most `FAR`: a pair of similarity 0.75 is beyond it with a probability
+below 1e-8, one of similarity 0.5 within it with one below 1e-5, so what merely shares a passage
+costs no comparison of texts. A group of near copies costs one candidate per member and key. No key,
+bucket or list of partners is capped.
 
 Nulls: a null or empty text has an empty set and is linked with nothing. A row without an id is
 linked with nothing either and has a null component; it is kept. Rows that repeat an id are looked
-at one by one; where that id names several classes, these count as one. An empty table gives an empty result. Columns other than
-`doc_id` and `text` are not looked at.
+at one by one; where that id names several classes, these count as one, and `deduplicate` takes out
+rows by id and words. An empty table gives an empty result. Columns other than `doc_id` and `text`
+are not looked at.
 """
 
 from __future__ import annotations
@@ -34,10 +41,16 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import lower_words, ship_package, stage, text_chunks
+from tideline.llm.common import (
+    ship_package,
+    stage,
+    text_chunks,
+    whole_text,
+    words_of,
+)
 from tideline.llm.components import connected_components, joined_components
 
 SHINGLE = 5
@@ -46,24 +59,16 @@ CHUNKS = 16
 CHUNK_SLOTS = 6
 ERRORS = 1
 SLOTS = CHUNKS * CHUNK_SLOTS
-SLOT_BYTES = 2
-FAR = 48
+WIDE = 384
+FAR = 147
 BLOCK = 4096
 CHUNK_BYTES = 4 << 20
-# Words whose hashes a worker remembers.
-REMEMBERED = 500_000
-COMPARED_AT_ONCE = 1024
-
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_known = _WordHashes()
+# Rounds of forests, by the number that deals the members of a key to blocks.
+FORESTS = (0, 1)
+# Near pairs a task holds before it reduces them to a forest.
+HELD = 1 << 20
+# Shingles whose hashes are worked out side by side, so that they stay in the processor's cache.
+AT_ONCE = 64
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -73,31 +78,88 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """Distinct 64-bit hashes of the shingles; fewer words than a shingle are one shingle."""
-    if not words:
-        return np.empty(0, dtype=np.uint64)
-    if len(_known) > REMEMBERED:
-        _known.clear()
-    hashes = np.fromiter([_known[w] for w in words], dtype=np.uint64, count=len(words))
-    width = min(SHINGLE, len(words))
-    n = len(words) - width + 1
-    total = np.full(n, width, dtype=np.uint64)
-    for k in range(width):
-        total = _mixed(total + hashes[k : k + n])
-    return np.unique(total)
+# Odd numbers that set the words of a shingle apart by their place.
+FACTORS = np.array(
+    [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD],
+    np.uint64,
+)
+# A number for each byte, and which bytes part words.
+BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
+IS_SPACE = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+BASE = 0xD1342543DE82EF95  # odd, so its powers can be undone
+
+
+class _Powers:
+    """Powers of `BASE` and of its inverse modulo 2**64, as many as were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.up) < n:
+            size = np.uint64(len(self.up))
+            up, down = (
+                np.uint64(pow(base, int(size), 1 << 64)) for base in (BASE, pow(BASE, -1, 1 << 64))
+            )
+            self.up = np.concatenate([self.up, self.up * up])
+            self.down = np.concatenate([self.down, self.down * down])
+        return self.up[:n], self.down[:n]
 
 
-def _multipliers() -> np.ndarray:
-    return np.random.default_rng(20240501).integers(1, 1 << 63, SLOTS, dtype=np.uint64) | np.uint64(1)
+_powers = _Powers()
 
 
-def signature(shingles: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
-    """The slots of a set; the hash functions are odd multiples, compared by their high bits."""
-    least = np.empty(len(multipliers), dtype=np.uint64)
-    for k, factor in enumerate(multipliers):
-        least[k] = (shingles * factor).min()
-    return (_mixed(least) & np.uint64(0xFFFF)).astype("<u2")
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of each word: the difference of two sums over the text, brought to its start."""
+    data = np.frombuffer(text, np.uint8)
+    space = IS_SPACE[data]
+    edges = np.flatnonzero(np.diff(np.r_[True, space, True]))
+    first, end = edges[::2], edges[1::2]
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTES[data] * up[:-1], out=sums[1:])
+    return _mixed((sums[end] - sums[first]) * down[first] + (end - first).astype(np.uint64))
+
+
+def lowered(text: str | None) -> bytes:
+    """A text with A-Z in lower case, in UTF-8."""
+    return (text or "").encode("utf-8", "surrogatepass").lower()
+
+
+def shingle_hashes(text: bytes) -> np.ndarray:
+    """Distinct 64-bit hashes of the shingles; fewer words than a shingle are one shingle."""
+    hashes = word_hashes(text)
+    if not len(hashes):
+        return hashes
+    width = min(SHINGLE, len(hashes))
+    n = len(hashes) - width + 1
+    total = hashes[:n] * FACTORS[0] + np.uint64(width)
+    for k in range(1, width):
+        total += hashes[k : k + n] * FACTORS[k]
+    return np.unique(_mixed(total))
+
+
+def _functions() -> tuple[np.ndarray, np.ndarray]:
+    """Factors and offsets of the hash functions on 32 bits."""
+    numbers = np.random.default_rng(20240501).integers(0, 1 << 32, (2, WIDE), dtype=np.uint32)
+    return numbers[0] | np.uint32(1), numbers[1]
+
+
+def signature(shingles: np.ndarray, functions: tuple[np.ndarray, np.ndarray]) -> tuple[bytes, bytes]:
+    """The slots of a set: `SLOTS` of 16 bits for the keys, `WIDE` of 8 bits for the distance."""
+    factors, offsets = functions
+    low = (shingles >> np.uint64(32)).astype(np.uint32)[:, None]
+    least = np.full(len(factors), 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(low), AT_ONCE):
+        some = low[k : k + AT_ONCE] * factors
+        some += offsets
+        np.minimum(least, some.min(axis=0), out=least)
+    # A function is one to one, so its least value tells the shingle; its bits are scrambled.
+    bits = _mixed(least.astype(np.uint64))
+    return (
+        (bits[:SLOTS] & np.uint64(0xFFFF)).astype("<u2").tobytes(),
+        (bits >> np.uint64(32)).astype(np.uint8).tobytes(),
+    )
 
 
 def _sketch_task():
@@ -106,35 +168,38 @@ def _sketch_task():
 
         import pyarrow as pa
 
-        factors = _multipliers()
+        functions = _functions()
         for chunk in text_chunks(batches, CHUNK_BYTES):
             texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
-            sizes, digests, signatures = [], [], []
+            sizes, digests, signatures, wides = [], [], [], []
             for text in texts:
-                words = lower_words(text or "")
-                shingles = shingle_hashes(words)
+                lower = lowered(text)
+                shingles = shingle_hashes(lower)
                 sizes.append(len(shingles))
-                digests.append(hashlib.sha256(b" ".join(words)).digest())
-                signatures.append(signature(shingles, factors).tobytes() if words else None)
+                digests.append(hashlib.sha256(b" ".join(lower.split())).digest())
+                narrow, wide = signature(shingles, functions) if len(shingles) else (None, None)
+                signatures.append(narrow)
+                wides.append(wide)
             yield pa.RecordBatch.from_arrays(
                 [
                     chunk.column(chunk.schema.get_field_index("doc_id")),
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(signatures, pa.binary()),
+                    pa.array(wides, pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "digest", "signature"],
+                names=["doc_id", "n_shingles", "digest", "signature", "wide"],
             )
 
     return sketch
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """`doc_id, n_shingles, digest, signature` per row; the digest is of the word sequence."""
+    """`doc_id, n_shingles, digest, signature, wide` per row; the digest is of the word sequence."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows.mapInArrow(
-        _sketch_task(), "doc_id long, n_shingles long, digest binary, signature binary"
+        _sketch_task(), "doc_id long, n_shingles long, digest binary, signature binary, wide binary"
     )
 
 
@@ -174,36 +239,77 @@ def _keys_task():
     return keys
 
 
-def _across_task():
-    """Pairs of one block of a key that are near by signature and not of one component."""
+def _size_fits(n: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough at all."""
+    return 100 * np.minimum(n, other) >= PERCENT * np.maximum(n, other)
+
+
+def _across_task(forest: bool):
+    """Pairs of two blocks of a key that are near and not of one component, or a forest of them."""
 
     def across(key: tuple, rows) -> object:
         import pandas as pd
 
         low = rows[rows["half"] != 1].sort_values("id")
         high = rows[rows["half"] != 0].sort_values("id")
-        a = np.frombuffer(b"".join(low["signature"]), "<u2").reshape(len(low), SLOTS)
-        b = np.frombuffer(b"".join(high["signature"]), "<u2").reshape(len(high), SLOTS)
-        ids_a, ids_b = low["id"].to_numpy(), high["id"].to_numpy()
-        of_a, of_b = low["component"].to_numpy(), high["component"].to_numpy()
-        found_a, found_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        a, b = (
+            np.frombuffer(b"".join(part["wide"]), np.uint8).reshape(len(part), WIDE)
+            for part in (low, high)
+        )
+        (ids_a, of_a, n_a), (ids_b, of_b, n_b) = (
+            [part[c].to_numpy() for c in ("id", "component", "n_shingles")] for part in (low, high)
+        )
+        none = np.empty(0, np.int64)
+        found_a, found_b, far, held = [none], [none], [none], 0
         # Inside a block each pair is there both ways; two blocks meet once, in any order of ids.
         same_block = key[1] == key[2]
         for row in range(len(a)):
-            wanted = of_b != of_a[row]
+            wanted = (of_b != of_a[row]) & _size_fits(n_b, n_a[row])
             if same_block:
                 wanted &= ids_b > ids_a[row]
             other = np.flatnonzero(wanted)
-            for first in range(0, len(other), COMPARED_AT_ONCE):
-                some = other[first : first + COMPARED_AT_ONCE]
-                near = some[np.count_nonzero(b[some] != a[row], axis=1) <= FAR]
-                found_a.append(np.minimum(ids_a[row], ids_b[near]))
-                found_b.append(np.maximum(ids_a[row], ids_b[near]))
-        return pd.DataFrame({"a": np.concatenate(found_a), "b": np.concatenate(found_b)})
+            distance = np.count_nonzero(b[other] != a[row], axis=1)
+            near = other[distance <= FAR]
+            found_a.append(np.full(len(near), row))
+            found_b.append(near)
+            far.append(distance[distance <= FAR])
+            held += len(near)
+            if forest and (held > HELD or row == len(a) - 1):
+                # A forest of these and what follows is one of this forest and what follows.
+                at_a, at_b, apart = (np.concatenate(x) for x in (found_a, found_b, far))
+                order = np.lexsort((ids_b[at_b], ids_a[at_a], apart))
+                chosen = _forest(of_a[at_a], of_b[at_b], order)
+                found_a, found_b, far = [at_a[chosen]], [at_b[chosen]], [apart[chosen]]
+                held = len(chosen)
+        x, y = ids_a[np.concatenate(found_a)], ids_b[np.concatenate(found_b)]
+        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}, dtype="int64")
 
     return across
 
 
+def _forest(of_a: np.ndarray, of_b: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Of edges between components, taken in an order, those that join what was apart."""
+    nodes, ends = np.unique(np.concatenate([of_a, of_b]), return_inverse=True)
+    parent = list(range(len(nodes)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    starts, stops = ends[: len(of_a)].tolist(), ends[len(of_a) :].tolist()
+    chosen, apart = [], len(nodes) - 1
+    for edge in order.tolist():
+        x, y = root(starts[edge]), root(stops[edge])
+        if x != y:
+            parent[x] = y
+            chosen.append(edge)
+            apart -= 1
+            if not apart:
+                break
+    return np.array(chosen, dtype=np.int64)
+
+
 def _confirm_task():
     """Of candidates with both texts, those whose full sets are similar enough."""
 
@@ -216,8 +322,8 @@ def _confirm_task():
             keep = []
             for k in range(len(a)):
                 if last[0] != b[k]:
-                    last = b[k], shingle_hashes(lower_words(batch.column(3)[k].as_py() or ""))
-                own = shingle_hashes(lower_words(batch.column(2)[k].as_py() or ""))
+                    last = b[k], shingle_hashes(lowered(batch.column(3)[k].as_py()))
+                own = shingle_hashes(lowered(batch.column(2)[k].as_py()))
                 common = len(np.intersect1d(own, last[1], assume_unique=True))
                 keep.append(100 * common >= PERCENT * (len(own) + len(last[1]) - common))
             yield pa.RecordBatch.from_arrays(
@@ -238,23 +344,42 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return stage(links, "minhash-links")
 
 
-def _with_components(pairs: DataFrame, components: DataFrame) -> DataFrame:
-    """`pairs` with the components of both ends; an id in no link is its own."""
-    of_a = components.select(F.col("id").alias("a"), F.col("component").alias("of_a"))
-    of_b = components.select(F.col("id").alias("b"), F.col("component").alias("of_b"))
-    joined = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return joined.withColumn("of_a", F.coalesce("of_a", "a")).withColumn(
-        "of_b", F.coalesce("of_b", "b")
-    )
+def _near_by_signature(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The `pairs` of (a, b) whose wide signatures and sizes allow a link."""
+
+    def of(end: str) -> DataFrame:
+        return signatures.select(
+            F.col("id").alias(end), F.col("wide").alias(f"wide_{end}"), F.col("n_shingles").alias(f"n_{end}")
+        )
+
+    def near(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            a, b = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, WIDE)
+                for k in (2, 4)
+            )
+            n_a, n_b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 5))
+            keep = (np.count_nonzero(a != b, axis=1) <= FAR) & _size_fits(n_a, n_b)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    return both.select("a", "b", "wide_a", "n_a", "wide_b", "n_b").mapInArrow(near, "a long, b long")
 
 
 def _across(
-    members: DataFrame, signatures: DataFrame, components: DataFrame, block: int = BLOCK
+    members: DataFrame,
+    signatures: DataFrame,
+    components: DataFrame,
+    block: int = BLOCK,
+    forest: int | None = None,
 ) -> DataFrame:
     """Candidate pairs (a, b) across components from keys that still hold several.
 
     A key of `n` members is cut into `n / block` blocks by a hash of the id, and every two of them
-    meet in a task of their own, so no task holds more than two blocks' worth.
+    meet in a task of their own, so no task holds more than two blocks' worth. With `forest`, a
+    number that changes the hash, blocks are compared inside themselves alone and give a forest.
     """
     placed = stage(
         members.join(components, "id", "left").select(
@@ -266,13 +391,16 @@ def _across(
         F.min("component").alias("least"), F.max("component").alias("most")
     ).filter("least <> most").select("key")
     blocks = F.ceil(F.col("n") / block)
-    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    own = F.pmod(F.xxhash64("id", F.lit(forest or 0)), F.col("blocks"))
+    others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    if forest is not None:
+        others = F.array("own")
     parts = (
         placed.join(mixed, "key", "left_semi")
         .join(signatures, "id")
         .withColumn("blocks", blocks)
         .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn("other", F.explode(others))
         .select(
             "key",
             F.least("own", "other").alias("low"),
@@ -281,42 +409,43 @@ def _across(
             .otherwise(1).alias("half"),
             "id",
             "component",
-            "signature",
+            "n_shingles",
+            "wide",
         )
     )
-    return parts.groupBy("key", "low", "high").applyInPandas(_across_task(), "a long, b long")
+    return parts.groupBy("key", "low", "high").applyInPandas(
+        _across_task(forest is not None), "a long, b long"
+    )
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """`doc_id, n_shingles, component_id, kept` per row of `docs`."""
+    """`doc_id, n_shingles, component_id, kept, digest` per row of `docs`.
+
+    `digest` is that of the document's words.
+    """
     sketched = stage(sketches(docs), "minhash-sketches")
     classes = stage(
         sketched.filter("doc_id is not null and signature is not null")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("id"), F.first("signature").alias("signature")),
+        .agg(
+            F.min("doc_id").alias("id"),
+            *(F.first(c).alias(c) for c in ("signature", "wide", "n_shingles")),
+        ),
         "minhash-classes",
     )
-    signatures = classes.select("id", "signature")
-    keys = signatures.mapInArrow(_keys_task(), "id long, key long")
+    signatures = classes.select("id", "wide", "n_shingles")
+    keys = classes.select("id", "signature").mapInArrow(_keys_task(), "id long, key long")
     shared = keys.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("hub")
     ).filter("n > 1")
     members = stage(keys.join(shared, "key").select("key", "id", "hub", "n"), "minhash-members")
-    # Each member's smallest hub first; most members are linked by that and need no other text.
-    stars = stage(
-        members.filter("id <> hub").groupBy("id", "hub").agg(F.count(F.lit(1)).alias("keys")),
-        "minhash-stars",
-    )
-    first = stage(
-        stars.groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a")).select("a", "b"),
-        "minhash-pairs",
-    )
+    first = members.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
+    first = stage(_near_by_signature(first.select("a", "b"), signatures), "minhash-pairs")
     components = connected_components(_confirmed(first, docs))
-    rest = _with_components(stars.select(F.col("hub").alias("a"), F.col("id").alias("b")), components)
-    rest = stage(rest.filter("of_a <> of_b").select("a", "b"), "minhash-pairs")
-    components = joined_components(components, _confirmed(rest, docs))
-    wide = stage(_across(members, signatures, components, block).distinct(), "minhash-pairs")
-    components = joined_components(components, _confirmed(wide, docs))
+    for forest in (*FORESTS, None):
+        near = _across(members, signatures, components, block, forest).distinct()
+        near = stage(near, "minhash-pairs")
+        components = joined_components(components, _confirmed(near, docs))
     named = classes.join(components, "id", "left").select(
         "digest", F.coalesce("component", "id").alias("component")
     )
@@ -330,11 +459,25 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
             "n_shingles",
             "component_id",
             (F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("kept"),
+            "digest",
         )
     )
 
 
+def words_digest(text: Column) -> Column:
+    """The digest of `sketches`, of a text's lower-cased words."""
+    words = words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return F.unhex(F.sha2(F.array_join(words, " "), 256))
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay: one document of each group, and rows without an id."""
-    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    """The rows of `docs` that stay: one document of each group, and rows without an id.
+
+    A row goes if its id and words are those of a document that is not kept. Of rows alike in both,
+    and of different texts under the id of a group's smallest document, all stay.
+    """
+    gone = near_duplicates(docs).filter("not kept").select(F.col("doc_id").alias("gone"), "digest")
+    same = (F.col("doc_id").cast("long") == F.col("gone")) & (
+        words_digest(whole_text()) == F.col("digest")
+    )
+    return docs.join(gone.distinct(), same, "left_anti")

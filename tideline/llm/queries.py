@@ -71,7 +71,8 @@ def op7_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs).drop("digest")
 
 
 def op4_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
