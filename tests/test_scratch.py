@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -23,3 +26,33 @@ def test_only_a_single_jvm_may_use_a_temporary_folder():
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://n:7077"):
         with pytest.raises(ValueError):
             new_folder(session({}, master), "load")
+
+
+PROGRAM = """
+import sys
+from pyspark.sql import SparkSession
+from tideline.operators.archive import first_files
+from tideline.sources.inventory import list_files
+spark = (
+    SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+    .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate()
+)
+files = spark.range(20).selectExpr("concat('f', id) AS source_file")
+assert first_files(files, 3).count() == 3 and list_files(spark, sys.argv[1]).count() > 0
+from pathlib import Path
+assert len(list(Path(sys.argv[1], "tideline").iterdir())) == 2
+if len(sys.argv) > 2:
+    from tideline.llm.common import stage
+    assert stage(files, "some").count() == 20
+spark.stop()
+"""
+
+
+def test_intermediate_tables_go_with_the_program(tmp_path):
+    root = Path(__file__).resolve().parents[1]
+    command = [sys.executable, "-c", PROGRAM, str(tmp_path)]
+    if (root / "tideline" / "llm").is_dir():
+        command.append("llm")
+    done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert list((tmp_path / "tideline").iterdir()) == []

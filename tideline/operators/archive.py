@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline.functions.uri import strip_prefix
 from tideline.schemas import FILE_PATH, PROCESSED_DATE, REPORT, SOURCE_FILE
-from tideline.scratch import new_folder
+from tideline.scratch import delete_at_exit, new_folder
 from tideline.sources.tables import iso_date
 
 POSITIONS = (1 << 33) - 1  # Spark puts the row's position in the low 33 bits of its id
@@ -53,6 +53,7 @@ def first_files(files: DataFrame, limit: int, staging: str | None = None) -> Dat
     if limit < 0:
         return files
     spark = files.sparkSession
+    own = staging is None
     staging = staging or new_folder(spark, "first-files")
     (
         files.repartitionByRange(SOURCE_FILE)
@@ -62,6 +63,8 @@ def first_files(files: DataFrame, limit: int, staging: str | None = None) -> Dat
         .write.mode("overwrite")
         .parquet(staging)
     )
+    if own:
+        delete_at_exit(spark, staging)
     ranked = spark.read.parquet(staging)
     # One row per shuffle partition, so this window stays small.
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)

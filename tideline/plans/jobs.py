@@ -33,7 +33,7 @@ from tideline.schemas import (
     STORED_REPORT,
     STREAM_ID,
 )
-from tideline.scratch import new_folder
+from tideline.scratch import delete_at_exit, new_folder
 from tideline.sources.inventory import list_files
 from tideline.sources.landing import MAX_FILE_AGE, read_landing, read_landing_files
 from tideline.sources.manifest import files_read_on, manifest_path, read_manifest
@@ -270,6 +270,7 @@ def load_late_files(
         # The rows that are to be stored must not be a listing of the folder, nor the slice itself.
         staging = new_folder(spark, "late-files")
         late.write.parquet(staging)
+        delete_at_exit(spark, staging)
         files = spark.read.schema(late.schema).parquet(staging)
         n, now = files.agg(F.count(F.lit(1)), F.unix_micros(F.current_timestamp())).first()
         if n == 0:

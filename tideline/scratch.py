@@ -22,3 +22,12 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         root = tempfile.mkdtemp(prefix="tideline-")
     return f"{root.rstrip('/')}/tideline/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have a folder that is there deleted when the session's program ends.
+
+    It is the driver's file system client that remembers it, so a driver that is killed leaves it.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tideline.functions.stamps import source_file
 from tideline.schemas import MODIFICATION_TIME, SIZE, SOURCE_FILE
-from tideline.scratch import new_folder
+from tideline.scratch import delete_at_exit, new_folder
 from tideline.sources.stores import store_finder
 
 # What is listed: files, and folders that are yet to be listed.
@@ -132,6 +132,7 @@ def _listed_in_tasks(
     while True:
         level_path = new_folder(spark, "listing")
         todo.mapInPandas(_lister(per_task), ENTRIES).write.parquet(level_path)
+        delete_at_exit(spark, level_path)
         level = spark.read.schema(ENTRIES).parquet(level_path)
         levels.append(level_path)
         inner = level.filter("is_folder").select("path")
