@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tideline
-from tideline.scratch import new_folder
+from tideline.scratch import delete_at_exit, new_folder
 
 # Fixed value: what separates words, in every operator that says no more about it.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,9 +42,13 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` as a table in the shared scratch folder, so that lost executors cannot undo it."""
+    """`df` as a table in the shared scratch folder, so that lost executors cannot undo it.
+
+    The table is deleted when the program ends.
+    """
     folder = new_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
+    delete_at_exit(df.sparkSession, folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
