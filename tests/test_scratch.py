@@ -41,9 +41,6 @@ files = spark.range(20).selectExpr("concat('f', id) AS source_file")
 assert first_files(files, 3).count() == 3 and list_files(spark, sys.argv[1]).count() > 0
 from pathlib import Path
 assert len(list(Path(sys.argv[1], "tideline").iterdir())) == 2
-if len(sys.argv) > 2:
-    from tideline.llm.common import stage
-    assert stage(files, "some").count() == 20
 spark.stop()
 """
 
@@ -51,8 +48,6 @@ spark.stop()
 def test_intermediate_tables_go_with_the_program(tmp_path):
     root = Path(__file__).resolve().parents[1]
     command = [sys.executable, "-c", PROGRAM, str(tmp_path)]
-    if (root / "tideline" / "llm").is_dir():
-        command.append("llm")
     done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
     assert list((tmp_path / "tideline").iterdir()) == []
