@@ -10,8 +10,8 @@ most `CHUNKS * (ERRORS + 1) - 1` agree in some chunk up to `ERRORS` slots. Each
 every pair within it shares a key: none is lost. With the defaults (16 chunks of 6 slots, one
 error, distance 31 of 96) a pair of similarity 0.75 shares no key with a probability of 5e-6.
 
-1. Documents of equal word sequences are one class, named by its smallest id.
-2. Classes that share a key are linked to the smallest class of that key as candidates, a star and
+1. Documents of equal word sequences are one class, which goes by a hash of their digest.
+2. Classes that share a key are linked to the least class of that key as candidates, a star and
    not all pairs; of its stars a class tries the one with the smallest centre. Candidates are
    compared on their full sets and linked components are found.
 3. Where a key still holds several components, its members are compared across components inside
@@ -21,17 +21,16 @@ error, distance 31 of 96) a pair of similarity 0.75 shares no key with a probabi
    more with other blocks.
 4. What then still is near across components, in any two blocks of a key, is emitted whole and
    compared. In practice these are the few pairs a little below the similarity.
-5. The components of all links are the result.
+5. The components of all links are the result, each named by its smallest id.
 
-Near is a wide distance of at most `FAR`: a pair of similarity 0.75 is beyond it with a probability
-below 1e-8, one of similarity 0.5 within it with one below 1e-5, so what merely shares a passage
+Near is a wide distance of at most `FAR`, and of at most `BITS_FAR` in the low bits of the slots: a
+pair of similarity 0.75 is beyond either with a probability of some 1e-8, one of similarity 0.5 within it with one below 1e-5, so what merely shares a passage
 costs no comparison of texts. A group of near copies costs one candidate per member and key. No key,
 bucket or list of partners is capped.
 
 Nulls: a null or empty text has an empty set and is linked with nothing. A row without an id is
 linked with nothing either and has a null component; it is kept. Rows that repeat an id are looked
-at one by one; where that id names several classes, these count as one, and `deduplicate` takes out
-rows by id and words. An empty table gives an empty result. Columns other than `doc_id` and `text`
+at one by one, each by its own words, and `deduplicate` takes out rows by id and words. An empty table gives an empty result. Columns other than `doc_id` and `text`
 are not looked at.
 """
 
@@ -61,6 +60,8 @@ ERRORS = 1
 SLOTS = CHUNKS * CHUNK_SLOTS
 WIDE = 384
 FAR = 147
+# A bit of each slot differs half as often. What is beyond this in bits is not looked at in full.
+BITS_FAR = 87
 BLOCK = 4096
 CHUNK_BYTES = 4 << 20
 # Rounds of forests, by the number that deals the members of a key to blocks.
@@ -244,16 +245,29 @@ def _size_fits(n: np.ndarray, other: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(n, other) >= PERCENT * np.maximum(n, other)
 
 
+def _distances(some: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """In how many bytes rows of 64-bit words differ from one row."""
+    differs = (some.view(np.uint8) != one.view(np.uint8)).view(np.uint64)
+    return np.bitwise_count(differs).sum(axis=1, dtype=np.int64)
+
+
+def _bits(wide: np.ndarray) -> np.ndarray:
+    """One bit of each slot, in 64-bit words."""
+    low = wide.view(np.uint8).reshape(len(wide), WIDE) & 1
+    return np.packbits(low, axis=1).view(np.uint64).reshape(len(wide), WIDE // 64)
+
+
 def _across_task(forest: bool):
     """Pairs of two blocks of a key that are near and not of one component, or a forest of them."""
 
     def across(key: tuple, rows) -> object:
         import pandas as pd
 
-        low = rows[rows["half"] != 1].sort_values("id")
-        high = rows[rows["half"] != 0].sort_values("id")
+        # By size, so that the sets that one can be similar to are a stretch of the others.
+        low = rows[rows["half"] != 1].sort_values(["n_shingles", "id"])
+        high = rows[rows["half"] != 0].sort_values(["n_shingles", "id"])
         a, b = (
-            np.frombuffer(b"".join(part["wide"]), np.uint8).reshape(len(part), WIDE)
+            np.frombuffer(b"".join(part["wide"]), np.uint64).reshape(len(part), WIDE // 8)
             for part in (low, high)
         )
         (ids_a, of_a, n_a), (ids_b, of_b, n_b) = (
@@ -261,14 +275,17 @@ def _across_task(forest: bool):
         )
         none = np.empty(0, np.int64)
         found_a, found_b, far, held = [none], [none], [none], 0
-        # Inside a block each pair is there both ways; two blocks meet once, in any order of ids.
+        # A block by itself has each pair once if only what comes later is looked at.
         same_block = key[1] == key[2]
+        bits_a, bits_b = _bits(a), np.ascontiguousarray(_bits(b).T)
+        firsts = np.searchsorted(100 * n_b, PERCENT * n_a)
+        ends = np.searchsorted(PERCENT * n_b, 100 * n_a, side="right")
         for row in range(len(a)):
-            wanted = (of_b != of_a[row]) & _size_fits(n_b, n_a[row])
-            if same_block:
-                wanted &= ids_b > ids_a[row]
-            other = np.flatnonzero(wanted)
-            distance = np.count_nonzero(b[other] != a[row], axis=1)
+            first, end = (row + 1 if same_block else firsts[row]), ends[row]
+            differ = np.bitwise_count(bits_b[:, first:end] ^ bits_a[row][:, None])
+            likely = differ.sum(axis=0, dtype=np.uint16) <= BITS_FAR
+            other = first + np.flatnonzero(likely & (of_b[first:end] != of_a[row]))
+            distance = _distances(b[other], a[row])
             near = other[distance <= FAR]
             found_a.append(np.full(len(near), row))
             found_b.append(near)
@@ -310,6 +327,17 @@ def _forest(of_a: np.ndarray, of_b: np.ndarray, order: np.ndarray) -> np.ndarray
     return np.array(chosen, dtype=np.int64)
 
 
+def words_digest(text: Column) -> Column:
+    """The digest of `sketches`, of a text's lower-cased words."""
+    words = words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    return F.unhex(F.sha2(F.array_join(words, " "), 256))
+
+
+def class_number(digest: Column) -> Column:
+    """The number by which a class of equal words goes; its digest has 256 bits, this 64."""
+    return F.xxhash64(digest)
+
+
 def _confirm_task():
     """Of candidates with both texts, those whose full sets are similar enough."""
 
@@ -333,11 +361,21 @@ def _confirm_task():
     return confirm
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links among candidate `pairs` of (a, b), which are ids of classes."""
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links among candidate `pairs` of (a, b), which are numbers of classes.
+
+    A class is read from a document with its smallest id and its words.
+    """
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    texts = stage(rows.join(needed.distinct(), "id", "left_semi"), "minhash-texts")
+    needed = classes.select("id", "least").join(needed.distinct(), "id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("least"), whole_text().alias("text"))
+    texts = stage(
+        rows.join(needed, "least")
+        .filter(class_number(words_digest(F.col("text"))) == F.col("id"))
+        .groupBy("id")
+        .agg(F.first("text").alias("text")),
+        "minhash-texts",
+    )
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     links = both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_task(), "a long, b long")
@@ -357,11 +395,11 @@ def _near_by_signature(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
         for batch in batches:
             a, b = (
-                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, WIDE)
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(-1, WIDE // 8)
                 for k in (2, 4)
             )
             n_a, n_b = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 5))
-            keep = (np.count_nonzero(a != b, axis=1) <= FAR) & _size_fits(n_a, n_b)
+            keep = (_distances(a, b) <= FAR) & _size_fits(n_a, n_b)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     both = pairs.join(of("a"), "a").join(of("b"), "b")
@@ -428,9 +466,10 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         sketched.filter("doc_id is not null and signature is not null")
         .groupBy("digest")
         .agg(
-            F.min("doc_id").alias("id"),
+            F.min("doc_id").alias("least"),
             *(F.first(c).alias(c) for c in ("signature", "wide", "n_shingles")),
-        ),
+        )
+        .withColumn("id", class_number(F.col("digest"))),
         "minhash-classes",
     )
     signatures = classes.select("id", "wide", "n_shingles")
@@ -441,13 +480,20 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     members = stage(keys.join(shared, "key").select("key", "id", "hub", "n"), "minhash-members")
     first = members.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
     first = stage(_near_by_signature(first.select("a", "b"), signatures), "minhash-pairs")
-    components = connected_components(_confirmed(first, docs))
+    components = connected_components(_confirmed(first, classes, docs))
     for forest in (*FORESTS, None):
         near = _across(members, signatures, components, block, forest).distinct()
         near = stage(near, "minhash-pairs")
-        components = joined_components(components, _confirmed(near, docs))
-    named = classes.join(components, "id", "left").select(
-        "digest", F.coalesce("component", "id").alias("component")
+        components = joined_components(components, _confirmed(near, classes, docs))
+    placed = stage(
+        classes.join(components, "id", "left").select(
+            "digest", "least", F.coalesce("component", "id").alias("component")
+        ),
+        "minhash-named",
+    )
+    least = placed.groupBy(F.col("component").alias("of")).agg(F.min("least").alias("smallest"))
+    named = placed.join(least, F.col("component") == F.col("of")).select(
+        "digest", F.col("smallest").alias("component")
     )
     own = F.col("doc_id").isNotNull() & F.col("signature").isNotNull()
     component = F.when(own, F.col("component")).otherwise(F.col("doc_id"))
@@ -464,12 +510,6 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     )
 
 
-def words_digest(text: Column) -> Column:
-    """The digest of `sketches`, of a text's lower-cased words."""
-    words = words_of(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
-    return F.unhex(F.sha2(F.array_join(words, " "), 256))
-
-
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that stay: one document of each group, and rows without an id.
 
