@@ -64,6 +64,8 @@ FAR = 147
 BITS_FAR = 87
 BLOCK = 4096
 CHUNK_BYTES = 4 << 20
+# Classes to be compared are sent to all tasks up to so many, 16 bytes each.
+SENT = 500_000
 # Rounds of forests, by the number that deals the members of a key to blocks.
 FORESTS = (0, 1)
 # Near pairs a task holds before it reduces them to a forest.
@@ -257,49 +259,104 @@ def _bits(wide: np.ndarray) -> np.ndarray:
     return np.packbits(low, axis=1).view(np.uint64).reshape(len(wide), WIDE // 64)
 
 
+def _pairs_across(
+    ids: np.ndarray, of: np.ndarray, n: np.ndarray, wide: np.ndarray, half: np.ndarray, forest: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Near pairs of different components among the members of a block, or of two, or a forest.
+
+    Members come by size, so that the sets that one can be similar to are a stretch of the others.
+    `half` is 0 and 1 for members of two blocks, which are compared with each other, 2 for one block.
+    """
+    same_block = half[0] == 2
+    low, high = (slice(None),) * 2 if same_block else (np.flatnonzero(half == k) for k in (0, 1))
+    a, b, ids_a, ids_b, of_a, of_b, n_a, n_b = (
+        x[part] for x in (wide, ids, of, n) for part in (low, high)
+    )
+    none = np.empty(0, np.int64)
+    found_a, found_b, far, held = [none], [none], [none], 0
+    bits = _bits(wide)
+    bits_a, bits_b = bits[low], np.ascontiguousarray(bits[high].T)
+    firsts = np.searchsorted(100 * n_b, PERCENT * n_a)
+    ends = np.searchsorted(PERCENT * n_b, 100 * n_a, side="right").tolist()
+    for row in range(len(a)):
+        # A block by itself has each pair once if only what comes later is looked at.
+        first, end = (row + 1 if same_block else int(firsts[row])), ends[row]
+        if first >= end:
+            continue
+        differ = np.bitwise_count(bits_b[:, first:end] ^ bits_a[row][:, None])
+        likely = (differ.sum(axis=0, dtype=np.uint16) <= BITS_FAR) & (of_b[first:end] != of_a[row])
+        other = first + np.flatnonzero(likely)
+        if not len(other):
+            continue
+        distance = _distances(b[other], a[row])
+        inside = distance <= FAR
+        found_a.append(np.full(int(inside.sum()), row))
+        found_b.append(other[inside])
+        far.append(distance[inside])
+        held += len(found_a[-1])
+        if forest and held > HELD:
+            # A forest of these and what follows is one of this forest and what follows.
+            at_a, at_b, apart = _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b)
+            found_a, found_b, far, held = [at_a], [at_b], [apart], len(at_a)
+    if forest and held:
+        at_a, at_b, _ = _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b)
+    else:
+        at_a, at_b = np.concatenate(found_a), np.concatenate(found_b)
+    x, y = ids_a[at_a], ids_b[at_b]
+    return np.minimum(x, y), np.maximum(x, y)
+
+
+def _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b) -> tuple[np.ndarray, ...]:
+    at_a, at_b, apart = (np.concatenate(x) for x in (found_a, found_b, far))
+    order = np.lexsort((ids_b[at_b], ids_a[at_a], apart))
+    chosen = _forest(of_a[at_a], of_b[at_b], order)
+    return at_a[chosen], at_b[chosen], apart[chosen]
+
+
 def _across_task(forest: bool):
-    """Pairs of two blocks of a key that are near and not of one component, or a forest of them."""
+    """Blocks of keys as a stream, each with its members by size."""
 
-    def across(key: tuple, rows) -> object:
-        import pandas as pd
+    def across(batches: Iterator) -> Iterator:
+        import pyarrow as pa
 
-        # By size, so that the sets that one can be similar to are a stretch of the others.
-        low = rows[rows["half"] != 1].sort_values(["n_shingles", "id"])
-        high = rows[rows["half"] != 0].sort_values(["n_shingles", "id"])
-        a, b = (
-            np.frombuffer(b"".join(part["wide"]), np.uint64).reshape(len(part), WIDE // 8)
-            for part in (low, high)
-        )
-        (ids_a, of_a, n_a), (ids_b, of_b, n_b) = (
-            [part[c].to_numpy() for c in ("id", "component", "n_shingles")] for part in (low, high)
-        )
-        none = np.empty(0, np.int64)
-        found_a, found_b, far, held = [none], [none], [none], 0
-        # A block by itself has each pair once if only what comes later is looked at.
-        same_block = key[1] == key[2]
-        bits_a, bits_b = _bits(a), np.ascontiguousarray(_bits(b).T)
-        firsts = np.searchsorted(100 * n_b, PERCENT * n_a)
-        ends = np.searchsorted(PERCENT * n_b, 100 * n_a, side="right")
-        for row in range(len(a)):
-            first, end = (row + 1 if same_block else firsts[row]), ends[row]
-            differ = np.bitwise_count(bits_b[:, first:end] ^ bits_a[row][:, None])
-            likely = differ.sum(axis=0, dtype=np.uint16) <= BITS_FAR
-            other = first + np.flatnonzero(likely & (of_b[first:end] != of_a[row]))
-            distance = _distances(b[other], a[row])
-            near = other[distance <= FAR]
-            found_a.append(np.full(len(near), row))
-            found_b.append(near)
-            far.append(distance[distance <= FAR])
-            held += len(near)
-            if forest and (held > HELD or row == len(a) - 1):
-                # A forest of these and what follows is one of this forest and what follows.
-                at_a, at_b, apart = (np.concatenate(x) for x in (found_a, found_b, far))
-                order = np.lexsort((ids_b[at_b], ids_a[at_a], apart))
-                chosen = _forest(of_a[at_a], of_b[at_b], order)
-                found_a, found_b, far = [at_a[chosen]], [at_b[chosen]], [apart[chosen]]
-                held = len(chosen)
-        x, y = ids_a[np.concatenate(found_a)], ids_b[np.concatenate(found_b)]
-        return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}, dtype="int64")
+        def pairs_of(rows) -> list[tuple[np.ndarray, np.ndarray]]:
+            """Pairs of the groups in these rows, which hold whole groups."""
+            key, low, high, half, ids, of, n = (
+                rows.column(k).to_numpy(zero_copy_only=False) for k in range(7)
+            )
+            wide = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64)
+            wide = wide.reshape(len(ids), WIDE // 8)
+            change = (np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(ids)]
+            return [
+                _pairs_across(ids[i:j], of[i:j], n[i:j], wide[i:j], half[i:j], forest)
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True)
+                if j - i > 1
+            ]
+
+        def out(found: list[tuple[np.ndarray, np.ndarray]]):
+            none = [np.empty(0, np.int64)]
+            a, b = (np.concatenate(none + [pair[k] for pair in found]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch
+            if held is not None:
+                rows = pa.concat_batches([held, batch])
+            # The last group may go on in the next batch.
+            same = np.ones(rows.num_rows, dtype=bool)
+            for k in range(3):
+                column = rows.column(k).to_numpy(zero_copy_only=False)
+                same &= column == column[-1]
+            last = rows.num_rows - int(same.sum())
+            if last:
+                yield out(pairs_of(rows.slice(0, last)))
+            held = rows.slice(last)
+        if held is not None:
+            yield out(pairs_of(held))
 
     return across
 
@@ -367,7 +424,9 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFra
     A class is read from a document with its smallest id and its words.
     """
     needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    needed = classes.select("id", "least").join(needed.distinct(), "id")
+    needed = stage(classes.select("id", "least").join(needed.distinct(), "id"), "minhash-needed")
+    if needed.count() <= SENT:
+        needed = F.broadcast(needed)
     rows = docs.select(F.col("doc_id").cast("long").alias("least"), whole_text().alias("text"))
     texts = stage(
         rows.join(needed, "least")
@@ -451,9 +510,9 @@ def _across(
             "wide",
         )
     )
-    return parts.groupBy("key", "low", "high").applyInPandas(
-        _across_task(forest is not None), "a long, b long"
-    )
+    group = ["key", "low", "high"]
+    together = parts.repartition(*group).sortWithinPartitions(*group, "n_shingles", "id")
+    return together.mapInArrow(_across_task(forest is not None), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
