@@ -391,8 +391,12 @@ def test_cross_entropy_of_odd_rows(docs, nothing):
     assert cross_entropy.score(nothing, in_target).count() == 0
 
 
-@pytest.mark.parametrize("sent_words, buckets, documents", [(10**6, 16, 2), (0, 3, 2), (10**6, 16, 1)])
-def test_cross_entropy_equals_models_without_the_text(spark, monkeypatch, sent_words, buckets, documents):
+@pytest.mark.parametrize(
+    "sent_words, buckets, documents, occurrences", [(10**6, 16, 2, 1), (0, 3, 2, 2), (10**6, 16, 1, 3)]
+)
+def test_cross_entropy_equals_models_without_the_text(
+    spark, monkeypatch, sent_words, buckets, documents, occurrences
+):
     import math
     from collections import Counter
 
@@ -426,12 +430,16 @@ def test_cross_entropy_equals_models_without_the_text(spark, monkeypatch, sent_w
         return pairs, singles
 
     models = [counts([t for i, t in rows if own_marks[i, t] & mark]) for mark in (1, 2)]
+    together = models[0][0] + models[1][0]
+    kept = {pair for pair, n in together.items() if n >= occurrences}
+    models = [(Counter({p: n for p, n in m[0].items() if p in kept}), m[1]) for m in models]
 
     def mean_loss(text, model, mine):
         pairs, singles = (Counter(c) for c in model)
         if mine:
-            for all_counts, own_counts in zip((pairs, singles), counts([text])):
-                all_counts.subtract(own_counts)
+            own_pairs, own_singles = counts([text])
+            pairs.subtract({p: n for p, n in own_pairs.items() if p in kept})
+            singles.subtract(own_singles)
         total = sum(singles.values())
         own = [w if w in vocabulary else None for w in words_of(text)]
         each = [
@@ -440,7 +448,7 @@ def test_cross_entropy_equals_models_without_the_text(spark, monkeypatch, sent_w
         ]
         return sum(each) / len(each)
 
-    found = cross_entropy.score(docs, in_target, documents, sent_words).collect()
+    found = cross_entropy.score(docs, in_target, documents, occurrences, sent_words).collect()
     assert len(found) == len(rows)
     for r in found:
         assert r.n_tokens == len((r.text or "").split()) + 1
@@ -454,7 +462,8 @@ def test_learnt_texts_score_like_others_of_their_kind(spark):
     kinds = [[f"good{k}" for k in range(60)], [f"poor{k}" for k in range(60)]]
     rows = [(k, " ".join(rng.choices(kinds[k % 2], k=80))) for k in range(400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    scored = cross_entropy.score(docs, (F.col("doc_id") % 2 == 0) & (F.col("doc_id") < 200)).collect()
+    in_target = (F.col("doc_id") % 2 == 0) & (F.col("doc_id") < 200)
+    scored = cross_entropy.score(docs, in_target, documents=3).collect()
     means = {
         name: sum(own) / len(own)
         for name, own in (

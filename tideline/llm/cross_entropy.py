@@ -8,7 +8,8 @@ distribution:
 
     p(w) = (c(w) + 1) / (tokens + words)    p(w | u) = (c(u, w) + WEIGHT * p(w)) / (c(u) + WEIGHT)
 
-Bigrams with an unknown word are not counted; p(w | u) then follows from the words alone. A text is
+Bigrams with an unknown word, and those that target and background together have fewer than
+`OCCURRENCES` times, are not counted; p(w | u) then follows from the words alone. A text is
 scored by what the models know *without it*: where it belongs to the target or the background, its
 own counts are taken out first, so texts that were learnt score like others. The score is the mean
 loss per token under the target model less that under the background model, in nats: the lower, the
@@ -40,7 +41,8 @@ from tideline.llm.common import lower_words, ship_package, stage, text_chunks, w
 
 BORDER = 0
 WEIGHT = 20.0
-DOCUMENTS = 3
+DOCUMENTS = 30
+OCCURRENCES = 2
 SENT = 2_000_000
 ENTRIES_PER_BUCKET = 4_000_000
 LEAST_BUCKETS = 16
@@ -340,7 +342,11 @@ def marked(docs: DataFrame, in_target: Column) -> DataFrame:
 
 
 def score(
-    docs: DataFrame, in_target: Column, documents: int = DOCUMENTS, sent_words: int = SENT
+    docs: DataFrame,
+    in_target: Column,
+    documents: int = DOCUMENTS,
+    occurrences: int = OCCURRENCES,
+    sent_words: int = SENT,
 ) -> DataFrame:
     """`docs` with `n_tokens, target_loss, background_loss, score`.
 
@@ -370,6 +376,7 @@ def score(
         sent = spark.sparkContext.broadcast(ids)
     bigrams = learnt.mapInArrow(_bigram_counts_task(sent), "u long, w long, t long, b long")
     bigrams = bigrams.groupBy("u", "w").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    bigrams = bigrams.filter(F.col("t") + F.col("b") >= occurrences)
     of_word = vocabulary.select("w", F.col("t").alias("w_t"), F.col("b").alias("w_b"))
     pairs = bigrams.join(of_word, "w")
     if sent is None:
