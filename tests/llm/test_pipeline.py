@@ -20,8 +20,10 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 def corpus():
     rng = random.Random(21)
-    plain = [f"plain{k}" for k in range(300)]
-    foul = [f"foul{k}" for k in range(15)]
+    plain, foul = (
+        ["".join(rng.choices("abcdefghiklmnoprstuvw", k=size)) for _ in range(n)]
+        for size, n in ((6, 300), (8, 15))
+    )
 
     def prose(n, of=plain):
         return " ".join(rng.choices(of, k=n))
