@@ -158,7 +158,7 @@ def _repair_sql() -> str:
             SELECT *, lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS former,
                    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
                         WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
-                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated'
+                        WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\\z') THEN 'truncated'
                         ELSE '' END AS fault
             FROM placed
         ), counts AS (
