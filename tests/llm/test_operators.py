@@ -272,6 +272,28 @@ def test_numbers_that_are_no_letters_have_no_language(spark):
     assert {found[2].lang_pred, found[3].lang_pred} <= {"en", "de"}
 
 
+def test_letters_are_found_fast_and_alike():
+    import time
+
+    from tideline.llm.compression import LETTERS, words_in
+
+    signs = [c for c in map(chr, range(0x110000)) if c.isalnum() or c == "_"]
+    odd = [f"a{c}b {c}" for c in signs] + ["".join(signs)]
+    assert [words_in(text) for text in odd] == [LETTERS.findall(text.lower()) for text in odd]
+    prose = "some ordinary words, très ordinaires " * 5000
+
+    def seconds(of) -> float:
+        taken = []
+        for _ in range(3):
+            began = time.process_time()
+            of(prose)
+            taken.append(time.process_time() - began)
+        return min(taken)
+
+    # The plain search looks at each number sign for each letter.
+    assert 3 * seconds(words_in) < seconds(LETTERS.findall)
+
+
 def test_a_class_of_long_texts_alone_is_learnt(spark):
     rng = random.Random(6)
     mild = [f"mild{k}" for k in range(80)]
