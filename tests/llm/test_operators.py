@@ -153,6 +153,50 @@ def test_a_hot_key_of_similar_texts_emits_less_than_its_members(spark):
     assert minhash._across(members, signatures, components, 4096).count() < 2000
 
 
+@pytest.mark.parametrize("block, sets", [(4096, 1 << 20), (7, 900)])
+def test_near_pairs_that_are_not_linked_leave_no_task(spark, monkeypatch, block, sets):
+    """Texts that share a passage, pair by pair a little below the similarity, and three that link."""
+    rng = random.Random(9)
+
+    def words(k: int) -> list[str]:
+        return [f"w{rng.randrange(10**9)}" for _ in range(k)]
+
+    passage = words(120)
+    rows = [(k, " ".join(passage + words(25))) for k in range(150)]
+    rows += [(1000, rows[3][1] + " " + rows[3][1][-20:]), (1001, rows[77][1] + " more of it")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = []
+    across, links = minhash._across, minhash._linked_across
+
+    def counted(*args):
+        found = links(*args[:4], block, sets)
+        made.append(found.count())
+        return found
+
+    def no_pairs(members, signatures, components, block, forest):
+        assert forest is not None
+        return across(members, signatures, components, block, forest)
+
+    monkeypatch.setattr(minhash, "FORESTS", ())
+    monkeypatch.setattr(minhash, "_across", no_pairs)
+    monkeypatch.setattr(minhash, "_linked_across", counted)
+    # Nothing is linked before the search across components.
+    monkeypatch.setattr(minhash, "connected_components", lambda edges: connected_components(edges.limit(0)))
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()}
+    sets_of = {
+        k: {tuple(w[i : i + 5]) for i in range(len(w) - 4)} for k, w in ((k, t.split()) for k, t in rows)
+    }
+    alike = [
+        (a, b) for a in sets_of for b in sets_of
+        if a < b and 100 * len(sets_of[a] & sets_of[b]) >= 75 * len(sets_of[a] | sets_of[b])
+    ]
+    expected = {k: k for k in sets_of}
+    for a, b in alike:
+        low, high = sorted((expected[a], expected[b]))
+        expected = {k: low if c == high else c for k, c in expected.items()}
+    assert found == expected and 0 < made[0] <= 4 * len(alike) + len(rows)
+
+
 def test_rows_of_one_id_and_different_texts(spark):
     """Id 5 names a near copy of 3 and a text of its own; only the copy goes."""
     rng = random.Random(12)

@@ -19,8 +19,10 @@ error, distance 31 of 96) a pair of similarity 0.75 shares no key with a probabi
    sizes of their sets. First each block by itself emits a spanning forest of the near ones, the
    nearest first: fewer pairs than it has members. These are compared on their full sets, and once
    more with other blocks.
-4. What then still is near across components, in any two blocks of a key, is emitted whole and
-   compared. In practice these are the few pairs a little below the similarity.
+4. What then still is near across components, in any two blocks of a key, is compared inside tasks.
+   Members with a near pair are found first; they meet again with their full sets, each pair under
+   the first key that it shares, and a forest of the links is emitted. No pair that is not linked
+   leaves a task, so the rows grow with the members and not with their pairs.
 5. The components of all links are the result, each named by its smallest id.
 
 Near is a wide distance of at most `FAR`, and of at most `BITS_FAR` in the low bits of the slots: a
@@ -36,7 +38,7 @@ are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -64,6 +66,8 @@ FAR = 138
 BITS_FAR = 81
 BLOCK = 4096
 CHUNK_BYTES = 4 << 20
+# Shingles in a block of full sets.
+SETS = 1 << 20
 # Classes to be compared are sent to all tasks up to so many, 16 bytes each.
 SENT = 500_000
 # Rounds of forests, by the number that deals the members of a key to blocks.
@@ -216,6 +220,19 @@ def _key_columns() -> list[tuple[int, list[int]]]:
     return chosen
 
 
+def _keys_of(signatures: list[bytes], columns: list[tuple[int, list[int]]]) -> np.ndarray:
+    """The keys of each signature, in the order of `columns`."""
+    slots = np.frombuffer(b"".join(signatures), dtype="<u2")
+    slots = slots.reshape(len(signatures), SLOTS).astype(np.uint64)
+    out = np.empty((len(slots), len(columns)), dtype=np.uint64)
+    for number, kept in columns:
+        total = np.full(len(slots), number + 1, dtype=np.uint64)
+        for slot in kept:
+            total = _mixed(total + slots[:, slot])
+        out[:, number] = total
+    return out
+
+
 def _keys_task():
     def keys(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -223,14 +240,7 @@ def _keys_task():
         columns = _key_columns()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            slots = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype="<u2")
-            slots = slots.reshape(len(ids), SLOTS).astype(np.uint64)
-            out = np.empty((len(ids), len(columns)), dtype=np.uint64)
-            for number, kept in columns:
-                total = np.full(len(ids), number + 1, dtype=np.uint64)
-                for slot in kept:
-                    total = _mixed(total + slots[:, slot])
-                out[:, number] = total
+            out = _keys_of(batch.column(1).to_pylist(), columns)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.repeat(ids, len(columns)), pa.int64()),
@@ -259,85 +269,138 @@ def _bits(wide: np.ndarray) -> np.ndarray:
     return np.packbits(low, axis=1).view(np.uint64).reshape(len(wide), WIDE // 64)
 
 
-def _pairs_across(
-    ids: np.ndarray, of: np.ndarray, n: np.ndarray, wide: np.ndarray, half: np.ndarray, forest: bool
-) -> tuple[np.ndarray, np.ndarray]:
-    """Near pairs of different components among the members of a block, or of two, or a forest.
+def _near_rows(of: np.ndarray, n: np.ndarray, wide: np.ndarray, half: np.ndarray) -> Iterator:
+    """For members of a block, or of two, the places of those near them in other components.
 
-    Members come by size, so that the sets that one can be similar to are a stretch of the others.
-    `half` is 0 and 1 for members of two blocks, which are compared with each other, 2 for one block.
+    Each pair comes once: a place, an array of places, and an array of distances. Members come by
+    size, so that the sets that one can be similar to are a stretch of the others. `half` is 0 and 1
+    for members of two blocks, which are compared with each other, 2 for one block.
     """
     same_block = half[0] == 2
-    low, high = (slice(None),) * 2 if same_block else (np.flatnonzero(half == k) for k in (0, 1))
-    a, b, ids_a, ids_b, of_a, of_b, n_a, n_b = (
-        x[part] for x in (wide, ids, of, n) for part in (low, high)
-    )
-    none = np.empty(0, np.int64)
-    found_a, found_b, far, held = [none], [none], [none], 0
+    low, high = (np.flatnonzero((half == k) | same_block) for k in (0, 1))
+    b, of_b = wide[high], of[high]
     bits = _bits(wide)
-    bits_a, bits_b = bits[low], np.ascontiguousarray(bits[high].T)
-    firsts = np.searchsorted(100 * n_b, PERCENT * n_a)
-    ends = np.searchsorted(PERCENT * n_b, 100 * n_a, side="right").tolist()
-    for row in range(len(a)):
+    bits_b = np.ascontiguousarray(bits[high].T)
+    firsts = np.searchsorted(100 * n[high], PERCENT * n[low])
+    ends = np.searchsorted(PERCENT * n[high], 100 * n[low], side="right").tolist()
+    for place, row in enumerate(low.tolist()):
         # A block by itself has each pair once if only what comes later is looked at.
-        first, end = (row + 1 if same_block else int(firsts[row])), ends[row]
+        first, end = (place + 1 if same_block else int(firsts[place])), ends[place]
         if first >= end:
             continue
-        differ = np.bitwise_count(bits_b[:, first:end] ^ bits_a[row][:, None])
-        likely = (differ.sum(axis=0, dtype=np.uint16) <= BITS_FAR) & (of_b[first:end] != of_a[row])
+        differ = np.bitwise_count(bits_b[:, first:end] ^ bits[row][:, None])
+        likely = (differ.sum(axis=0, dtype=np.uint16) <= BITS_FAR) & (of_b[first:end] != of[row])
         other = first + np.flatnonzero(likely)
         if not len(other):
             continue
-        distance = _distances(b[other], a[row])
+        distance = _distances(b[other], wide[row])
         inside = distance <= FAR
-        found_a.append(np.full(int(inside.sum()), row))
-        found_b.append(other[inside])
-        far.append(distance[inside])
-        held += len(found_a[-1])
+        if inside.any():
+            yield row, high[other[inside]], distance[inside]
+
+
+def _pairs_across(
+    ids: np.ndarray, of: np.ndarray, n: np.ndarray, wide: np.ndarray, half: np.ndarray, forest: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Near pairs of different components among the members of a block, or of two, or a forest."""
+    none = np.empty(0, np.int64)
+    found_a, found_b, far, held = [none], [none], [none], 0
+    for row, other, distance in _near_rows(of, n, wide, half):
+        found_a.append(np.full(len(other), row))
+        found_b.append(other)
+        far.append(distance)
+        held += len(other)
         if forest and held > HELD:
             # A forest of these and what follows is one of this forest and what follows.
-            at_a, at_b, apart = _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b)
+            at_a, at_b, apart = _forest_of(found_a, found_b, far, of, ids)
             found_a, found_b, far, held = [at_a], [at_b], [apart], len(at_a)
     if forest and held:
-        at_a, at_b, _ = _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b)
+        at_a, at_b, _ = _forest_of(found_a, found_b, far, of, ids)
     else:
         at_a, at_b = np.concatenate(found_a), np.concatenate(found_b)
-    x, y = ids_a[at_a], ids_b[at_b]
+    x, y = ids[at_a], ids[at_b]
     return np.minimum(x, y), np.maximum(x, y)
 
 
-def _forest_of(found_a, found_b, far, of_a, of_b, ids_a, ids_b) -> tuple[np.ndarray, ...]:
+def _forest_of(found_a, found_b, far, of, ids) -> tuple[np.ndarray, ...]:
     at_a, at_b, apart = (np.concatenate(x) for x in (found_a, found_b, far))
-    order = np.lexsort((ids_b[at_b], ids_a[at_a], apart))
-    chosen = _forest(of_a[at_a], of_b[at_b], order)
+    order = np.lexsort((ids[at_b], ids[at_a], apart))
+    chosen = _forest(of[at_a], of[at_b], order)
     return at_a[chosen], at_b[chosen], apart[chosen]
 
 
-def _across_task(forest: bool):
-    """Blocks of keys as a stream, each with its members by size."""
+def _of_this_key(key: int, keys: np.ndarray, row: int, other: np.ndarray) -> np.ndarray:
+    """Of members that share `key` with one, those with which it shares no earlier key."""
+    first = (keys[other] == keys[row]).argmax(axis=1)
+    return other[keys[row, first].view(np.int64) == key]
+
+
+def _ends_across(rows) -> tuple[np.ndarray, ...]:
+    """`key, id` of the members of a block, or of two, that have a near pair of this key."""
+    key, half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 3, 4, 5, 6))
+    keys, ends = None, np.zeros(len(ids), dtype=bool)
+    for row, other, _ in _near_rows(of, n, _wides(rows), half):
+        if keys is None:
+            keys = _keys_of(rows.column(8).to_pylist(), _key_columns())
+        other = _of_this_key(key[0], keys, row, other)
+        ends[other] = True
+        ends[row] |= len(other) > 0
+    return key[ends], ids[ends]
+
+
+def _links_across(rows) -> tuple[np.ndarray, ...]:
+    """Links of this key across components, found on the full sets: a forest of them."""
+    key, half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 3, 4, 5, 6))
+    keys = _keys_of(rows.column(8).to_pylist(), _key_columns())
+    sets = [np.frombuffer(one, np.uint64) for one in rows.column(9).to_pylist()]
+    component, found = np.unique(of, return_inverse=True)[1], []
+    for row, other, _ in _near_rows(of, n, _wides(rows), half):
+        other = _of_this_key(key[0], keys, row, other[component[other] != component[row]])
+        if not len(other):
+            continue
+        hashes, own = np.concatenate([sets[k] for k in other]), sets[row]
+        same = own[np.minimum(np.searchsorted(own, hashes), len(own) - 1)] == hashes
+        starts = np.cumsum(n[other]) - n[other]
+        common = np.add.reduceat(same.astype(np.int64), starts)
+        linked = 100 * common >= PERCENT * (n[row] + n[other] - common)
+        for k in other[linked].tolist():
+            if component[k] != component[row]:
+                found.append((row, k))
+                component[component == component[k]] = component[row]
+    at_a, at_b = np.array(found, np.int64).reshape(-1, 2).T
+    return np.minimum(ids[at_a], ids[at_b]), np.maximum(ids[at_a], ids[at_b])
+
+
+def _wides(rows) -> np.ndarray:
+    wide = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64)
+    return wide.reshape(rows.num_rows, WIDE // 8)
+
+
+def _near_across(forest: bool):
+    def pairs(rows) -> tuple[np.ndarray, ...]:
+        half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
+        return _pairs_across(ids, of, n, _wides(rows), half, forest)
+
+    return pairs
+
+
+def _across_task(of_group: Callable, names: list[str]):
+    """Blocks of keys as a stream, each with its members by size: what `of_group` finds in each."""
 
     def across(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        def pairs_of(rows) -> list[tuple[np.ndarray, np.ndarray]]:
-            """Pairs of the groups in these rows, which hold whole groups."""
-            key, low, high, half, ids, of, n = (
-                rows.column(k).to_numpy(zero_copy_only=False) for k in range(7)
-            )
-            wide = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64)
-            wide = wide.reshape(len(ids), WIDE // 8)
+        def found_in(rows):
+            """What is found in these rows, which hold whole groups."""
+            key, low, high = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3))
             change = (np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(ids)]
-            return [
-                _pairs_across(ids[i:j], of[i:j], n[i:j], wide[i:j], half[i:j], forest)
-                for i, j in zip(cuts[:-1], cuts[1:], strict=True)
-                if j - i > 1
+            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(key)]
+            found = [
+                of_group(rows.slice(i, j - i)) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j - i > 1
             ]
-
-        def out(found: list[tuple[np.ndarray, np.ndarray]]):
             none = [np.empty(0, np.int64)]
             a, b = (np.concatenate(none + [pair[k] for pair in found]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=names)
 
         held = None
         for batch in batches:
@@ -353,10 +416,10 @@ def _across_task(forest: bool):
                 same &= column == column[-1]
             last = rows.num_rows - int(same.sum())
             if last:
-                yield out(pairs_of(rows.slice(0, last)))
+                yield found_in(rows.slice(0, last))
             held = rows.slice(last)
         if held is not None:
-            yield out(pairs_of(held))
+            yield found_in(held)
 
     return across
 
@@ -418,24 +481,40 @@ def _confirm_task():
     return confirm
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links among candidate `pairs` of (a, b), which are numbers of classes.
-
-    A class is read from a document with its smallest id and its words.
-    """
-    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    needed = stage(classes.select("id", "least").join(needed.distinct(), "id"), "minhash-needed")
+def _texts(ids: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """`id, text` of classes, each read from a document with its smallest id and its words."""
+    needed = stage(classes.select("id", "least").join(ids.distinct(), "id"), "minhash-needed")
     if needed.count() <= SENT:
         needed = F.broadcast(needed)
     rows = docs.select(F.col("doc_id").cast("long").alias("least"), whole_text().alias("text"))
-    texts = stage(
+    return (
         rows.join(needed, "least")
         # Written so that it is worked out for the few rows that the join finds, not as a key of it.
         .filter(class_number(words_digest(F.col("text"))).bitwiseXOR(F.col("id")) == 0)
         .groupBy("id")
-        .agg(F.first("text").alias("text")),
-        "minhash-texts",
+        .agg(F.first("text").alias("text"))
     )
+
+
+def _sets_task():
+    """Shingle hashes of texts, in order."""
+
+    def sets(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for chunk in text_chunks(batches, CHUNK_BYTES):
+            found = [shingle_hashes(lowered(text)).tobytes() for text in chunk.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column(0), pa.array(found, pa.binary())], names=["id", "shingles"]
+            )
+
+    return sets
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links among candidate `pairs` of (a, b), which are numbers of classes."""
+    needed = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+    texts = stage(_texts(needed, classes, docs), "minhash-texts")
     with_a = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = with_a.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     links = both.select("a", "b", "text_a", "text_b").mapInArrow(_confirm_task(), "a long, b long")
@@ -466,18 +545,14 @@ def _near_by_signature(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return both.select("a", "b", "wide_a", "n_a", "wide_b", "n_b").mapInArrow(near, "a long, b long")
 
 
-def _across(
-    members: DataFrame,
-    signatures: DataFrame,
-    components: DataFrame,
-    block: int = BLOCK,
-    forest: int | None = None,
+def _dealt(
+    members: DataFrame, signatures: DataFrame, components: DataFrame, block: int, forest: int | None
 ) -> DataFrame:
-    """Candidate pairs (a, b) across components from keys that still hold several.
+    """Members of keys that hold several components, in blocks of `block` each or so.
 
     A key of `n` members is cut into `n / block` blocks by a hash of the id, and every two of them
     meet in a task of their own, so no task holds more than two blocks' worth. With `forest`, a
-    number that changes the hash, blocks are compared inside themselves alone and give a forest.
+    number that changes the hash, blocks are by themselves.
     """
     placed = stage(
         members.join(components, "id", "left").select(
@@ -508,12 +583,53 @@ def _across(
             "id",
             "component",
             "n_shingles",
-            "wide",
+            *(c for c in ("wide", "signature", "shingles") if c in signatures.columns),
         )
     )
     group = ["key", "low", "high"]
-    together = parts.repartition(*group).sortWithinPartitions(*group, "n_shingles", "id")
-    return together.mapInArrow(_across_task(forest is not None), "a long, b long")
+    return parts.repartition(*group).sortWithinPartitions(*group, "n_shingles", "id")
+
+
+def _across(
+    members: DataFrame,
+    signatures: DataFrame,
+    components: DataFrame,
+    block: int = BLOCK,
+    forest: int | None = None,
+) -> DataFrame:
+    """Near pairs (a, b) across components; with `forest`, a forest of them inside each block."""
+    together = _dealt(members, signatures, components, block, forest)
+    return together.mapInArrow(
+        _across_task(_near_across(forest is not None), ["a", "b"]), "a long, b long"
+    )
+
+
+def _linked_across(
+    members: DataFrame,
+    classes: DataFrame,
+    components: DataFrame,
+    docs: DataFrame,
+    block: int = BLOCK,
+    sets: int = SETS,
+) -> DataFrame:
+    """All that links components: of each key a forest of the links across them, (a, b).
+
+    What has a near pair is found first, row by row and not pair by pair; it meets again with its
+    full sets, in blocks of `sets` shingles. A pair is looked at under the first key that it shares.
+    """
+    signatures = classes.select("id", "n_shingles", "wide", "signature")
+    ends = _dealt(members, signatures, components, block, None).mapInArrow(
+        _across_task(_ends_across, ["key", "id"]), "key long, id long"
+    )
+    ends = stage(ends.distinct(), "minhash-ends")
+    texts = _texts(ends.select("id"), classes, docs).select("id", "text")
+    shingles = stage(texts.mapInArrow(_sets_task(), "id long, shingles binary"), "minhash-sets")
+    sizes = ends.join(classes.select("id", "n_shingles"), "id").groupBy("key")
+    weighed = ends.join(sizes.agg(F.sum("n_shingles").alias("n")), "key")
+    links = _dealt(weighed, signatures.join(shingles, "id"), components, sets, None).mapInArrow(
+        _across_task(_links_across, ["a", "b"]), "a long, b long"
+    )
+    return stage(links, "minhash-links")
 
 
 def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
@@ -541,10 +657,12 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     first = members.filter("id <> hub").groupBy(F.col("id").alias("b")).agg(F.min("hub").alias("a"))
     first = stage(_near_by_signature(first.select("a", "b"), signatures), "minhash-pairs")
     components = connected_components(_confirmed(first, classes, docs))
-    for forest in (*FORESTS, None):
+    for forest in FORESTS:
         near = _across(members, signatures, components, block, forest).distinct()
         near = stage(near, "minhash-pairs")
         components = joined_components(components, _confirmed(near, classes, docs))
+    links = _linked_across(members, classes, components, docs, block)
+    components = joined_components(components, links)
     placed = stage(
         classes.join(components, "id", "left").select(
             "digest", "least", F.coalesce("component", "id").alias("component")
