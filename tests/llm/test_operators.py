@@ -270,6 +270,27 @@ def test_packing_holds_every_id_once(docs, nothing):
     assert packing.pack(nothing, packing_vocabulary()).count() == 0
 
 
+def test_words_of_texts_are_looked_up_once_each(monkeypatch):
+    from tokenizers import Tokenizer
+
+    from tideline.llm import tokens
+
+    looked_up = []
+
+    class Counted(tokens._Numbers):
+        def __getitem__(self, part):
+            looked_up.append(part)
+            return super().__getitem__(part)
+
+    monkeypatch.setattr(tokens, "_Numbers", Counted)
+    given = [text for _, text in texts()] + ["", None, " ", "\n", "a\n\nb  c ", " a", "b ", "\u00e9\u0301 \u2028 x"]
+    plain = Tokenizer.from_file(packing_vocabulary())
+    expected = [plain.encode(text or "", add_special_tokens=False).ids for text in given]
+    found = tokens.WordEncoder(packing_vocabulary()).encode(given)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in found] == expected
+    assert len(looked_up) == len(set(looked_up))
+
+
 def test_language_of_small_tables(spark, docs, nothing):
     rows = [(k, text, lang) for k, (text, lang) in enumerate(
         [("the cat and the dog with that", "en"), ("der hund und die katze mit dem", "de")] * 20

@@ -40,6 +40,24 @@ class _Numbers(dict):
         return number
 
 
+def _parts(texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The parts of texts between blanks and line ends.
+
+    How many each text has, the place of each among the distinct ones, and these.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lines = pc.replace_substring(pa.array([text or "" for text in texts], pa.large_string()), "\n", " ")
+    split = pc.split_pattern(lines, " ")
+    coded = split.flatten().dictionary_encode()
+    return (
+        pc.list_value_length(split).to_numpy(zero_copy_only=False),
+        coded.indices.to_numpy(zero_copy_only=False),
+        coded.dictionary.to_pylist(),
+    )
+
+
 class WordEncoder:
     """Ids of texts by a vocabulary that drops white space and never joins across its pieces.
 
@@ -113,11 +131,8 @@ class WordEncoder:
             self._forget_parts()
         if len(self._pieces) > self._remembered:
             self._pieces = {}
-        split = [(text or "").replace("\n", " ").split(" ") for text in texts]
-        sizes = [len(parts) for parts in split]
-        numbers = np.fromiter(
-            map(self._numbers.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes)
-        )
+        sizes, places, distinct = _parts(texts)
+        numbers = np.fromiter(map(self._numbers.__getitem__, distinct), np.int64, len(distinct))[places]
         if self._numbers.new:
             self._learn(self._numbers.new)
             self._numbers.new = []
