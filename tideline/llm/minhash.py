@@ -335,23 +335,20 @@ def _of_this_key(key: int, keys: np.ndarray, row: int, other: np.ndarray) -> np.
     return other[keys[row, first].view(np.int64) == key]
 
 
-def _ends_across(rows) -> tuple[np.ndarray, ...]:
+def _ends_across(rows, keys: np.ndarray) -> tuple[np.ndarray, ...]:
     """`key, id` of the members of a block, or of two, that have a near pair of this key."""
     key, half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 3, 4, 5, 6))
-    keys, ends = None, np.zeros(len(ids), dtype=bool)
+    ends = np.zeros(len(ids), dtype=bool)
     for row, other, _ in _near_rows(of, n, _wides(rows), half):
-        if keys is None:
-            keys = _keys_of(rows.column(8).to_pylist(), _key_columns())
         other = _of_this_key(key[0], keys, row, other)
         ends[other] = True
         ends[row] |= len(other) > 0
     return key[ends], ids[ends]
 
 
-def _links_across(rows) -> tuple[np.ndarray, ...]:
+def _links_across(rows, keys: np.ndarray) -> tuple[np.ndarray, ...]:
     """Links of this key across components, found on the full sets: a forest of them."""
     key, half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (0, 3, 4, 5, 6))
-    keys = _keys_of(rows.column(8).to_pylist(), _key_columns())
     sets = [np.frombuffer(one, np.uint64) for one in rows.column(9).to_pylist()]
     component, found = np.unique(of, return_inverse=True)[1], []
     for row, other, _ in _near_rows(of, n, _wides(rows), half):
@@ -377,7 +374,7 @@ def _wides(rows) -> np.ndarray:
 
 
 def _near_across(forest: bool):
-    def pairs(rows) -> tuple[np.ndarray, ...]:
+    def pairs(rows, keys: None) -> tuple[np.ndarray, ...]:
         half, ids, of, n = (rows.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5, 6))
         return _pairs_across(ids, of, n, _wides(rows), half, forest)
 
@@ -395,8 +392,13 @@ def _across_task(of_group: Callable, names: list[str]):
             key, low, high = (rows.column(k).to_numpy(zero_copy_only=False) for k in range(3))
             change = (np.diff(key) != 0) | (np.diff(low) != 0) | (np.diff(high) != 0)
             cuts = [0, *(np.flatnonzero(change) + 1).tolist(), len(key)]
+            # Worked out for all rows at once: groups are many and small.
+            signed = "signature" in rows.schema.names
+            keys = _keys_of(rows.column(8).to_pylist(), _key_columns()) if signed else None
             found = [
-                of_group(rows.slice(i, j - i)) for i, j in zip(cuts[:-1], cuts[1:], strict=True) if j - i > 1
+                of_group(rows.slice(i, j - i), keys[i:j] if signed else None)
+                for i, j in zip(cuts[:-1], cuts[1:], strict=True)
+                if j - i > 1
             ]
             none = [np.empty(0, np.int64)]
             a, b = (np.concatenate(none + [pair[k] for pair in found]) for k in (0, 1))
