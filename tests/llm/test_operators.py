@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import operator
 import random
 import re
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 pytest.importorskip("tideline.llm")
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from tideline.llm import cross_entropy, exact_dedup, imatch, language, minhash, mixing, packing, pii
 from tideline.llm import superkmers, toxicity
+from tideline.llm.common import RELEASE, stage
 from tideline.llm.components import connected_components, joined_components
 from tideline.llm.queries import packing_vocabulary
 
@@ -463,6 +469,74 @@ def test_fingerprints_stand_on_lexicon_terms_alone(spark):
     assert len({prints[10 + k] for k in range(20)}) == 20 and " " not in prints[10]
 
 
+def test_fingerprints_are_set_hashes_of_lexicon_subsets(spark):
+    rng = random.Random(12)
+    names = [f"Name{k}" for k in range(300)] + [f"only{k}" for k in range(40)]
+    rows = [(k, " ".join(rng.choices(names, k=rng.randint(0, 70)))) for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    words = sorted({w for _, t in rows for w in t.lower().split()})
+    seeds = [F.xxhash64(F.xxhash64("w"), F.lit(s)) for s in range(imatch.SEEDS)]
+    hashes = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w"), *seeds)
+    hashes = {r[0]: r[1:] for r in hashes.collect()}
+    seen = {w: sum(w in t.lower().split() for _, t in rows) for w in words}
+    lexicon = {w for w in words if 2 <= seen[w] <= 0.2 * len(rows)}
+
+    def fingerprint(text):
+        own = lexicon & set(text.lower().split())
+        if not own:
+            return hashlib.sha256(text.encode()).hexdigest()[:16]
+        kept = [[hashes[w][0] for w in own]]
+        for seed in range(imatch.SEEDS):
+            under = [hashes[w][1 + seed] for w in own]
+            kept += [[h for h in under if h % 4**rate == 0] for rate in range(1, imatch.RATES + 1)]
+        sums = [functools.reduce(operator.xor, one) % 2**64 if one else None for one in kept]
+        return " ".join("-" if x is None else f"{x >> 32:08X}" for x in sums)
+
+    for r in imatch.next_document_likeness(docs).collect():
+        assert r.fingerprint == fingerprint(rows[r.doc_id][1])
+
+
+def test_fingerprints_are_shuffled_once_to_each_document(docs, monkeypatch):
+    """Texts and terms are not gathered, and fingerprints are sent as integers, to one key alone."""
+    spark = docs.sparkSession
+    tables = {}
+
+    def kept(df, purpose, release=False):
+        tables[purpose] = df
+        return stage(df, purpose, release)
+
+    monkeypatch.setattr(imatch, "stage", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = imatch.next_document_likeness(docs)
+        plan, prints = plan_of(found), plan_of(tables["imatch-prints"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.findall(r"hashpartitioning\((\w+)#.*ENSURE_REQUIREMENTS", plan) == ["key"] * 3
+    assert "collect_list" not in prints and "bit_xor" in prints
+    assert dict(tables["imatch-prints"].dtypes)["own_prints"] == "array<int>"
+
+
+def test_released_stages_leave_no_shuffled_data(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        folders = [Path(f) for f in manager.localDirsString()]
+        return {f for folder in folders for f in folder.rglob("shuffle_*.data")}
+
+    before = shuffled()
+    held = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count()
+    assert stage(held, "released", release=True).count() == 700
+    # Spark deletes in the background; the count's own shuffle, of one row, may stay.
+    for _ in range(100):
+        left = shuffled() - before
+        if sum(f.stat().st_size for f in left if f.exists()) < 1000:
+            break
+        time.sleep(0.1)
+    assert sum(f.stat().st_size for f in left if f.exists()) < 1000
+    assert spark.conf.get(RELEASE) == "false"
+
+
 def test_cross_entropy_of_odd_rows(docs, nothing):
     in_target = F.col("doc_id") < 5
     scored = cross_entropy.score(docs, in_target, documents=1)

@@ -41,15 +41,29 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def stage(df: DataFrame, purpose: str) -> DataFrame:
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stage(df: DataFrame, purpose: str, release: bool = False) -> DataFrame:
     """`df` as a table in the shared scratch folder, so that lost executors cannot undo it.
 
-    The table is deleted when the program ends.
+    The table is deleted when the program ends. `release` has Spark delete the shuffled data of this
+    write as soon as the table is there, not when the driver happens to collect garbage.
     """
-    folder = new_folder(df.sparkSession, purpose)
-    df.write.parquet(folder)
-    delete_at_exit(df.sparkSession, folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = new_folder(spark, purpose)
+    before = spark.conf.get(RELEASE, None)
+    if release:
+        spark.conf.set(RELEASE, True)
+    try:
+        df.write.parquet(folder)
+    finally:
+        if release and before is None:
+            spark.conf.unset(RELEASE)
+        elif release:
+            spark.conf.set(RELEASE, before)
+    delete_at_exit(spark, folder)
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def whole_text(column: str = "text") -> Column:

@@ -1,17 +1,19 @@
 """I-Match fingerprints with randomised lexicons, and how they hold under edits.
 
 The lexicon is the terms (lower-cased words) whose inverse document frequency lies in a band: in
-`MIN_DOCUMENTS` documents at least and in a share `MAX_SHARE` of them at most. A document's distinct
-terms of the lexicon are sorted by hash; each of `SEEDS * RATES` random subsets of the lexicon keeps a
-quarter, a sixteenth, ... of its terms, and the terms kept of a document are hashed in their order. Subsets
-that differ in rate fit short and long documents. The fingerprint is the list of these hashes, "-"
-where a subset keeps nothing; a text without terms of the lexicon has its own digest instead.
+`MIN_DOCUMENTS` documents at least and in a share `MAX_SHARE` of them at most. Each of
+`SEEDS * RATES` random subsets of the lexicon keeps a quarter, a sixteenth, ... of its terms, and the
+distinct terms kept of a document are hashed as a set: their 64-bit hashes under the subset's seed are
+combined by exclusive or, which no order changes. Subsets that differ in rate fit short and long
+documents. The fingerprint is the list of these hashes, 32 bits of each, "-" where a subset keeps
+nothing; a text without terms of the lexicon has its own digest instead.
 
 Document frequencies are counted for every term, told apart by its 64-bit hash, and tasks add them up
 before anything is shuffled. The lexicon is a table that grows with the input. Texts are shuffled
 once, to meet the text that theirs is edited with; the terms of both are looked up right there, in a
-lexicon sent to the tasks if it has at most `SENT` terms. A larger one is joined by term and what is
-left is gathered per document, with the same result.
+lexicon sent to the tasks if it has at most `SENT` terms, and add up to fingerprints without being
+gathered. A larger one is joined by term, with the same result. Shuffled texts and terms are deleted
+as soon as what was made of them is stored.
 
 The likeness of two fingerprints is the share of equal hashes among subsets not empty in both.
 
@@ -22,8 +24,6 @@ result. Columns other than `doc_id` and `text` are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,38 +39,35 @@ SENT = 4_000_000
 NO_TERM = 0
 
 
-def _terms(text: Column) -> Column:
-    """Distinct terms of a text, sorted."""
-    return F.sort_array(
-        F.array_distinct(F.filter(F.split(F.lower(text), SPACES), lambda w: w != ""))
-    )
-
-
-def _hashes(text: str) -> Column:
-    """Hashes of the distinct terms of a column of texts."""
-    return F.transform(_terms(F.col(text)), lambda t: F.xxhash64(t))
+def _hashes(text: Column) -> Column:
+    """Hashes of the terms of a text, in their order and repeated."""
+    hashes = F.transform(F.split(F.lower(text), SPACES), lambda w: F.xxhash64(w))
+    # Only the ends of a split text can be empty.
+    return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
 def lexicon(docs: DataFrame) -> DataFrame:
     """`term` for the hash of each term inside the band."""
     total = docs.count()
     frequency = (
-        docs.select(F.explode(_terms(whole_text())).alias("term"))
-        .groupBy(F.xxhash64("term").alias("term"))
+        docs.select(F.explode(F.array_distinct(_hashes(whole_text()))).alias("term"))
+        .groupBy("term")
         .agg(F.count(F.lit(1)).alias("documents"))
     )
     inside = frequency.filter(
         (F.col("documents") >= MIN_DOCUMENTS)
         & (F.col("documents") <= F.greatest(F.lit(MIN_DOCUMENTS), F.lit(MAX_SHARE * total)))
     )
-    return stage(inside.select("term").filter(F.col("term") != NO_TERM), "imatch-lexicon")
+    return stage(
+        inside.select("term").filter(F.col("term") != NO_TERM), "imatch-lexicon", release=True
+    )
 
 
 def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """`rows` with `own_known, edited_known`, the terms of the lexicon, for `own, edited`.
+    """`rows` with a row per term of the lexicon, `term, of`, instead of `own, edited`.
 
-    `own` and `edited` are the distinct hashes of two texts, and `key` is the row's own. A term of
-    both is looked up once. Rows that lie by `key` are gathered where they are.
+    `own` and `edited` are the hashes of two texts; `of` is 1 for a term of the first, 2 of the second
+    and 3 of both, which is looked up once. Every row has `NO_TERM` besides, with 0.
     """
 
     def flagged(hashes: Column, of: int) -> Column:
@@ -82,111 +79,96 @@ def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
         flagged(F.array_except("edited", "own"), 2),
         flagged(F.array(F.lit(NO_TERM).cast("long")), 0),
     )
-
-    def gathered(bit: int) -> Column:
-        return F.sort_array(F.collect_list(F.when(F.col("of").bitwiseAND(F.lit(bit)) != 0, F.col("term"))))
-
-    others = [c for c in rows.columns if c not in ("key", "own", "edited")]
+    others = [c for c in rows.columns if c not in ("own", "edited")]
     lexicon_terms = terms.unionByName(
         terms.sparkSession.range(1).select(F.lit(NO_TERM).cast("long").alias("term"))
     ).distinct()
     if terms.count() <= SENT:
         lexicon_terms = F.broadcast(lexicon_terms)
     return (
-        rows.select("key", *others, F.explode(every).alias("t"))
-        .select("key", *others, "t.term", "t.of")
+        rows.select(*others, F.explode(every).alias("t"))
+        .select(*others, "t.term", "t.of")
         .join(lexicon_terms, "term", "left_semi")
-        .groupBy("key")
-        .agg(
-            *(F.first(c).alias(c) for c in others),
-            gathered(1).alias("own_known"),
-            gathered(2).alias("edited_known"),
-        )
     )
 
 
-def _seeded(seed: int) -> Callable[[Column], Column]:
-    return lambda h: F.xxhash64(h, F.lit(seed))
+def _hash_of(bit: int, kept: Column, value: Column) -> Column:
+    """Hash of the set of those terms of a text that are kept, null for none."""
+    inside = (F.col("of").bitwiseAND(F.lit(bit)) != 0) & kept
+    return F.shiftright(F.bit_xor(F.when(inside, value)), 64 - 4 * HASH_DIGITS).cast("int")
 
 
-def _without(bits: int) -> Callable[[Column], Column]:
-    return lambda h: h.bitwiseAND(F.lit(bits)) == 0
+def fingerprints(terms: DataFrame) -> DataFrame:
+    """`own_prints, edited_prints` per row of what `known_terms` was given.
 
+    Arrays of integers, null where a subset keeps nothing; a text without terms has none at all.
+    """
+    rows = [c for c in terms.columns if c not in ("term", "of")]
+    seeded = terms.select("*", *(F.xxhash64("term", F.lit(s)).alias(f"h_{s}") for s in range(SEEDS)))
+    parts = {}
+    for name, bit in (("own", 1), ("edited", 2)):
+        parts[name, "all"] = _hash_of(bit, F.lit(True), F.col("term"))
+        for seed in range(SEEDS):
+            value = F.col(f"h_{seed}")
+            for rate in range(1, RATES + 1):
+                kept = value.bitwiseAND(F.lit(4**rate - 1)) == 0
+                parts[name, seed, rate] = _hash_of(bit, kept, value)
+    columns = {part: "_".join(map(str, part)) for part in parts}
+    summed = seeded.groupBy(*rows).agg(*(parts[p].alias(c) for p, c in columns.items()))
 
-def with_fingerprint(docs: DataFrame, known: str, alone: str, name: str) -> DataFrame:
-    """`docs` with the fingerprint, an array of strings, as `name`.
+    def listed(name: str) -> Column:
+        own = [c for p, c in columns.items() if p[0] == name]
+        return F.when(F.col(own[0]).isNotNull(), F.array(*own)).alias(f"{name}_prints")
 
-    `known` has a text's terms of the lexicon, null for none, and `alone` what stands for it then.
-    """
-    out = docs.withColumn("im_terms", F.coalesce(known, F.array().cast("array<bigint>")))
-    parts = []
-    for seed in range(SEEDS):
-        # The hash of a term under a seed; the terms' order stays that of their own hashes.
-        out = out.withColumn(
-            f"im_{seed}_0", F.transform("im_terms", _seeded(seed))
-        )
-        for rate in range(1, RATES + 1):
-            kept = 4**rate - 1
-            out = out.withColumn(
-                f"im_{seed}_{rate}",
-                F.filter(f"im_{seed}_{rate - 1}", _without(kept)),
-            )
-            column = F.col(f"im_{seed}_{rate}")
-            digest = F.substring(F.lpad(F.hex(F.xxhash64(column)), 16, "0"), 1, HASH_DIGITS)
-            parts.append(F.when(F.size(column) > 0, digest).otherwise("-"))
-    none = F.size("im_terms") == 0
-    whole = F.substring(F.hex(F.xxhash64(F.col("im_terms"))), 1, HASH_DIGITS)
-    out = out.withColumn(name, F.when(none, F.array(alone)).otherwise(F.array(whole, *parts)))
-    return out.select(*docs.columns, name)
-
-
-def likeness(a: str, b: str) -> Column:
+    return summed.select(*rows, listed("own"), listed("edited"))
+
+
+def _text_of(prints: str, alone: str) -> Column:
+    """A fingerprint as text; `alone` is that of a text without terms."""
+
+    def digits(value: Column) -> Column:
+        unsigned = value.cast("long").bitwiseAND(F.lit((1 << 4 * HASH_DIGITS) - 1))
+        return F.coalesce(F.lpad(F.hex(unsigned), HASH_DIGITS, "0"), F.lit("-"))
+
+    return F.coalesce(F.array_join(F.transform(prints, digits), " "), F.col(alone))
+
+
+def likeness(a: str, b: str, a_alone: str, b_alone: str) -> Column:
     """Share of equal hashes among the subsets that are not empty in both; 0 for unlike kinds."""
-    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x == y) & (x != "-")), lambda v: v))
-    used = F.size(F.filter(F.zip_with(a, b, lambda x, y: (x != "-") | (y != "-")), lambda v: v))
-    return F.when(F.size(a) == F.size(b), same / used).otherwise(0.0)
+    same = F.size(F.filter(F.zip_with(a, b, lambda x, y: x == y), lambda v: v))
+    used = F.size(F.filter(F.zip_with(a, b, lambda x, y: x.isNotNull() | y.isNotNull()), lambda v: v))
+    alone = F.coalesce((F.col(a_alone) == F.col(b_alone)).cast("double"), F.lit(0.0))
+    return F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), same / used).otherwise(alone)
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """`place, key, n_chars, next_key, prev_key, prev_n` for distinct (key, doc_id, n_chars).
+    """`key, n_chars, prev_key, prev_n` for distinct (key, doc_id, n_chars).
 
     Rows are range partitioned by descending id; windows run inside the partitions, and the borders
-    of the partitions, two rows each, are put together.
+    of the partitions are put together. The last row is before the first one.
     """
     by_id = [F.col("doc_id").desc_nulls_last(), F.col("key").desc()]
     ranged = stage(
-        rows.distinct().repartitionByRange(*by_id).withColumn("part", F.spark_partition_id())
-        .withColumn("place", F.monotonically_increasing_id()),
+        rows.distinct().repartitionByRange(*by_id).withColumn("part", F.spark_partition_id()),
         "imatch-order",
+        release=True,
     )
     inside = Window.partitionBy("part").orderBy(*by_id)
     near = ranged.select(
-        "*",
-        F.lead("key").over(inside).alias("lead_key"),
-        F.lag("key").over(inside).alias("lag_key"),
-        F.lag("n_chars").over(inside).alias("lag_n"),
-    )
-    ends = ranged.groupBy("part").agg(
-        F.max(F.struct("doc_id", "key")).alias("head"),
-        F.min(F.struct("doc_id", "key", "n_chars")).alias("tail"),
+        "*", F.lag("key").over(inside).alias("lag_key"), F.lag("n_chars").over(inside).alias("lag_n")
     )
+    ends = ranged.groupBy("part").agg(F.min(F.struct("doc_id", "key", "n_chars")).alias("tail"))
     parts = Window.orderBy("part")
     ends = ends.select(
         "part",
-        F.coalesce(
-            F.lead("head").over(parts),
-            F.first("head").over(parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        )["key"].alias("after"),
         F.coalesce(
             F.lag("tail").over(parts),
             F.last("tail").over(parts.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
         ).alias("before"),
     )
     return near.join(ends, "part").select(
-        "place",
         "key",
         "n_chars",
-        F.coalesce("lead_key", "after").alias("next_key"),
         F.coalesce("lag_key", F.col("before.key")).alias("prev_key"),
         F.coalesce("lag_n", F.col("before.n_chars")).alias("prev_n"),
     )
@@ -205,6 +187,7 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     order = stage(
         neighbours(keyed.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))),
         "imatch-neighbours",
+        release=True,
     )
     # Rows that repeat an id and a text are one here, combined before they are shuffled. What a
     # document lends to the one before it is a third of that one.
@@ -217,27 +200,34 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     edited = placed.join(lent, "key").withColumn(
         "edited", F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "start")
     )
-    digest = {c: F.substring(F.sha2(c, 256), 1, 2 * HASH_DIGITS) for c in ("text", "edited")}
     hashed = edited.select(
-        "key", "next_key", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        digest["text"].alias("own_alone"), digest["edited"].alias("edited_alone"),
-        _hashes("text").alias("own"), _hashes("edited").alias("edited"),
+        "key", "prev_key", "n_chars",
+        F.unhex(F.sha2("text", 256)).alias("sha256"), F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
+        _hashes(F.col("text")).alias("own"), _hashes(F.col("edited")).alias("edited"),
     )
-    printed = known_terms(hashed, terms)
-    printed = with_fingerprint(printed, "own_known", "own_alone", "own_prints")
-    printed = with_fingerprint(printed, "edited_known", "edited_alone", "edited_prints")
+    printed = fingerprints(known_terms(hashed, terms))
+    names = ("own", "sha256"), ("edited", "edited_sha256")
+    alone = {n: F.substring(F.lower(F.hex(c)), 1, 2 * HASH_DIGITS) for n, c in names}
     found = stage(
-        printed.select("key", "next_key", "n_chars", "edited_sha256", "own_prints", "edited_prints"),
+        printed.select(
+            "key", "prev_key", "n_chars", "edited_sha256", "own_prints", "edited_prints",
+            *(F.when(F.col(f"{n}_prints").isNull(), alone[n]).alias(f"{n}_alone") for n, _ in names),
+        ),
         "imatch-prints",
+        release=True,
+    )
+    # Each document is the next one of one other, which its fingerprint is sent to.
+    following = found.select(
+        F.col("prev_key").alias("key"),
+        F.col("own_prints").alias("next_prints"), F.col("own_alone").alias("next_alone"),
     )
-    following = found.select(F.col("key").alias("next_key"), F.col("own_prints").alias("next_prints"))
-    both = found.join(following, "next_key")
+    both = found.drop("prev_key").join(following, "key")
     return keyed.select("key", "doc_id").join(both, "key").select(
         "doc_id",
         "n_chars",
-        "edited_sha256",
-        F.array_join("own_prints", " ").alias("fingerprint"),
-        F.array_join("edited_prints", " ").alias("edited_fingerprint"),
-        likeness("own_prints", "edited_prints").alias("near_edited"),
-        likeness("own_prints", "next_prints").alias("near_next"),
+        F.lower(F.hex("edited_sha256")).alias("edited_sha256"),
+        _text_of("own_prints", "own_alone").alias("fingerprint"),
+        _text_of("edited_prints", "edited_alone").alias("edited_fingerprint"),
+        likeness("own_prints", "edited_prints", "own_alone", "edited_alone").alias("near_edited"),
+        likeness("own_prints", "next_prints", "own_alone", "next_alone").alias("near_next"),
     )
