@@ -618,6 +618,50 @@ def test_cross_entropy_equals_models_without_the_text(
         assert abs(r.score - (r.target_loss - r.background_loss)) < 1e-9
 
 
+def chunk_of(some, marks):
+    import pyarrow as pa
+
+    keys = pa.array(range(len(some)), pa.int64())
+    return pa.RecordBatch.from_arrays([keys, pa.array(some, pa.string()), pa.array(marks, pa.int64())], names=["key", "text", "marks"])
+
+
+def test_words_of_a_chunk_are_those_of_its_texts():
+    import xxhash
+
+    some = ["One one ÄÖ äö", "", None, " \t\n\v\f\r", "  a\x1cb\x85c\u00a0d\u2003e  A\x00 ", "x" * 9000, "one"]
+    ids, first, second, text, marks = cross_entropy._coded(chunk_of(["cut", *some], [3] * 8).slice(1))
+    assert ids[0] == cross_entropy.BORDER and len(set(ids.tolist())) == len(ids) and len(marks) == len(some)
+    for k, one in enumerate(some):
+        words = [xxhash.xxh3_64_intdigest(w.encode()) for w in WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), one or ""))]
+        assert ids[second[text == k]].tolist() == [*words, 0]
+        assert ids[first[text == k]].tolist() == [0, *words]
+
+
+def test_tasks_of_cross_entropy_call_python_per_chunk_alone():
+    """Neither words nor texts nor pieces are gone through one by one."""
+    import cProfile
+
+    rng = random.Random(4)
+    names = [f"w{k}" for k in range(500)]
+    some = [" ".join(rng.choices(names, k=rng.randint(1, 40))) for _ in range(1500)]
+    batch = chunk_of(some, [k % 4 for k in range(len(some))])
+
+    class Sent:
+        value = np.zeros(1, np.uint64)
+
+    Sent.value = np.unique(cross_entropy._coded(batch.slice(0, 20))[0])
+    tasks = [cross_entropy._word_counts_task()]
+    for sent in (None, Sent):
+        tasks += [cross_entropy._bigram_counts_task(sent), cross_entropy._pieces_task(16, sent)]
+    for task in tasks:
+        profile = cProfile.Profile()
+        profile.enable()
+        rows = sum(len(out) for out in task(iter([batch])))
+        profile.disable()
+        hashed = sum(e.callcount for e in profile.getstats() if "xxh3_64" in str(e.code))
+        assert rows >= 400 and sum(e.callcount for e in profile.getstats()) - hashed < 1000
+
+
 def test_learnt_texts_score_like_others_of_their_kind(spark):
     rng = random.Random(8)
     kinds = [[f"good{k}" for k in range(60)], [f"poor{k}" for k in range(60)]]

@@ -20,8 +20,8 @@ model has. Words and bigrams are entries of one table that grows with the input,
 a hash. For each bucket a text sends its entries as one packed row; there the bucket's part of the
 table, sorted, is searched for them, and the sums go back to the text. If the vocabulary has at most
 `SENT` words it is sent to all tasks, which drop what is unknown before anything is shuffled; if
-not, more is shuffled, with the same result. Words are told apart by 64-bit hashes, entries by a
-bucket and 48 bits more.
+not, more is shuffled, with the same result. Shuffled counts are deleted once the table is stored.
+Words are told apart by 64-bit hashes, entries by a bucket and 48 bits more.
 
 Nulls: a null or empty text is the border after the border, one token. Rows that repeat an id and a
 text are scored alike; ids may be null, a null mark is no mark. Without a target all words are
@@ -37,7 +37,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.common import lower_words, ship_package, stage, text_chunks, whole_text
+from tideline.llm.common import ship_package, stage, text_chunks, whole_text
 
 BORDER = 0
 WEIGHT = 20.0
@@ -47,7 +47,6 @@ SENT = 2_000_000
 ENTRIES_PER_BUCKET = 4_000_000
 LEAST_BUCKETS = 16
 CHUNK_BYTES = 4 << 20
-REMEMBERED = 300_000
 DRAWS = 1 << 30
 RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
 KEY = "lm text key"
@@ -60,16 +59,6 @@ ENTRIES = "bucket int, part int, k long, a long, b long, c long, d long"
 PACKED = "bucket int, part int, k long, a long, b long, c long, d long, keys binary, n binary, own binary"
 
 
-class _Words(dict):
-    """64-bit numbers of words, remembered; never that of the border."""
-
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        value = self[word] = xxhash.xxh3_64_intdigest(word) or 1
-        return value
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     """A bijective scramble of 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -77,14 +66,38 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _numbers(text: str | None, known: _Words) -> np.ndarray:
-    """The words of a text between borders."""
-    if len(known) > REMEMBERED:
-        known.clear()
-    words = lower_words(text or "")
-    ids = np.zeros(len(words) + 2, dtype=np.uint64)
-    ids[1:-1] = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    return ids
+def _coded(chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a chunk's texts by number: `ids, first, second, text, marks`.
+
+    `ids` has the 64-bit number of each distinct word, the border at 0. `second` are the places there
+    of the words of all texts in a row, the border after those of each text; `first` are the ones
+    before them and `text` tells the texts apart. `marks` has one for each text. Words are split and
+    told apart by Arrow, at the same six characters as elsewhere, and each is hashed once a chunk.
+    """
+    import pyarrow as pa
+    import pyarrow.compute as pc
+    import xxhash
+
+    lines = pc.fill_null(chunk.column(chunk.schema.get_field_index("text")), "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(lines))
+    words = split.flatten()
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False)
+    # The ends of a split text may be empty.
+    some = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+    of_text = np.repeat(np.arange(len(lengths)), lengths)[some]
+    coded = words.dictionary_encode()
+    wide = pa.types.is_large_string(words.type)
+    distinct = coded.dictionary.cast(pa.large_binary() if wide else pa.binary())
+    hashes = map(xxhash.xxh3_64_intdigest, distinct.to_numpy(zero_copy_only=False))
+    ids = np.zeros(len(distinct) + 1, np.uint64)
+    # No word has the number of the border.
+    ids[1:] = np.maximum(np.fromiter(hashes, np.uint64, len(distinct)), 1)
+    second = np.zeros(len(of_text) + len(lengths), np.int64)
+    second[np.arange(len(of_text)) + of_text] = coded.indices.to_numpy(zero_copy_only=False)[some] + 1
+    first = np.concatenate([[BORDER], second[:-1]])
+    text = np.repeat(np.arange(len(lengths)), np.bincount(of_text, minlength=len(lengths)) + 1)
+    marks = chunk.column(chunk.schema.get_field_index("marks")).to_numpy(zero_copy_only=False)
+    return ids, first, second, text, marks
 
 
 def bigram_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -101,32 +114,22 @@ def _among(ids: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
     return vocabulary[at] == ids if len(vocabulary) else np.zeros(len(ids), dtype=bool)
 
 
-def _marks_of(chunk) -> tuple[list, list[int]]:
-    texts = chunk.column(chunk.schema.get_field_index("text")).to_pylist()
-    return texts, chunk.column(chunk.schema.get_field_index("marks")).to_pylist()
-
-
 def _word_counts_task():
     """`w, t, b, d` of each chunk: counts in target and background, and target documents."""
 
     def counts(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known = _Words()
         for chunk in text_chunks(batches, CHUNK_BYTES):
-            found, columns = [], [[], [], []]
-            for text, marks in zip(*_marks_of(chunk), strict=True):
-                # The border counts once: as the word after the last one, and as that before the first.
-                words, n = np.unique(_numbers(text, known)[1:], return_counts=True)
-                found.append(words)
-                in_target, in_background = int(marks & IN_TARGET > 0), int(marks & IN_BACKGROUND > 0)
-                for column, values in zip(columns, (n * in_target, n * in_background, (n > 0) * in_target)):
-                    column.append(values)
-            words, at = np.unique(np.concatenate(found), return_inverse=True)
-            sums = [
-                np.bincount(at, np.concatenate(c), len(words)).astype(np.int64) for c in columns
-            ]
-            arrays = [pa.array(words.view(np.int64)), *map(pa.array, sums)]
+            # The border counts once: as the word after the last one, and as that before the first.
+            ids, _, second, text, marks = _coded(chunk)
+            target, background = (marks & IN_TARGET > 0)[text], (marks & IN_BACKGROUND > 0)[text]
+            once = np.unique((text * len(ids) + second)[target]) % len(ids)
+            sums = [np.bincount(second, target, len(ids)), np.bincount(second, background, len(ids))]
+            sums.append(np.bincount(once, minlength=len(ids)))
+            there = np.flatnonzero(np.bincount(second, minlength=len(ids)))
+            arrays = [pa.array(ids[there].view(np.int64))]
+            arrays += [pa.array(c[there].astype(np.int64)) for c in sums]
             yield pa.RecordBatch.from_arrays(arrays, names=["w", "t", "b", "d"])
 
     return counts
@@ -138,24 +141,22 @@ def _bigram_counts_task(sent):
     def counts(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known = _Words()
         for chunk in text_chunks(batches, CHUNK_BYTES):
-            first, second, weights = [], [], [[], []]
-            for text, marks in zip(*_marks_of(chunk), strict=True):
-                ids = _numbers(text, known)
-                u, w = ids[:-1], ids[1:]
-                if sent is not None:
-                    inside = _among(ids, sent.value)
-                    both = inside[:-1] & inside[1:]
-                    u, w = u[both], w[both]
-                first.append(u)
-                second.append(w)
-                for column, mark in zip(weights, (IN_TARGET, IN_BACKGROUND)):
-                    column.append(np.full(len(u), int(marks & mark > 0), np.int64))
-            u, w = np.concatenate(first), np.concatenate(second)
-            keys, at, back = np.unique(bigram_keys(u, w), return_index=True, return_inverse=True)
-            sums = [np.bincount(back, np.concatenate(c), len(keys)).astype(np.int64) for c in weights]
-            arrays = [pa.array(u[at].view(np.int64)), pa.array(w[at].view(np.int64)), *map(pa.array, sums)]
+            ids, first, second, text, marks = _coded(chunk)
+            # Marks are two bits; what has the same pair of words lies side by side.
+            pairs = (first * len(ids) + second) * 4 + marks[text]
+            if sent is not None:
+                inside = _among(ids, sent.value)
+                pairs = pairs[inside[first] & inside[second]]
+            pairs, n = np.unique(pairs, return_counts=True)
+            pairs, mark = pairs >> 2, pairs & 3
+            starts = np.flatnonzero(np.diff(pairs, prepend=-1))
+            sums = [
+                np.add.reduceat(n * (mark & one > 0), starts) if len(starts) else n
+                for one in (IN_TARGET, IN_BACKGROUND)
+            ]
+            u, w = np.divmod(pairs[starts], len(ids))
+            arrays = [pa.array(ids[u].view(np.int64)), pa.array(ids[w].view(np.int64)), *map(pa.array, sums)]
             yield pa.RecordBatch.from_arrays(arrays, names=["u", "w", "t", "b"])
 
     return counts
@@ -189,70 +190,90 @@ def _entries_task(buckets: int):
     return entries
 
 
-def _split_counts(keys: np.ndarray, n: np.ndarray, own: np.ndarray) -> tuple:
-    """Entries with counts above `MOST` are there more than once."""
+def _split_counts(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and counts of entries; those with counts above `MOST` are there more than once."""
+    at = np.arange(len(n))
     if len(n) and n.max() > MOST:
         times = -(-n // MOST)
-        at = np.repeat(np.arange(len(n)), times)
+        at = np.repeat(at, times)
         rest = n - (times - 1) * MOST
         last = np.r_[at[1:] != at[:-1], True]
-        return keys[at], np.where(last, rest[at], MOST), own[at]
-    return keys, n, own
+        return at, np.where(last, rest[at], MOST)
+    return at, n
+
+
+def _binary(data: np.ndarray, ends: np.ndarray):
+    """An array of binary values that lie in a row in `data` and end at `ends`."""
+    import pyarrow as pa
+
+    offsets = np.concatenate([[0], ends])
+    wide = offsets[-1] > np.iinfo(np.int32).max
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64 if wide else np.int32)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary() if wide else pa.binary(), len(ends), buffers)
+
+
+def _data(column) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of an array of binary values in a row, and their lengths."""
+    import pyarrow as pa
+
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    offsets = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
 def _pieces_task(buckets: int, sent):
     """For each text and bucket the entries of the text, packed."""
 
-    def entries_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Keys, counts in the text, and the text's own counts of (entry, its last word)."""
-        words, back, n = np.unique(ids[1:], return_inverse=True, return_counts=True)
-        keep = slice(None) if sent is None else _among(words, sent.value)
-        u, w, of_w = ids[:-1], ids[1:], n[back]
+    def entries_of(ids, first, second, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, key, count there, and the text's own counts of (entry, its last word)."""
+        size = len(ids)
+        words, n = np.unique(text * size + second, return_counts=True)
+        pairs = (text * size + second) * size + first
+        keep = slice(None)
         if sent is not None:
             # The border is in every vocabulary and before the first word.
-            inside = keep[back]
-            both = inside & np.r_[True, inside[:-1]]
-            u, w, of_w = u[both], w[both], of_w[both]
-        pairs, at, n_pairs = np.unique(bigram_keys(u, w), return_index=True, return_counts=True)
-        keys = np.concatenate([word_keys(words[keep]), pairs])
-        counts = np.concatenate([n[keep], n_pairs])
-        own = np.stack([counts, np.concatenate([n[keep], of_w[at]])], axis=1).astype("<u4")
-        return _split_counts(keys, counts, own)
+            inside = _among(ids, sent.value)
+            keep = inside[words % size]
+            pairs = pairs[inside[first] & inside[second]]
+        pairs, n_pairs = np.unique(pairs, return_counts=True)
+        last, u = np.divmod(pairs, size)
+        # In the order of their last words, which are among the words.
+        of_last = n[np.searchsorted(words, last)]
+        words, n = words[keep], n[keep]
+        keys = [word_keys(ids)[words % size], bigram_keys(ids[u], ids[last % size])]
+        own = np.stack([np.concatenate([n, n_pairs]), np.concatenate([n, of_last])], axis=1)
+        at, counts = _split_counts(own[:, 0])
+        of_text = np.concatenate([words, last]) // size
+        return of_text[at], np.concatenate(keys)[at], counts, own.astype("<u4")[at]
 
     def pieces(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        known = _Words()
         for chunk in text_chunks(batches, CHUNK_BYTES):
-            text_keys = chunk.column(chunk.schema.get_field_index("key")).to_pylist()
-            out: list[list] = [[] for _ in range(7)]
-            for key, text, marks in zip(text_keys, *_marks_of(chunk), strict=True):
-                ids = _numbers(text, known)
-                keys, n, own = entries_of(ids)
-                bucket, inside = _place(keys, buckets)
-                order = np.argsort(bucket, kind="stable")
-                bucket, inside, n, own = bucket[order], inside[order], n[order], own[order]
-                packed = inside.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
-                counts = n.astype(np.uint8).tobytes()
-                cuts = np.searchsorted(bucket, np.arange(buckets + 1)).tolist()
-                mine = own.tobytes() if marks else b""
-                for k in range(buckets):
-                    low, high = cuts[k], cuts[k + 1]
-                    if low == high:
-                        continue
-                    row = (
-                        k, key, len(ids) - 1, marks, packed[low * KEY_BYTES : high * KEY_BYTES],
-                        counts[low:high], mine[low * 8 : high * 8],
-                    )
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            size = len(out[0])
-            zero = pa.array(np.zeros(size, np.int64))
+            text_keys = chunk.column(chunk.schema.get_field_index("key")).to_numpy(zero_copy_only=False)
+            *coded, text, marks = _coded(chunk)
+            of_text, keys, n, own = entries_of(*coded, text)
+            bucket, inside = _place(keys, buckets)
+            group = of_text * buckets + bucket
+            # Sorted by group and place, in one number.
+            bits = len(group).bit_length()
+            order = np.sort(group << bits | np.arange(len(group))) & ((1 << bits) - 1)
+            group, inside, n, own = group[order], inside[order], n[order], own[order]
+            ends = np.flatnonzero(np.diff(group, append=-1)) + 1
+            of_piece, number = np.divmod(group[ends - 1], buckets)
+            packed = inside.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES]
+            mine = marks[group // buckets] > 0
+            zero = pa.array(np.zeros(len(ends), np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(out[0], pa.int32()), pa.array(np.ones(size, np.int32)), zero,
-                    *(pa.array(c, pa.int64()) for c in out[1:4]), zero,
-                    *(pa.array(c, pa.binary()) for c in out[4:]),
+                    pa.array(number.astype(np.int32)), pa.array(np.ones(len(ends), np.int32)), zero,
+                    pa.array(text_keys[of_piece]), pa.array(np.bincount(text)[of_piece]),
+                    pa.array(marks[of_piece].astype(np.int64)), zero,
+                    _binary(np.ascontiguousarray(packed), ends * KEY_BYTES),
+                    _binary(n.astype(np.uint8), ends),
+                    _binary(own[mine], np.cumsum(mine)[ends - 1] * 8),
                 ],
                 names=["bucket", "part", "k", "a", "b", "c", "d", "keys", "n", "own"],
             )
@@ -264,13 +285,11 @@ def _search_task(totals: tuple[int, int], size: int):
     """Buckets as a stream, the table's entries before the texts': sums for each text."""
 
     def sums_of(table: list[np.ndarray], rows) -> tuple:
-        keys_of, n_of, own_of = (rows.column(k).to_pylist() for k in (7, 8, 9))
-        lengths = np.array([len(x) for x in n_of])
-        raw = np.frombuffer(b"".join(keys_of), np.uint8).reshape(-1, KEY_BYTES)
-        keys = np.zeros((len(raw), 8), np.uint8)
-        keys[:, :KEY_BYTES] = raw
+        (raw, _), (n, lengths), (counts, _) = (_data(rows.column(k)) for k in (7, 8, 9))
+        keys = np.zeros((len(n), 8), np.uint8)
+        keys[:, :KEY_BYTES] = raw.reshape(-1, KEY_BYTES)
         keys = keys.reshape(-1).view("<u8").astype(np.int64)
-        n = np.frombuffer(b"".join(n_of), np.uint8).astype(np.float64)
+        n = n.astype(np.float64)
         text = np.repeat(np.arange(len(lengths)), lengths)
         tokens = rows.column(4).to_numpy(zero_copy_only=False)
         marks = rows.column(5).to_numpy(zero_copy_only=False)
@@ -279,7 +298,7 @@ def _search_task(totals: tuple[int, int], size: int):
         at, n, text = at[found], n[found], text[found]
         own = np.zeros((len(keys), 2))
         marked = np.repeat(marks > 0, lengths)
-        own[marked] = np.frombuffer(b"".join(own_of), "<u4").reshape(-1, 2)
+        own[marked] = np.frombuffer(counts.tobytes(), "<u4").reshape(-1, 2)
         own = own[found]
         alone = table[3][at] < 0
         known = np.bincount(text, n * alone, len(lengths))
@@ -289,12 +308,8 @@ def _search_task(totals: tuple[int, int], size: int):
             of_entry = table[entry][at] - own[:, 0] * mine
             of_word = np.where(alone, of_entry, table[last][at] - own[:, 1] * mine)
             smooth = WEIGHT * (of_word + 1) / (total - tokens[text] * mine + size)
-            value = np.where(
-                alone,
-                np.log(of_entry + WEIGHT) - np.log(smooth),
-                np.log(smooth) - np.log(of_entry + smooth),
-            )
-            sums.append(np.bincount(text, n * value, len(lengths)).astype(np.float64))
+            value = np.log(of_entry + np.where(alone, WEIGHT, smooth)) - np.log(smooth)
+            sums.append(np.bincount(text, n * np.where(alone, value, -value), len(lengths)).astype(np.float64))
         return rows.column(3), known.astype(np.int64), *sums
 
     def search(batches: Iterator) -> Iterator:
@@ -358,7 +373,7 @@ def score(
     learnt = rows.filter("marks > 0")
     words = learnt.mapInArrow(_word_counts_task(), "w long, t long, b long, d long")
     words = stage(
-        words.groupBy("w").agg(*(F.sum(c).alias(c) for c in "tbd")), "lm-words"
+        words.groupBy("w").agg(*(F.sum(c).alias(c) for c in "tbd")), "lm-words", release=True
     )
     known = F.col("w") == BORDER
     vocabulary = stage(
@@ -385,7 +400,9 @@ def score(
         F.lit(None).cast("long").alias("u"), "w", "t", "b",
         F.lit(-1).cast("long").alias("w_t"), F.lit(-1).cast("long").alias("w_b"),
     )
-    model = stage(pairs.select("u", "w", "t", "b", "w_t", "w_b").unionByName(alone), "lm-entries")
+    model = stage(
+        pairs.select("u", "w", "t", "b", "w_t", "w_b").unionByName(alone), "lm-entries", release=True
+    )
     buckets = max(LEAST_BUCKETS, -(-model.count() // ENTRIES_PER_BUCKET))
     entries = model.mapInArrow(_entries_task(buckets), ENTRIES).select(
         "*", *(F.lit(None).cast("binary").alias(c) for c in ("keys", "n", "own"))
