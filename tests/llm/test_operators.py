@@ -8,6 +8,7 @@ import operator
 import random
 import re
 import time
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -517,6 +518,72 @@ def test_fingerprints_are_shuffled_once_to_each_document(docs, monkeypatch):
     assert dict(tables["imatch-prints"].dtypes)["own_prints"] == "array<int>"
 
 
+def test_terms_of_texts_are_not_shuffled_to_a_lexicon_too_large_to_send(docs, monkeypatch):
+    """Neither is the lexicon sent: it grows with the input."""
+    spark = docs.sparkSession
+    # Fewer than the lexicon has; the terms above the band are fewer still.
+    monkeypatch.setattr(imatch, "SENT", 200)
+    assert imatch.lexicon(docs).count() > 200
+    plans = []
+
+    def kept(df, purpose, release=False):
+        plans.append(plan_of(df))
+        return stage(df, purpose, release)
+
+    monkeypatch.setattr(imatch, "stage", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert imatch.next_document_likeness(docs).count() == docs.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    of_texts = [p for p in plans if "array_intersect" in p]
+    assert of_texts and not any("hashpartitioning(term" in p for p in of_texts)
+
+
+@pytest.mark.parametrize("sent", [0, 10**6])
+def test_edited_fingerprints_of_cut_words_and_common_terms(spark, monkeypatch, sent):
+    """Words of one document alone, words cut in two or joined where texts meet, words in most texts."""
+    monkeypatch.setattr(imatch, "SENT", sent)
+    rng = random.Random(5)
+    few, breaks = ["ab", "abab", "ba", "a", "b", "\u039f\u03a3", "\u03c3\u03a3a", "\u0130b", "x"], [" ", "  ", "\n", "\t ", ""]
+    rows = []
+    for k in range(240):
+        words = [rng.choice([rng.choice(few), f"only{k}w{w}", f"pair{k // 2}"]) for w in range(rng.randint(0, 12))]
+        text = rng.choice(["", " "]) + "".join(w + rng.choice(breaks) for w in words)
+        rows.append((k, text + rng.choice(["", " all", "all "])))
+    rows += [(300, ""), (301, "  "), (302, "y" * 50), (303, "abab"), (303, "abab"), (304, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    terms_of = docs.select(imatch._hashes(imatch.whole_text()).alias("terms")).collect()
+    seen = Counter(t for r in terms_of for t in set(r.terms))
+    lexicon = {t for t, n in seen.items() if 2 <= n <= 0.2 * len(rows)}
+    assert any(n == 1 for n in seen.values()) and any(n > 0.2 * len(rows) for n in seen.values())
+    _, edited = by_hand_edited(rows)
+    wanted = spark.createDataFrame([(i, t, e) for (i, t), e in edited.items()], "doc_id long, own string, edited string")
+    texts = {
+        (r.doc_id, r.own): (r.edited, set(r.terms) & lexicon)
+        for r in wanted.select("*", imatch._hashes(F.col("edited")).alias("terms")).collect()
+    }
+    every = sorted(set().union(*(t for _, t in texts.values())))
+    seeded = spark.createDataFrame([(t,) for t in every], "t long").select(
+        "t", *(F.xxhash64("t", F.lit(s)) for s in range(imatch.SEEDS))
+    )
+    seeded = {r[0]: r[1:] for r in seeded.collect()}
+
+    def fingerprint(text, terms):
+        if not terms:
+            return hashlib.sha256(text.encode()).hexdigest()[:16]
+        kept = [list(terms)]
+        for seed in range(imatch.SEEDS):
+            under = [seeded[t][seed] for t in terms]
+            kept += [[h for h in under if h % 4**rate == 0] for rate in range(1, imatch.RATES + 1)]
+        sums = [functools.reduce(operator.xor, one) % 2**64 if one else None for one in kept]
+        return " ".join("-" if x is None else f"{x >> 32:08X}" for x in sums)
+
+    expected = sorted(repr((i, fingerprint(*texts[i, t or ""]))) for i, t in rows)
+    found = imatch.next_document_likeness(docs).collect()
+    assert sorted(repr((r.doc_id, r.edited_fingerprint)) for r in found) == expected
+
+
 def test_released_stages_leave_no_shuffled_data(spark):
     manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 

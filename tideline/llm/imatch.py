@@ -9,11 +9,18 @@ documents. The fingerprint is the list of these hashes, 32 bits of each, "-" whe
 nothing; a text without terms of the lexicon has its own digest instead.
 
 Document frequencies are counted for every term, told apart by its 64-bit hash, and tasks add them up
-before anything is shuffled. The lexicon is a table that grows with the input. Texts are shuffled
-once, to meet the text that theirs is edited with; the terms of both are looked up right there, in a
-lexicon sent to the tasks if it has at most `SENT` terms, and add up to fingerprints without being
-gathered. A larger one is joined by term, with the same result. Shuffled texts and terms are deleted
-as soon as what was made of them is stored.
+before anything is shuffled. The lexicon is a table that grows with the input, so terms do not go to
+it; what is outside of it comes to them. A term below the band is in one document, which is told of
+it, and so is the one whose edited text may hold it. Terms above the band are few whatever the input:
+each takes `MAX_SHARE` of the documents, so there are at most as many as a mean document has terms,
+divided by that share. They are sent to the tasks, up to `SENT` of them. Every other word of the two
+documents is in the lexicon. An edited text has two words besides that may be in neither: the one
+where both parts meet and the last one. These are looked up in the lexicon by a join, and what they
+add to the fingerprint is put in afterwards, which exclusive or allows.
+
+Texts are shuffled once, to meet the text that theirs is edited with; the terms of both add up to
+fingerprints right there, without being gathered or shuffled. Shuffled texts and terms are deleted as
+soon as what was made of them is stored.
 
 The likeness of two fingerprints is the share of equal hashes among subsets not empty in both.
 
@@ -35,7 +42,7 @@ SEEDS = 8
 RATES = 5
 HASH_DIGITS = 8
 SENT = 4_000_000
-# Stands for no term and is in every lexicon, so that a text without terms keeps a row.
+# Stands for no term and is never left out, so that a text without terms keeps a row.
 NO_TERM = 0
 
 
@@ -46,28 +53,50 @@ def _hashes(text: Column) -> Column:
     return F.array_remove(hashes, F.xxhash64(F.lit("")))
 
 
-def lexicon(docs: DataFrame) -> DataFrame:
-    """`term` for the hash of each term inside the band."""
+def places(docs: DataFrame, holder: Column) -> DataFrame:
+    """`term, place, holder` for the hash of each term; place is 0 inside the band, -1 below, 1 above.
+
+    `holder` is a number for a row. A term below the band has that of the one row it is in; rows that
+    share a number by chance are no harm, as only one of them has the term.
+    """
     total = docs.count()
-    frequency = (
-        docs.select(F.explode(F.array_distinct(_hashes(whole_text()))).alias("term"))
+    # The holder is worked out in a projection of its own, once a row and not once a term.
+    held = docs.select(whole_text().alias("text"), holder.alias("holder"))
+    counted = (
+        held.select(F.explode(F.array_distinct(_hashes(F.col("text")))).alias("term"), "holder")
         .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("documents"))
-    )
-    inside = frequency.filter(
-        (F.col("documents") >= MIN_DOCUMENTS)
-        & (F.col("documents") <= F.greatest(F.lit(MIN_DOCUMENTS), F.lit(MAX_SHARE * total)))
+        .agg(F.count(F.lit(1)).alias("documents"), F.min("holder").alias("holder"))
     )
-    return stage(
-        inside.select("term").filter(F.col("term") != NO_TERM), "imatch-lexicon", release=True
+    above = F.col("documents") > F.greatest(F.lit(MIN_DOCUMENTS), F.lit(MAX_SHARE * total))
+    below = F.col("documents") < MIN_DOCUMENTS
+    found = counted.filter(F.col("term") != NO_TERM).select(
+        "term",
+        F.when(below, -1).when(above, 1).otherwise(0).cast("byte").alias("place"),
+        F.when(below, F.col("holder")).alias("holder"),
     )
+    return stage(found, "imatch-terms", release=True)
+
+
+def lexicon(docs: DataFrame, placed: DataFrame | None = None) -> DataFrame:
+    """`term` for the hash of each term inside the band; `placed` are the `places` of `docs`, if known."""
+    if placed is None:
+        placed = places(docs, F.lit(0))
+    return placed.filter("place = 0").select("term")
 
 
-def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
+def _without_common(terms: DataFrame, placed: DataFrame) -> DataFrame:
+    """`terms` but for those above the band."""
+    common = placed.filter("place > 0").select("term")
+    if common.count() <= SENT:
+        common = F.broadcast(common)
+    return terms.join(common, "term", "left_anti")
+
+
+def known_terms(rows: DataFrame, placed: DataFrame) -> DataFrame:
     """`rows` with a row per term of the lexicon, `term, of`, instead of `own, edited`.
 
-    `own` and `edited` are the hashes of two texts; `of` is 1 for a term of the first, 2 of the second
-    and 3 of both, which is looked up once. Every row has `NO_TERM` besides, with 0.
+    `own` and `edited` are the hashes of two texts, without terms below the band; `of` is 1 for a term
+    of the first, 2 of the second and 3 of both. Every row has `NO_TERM` besides, with 0.
     """
 
     def flagged(hashes: Column, of: int) -> Column:
@@ -80,16 +109,17 @@ def known_terms(rows: DataFrame, terms: DataFrame) -> DataFrame:
         flagged(F.array(F.lit(NO_TERM).cast("long")), 0),
     )
     others = [c for c in rows.columns if c not in ("own", "edited")]
-    lexicon_terms = terms.unionByName(
-        terms.sparkSession.range(1).select(F.lit(NO_TERM).cast("long").alias("term"))
-    ).distinct()
-    if terms.count() <= SENT:
-        lexicon_terms = F.broadcast(lexicon_terms)
-    return (
-        rows.select(*others, F.explode(every).alias("t"))
-        .select(*others, "t.term", "t.of")
-        .join(lexicon_terms, "term", "left_semi")
-    )
+    exploded = rows.select(*others, F.explode(every).alias("t")).select(*others, "t.term", "t.of")
+    return _without_common(exploded, placed)
+
+
+def known_cut_words(rows: DataFrame, placed: DataFrame, terms: DataFrame) -> DataFrame:
+    """`key, term, of` for those of `seam` and `tail` that are in the lexicon `terms`; `of` is 2."""
+    cut = rows.select(
+        "key", F.explode(F.array_distinct(F.array("seam", "tail"))).alias("term"), F.lit(2).alias("of")
+    ).filter(F.col("term") != F.xxhash64(F.lit("")))
+    # Where many texts end in the same word, it is mostly one above the band.
+    return _without_common(cut, placed).join(terms, "term", "left_semi")
 
 
 def _hash_of(bit: int, kept: Column, value: Column) -> Column:
@@ -123,6 +153,12 @@ def fingerprints(terms: DataFrame) -> DataFrame:
     return summed.select(*rows, listed("own"), listed("edited"))
 
 
+def added(a: str, b: str) -> Column:
+    """Fingerprint of the terms of two that have none in common; null is that of no terms."""
+    both = F.zip_with(a, b, lambda x, y: F.coalesce(x.bitwiseXOR(y), x, y))
+    return F.coalesce(both, F.col(a), F.col(b))
+
+
 def _text_of(prints: str, alone: str) -> Column:
     """A fingerprint as text; `alone` is that of a text without terms."""
 
@@ -142,7 +178,7 @@ def likeness(a: str, b: str, a_alone: str, b_alone: str) -> Column:
 
 
 def neighbours(rows: DataFrame) -> DataFrame:
-    """`key, n_chars, prev_key, prev_n` for distinct (key, doc_id, n_chars).
+    """`key, n_chars, holder, prev_key, prev_n` for distinct (key, doc_id, holder, n_chars).
 
     Rows are range partitioned by descending id; windows run inside the partitions, and the borders
     of the partitions are put together. The last row is before the first one.
@@ -169,11 +205,22 @@ def neighbours(rows: DataFrame) -> DataFrame:
     return near.join(ends, "part").select(
         "key",
         "n_chars",
+        "holder",
         F.coalesce("lag_key", F.col("before.key")).alias("prev_key"),
         F.coalesce("lag_n", F.col("before.n_chars")).alias("prev_n"),
     )
 
 
+def _first_word(text: Column) -> Column:
+    """What stands before the first separator."""
+    return F.split(text, SPACES, 2)[0]
+
+
+def _last_word(text: Column) -> Column:
+    """What stands behind the last separator."""
+    return F.reverse(_first_word(F.reverse(text)))
+
+
 def next_document_likeness(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited text, and their likenesses.
 
@@ -181,11 +228,21 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     Columns: `doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next`.
     """
     base = docs.select("doc_id", whole_text().alias("text"))
-    terms = lexicon(base)
+    holder = F.hash("doc_id", "text")
+    placed_terms = places(base, holder)
+    terms = lexicon(base, placed_terms)
     named = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("text"))
     keyed = base.withColumn("key", F.unhex(F.sha2(named, 256)))
+    rare = placed_terms.filter("place < 0").groupBy("holder").agg(F.collect_list("term").alias("rare"))
     order = stage(
-        neighbours(keyed.select("key", "doc_id", F.length("text").cast("long").alias("n_chars"))),
+        neighbours(
+            keyed.select(
+                "key", "doc_id", holder.alias("holder"), F.length("text").cast("long").alias("n_chars")
+            )
+        )
+        .join(rare, "holder", "left")
+        .withColumn("rare", F.coalesce("rare", F.array().cast("array<long>")))
+        .drop("holder"),
         "imatch-neighbours",
         release=True,
     )
@@ -196,26 +253,44 @@ def next_document_likeness(docs: DataFrame) -> DataFrame:
     lent = placed.select(
         F.col("prev_key").alias("key"),
         F.expr("substring(text, 1, int(prev_n div 3))").alias("start"),
+        F.col("rare").alias("next_rare"),
     )
-    edited = placed.join(lent, "key").withColumn(
-        "edited", F.concat(F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "start")
+    edited = (
+        placed.join(lent, "key")
+        .withColumn("kept", F.expr("substring(text, 1, int(n_chars - n_chars div 3))"))
+        .withColumn("edited", F.concat("kept", "start"))
     )
+    seam = F.xxhash64(F.lower(F.concat(_last_word(F.col("kept")), _first_word(F.col("start")))))
+    tail = F.xxhash64(F.lower(_last_word(F.col("edited"))))
     hashed = edited.select(
-        "key", "prev_key", "n_chars",
+        "*", _hashes(F.col("text")).alias("own_terms"), _hashes(F.col("edited")).alias("edited_terms"),
+        seam.alias("seam"), tail.alias("tail"),
+    ).select(
+        "key", "prev_key", "n_chars", "seam", "tail",
         F.unhex(F.sha2("text", 256)).alias("sha256"), F.unhex(F.sha2("edited", 256)).alias("edited_sha256"),
-        _hashes(F.col("text")).alias("own"), _hashes(F.col("edited")).alias("edited"),
+        F.array_except("own_terms", "rare").alias("own"),
+        F.array_except("edited_terms", F.concat("rare", "next_rare", F.array("seam", "tail"))).alias("edited"),
     )
-    printed = fingerprints(known_terms(hashed, terms))
-    names = ("own", "sha256"), ("edited", "edited_sha256")
-    alone = {n: F.substring(F.lower(F.hex(c)), 1, 2 * HASH_DIGITS) for n, c in names}
-    found = stage(
+
+    def alone(sha256: str) -> Column:
+        return F.substring(F.lower(F.hex(sha256)), 1, 2 * HASH_DIGITS)
+
+    printed = fingerprints(known_terms(hashed, placed_terms))
+    parts = stage(
         printed.select(
-            "key", "prev_key", "n_chars", "edited_sha256", "own_prints", "edited_prints",
-            *(F.when(F.col(f"{n}_prints").isNull(), alone[n]).alias(f"{n}_alone") for n, _ in names),
+            "key", "prev_key", "n_chars", "edited_sha256", "seam", "tail", "own_prints", "edited_prints",
+            F.when(F.col("own_prints").isNull(), alone("sha256")).alias("own_alone"),
         ),
-        "imatch-prints",
+        "imatch-parts",
         release=True,
     )
+    cut = fingerprints(known_cut_words(parts, placed_terms, terms))
+    whole = (
+        parts.join(cut.select("key", F.col("edited_prints").alias("cut_prints")), "key", "left")
+        .withColumn("edited_prints", added("edited_prints", "cut_prints"))
+        .withColumn("edited_alone", F.when(F.col("edited_prints").isNull(), alone("edited_sha256")))
+    )
+    found = stage(whole.drop("seam", "tail", "cut_prints"), "imatch-prints", release=True)
     # Each document is the next one of one other, which its fingerprint is sent to.
     following = found.select(
         F.col("prev_key").alias("key"),
